@@ -36,8 +36,10 @@ def write_archives(lines: DataFrame, root: str, stem: str) -> str:
         store, base, _ = resolve(root)
         sinks: dict[str, tuple] = {}
         for batch in batches:
-            folders, texts = (batch.column(i).to_pylist() for i in (0, 1))
-            for name, text in zip(folders, texts):
+            blocks: dict[str, list[str]] = {}
+            for name, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+                blocks.setdefault(name, []).append(text)
+            for name, texts in blocks.items():
                 if name not in sinks:
                     store.create_dir(f"{base}/{name}")
                     draft = f"{base}/{name}/{stem}{task.partitionId()}.{task.taskAttemptId()}.tmp"
@@ -45,7 +47,7 @@ def write_archives(lines: DataFrame, root: str, stem: str) -> str:
                     archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
                     member = archive.open(f"{stem}{task.partitionId()}.csv", "w")
                     sinks[name] = (draft, out, archive, member)
-                sinks[name][3].write(text.encode(ENCODING) + b"\n")
+                sinks[name][3].write("".join(f"{t}\n" for t in texts).encode(ENCODING))
         for name, (draft, out, archive, member) in sinks.items():
             member.close()
             archive.close()

@@ -18,7 +18,7 @@ KEYS = ["l_orderkey", "l_linenumber"]
 
 FACTS_SQL = """
     select *,
-           'S-' || lpad(cast(l_suppkey as varchar), 12, '0') as mun_raw,
+           'S-0' || cast(l_suppkey as varchar) as mun_raw,
            lpad(cast(l_linenumber as varchar), 2, '0') as sit_raw,
            l_linestatus as kind_raw
     from lineitem"""
@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def facts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").withColumns(
         {
-            "mun_raw": F.concat(F.lit("S-"), F.lpad(F.col("l_suppkey").cast("string"), 12, "0")),
+            "mun_raw": F.concat(F.lit("S-0"), F.col("l_suppkey").cast("string")),
             "sit_raw": F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
             "kind_raw": F.col("l_linestatus"),
         }

@@ -20,6 +20,11 @@ class WriteResult:
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count the rows that reach the writer.
+
+    The count sits in the last stage, whose repeated tasks are counted once, and above any
+    exchange, which adaptive execution may drop together with what is below it.
+    """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -38,9 +43,7 @@ def overwrite_partitions(
     beforehand: the facts are read once. `rebalance` evens out file sizes when many tasks
     hold rows of many partitions; adaptive execution splits a partition that holds most.
     """
-    counted, seen = _counted(df)
-    if rebalance:
-        counted = counted.hint("rebalance", *partition_by)
+    counted, seen = _counted(df.hint("rebalance", *partition_by) if rebalance else df)
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,9 +1,9 @@
 """ZIP archives as a Spark source: rows `archive, member, line`.
 
 ZIP is not a codec Spark can read, so this is the one place where Python runs on the
-executors. Only the central directories are read for planning. A member becomes one task,
-or several when it is large, and is inflated as a stream: no member, and no archive, is
-ever held whole. Lines leave as Arrow batches and everything after that is JVM work.
+executors. Only the central directories are read for planning. Small members share a task,
+a large one is read by several, and all are inflated as streams: no member, and no archive,
+is ever held whole. Lines leave as Arrow batches and everything after that is JVM work.
 """
 
 from __future__ import annotations
@@ -40,13 +40,30 @@ ARROW_SCHEMA = pa.schema(
         pa.field("line", pa.string(), False),
     ]
 )
+SLICE_SCHEMA = pa.schema(
+    [
+        pa.field("archive", pa.string()),
+        pa.field("member", pa.string()),
+        pa.field("start", pa.int64()),
+        pa.field("end", pa.int64()),
+    ]
+)
 BLOCK = 4 << 20
-SLICE_BYTES = 128 << 20
-PARTITION_BYTES = 128 << 20
+SLICE_BYTES = 512 << 20
+LEAST_SLICE_BYTES = 4 << 20
 INFLATE_SLICES = 16
+PARTITION_BYTES = 128 << 20
 FOOTER_THREADS = 32
 
 
+@dataclass(frozen=True)
+class Member:
+    archive: str
+    name: str
+    size: int
+    stored: bool
+
+
 @dataclass(frozen=True)
 class Slice:
     """The lines of a member that start at an inflated offset in [start, end)."""
@@ -70,34 +87,33 @@ def _hidden(member: str) -> bool:
     )
 
 
-def plan_archive(
-    archive: str,
-    slice_bytes: int = SLICE_BYTES,
-    inflate_slices: int = INFLATE_SLICES,
-    options: Mapping[str, str] | None = None,
-) -> list[Slice]:
-    """Slices of every visible member of one archive.
+def members_of(archive: str, options: Mapping[str, str] | None = None) -> list[Member]:
+    """The visible members of one archive, from its central directory."""
+    with open_seekable(archive, options) as raw, zipfile.ZipFile(raw) as z:
+        return [
+            Member(archive, m.filename, m.file_size, m.compress_type == zipfile.ZIP_STORED)
+            for m in z.infolist()
+            if not m.is_dir() and not _hidden(m.filename)
+        ]
+
+
+def slices_of(member: Member, slice_bytes: int, inflate_slices: int) -> list[Slice]:
+    """Cut a member into slices of about `slice_bytes`.
 
     A stored member splits freely. Inflating cannot start in the middle, so each slice of a
     compressed member inflates from the start and keeps its own part: that pays because
-    inflating is several times cheaper than turning lines into rows, as long as the number
-    of slices is bounded. Fewer slices are larger slices; no line is left out.
+    inflating is many times cheaper than turning lines into rows, as long as the number of
+    slices is bounded. Fewer slices are larger slices; no line is left out.
     """
-    slices = []
-    with open_seekable(archive, options) as raw, zipfile.ZipFile(raw) as z:
-        for info in z.infolist():
-            if info.is_dir() or _hidden(info.filename):
-                continue
-            parts = max(1, -(-info.file_size // slice_bytes))
-            if info.compress_type != zipfile.ZIP_STORED:
-                parts = min(parts, inflate_slices)
-            step = max(1, -(-info.file_size // parts))
-            slices += [
-                Slice(archive, info.filename, i * step, min((i + 1) * step, info.file_size))
-                for i in range(parts)
-                if i == 0 or i * step < info.file_size
-            ]
-    return slices
+    parts = max(1, -(-member.size // slice_bytes))
+    if not member.stored:
+        parts = min(parts, inflate_slices)
+    step = max(1, -(-member.size // parts))
+    starts = range(0, max(member.size, 1), step)
+    return [
+        Slice(member.archive, member.name, start, min(start + step, member.size))
+        for start in starts
+    ]
 
 
 class _Blocks:
@@ -187,11 +203,10 @@ def read_slice(
                 )
 
 
-def _last_wins(slices: Iterable[Slice]) -> list[Slice]:
+def _last_wins(members: list[Member]) -> list[Member]:
     """Keep a member name only from the last archive (in key order) that holds it."""
-    slices = list(slices)
-    winner = {s.member: s.archive for s in slices}
-    return [s for s in slices if winner[s.member] == s.archive]
+    winner = {m.name: m.archive for m in members}
+    return [m for m in members if winner[m.name] == m.archive]
 
 
 def _pack(slices: list[Slice], limit: int, min_partitions: int) -> list[SlicePartition]:
@@ -257,13 +272,15 @@ class ZipLinesReader(DataSourceReader):
                 raise FileNotFoundError(f"PATH_NOT_FOUND: no archive under {root}")
             archives += found
 
-        def plan(archive: str) -> list[Slice]:
-            return plan_archive(archive, self.slice_bytes, self.inflate_slices, self.storage)
-
         with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-            slices = [s for found in pool.map(plan, archives) for s in found]
+            found = pool.map(lambda a: members_of(a, self.storage), archives)
+            members = [m for archive in found for m in archive]
         if self.conflict == "last":
-            slices = _last_wins(slices)
+            members = _last_wins(members)
+        # As with splittable files: smaller pieces while cores would be idle, but not tiny.
+        share = sum(m.size for m in members) // max(self.min_partitions, 1)
+        target = min(self.slice_bytes, max(share, LEAST_SLICE_BYTES))
+        slices = [s for m in members for s in slices_of(m, target, self.inflate_slices)]
         packed = _pack(slices, self.partition_bytes, self.min_partitions)
         return packed or [SlicePartition([])]
 
@@ -293,7 +310,7 @@ def expand_archives(
     listing: DataFrame,
     tasks: int,
     encoding: str = ENCODING,
-    slice_bytes: int = SLICE_BYTES,
+    slice_bytes: int = PARTITION_BYTES,
     inflate_slices: int = INFLATE_SLICES,
     storage: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -308,13 +325,12 @@ def expand_archives(
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                rows = plan_archive(path, slice_bytes, inflate_slices, storage)
-                yield pa.RecordBatch.from_pylist(
-                    [vars(s) for s in rows],
-                    schema=pa.schema(
-                        [("archive", "string"), ("member", "string"), ("start", "int64"), ("end", "int64")]
-                    ),
-                )
+                rows = [
+                    vars(piece)
+                    for member in members_of(path, storage)
+                    for piece in slices_of(member, slice_bytes, inflate_slices)
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=SLICE_SCHEMA)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,9 +352,10 @@ def first_line(
     roots = [path] if isinstance(path, str) else path
     archives = [a for r in roots for a in list_files(r, ARCHIVE_SUFFIX, storage)]
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        whole = pool.map(lambda a: plan_archive(a, 1 << 62, 1, storage), archives)
-        largest = max((s for found in whole for s in found), key=lambda s: s.end, default=None)
+        found = pool.map(lambda a: members_of(a, storage), archives)
+        largest = max((m for ms in found for m in ms), key=lambda m: m.size, default=None)
     if largest is None:
         return None
-    lines = (ln for b in read_slice(largest, encoding, storage) for ln in b.column(2).to_pylist())
+    whole = Slice(largest.archive, largest.name, 0, largest.size)
+    lines = (ln for b in read_slice(whole, encoding, storage) for ln in b.column(2).to_pylist())
     return next((ln for ln in lines if ln.strip()), None)

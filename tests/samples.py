@@ -1,0 +1,58 @@
+"""Hand-made registry extracts (FIXTURES.md F1-F4)."""
+
+import zipfile
+from pathlib import Path
+
+LOOKUP = '"7107";"SÃO PAULO"\r\n"0001";"X;Y"\r\n"abc";"BAD"\r\n'
+LOOKUP_REPEATS = '"7107";"DUP";"extra"\r\n7107\r\n'
+
+
+def fact_line(row_id, kind='""', status='""', code='""', extra=None, surplus=""):
+    fields = ['""'] * 21
+    fields[0], fields[3], fields[5], fields[20] = f'"{row_id}"', kind, status, code
+    for at, value in (extra or {}).items():
+        fields[at] = value
+    return ";".join(fields) + surplus + "\n"
+
+
+FACTS = [
+    fact_line(1, '"1"', '"02"', '"7107"'),
+    fact_line(2, '"2"', '"02"', '"07107"'),
+    fact_line(3, '"2"', '"8"', '"7107"'),
+    fact_line(4, '"1"', '"2"', '" 7107"'),
+    fact_line(5, '"1"', '""', '"7107"'),
+    fact_line(6, '"2"', '"2"', '"71-07"'),
+    fact_line(7, "", '"2"', "99999999999"),
+    fact_line(8, "1", "2", "7107", surplus=";surplus"),
+    fact_line(9, '"1"', '"02"', '"1"', extra={9: '"7107"'}),
+    '"10";"x";"y"\n',
+    fact_line(11, "", '"2"', '"7107"'),
+]
+HITS = {"1", "3", "5", "8", "9", "11"}
+SILVER = {"1", "2", "4", "6", "8", "11"}
+
+
+def write_text(folder: Path, name: str, text: str) -> str:
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_bytes(text.encode("iso-8859-1"))
+    return str(folder)
+
+
+def write_zip(path: Path, members: dict[str, str | bytes], method=zipfile.ZIP_DEFLATED) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w", method) as z:
+        for name, body in members.items():
+            z.writestr(name, body.encode("iso-8859-1") if isinstance(body, str) else body)
+    return str(path)
+
+
+def write_month(root: Path, facts=FACTS, lookup=LOOKUP) -> str:
+    """The archives of F4 under one root; returns it."""
+    now = root / "estabelecimentos_2025-12"
+    write_zip(now / "E0.zip", {"part0": "".join(facts[:6])})
+    write_zip(now / "E1.zip", {"part1": "".join(facts[6:9]), "part2": "".join(facts[9:])})
+    (now / "notes.txt").write_text("text")
+    (now / "E2.zip.crdownload").write_bytes(b"PK")
+    write_zip(root / "estabelecimentos_2025-11" / "E0.zip", {"part0": facts[0]})
+    write_zip(root / "municipios_2025-12" / "M.zip", {"M": lookup})
+    return str(root)

@@ -1,0 +1,210 @@
+import pytest
+from pyspark.sql import functions as F
+from samples import FACTS, HITS, LOOKUP, LOOKUP_REPEATS, SILVER, write_text
+
+from registra.config import KIND_LABELS, ColumnMap
+from registra.operators import gold
+from registra.operators.lookup import (
+    clean_lookup,
+    join_lookup,
+    keep_codes,
+    repeated_codes,
+    size_checked,
+)
+from registra.operators.metrics import run_metrics
+from registra.operators.pending import first_pending, pending_files
+from registra.operators.search import any_column_equals, holds_value, locate_value
+from registra.operators.silver import build_silver, guarded
+from registra.sources.delimited import read_facts, read_lookup
+
+
+@pytest.fixture()
+def facts(spark, tmp_path):
+    return read_facts(spark, write_text(tmp_path / "e", "E", "".join(FACTS)), 21)
+
+
+@pytest.fixture()
+def lookup(spark, tmp_path):
+    return read_lookup(spark, write_text(tmp_path / "m", "M", LOOKUP))
+
+
+def ids(df):
+    return {r["_c0"] for r in df.collect()}
+
+
+def counts(df):
+    return {r["kind"]: r["n"] for r in df.collect()}
+
+
+def test_search(facts):
+    assert ids(any_column_equals(facts, "7107")) == HITS
+    assert any_column_equals(facts, "no such value").isEmpty()
+
+
+def test_search_has_the_truth_table_of_an_array_search(facts):
+    array = F.array_contains(F.array(*[F.col(c) for c in facts.columns]), "7107")
+    assert facts.filter(~holds_value(facts, "7107").eqNullSafe(array)).isEmpty()
+
+
+def test_locate(facts):
+    found = {r["col_name"]: r["matches"] for r in locate_value(facts, "7107").collect()}
+    assert len(found) == 21
+    assert {c: n for c, n in found.items() if n} == {"_c9": 1, "_c20": 5}
+
+
+def test_silver(facts, lookup):
+    silver = build_silver(facts, lookup)
+    assert ids(silver) == SILVER
+    assert silver.columns == facts.columns + [
+        "mun_clean", "sit_clean", "municipio_cod", "municipio_nome"
+    ]
+    assert [t for _, t in silver.dtypes[-4:]] == ["int", "int", "int", "string"]
+
+
+def test_guard_and_join_disagree_on_noisy_codes(facts, lookup):
+    noisy = facts.filter("_c0 in ('2', '6')")
+    assert any_column_equals(noisy, "7107").isEmpty()
+    silver = build_silver(noisy, lookup)
+    assert ids(silver) == {"2", "6"}
+    assert guarded(silver, noisy, "7107").isEmpty()
+    assert ids(guarded(build_silver(facts, lookup), facts, "7107")) == SILVER
+
+
+def test_lookup_repeats_multiply(spark, facts, tmp_path):
+    text = write_text(tmp_path / "m", "M", LOOKUP + LOOKUP_REPEATS)
+    repeats = read_lookup(spark, text)
+    silver = build_silver(facts, repeats)
+    assert silver.count() == 3 * len(SILVER)
+    assert counts(gold.by_kind(silver, "_c3")) == {"1": 9, "2": 6, None: 3}
+    direct = gold.active_by_city(facts, repeats)
+    assert sorted(map(str, direct.collect())) == sorted(
+        map(str, gold.by_city(silver, "_c3").collect())
+    )
+    assert repeated_codes(clean_lookup(repeats)).collect() == [(7107, 3)]
+    metrics = run_metrics(facts, repeats, "7107").first()
+    assert tuple(metrics) == (3, len(HITS), 3 * len(SILVER))
+
+
+def test_gold(facts, lookup):
+    silver = build_silver(facts, lookup)
+    by_kind = counts(gold.by_kind(silver, "_c3"))
+    assert by_kind == {"1": 3, "2": 2, None: 1}
+    assert sum(by_kind.values()) == silver.count()
+    direct = gold.active_by_city(facts, lookup)
+    assert counts(gold.total_by_kind(direct)) == by_kind
+    labelled = gold.with_labels(gold.by_kind(silver, "_c3"), KIND_LABELS)
+    assert {r["label"]: r["n"] for r in labelled.collect()} == {
+        "matriz": 3, "filial": 2, "unknown": 1
+    }
+    wide = gold.pivot_kinds(direct, ["1", "2"], ["municipio_cod", "municipio_nome"])
+    assert wide.collect() == [(7107, "SÃO PAULO", 3, 2)]
+    other = gold.pivot_kinds(gold.active_by_city(facts, lookup, codes=None), ["2"], ["municipio_cod"])
+    assert dict(map(tuple, other.collect())) == {7107: 2, 1: 0}
+
+
+def test_codes(lookup):
+    cities = clean_lookup(lookup)
+    assert keep_codes(cities, [7107]).count() == 1
+    assert keep_codes(cities, [7107, 1, 5]).count() == 2
+    assert keep_codes(cities, None).count() == 3
+
+
+def test_metrics(facts, lookup):
+    assert run_metrics(facts, lookup, "7107").collect() == [(1, len(HITS), len(SILVER))]
+    none = run_metrics(facts, lookup, "7107", codes=[5])
+    assert none.collect() == [(0, len(HITS), 0)]
+
+
+def test_metrics_of_no_facts(facts, lookup):
+    assert run_metrics(facts.limit(0), lookup, "7107").collect() == [(1, 0, 0)]
+
+
+def test_custom_columns(facts, lookup):
+    swapped = facts.withColumnsRenamed({"_c20": "city", "_c5": "state"})
+    silver = build_silver(swapped, lookup, ColumnMap("city", "state"))
+    assert ids(silver) == SILVER
+
+
+def test_pending(spark):
+    names = ["Estabelecimentos0.zip", "Estabelecimentos1.zip", "Estabelecimentos10.zip",
+             "Estabelecimentos2.zip", "Municipios.zip", "", None]
+    listing = spark.createDataFrame([(n,) for n in names], "name string")
+    done = spark.createDataFrame([(n,) for n in names[:2]] * 2, "name string")
+    left = pending_files(listing, done, "Estabelecimentos")
+    assert {r["name"] for r in left.collect()} == set(names[2:4])
+    assert first_pending(listing, done, "Estabelecimentos").collect() == [(names[2],)]
+    assert first_pending(listing, listing, "Estabelecimentos").isEmpty()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_plan(spark, lookup, tmp_path, facts):
+    facts.write.parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    text = plan(build_silver(stored, lookup).select("_c0", "municipio_nome"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "ReadSchema: struct<_c0:string,_c5:string,_c20:string>" in text
+    below = text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+    assert "= 2)" in below and "= 7107)" in below
+    assert "Python" not in text and "ArrowEval" not in text
+
+
+def test_gold_shuffles_counts_only(facts, lookup):
+    text = plan(gold.active_by_city(facts, lookup))
+    scan_side = text[: text.index("Exchange hashpartitioning(mun_clean")]
+    assert "partial_count" not in scan_side
+    after = text[text.index("Exchange hashpartitioning(mun_clean"):]
+    assert "partial_count(1)" in after and "= 7107)" in after
+
+
+def test_search_reaches_the_scan(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    hits = any_column_equals(table.select("l_suppkey", "l_linenumber", "l_linestatus"), "7")
+    assert "PushedFilters: [Or(Or(EqualTo(l_suppkey,7)" in plan(hits)
+
+
+def test_large_lookup_is_not_broadcast_and_a_hot_city_is_split(spark):
+    """A third of the facts in one city, and a lookup over the limit: a shuffle join that
+    adaptive execution splits where it is hot, with every row kept."""
+    n = 300_000
+    code = F.when(F.col("id") < n // 3, 7).otherwise(F.col("id") % 5000).cast("int")
+    facts = spark.range(0, n, 1, 16).select(
+        code.alias("mun_clean"), F.sha2(F.col("id").cast("string"), 512).alias("payload")
+    )
+    lookup = spark.range(0, 5000, 1, 4).select(
+        F.col("id").cast("int").alias("municipio_cod"),
+        F.sha2(F.col("id").cast("string"), 512).alias("municipio_nome"),
+    )
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "1",
+    }
+    kept = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        assert "broadcast" in size_checked(lookup)._jdf.queryExecution().logical().toString()
+        large = size_checked(lookup, limit=1000)
+        joined = join_lookup(facts, large)
+        out = joined.select("mun_clean", "payload", "municipio_nome")
+        rows = out.toArrow().num_rows
+        text = plan(out)
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert rows == n
+    assert "SortMergeJoin(skew=true)" in text, text
+    assert "BroadcastHashJoin" not in text
+
+
+def test_broadcast_switched_off_is_respected(spark, lookup):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert size_checked(lookup) is lookup
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
