@@ -127,7 +127,7 @@ def scan_archive(spark, sf):
 @query("scan_archive_listed", FACT_TEXT_SQL)
 def scan_archive_listed(spark, sf):
     root = _fact_archives(spark, sf, f"{FACTS_DATASET}_{MONTH}")
-    lines = expand_archives(list_objects(spark, root), spark.sparkContext.defaultParallelism)
+    lines = expand_archives(list_objects(spark, root).select("path"), spark.sparkContext.defaultParallelism)
     return parse_lines(lines.select("line"), text_schema(len(FACT_COLUMNS)))
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from registra.config import IN_PROGRESS_SUFFIXES
 
-ROUTE = r"([^/]+)_(\d{4}-\d{2})/[^/]+$"
+# Matched against the last folder and file name only: these run per row of an archive scan,
+# where a search along the whole path costs more than parsing the line.
+ROUTE = r"^([^/]+)_(\d{4}-\d{2})/[^/]+$"
 
 
 def file_name(path: Column) -> Column:
@@ -15,15 +17,20 @@ def file_name(path: Column) -> Column:
 
 
 def folder(path: Column) -> Column:
-    return F.regexp_replace(path, r"/?[^/]*$", "")
+    return F.left(path, F.length(path) - F.length(file_name(path)) - 1)
+
+
+def _route(path: Column, group: int) -> Column:
+    found = F.regexp_extract(F.substring_index(path, "/", -2), ROUTE, group)
+    return F.nullif(found, F.lit(""))
 
 
 def dataset(path: Column) -> Column:
-    return F.nullif(F.regexp_extract(path, ROUTE, 1), F.lit(""))
+    return _route(path, 1)
 
 
 def ref_month(path: Column) -> Column:
-    return F.nullif(F.regexp_extract(path, ROUTE, 2), F.lit(""))
+    return _route(path, 2)
 
 
 def whole_mib(length: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,20 +12,24 @@ from registra.sinks.parquet import WriteResult, overwrite_folder, overwrite_part
 BRONZE_KEYS = ["dataset", "ref_month", "archive"]
 
 
-def routed_lines(lines: DataFrame) -> DataFrame:
-    """Archive rows with `dataset` and `ref_month` from the path, and the bare archive name.
+def bronze_keys(path: Column) -> list[Column]:
+    """`dataset, ref_month, archive` of an archive's path.
 
-    Rows from a path that does not say dataset and month fail the job: landed without a
-    month they could not be found again.
+    A path that does not say dataset and month fails the job: landed without a month, its
+    rows could not be found again.
     """
-    path = F.col("archive")
     misplaced = F.raise_error(F.concat(F.lit("no <dataset>_<yyyy-mm> folder in "), path))
-    return lines.select(
+    return [
         F.coalesce(P.dataset(path), misplaced.cast("string")).alias("dataset"),
         F.coalesce(P.ref_month(path), misplaced.cast("string")).alias("ref_month"),
         P.file_name(path).alias("archive"),
-        *[F.col(c) for c in lines.columns if c != "archive"],
-    )
+    ]
+
+
+def routed_lines(lines: DataFrame) -> DataFrame:
+    """Archive rows with their bronze keys in place of the path."""
+    others = [F.col(c) for c in lines.columns if c != "archive"]
+    return lines.select(*bronze_keys(F.col("archive")), *others)
 
 
 def land_bronze(rows: DataFrame, bronze: str) -> WriteResult:

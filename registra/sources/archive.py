@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from registra.config import ARCHIVE_SUFFIX, ENCODING
 from registra.session import qualify
@@ -40,12 +41,12 @@ ARROW_SCHEMA = pa.schema(
         pa.field("line", pa.string(), False),
     ]
 )
-SLICE_SCHEMA = pa.schema(
+SLICE_SCHEMA = T.StructType(
     [
-        pa.field("archive", pa.string()),
-        pa.field("member", pa.string()),
-        pa.field("start", pa.int64()),
-        pa.field("end", pa.int64()),
+        T.StructField("archive", T.StringType(), False),
+        T.StructField("member", T.StringType(), False),
+        T.StructField("start", T.LongType(), False),
+        T.StructField("end", T.LongType(), False),
     ]
 )
 BLOCK = 4 << 20
@@ -317,30 +318,41 @@ def expand_archives(
     """The same rows for a DataFrame of archive paths, such as one streaming batch.
 
     Paths stay on the executors: tasks read the central directories, the slices are dealt
-    out evenly, and tasks read the slices.
+    out evenly, and tasks read the slices. Other columns of the listing are repeated on
+    every line, so that what depends on the path alone is worked out once per archive.
     """
     _ship_package()
     storage = dict(storage or {})
+    carried = [f for f in listing.schema.fields if f.name != "path"]
+    slices_schema = T.StructType([*carried, *SLICE_SCHEMA.fields])
+    lines_schema = T.StructType([*carried, *LINES_SCHEMA.fields])
+    names = [f.name for f in carried]
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                rows = [
-                    vars(piece)
-                    for member in members_of(path, storage)
+            for row in batch.to_pylist():
+                pieces = [
+                    {**row, **vars(piece)}
+                    for member in members_of(row["path"], storage)
                     for piece in slices_of(member, slice_bytes, inflate_slices)
                 ]
-                yield pa.RecordBatch.from_pylist(rows, schema=SLICE_SCHEMA)
+                yield pa.RecordBatch.from_pylist(pieces, schema=to_arrow_schema(slices_schema))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from read_slice(Slice(**row), encoding, storage)
-
-    slices = listing.select("path").mapInArrow(
-        plan, "archive string, member string, start long, end long"
-    )
-    return slices.repartition(tasks).mapInArrow(read, LINES_SCHEMA)
+                piece = Slice(row["archive"], row["member"], row["start"], row["end"])
+                for lines in read_slice(piece, encoding, storage):
+                    constants = [
+                        pa.repeat(pa.scalar(row[n], batch.schema.field(n).type), lines.num_rows)
+                        for n in names
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [*constants, *lines.columns], names=[*names, *lines.schema.names]
+                    )
+
+    slices = listing.mapInArrow(plan, slices_schema)
+    return slices.repartition(tasks).mapInArrow(read, lines_schema)
 
 
 def first_line(

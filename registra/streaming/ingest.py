@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from registra.config import ARCHIVE_SUFFIX
-from registra.sinks.bronze import land_bronze, routed_lines
+from registra.sinks.bronze import bronze_keys, land_bronze
 from registra.sources.archive import expand_archives
 from registra.sources.delimited import parse_lines
 
@@ -64,8 +65,11 @@ def ingest_archives(
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        lines = routed_lines(expand_archives(batch, tasks, storage=storage))
-        land_bronze(parse_lines(lines, schema), bronze)
+        listing = batch.select("path", *bronze_keys(F.col("path")))
+        named = listing.withColumnRenamed("archive", "file")
+        lines = expand_archives(named, tasks, storage=storage).drop("archive")
+        rows = parse_lines(lines.withColumnRenamed("file", "archive"), schema)
+        land_bronze(rows, bronze)
 
     query = (
         arriving_archives(spark, folder, files_per_batch)
