@@ -22,11 +22,13 @@ def csv_line(*columns: Column) -> Column:
     return F.to_csv(F.struct(*columns), options)
 
 
-def write_archives(lines: DataFrame, root: str, stem: str) -> str:
+def write_archives(lines: DataFrame, root: str, stem: str, rebalance: bool = False) -> str:
     """Write `folder, line` rows as ZIPs `<root>/<folder>/<stem><task>.zip`; returns the root.
 
     Each task writes its own archive per folder under a name of its attempt and moves it to
     the final name when whole, so a lost or repeated task leaves one complete archive.
+    `rebalance` brings the rows of a folder together first, in parts of even size, so that
+    many folders do not mean an archive per folder and task.
     """
     root = qualify(lines.sparkSession, root)
     _ship_package()
@@ -55,7 +57,9 @@ def write_archives(lines: DataFrame, root: str, stem: str) -> str:
             store.move(draft, f"{base}/{name}/{stem}{task.partitionId()}.zip")
         yield from ()
 
-    lines.select("folder", "line").mapInArrow(write, "done int").write.format("noop").mode(
+    rows = lines.select("folder", "line")
+    rows = rows.hint("rebalance", "folder") if rebalance else rows
+    rows.mapInArrow(write, "done int").write.format("noop").mode(
         "overwrite"
     ).save()
     return root

@@ -90,20 +90,20 @@ def derive_columns(spark, sf):
 
 @query(
     "rename_positional",
-    "select c_custkey as cnpj_basico, c_name as nome, c_mktsegment as segmento from customer",
+    "select c_custkey as codigo_basico, c_name as nome, c_mktsegment as segmento from customer",
 )
 def rename_all(spark, sf):
     raw = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return rename_positional(raw.toDF("_c0", "_c1", "_c2"), ["cnpj_basico", "nome", "segmento"])
+    return rename_positional(raw.toDF("_c0", "_c1", "_c2"), ["codigo_basico", "nome", "segmento"])
 
 
 @query(
     "rename_some_positions",
-    "select c_custkey as cnpj_basico, c_name as _c1, c_mktsegment as _c2 from customer",
+    "select c_custkey as codigo_basico, c_name as _c1, c_mktsegment as _c2 from customer",
 )
 def rename_some(spark, sf):
     raw = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return rename_positional(raw.toDF("_c0", "_c1", "_c2"), {"_c0": "cnpj_basico"})
+    return rename_positional(raw.toDF("_c0", "_c1", "_c2"), {"_c0": "codigo_basico"})
 
 
 @query("filter_lookup_code", f"select * from ({LOOKUP_SQL}) where municipio_cod = {CITY}")

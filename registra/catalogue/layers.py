@@ -58,8 +58,10 @@ def join_duplicates(spark, sf):
         .groupBy("mun_clean")
         .agg(F.count(F.lit(1)).alias("facts"))
     )
-    joined = join_lookup(counted, once.unionAll(once))
-    return joined.groupBy("municipio_cod").agg(F.sum("facts").alias("n"))
+    copies = once.unionAll(once).groupBy("municipio_cod").agg(F.count(F.lit(1)).alias("copies"))
+    return join_lookup(counted, copies).select(
+        "municipio_cod", (F.col("facts") * F.col("copies")).alias("n")
+    )
 
 
 @query(

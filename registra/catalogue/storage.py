@@ -109,7 +109,10 @@ def _fact_archives(spark, sf, folder=None):
     lines = _fact_lines(spark, sf)
     wanted = F.col("month") if folder is None else F.lit(folder)
     return write_archives(
-        lines.select(wanted.alias("folder"), "line"), work_folder(spark, "archives"), "E"
+        lines.select(wanted.alias("folder"), "line"),
+        work_folder(spark, "archives"),
+        "E",
+        rebalance=folder is None,
     )
 
 

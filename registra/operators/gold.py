@@ -33,21 +33,20 @@ def active_by_city(
 ) -> DataFrame:
     """The same as :func:`by_city` over silver, straight from the facts.
 
-    Facts are counted per code and flag before the join, so only group rows are shuffled
-    however many facts one city holds. A code's n facts meet each of its lookup rows,
-    which is what the sum over the joined groups adds up.
+    Both sides are counted before they meet: facts per code and flag, lookup rows per code
+    and name. Only group rows are shuffled then, however many facts one city holds, and a
+    pair of groups stands for all the rows the plain join would give.
     """
     cities = keep_codes(clean_lookup(lookup), codes)
+    copies = cities.groupBy(*CITY).agg(F.count(F.lit(1)).alias("copies"))
     counted = (
         add_clean_keys(facts, columns)
         .filter(F.col("sit_clean") == active)
         .groupBy("mun_clean", F.col(columns.kind).alias("kind"))
         .agg(F.count(F.lit(1)).alias("facts"))
     )
-    return (
-        counted.join(cities, counted.mun_clean == cities.municipio_cod)
-        .groupBy(*CITY, "kind")
-        .agg(F.sum("facts").alias("n"))
+    return counted.join(copies, counted.mun_clean == copies.municipio_cod).select(
+        *CITY, "kind", (F.col("facts") * F.col("copies")).alias("n")
     )
 
 

@@ -9,6 +9,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
+# The connector that belongs to the Hadoop version Spark 4.1 is built with.
+S3A_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.2"
+
 
 def qualify(spark: SparkSession, path: str) -> str:
     """Give a path without a scheme the cluster's default file system."""
@@ -52,10 +55,28 @@ def s3a_conf(environment: Mapping[str, str] | None = None) -> dict[str, str]:
     return conf
 
 
+def store_options(environment: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of the archive source for the same store. Keys are left to the executors'
+    own environment or role, so that none shows up in a query plan."""
+    env = os.environ if environment is None else environment
+    scheme, _, host = env.get("AWS_ENDPOINT_URL", "").rpartition("://")
+    options = {"endpoint": host, "scheme": scheme, "region": env.get("AWS_REGION", "")}
+    return {key: value for key, value in options.items() if value}
+
+
 def object_store_builder(
-    builder: SparkSession.Builder, environment: Mapping[str, str] | None = None
+    builder: SparkSession.Builder,
+    environment: Mapping[str, str] | None = None,
+    packages: str | None = None,
 ) -> SparkSession.Builder:
-    """Apply :func:`s3a_conf` to a session builder; master and resources stay the caller's."""
-    for key, value in s3a_conf(environment).items():
+    """Apply :func:`s3a_conf` to a session builder; master and resources stay the caller's.
+
+    `packages` names the connector to fetch, such as :data:`S3A_PACKAGE`, on clusters that
+    do not have it installed.
+    """
+    conf = s3a_conf(environment)
+    if packages:
+        conf["spark.jars.packages"] = packages
+    for key, value in conf.items():
         builder = builder.config(key, value)
     return builder

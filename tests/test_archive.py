@@ -1,10 +1,14 @@
 import io
 import json
+import os
+import subprocess
+import sys
 import zipfile
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from samples import FACTS, LOOKUP, write_month, write_text, write_zip
 
@@ -157,6 +161,24 @@ def test_width_comes_from_the_largest_member(spark, tmp_path):
     assert width_of(spark, FACTS[0].strip()) == 21
 
 
+def test_reader_travels_without_an_installed_package(tmp_path):
+    """What Spark sends to a worker must run where this package cannot be imported."""
+    write_zip(tmp_path / "a.zip", {"m": "x\ny\n"})
+    A._ship_package()
+    reader = A.ZipLinesSource({"path": str(tmp_path)}).reader(A.LINES_SCHEMA)
+    (tmp_path / "reader").write_bytes(cloudpickle.dumps(reader))
+    code = (
+        "import pickle; r = pickle.load(open('reader', 'rb'));"
+        "print(sum(b.num_rows for p in r.partitions() for b in r.read(p)));"
+        "import importlib.util; print(importlib.util.find_spec('registra'))"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True
+    )
+    assert out.stdout.split() == ["2", "None"], out.stderr
+
+
 def test_lookup_member(spark, tmp_path):
     write_zip(tmp_path / "M.zip", {"M": LOOKUP})
     lines = A.read_archives(spark, str(tmp_path)).select("line")

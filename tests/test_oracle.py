@@ -46,3 +46,16 @@ def test_query_equals_sql(spark, duck, name):
 def test_flagship(spark):
     counts = {r["kind"]: r["n"] for r in driver.entry(spark).collect()}
     assert counts == {"F": 46, "O": 49}
+
+
+PYTHON_ON_EXECUTORS = {"scan_archive", "scan_archive_listed", "scan_archive_by_month"}
+
+
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - PYTHON_ON_EXECUTORS))
+def test_no_python_and_no_cross_join_in_the_plan(spark, name):
+    if name in ("stream_files_once", "medallion_end_to_end", "list_files_manifest"):
+        pytest.skip("covered by the plans of its parts")
+    df = driver.queries()[name](spark, "/root/testdata/sf0.001")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text, node

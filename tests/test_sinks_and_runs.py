@@ -6,7 +6,14 @@ from samples import FACTS, LOOKUP, LOOKUP_REPEATS, SILVER, write_month, write_zi
 
 from registra.config import RunConfig, text_schema
 from registra.plans.medallion import read_silver, run
-from registra.session import object_store_builder, qualify, s3a_conf, work_folder
+from registra.session import (
+    S3A_PACKAGE,
+    object_store_builder,
+    qualify,
+    s3a_conf,
+    store_options,
+    work_folder,
+)
 from registra.sinks.bronze import land_bronze, read_bronze, routed_lines
 from registra.sinks.parquet import SKIPPED_EMPTY, SKIPPED_GUARD, WRITTEN, overwrite_partitions
 from registra.sources.archive import read_archives
@@ -173,11 +180,11 @@ def test_run(spark, cfg):
 
 
 def test_run_with_business_names(spark, cfg):
-    named = dataclasses.replace(cfg, width=21, names={"_c0": "cnpj_basico", "_c3": "kind_flag"})
+    named = dataclasses.replace(cfg, width=21, names={"_c0": "codigo_basico", "_c3": "kind_flag"})
     result = run(spark, named)
     assert sum(r["n"] for r in result.gold.collect()) == len(SILVER)
     stored = read_silver(spark, named, text_schema(21), "2025-12")
-    assert {r["cnpj_basico"] for r in stored.collect()} == SILVER
+    assert {r["codigo_basico"] for r in stored.collect()} == SILVER
 
 
 def test_run_guard(spark, cfg, tmp_path):
@@ -241,6 +248,11 @@ def test_object_store_settings():
             return self
 
     assert object_store_builder(Builder(), env) == conf
+    fetched = object_store_builder(Builder(), env, S3A_PACKAGE)
+    assert fetched["spark.jars.packages"] == S3A_PACKAGE
+    assert store_options(env) == {"endpoint": "store:9000", "scheme": "http"}
+    assert store_options({"AWS_REGION": "sa-east-1"}) == {"region": "sa-east-1"}
+    assert store_options({}) == {}
 
 
 def test_paths_and_work_folder(spark, tmp_path):
