@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 NON_DIGITS = "[^0-9]"
 PLAIN_CODE = r"^[0-9]{1,9}\z"
-INT_LIMIT = 2**31
+# At least one digit, and no more than ten from the first that is not 0.
+FEW_DIGITS = r"(?s)^(?=[^0-9]*+[0-9])(?!.*[1-9](?:[^0-9]*+[0-9]){10})"
 
 
 def keep_digits(text: Column) -> Column:
@@ -21,18 +22,14 @@ def keep_digits(text: Column) -> Column:
 def digits_to_int(text: Column) -> Column:
     """Int made of the digits of a string; NULL when there are none or it overflows.
 
-    Defined as a lenient cast of :func:`keep_digits`. A lenient cast of an empty or too
-    large string raises and catches an exception per row, ten times the cost of the rest, so
-    such values are told apart beforehand and every cast here is one that succeeds. Plain
-    codes, the usual case, also skip the replacement.
+    Defined as a lenient cast of :func:`keep_digits`. A lenient cast of an empty or too long
+    string raises and catches an exception per row, ten times the cost of the rest, so both
+    are told apart beforehand. Plain codes, the usual case, also skip the replacement. The
+    expression stays small because filters repeat it, and methods that get too long for
+    the JIT compiler run interpreted.
     """
-    digits = keep_digits(text)
-    wide = F.least(digits.try_cast("double"), F.lit(float(INT_LIMIT))).cast("bigint")
-    return (
-        F.when(text.rlike(PLAIN_CODE), text.try_cast("int"))
-        .when(~text.rlike("[0-9]"), F.lit(None))
-        .when(F.length(text) <= 9, digits.try_cast("int"))
-        .when(wide < INT_LIMIT, wide.cast("int"))
+    return F.when(text.rlike(PLAIN_CODE), text.try_cast("int")).when(
+        text.rlike(FEW_DIGITS), keep_digits(text).try_cast("int")
     )
 
 
