@@ -51,12 +51,14 @@ class RunConfig:
 
     `width` None takes the width of the facts from their first line. `codes` None keeps every
     city. `names` renames raw columns in silver; `columns` always uses the raw names.
+    Without a `gold` path the counts are returned but not stored.
     """
 
     archives: str
     bronze: str
     silver: str
     ref_month: str
+    gold: str | None = None
     width: int | None = None
     columns: ColumnMap = field(default_factory=ColumnMap)
     names: dict[str, str] = field(default_factory=dict)

@@ -121,10 +121,19 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
     silver = build_silver(facts, lookup, cfg.columns, cfg.codes, cfg.active)
     month = rename_positional(silver, cfg.names).withColumn("ref_month", F.lit(cfg.ref_month))
-    written = overwrite_partitions(month, cfg.silver, ["ref_month"])
-    gold = None
-    if written.rows:
-        stored = read_silver(spark, cfg, schema, cfg.ref_month)
-        kind = cfg.names.get(cfg.columns.kind, cfg.columns.kind)
-        gold = with_labels(by_kind(stored, kind), cfg.kind_labels)
+    written = overwrite_partitions(month, cfg.silver, ["ref_month"], sort_by=["municipio_cod"])
+    gold = build_gold(spark, cfg, schema) if written.rows else None
     return RunResult(facts_landed, lookup_landed, written, gold)
+
+
+def build_gold(spark: SparkSession, cfg: RunConfig, schema: T.StructType) -> DataFrame:
+    """Labelled counts of the month's silver, stored by month if the run has a gold path."""
+    stored = read_silver(spark, cfg, schema, cfg.ref_month)
+    kind = cfg.names.get(cfg.columns.kind, cfg.columns.kind)
+    gold = with_labels(by_kind(stored, kind), cfg.kind_labels)
+    if cfg.gold is None:
+        return gold
+    overwrite_partitions(
+        gold.withColumn("ref_month", F.lit(cfg.ref_month)), cfg.gold, ["ref_month"]
+    )
+    return spark.read.schema(gold.schema).parquet(f"{cfg.gold}/ref_month={cfg.ref_month}")

@@ -1,9 +1,11 @@
 import dataclasses
+import json
 
 import pytest
 from pyspark.sql import functions as F
 from samples import FACTS, LOOKUP, LOOKUP_REPEATS, SILVER, write_month, write_zip
 
+from registra import __main__ as job
 from registra.config import RunConfig, text_schema
 from registra.plans.medallion import read_silver, run
 from registra.session import (
@@ -73,6 +75,17 @@ def test_rebalance_keeps_rows_and_writes_few_files(spark, tmp_path):
     assert by_month(spark, str(path)) == {f"2025-0{i}": 1000 for i in range(1, 10)}
 
 
+def test_sorted_files_keep_rows(spark, tmp_path):
+    rows = month_rows(spark, "2025-12", 1000).orderBy(F.rand(1)).repartition(3)
+    path = str(tmp_path / "silver")
+    assert overwrite_partitions(rows, path, ["ref_month"], sort_by=["id"]).rows == 1000
+    stored = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    for (file,) in stored.select("file").distinct().collect():
+        ids = [r["id"] for r in spark.read.parquet(file).collect()]
+        assert ids == sorted(ids)
+    assert by_month(spark, path) == {"2025-12": 1000}
+
+
 def landing(spark, folder):
     return parse_lines(routed_lines(read_archives(spark, folder)), text_schema(21))
 
@@ -179,6 +192,36 @@ def test_run(spark, cfg):
     assert again.silver == result.silver
 
 
+def test_run_stores_gold_by_month(spark, cfg, tmp_path):
+    stored = dataclasses.replace(cfg, gold=str(tmp_path / "gold"))
+    for month in ("2025-12", "2025-11", "2025-12"):
+        write_zip(tmp_path / "archives" / "municipios_2025-11" / "M.zip", {"M": LOOKUP})
+        result = run(spark, dataclasses.replace(stored, ref_month=month, width=21))
+        assert sum(r["n"] for r in result.gold.collect()) == result.silver.rows
+    table = spark.read.parquet(stored.gold)
+    counts = table.groupBy(F.col("ref_month").cast("string").alias("m")).agg(F.sum("n"))
+    assert sorted(n for _, n in counts.collect()) == [1, len(SILVER)]
+
+
+def test_job_arguments(spark, cfg, tmp_path, capsys):
+    paths = ["--archives", cfg.archives, "--bronze", cfg.bronze]
+    job.main(["run", *paths, "--silver", cfg.silver, "--month", "2025-12", "--city", "7107"], spark)
+    assert json.loads(capsys.readouterr().out) == {
+        "facts": 11, "lookup": 3, "silver": len(SILVER), "status": WRITTEN,
+        "gold": {"matriz": 3, "filial": 2, "unknown": 1},
+    }
+    job.main(["run", *paths, "--silver", cfg.silver, "--month", "2025-12", "--all-cities"], spark)
+    assert json.loads(capsys.readouterr().out)["silver"] == len(SILVER) + 1
+    inbox = f"{cfg.archives}/{MONTH}"
+    for _ in range(2):
+        job.main(
+            ["ingest", "--archives", inbox, "--bronze", str(tmp_path / "b2"),
+             "--checkpoint", str(tmp_path / "progress"), "--width", "21"], spark,
+        )
+    rows = read_bronze(spark, str(tmp_path / "b2"), text_schema(21), "estabelecimentos", "2025-12")
+    assert rows.count() == 11
+
+
 def test_run_with_business_names(spark, cfg):
     named = dataclasses.replace(cfg, width=21, names={"_c0": "codigo_basico", "_c3": "kind_flag"})
     result = run(spark, named)
