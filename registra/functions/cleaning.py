@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 NON_DIGITS = "[^0-9]"
 PLAIN_CODE = r"^[0-9]{1,9}\z"
 # At least one digit, and no more than ten from the first that is not 0.
-FEW_DIGITS = r"(?s)^(?=[^0-9]*+[0-9])(?!.*[1-9](?:[^0-9]*+[0-9]){10})"
+FEW_DIGITS = r"(?s)^(?=[^0-9]*+[0-9])(?:.{0,10}+\z|(?!.*[1-9](?:[^0-9]*+[0-9]){10}))"
 
 
 def keep_digits(text: Column) -> Column:
