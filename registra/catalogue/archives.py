@@ -54,7 +54,10 @@ def write_archives(lines: DataFrame, root: str, stem: str, rebalance: bool = Fal
             member.close()
             archive.close()
             out.close()
-            store.move(draft, f"{base}/{name}/{stem}{task.partitionId()}.zip")
+            final = f"{base}/{name}/{stem}{task.partitionId()}.zip"
+            if store.get_file_info(final).is_file:  # left by an earlier attempt
+                store.delete_file(final)
+            store.move(draft, final)
         yield from ()
 
     rows = lines.select("folder", "line")
