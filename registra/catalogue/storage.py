@@ -32,7 +32,7 @@ from registra.config import (
 from registra.operators.silver import build_silver
 from registra.plans.medallion import run
 from registra.session import work_folder
-from registra.sinks.bronze import BRONZE_KEYS, land_bronze, read_bronze, routed_lines
+from registra.sinks.bronze import BRONZE_KEYS, keyed_lines, land_bronze, read_bronze
 from registra.sinks.parquet import overwrite_partitions
 from registra.sources.archive import expand_archives, read_archives
 from registra.sources.delimited import parse_lines, read_facts, read_lookup
@@ -140,7 +140,7 @@ def scan_archive_listed(spark, sf):
                count(*) as n from lineitem group by 2""",
 )
 def scan_archive_by_month(spark, sf):
-    lines = routed_lines(read_archives(spark, _fact_archives(spark, sf)))
+    lines = keyed_lines(list_objects(spark, _fact_archives(spark, sf)))
     return lines.groupBy("dataset", "ref_month").agg(F.count(F.lit(1)).alias("n"))
 
 

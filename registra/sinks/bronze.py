@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registra.functions import paths as P
-from registra.sinks.parquet import WriteResult, overwrite_folder, overwrite_partitions
+from registra.sinks.parquet import (
+    WriteResult,
+    concurrent_writers,
+    overwrite_folder,
+    overwrite_partitions,
+)
+from registra.sources.archive import expand_archives
+from registra.sources.delimited import parse_lines
 
 BRONZE_KEYS = ["dataset", "ref_month", "archive"]
 
@@ -26,10 +35,25 @@ def bronze_keys(path: Column) -> list[Column]:
     ]
 
 
-def routed_lines(lines: DataFrame) -> DataFrame:
-    """Archive rows with their bronze keys in place of the path."""
-    others = [F.col(c) for c in lines.columns if c != "archive"]
-    return lines.select(*bronze_keys(F.col("archive")), *others)
+def keyed_lines(
+    listing: DataFrame, tasks: int | None = None, storage: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Lines of listed archives with their keys: `dataset, ref_month, archive, member, line`.
+
+    The keys are worked out once per archive and repeated on its lines; taking them off the
+    path of every line would cost as much as parsing it.
+    """
+    path = F.col("path")
+    dataset, ref_month, archive = bronze_keys(path)
+    named = listing.select(path, dataset, ref_month, archive.alias("file"))
+    lines = expand_archives(named, tasks or task_count(listing.sparkSession), storage=storage)
+    return lines.select("dataset", "ref_month", F.col("file").alias("archive"), "member", "line")
+
+
+def task_count(spark: SparkSession) -> int:
+    """Tasks to deal archive slices to: enough to even out their sizes over all cores."""
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(2 * spark.sparkContext.defaultParallelism, shuffles)
 
 
 def land_bronze(rows: DataFrame, bronze: str) -> WriteResult:
@@ -37,16 +61,29 @@ def land_bronze(rows: DataFrame, bronze: str) -> WriteResult:
 
     A task reads few archives, so it writes into few partitions and nothing is shuffled.
     """
-    return overwrite_partitions(rows, bronze, BRONZE_KEYS)
+    with concurrent_writers(rows.sparkSession):
+        return overwrite_partitions(rows, bronze, BRONZE_KEYS)
+
+
+def land_archives(
+    listing: DataFrame,
+    bronze: str,
+    schema: T.StructType,
+    tasks: int | None = None,
+    storage: Mapping[str, str] | None = None,
+) -> WriteResult:
+    """Land every archive of a listing, as columns."""
+    return land_bronze(parse_lines(keyed_lines(listing, tasks, storage), schema), bronze)
 
 
 def land_month(rows: DataFrame, bronze: str, dataset: str, ref_month: str) -> WriteResult:
     """Land one dataset's whole month, keyed by archive, in place of what it held before."""
-    return overwrite_folder(
-        rows.drop("dataset", "ref_month"),
-        f"{bronze}/dataset={dataset}/ref_month={ref_month}",
-        ["archive"],
-    )
+    with concurrent_writers(rows.sparkSession):
+        return overwrite_folder(
+            rows.drop("dataset", "ref_month"),
+            f"{bronze}/dataset={dataset}/ref_month={ref_month}",
+            ["archive"],
+        )
 
 
 def read_bronze(

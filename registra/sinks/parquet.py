@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WRITTEN = "written"
@@ -19,6 +20,21 @@ class WriteResult:
     rows: int
 
 
+@contextmanager
+def concurrent_writers(spark: SparkSession, files: int = 16) -> Iterator[None]:
+    """Let a task keep several partitions' files open instead of sorting its rows first.
+
+    For rows that arrive grouped anyway; a task with more partitions than that still sorts.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count the rows that reach the writer.
 

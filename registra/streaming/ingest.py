@@ -5,14 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from registra.config import ARCHIVE_SUFFIX
-from registra.sinks.bronze import bronze_keys, land_bronze
-from registra.sources.archive import expand_archives
-from registra.sources.delimited import parse_lines
+from registra.sinks.bronze import land_archives
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -59,17 +56,8 @@ def ingest_archives(
     The checkpoint remembers what was landed, also across restarts. A batch that is
     repeated after a failure replaces its own archives, so nothing is landed twice.
     """
-    tasks = max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
-
     def land(batch: DataFrame, _: int) -> None:
-        listing = batch.select("path", *bronze_keys(F.col("path")))
-        named = listing.withColumnRenamed("archive", "file")
-        lines = expand_archives(named, tasks, storage=storage).drop("archive")
-        rows = parse_lines(lines.withColumnRenamed("file", "archive"), schema)
-        land_bronze(rows, bronze)
+        land_archives(batch, bronze, schema, storage=storage)
 
     query = (
         arriving_archives(spark, folder, files_per_batch)
