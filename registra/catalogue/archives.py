@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from registra.config import ENCODING, FIELD_SEPARATOR
 from registra.session import qualify
-from registra.sources.archive import _ship_package
+from registra.sources.archive import ship_package
 from registra.sources.filesystem import resolve
 
 
@@ -31,7 +31,7 @@ def write_archives(lines: DataFrame, root: str, stem: str, rebalance: bool = Fal
     many folders do not mean an archive per folder and task.
     """
     root = qualify(lines.sparkSession, root)
-    _ship_package()
+    ship_package()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

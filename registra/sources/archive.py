@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from registra.config import ARCHIVE_SUFFIX, ENCODING
 from registra.session import qualify
@@ -41,14 +40,12 @@ ARROW_SCHEMA = pa.schema(
         pa.field("line", pa.string(), False),
     ]
 )
-SLICE_SCHEMA = T.StructType(
-    [
-        T.StructField("archive", T.StringType(), False),
-        T.StructField("member", T.StringType(), False),
-        T.StructField("start", T.LongType(), False),
-        T.StructField("end", T.LongType(), False),
-    ]
-)
+SLICE_COLUMNS = {
+    "archive": (T.StringType(), pa.string()),
+    "member": (T.StringType(), pa.string()),
+    "start": (T.LongType(), pa.int64()),
+    "end": (T.LongType(), pa.int64()),
+}
 BLOCK = 4 << 20
 SLICE_BYTES = 512 << 20
 LEAST_SLICE_BYTES = 4 << 20
@@ -89,13 +86,17 @@ def _hidden(member: str) -> bool:
 
 
 def members_of(archive: str, options: Mapping[str, str] | None = None) -> list[Member]:
-    """The visible members of one archive, from its central directory."""
+    """The visible members of one archive, from its central directory.
+
+    Of entries with one name the last counts, which is also the one that opens by that name.
+    """
     with open_seekable(archive, options) as raw, zipfile.ZipFile(raw) as z:
-        return [
-            Member(archive, m.filename, m.file_size, m.compress_type == zipfile.ZIP_STORED)
-            for m in z.infolist()
-            if not m.is_dir() and not _hidden(m.filename)
-        ]
+        entries = {m.filename: m for m in z.infolist()}
+    return [
+        Member(archive, name, m.file_size, m.compress_type == zipfile.ZIP_STORED)
+        for name, m in entries.items()
+        if not m.is_dir() and not _hidden(name)
+    ]
 
 
 def slices_of(member: Member, slice_bytes: int, inflate_slices: int) -> list[Slice]:
@@ -123,11 +124,10 @@ class _Blocks:
     def __init__(self, stream, start: int):
         self.stream, self.offset, self.data, self.ended = stream, start, b"", False
 
-    def grow(self) -> bool:
+    def grow(self) -> None:
         more = self.stream.read(BLOCK)
         self.ended = not more
         self.data += more
-        return not self.ended
 
     def drop(self, n: int) -> bytes:
         head, self.data = self.data[:n], self.data[n:]
@@ -215,7 +215,7 @@ def _pack(slices: list[Slice], limit: int, min_partitions: int) -> list[SlicePar
 
     A task gets up to `limit` inflated bytes, less when that would leave cores idle.
     """
-    target = min(limit, sum(s.end - s.start for s in slices) // max(min_partitions, 1))
+    target = min(limit, -(-sum(s.end - s.start for s in slices) // max(min_partitions, 1)))
     packed: list[list[Slice]] = []
     room = 0
     for s in slices:
@@ -279,7 +279,7 @@ class ZipLinesReader(DataSourceReader):
         if self.conflict == "last":
             members = _last_wins(members)
         # As with splittable files: smaller pieces while cores would be idle, but not tiny.
-        share = sum(m.size for m in members) // max(self.min_partitions, 1)
+        share = -(-sum(m.size for m in members) // max(self.min_partitions, 1))
         target = min(self.slice_bytes, max(share, LEAST_SLICE_BYTES))
         slices = [s for m in members for s in slices_of(m, target, self.inflate_slices)]
         packed = _pack(slices, self.partition_bytes, self.min_partitions)
@@ -290,7 +290,7 @@ class ZipLinesReader(DataSourceReader):
             yield from read_slice(piece, self.encoding, self.storage)
 
 
-def _ship_package() -> None:
+def ship_package() -> None:
     """Send this package's code with each job, so that executors need no installation."""
     import registra
 
@@ -299,7 +299,7 @@ def _ship_package() -> None:
 
 def read_archives(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """`archive, member, line` of every archive under one or more folders."""
-    _ship_package()
+    ship_package()
     spark.dataSource.register(ZipLinesSource)
     roots = [path] if isinstance(path, str) else list(path)
     cores = str(spark.sparkContext.defaultParallelism)
@@ -321,22 +321,25 @@ def expand_archives(
     out evenly, and tasks read the slices. Other columns of the listing are repeated on
     every line, so that what depends on the path alone is worked out once per archive.
     """
-    _ship_package()
+    ship_package()
     storage = dict(storage or {})
     carried = [f for f in listing.schema.fields if f.name != "path"]
-    slices_schema = T.StructType([*carried, *SLICE_SCHEMA.fields])
+    columns = [T.StructField(name, spark) for name, (spark, _) in SLICE_COLUMNS.items()]
+    slices_schema = T.StructType([*carried, *columns])
     lines_schema = T.StructType([*carried, *LINES_SCHEMA.fields])
     names = [f.name for f in carried]
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            kept = [batch.schema.field(n) for n in names]
+            added = [pa.field(name, arrow) for name, (_, arrow) in SLICE_COLUMNS.items()]
             for row in batch.to_pylist():
                 pieces = [
                     {**row, **vars(piece)}
                     for member in members_of(row["path"], storage)
                     for piece in slices_of(member, slice_bytes, inflate_slices)
                 ]
-                yield pa.RecordBatch.from_pylist(pieces, schema=to_arrow_schema(slices_schema))
+                yield pa.RecordBatch.from_pylist(pieces, schema=pa.schema([*kept, *added]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

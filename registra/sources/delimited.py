@@ -34,16 +34,12 @@ def read_delimited(
     found = []
     for one in [path] if isinstance(path, str) else path:
         try:
-            found.append(reader.csv(one))
+            reader.csv(one)  # lists the files, reads none
+            found.append(one)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-    if not found:
-        return spark.createDataFrame([], schema)
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionAll(more)
-    return whole
+    return reader.csv(found) if found else spark.createDataFrame([], schema)
 
 
 def read_lookup(spark: SparkSession, path: str | list[str], on_missing: str = "error") -> DataFrame:

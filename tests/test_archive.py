@@ -134,6 +134,14 @@ def test_empty_and_damaged_archives(spark, tmp_path):
         A.read_archives(spark, str(tmp_path / "bad")).count()
 
 
+def test_repeated_names_in_one_archive(spark, tmp_path):
+    path = tmp_path / "a.zip"
+    with zipfile.ZipFile(path, "w") as z, pytest.warns(UserWarning, match="Duplicate"):
+        z.writestr("m", "old\n")
+        z.writestr("m", "new\n")
+    assert [r.line for r in A.read_archives(spark, str(path)).collect()] == ["new"]
+
+
 def test_small_members_share_tasks(spark, tmp_path):
     for i in range(40):
         write_zip(tmp_path / f"{i:02}.zip", {f"m{i}": f"{i}\n" * 10})
@@ -164,7 +172,7 @@ def test_width_comes_from_the_largest_member(spark, tmp_path):
 def test_reader_travels_without_an_installed_package(tmp_path):
     """What Spark sends to a worker must run where this package cannot be imported."""
     write_zip(tmp_path / "a.zip", {"m": "x\ny\n"})
-    A._ship_package()
+    A.ship_package()
     reader = A.ZipLinesSource({"path": str(tmp_path)}).reader(A.LINES_SCHEMA)
     (tmp_path / "reader").write_bytes(cloudpickle.dumps(reader))
     code = (
