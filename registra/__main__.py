@@ -1,4 +1,8 @@
-"""Jobs for `spark-submit`: `run` one month, or `ingest` whatever archives are new."""
+"""Jobs for `spark-submit`.
+
+`ingest` lands the archives that are new, `refine` turns a landed month into silver and gold,
+and `run` does a whole month from its archives.
+"""
 
 from __future__ import annotations
 
@@ -6,73 +10,92 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.config import SAO_PAULO, RunConfig, text_schema
-from registra.plans.medallion import run
+from registra.config import LOOKUP_SCHEMA, SAO_PAULO, RunConfig, text_schema
+from registra.plans.medallion import refine, run
 from registra.session import object_store_builder, store_options
+from registra.sinks.parquet import WriteResult
 from registra.streaming.ingest import ingest_archives
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="registra", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
-    month = jobs.add_parser("run", help="archives of one month to bronze, silver and gold")
     ingest = jobs.add_parser("ingest", help="land archives that are new since the last time")
-    for job in (month, ingest):
-        job.add_argument("--archives", required=True)
+    landed = jobs.add_parser("refine", help="one landed month to silver and gold")
+    whole = jobs.add_parser("run", help="archives of one month to bronze, silver and gold")
+
+    for job in (ingest, landed, whole):
         job.add_argument("--bronze", required=True)
-        job.add_argument("--width", type=int)
+    for job in (ingest, whole):
+        job.add_argument("--archives", required=True)
+    whole.add_argument("--width", type=int, help="columns of the facts; default: their first line")
+    landed.add_argument("--width", type=int, required=True, help="columns of the facts")
+    for job in (landed, whole):
+        job.add_argument("--silver", required=True)
+        job.add_argument("--gold")
+        job.add_argument("--month", required=True, help="yyyy-mm")
+        cities = job.add_mutually_exclusive_group()
+        cities.add_argument("--city", type=int, action="append", help="code; repeatable")
+        cities.add_argument("--all-cities", action="store_true")
+        job.add_argument("--guard", choices=["none", "any_column"], default="none")
+    whole.add_argument("--on-missing", choices=["error", "empty"], default="error")
+
     ingest.add_argument("--checkpoint", required=True)
-    month.add_argument("--silver", required=True)
-    month.add_argument("--gold")
-    month.add_argument("--month", required=True, help="yyyy-mm")
-    month.add_argument("--city", type=int, action="append", help="municipality code; repeatable")
-    month.add_argument("--all-cities", action="store_true")
-    month.add_argument("--guard", choices=["none", "any_column"], default="none")
-    month.add_argument("--on-missing", choices=["error", "empty"], default="error")
-    parsed = parser.parse_args(argv)
-    if parsed.job == "ingest" and parsed.width is None:
-        ingest.error("--width is required: a stream has no first line to take it from")
-    return parsed
+    ingest.add_argument("--contains", default="", help="word in the names of the archives")
+    shape = ingest.add_mutually_exclusive_group(required=True)
+    shape.add_argument("--width", type=int, help="columns of the facts")
+    shape.add_argument("--lookup", action="store_true", help="archives of the lookup")
+    return parser.parse_args(argv)
+
+
+def config(args: argparse.Namespace) -> RunConfig:
+    return RunConfig(
+        archives=getattr(args, "archives", ""),
+        bronze=args.bronze,
+        silver=args.silver,
+        gold=args.gold,
+        ref_month=args.month,
+        width=args.width,
+        codes=None if args.all_cities else tuple(args.city or [SAO_PAULO]),
+        guard=args.guard,
+        on_missing=getattr(args, "on_missing", "error"),
+        storage_options=store_options(),
+    )
+
+
+def report(silver: WriteResult, gold: DataFrame | None) -> dict[str, object]:
+    """Status and counts. One row per label: its size does not depend on the flags found."""
+    labels = gold.groupBy("label").agg(F.sum("n").alias("n")).collect() if gold else []
+    return {
+        "status": silver.status,
+        "silver": silver.rows,
+        "gold": {row["label"]: row["n"] for row in labels},
+    }
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
     spark = spark or object_store_builder(SparkSession.builder.appName("registra")).getOrCreate()
-    storage = store_options()
     if args.job == "ingest":
-        schema = text_schema(args.width)
         ingest_archives(
-            spark, args.archives, args.bronze, args.checkpoint, schema, storage=storage
+            spark,
+            args.archives,
+            args.bronze,
+            args.checkpoint,
+            LOOKUP_SCHEMA if args.lookup else text_schema(args.width),
+            args.contains,
+            storage=store_options(),
         )
-        return
-    result = run(
-        spark,
-        RunConfig(
-            archives=args.archives,
-            bronze=args.bronze,
-            silver=args.silver,
-            gold=args.gold,
-            ref_month=args.month,
-            width=args.width,
-            codes=None if args.all_cities else tuple(args.city or [SAO_PAULO]),
-            guard=args.guard,
-            on_missing=args.on_missing,
-            storage_options=storage,
-        ),
-    )
-    # One row per label, so its size does not depend on what the flag column holds.
-    labels = result.gold.groupBy("label").agg(F.sum("n").alias("n")).collect() if result.gold else []
-    report = {
-        "facts": result.facts.rows,
-        "lookup": result.lookup.rows,
-        "silver": result.silver.rows,
-        "status": result.silver.status,
-        "gold": {row["label"]: row["n"] for row in labels},
-    }
-    print(json.dumps(report))
+    elif args.job == "refine":
+        cfg = config(args)
+        print(json.dumps(report(*refine(spark, cfg, text_schema(args.width)))))
+    else:
+        result = run(spark, config(args))
+        landed = {"facts": result.facts.rows, "lookup": result.lookup.rows}
+        print(json.dumps({**landed, **report(result.silver, result.gold)}))
 
 
 if __name__ == "__main__":

@@ -104,36 +104,41 @@ def read_silver(
     return reader.option("basePath", cfg.silver).parquet(folder)
 
 
-def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
-    """Archives of one month to silver, and the gold counts over it."""
-    schema = fact_schema(spark, cfg)
-    facts_landed = land_dataset(spark, cfg, FACTS_DATASET, schema)
-    lookup_landed = land_dataset(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
+def build_gold(spark: SparkSession, cfg: RunConfig, schema: T.StructType) -> DataFrame:
+    """Labelled counts of the month's silver, stored by month if the run has a gold path."""
+    stored = read_silver(spark, cfg, schema, cfg.ref_month)
+    kind = cfg.names.get(cfg.columns.kind, cfg.columns.kind)
+    gold = with_labels(by_kind(stored, kind), cfg.kind_labels)
+    if cfg.gold is None:
+        return gold
+    overwrite_partitions(
+        gold.withColumn("ref_month", F.lit(cfg.ref_month)), cfg.gold, ["ref_month"]
+    )
+    return spark.read.schema(gold.schema).parquet(f"{cfg.gold}/ref_month={cfg.ref_month}")
+
+
+def refine(
+    spark: SparkSession, cfg: RunConfig, schema: T.StructType
+) -> tuple[WriteResult, DataFrame | None]:
+    """One month that lies in bronze to silver, and the gold counts over it."""
     facts = month_of_bronze(spark, cfg, FACTS_DATASET, schema)
     lookup = month_of_bronze(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
-
     if cfg.unique_lookup:
         repeated = repeated_codes(keep_codes(clean_lookup(lookup), cfg.codes)).first()
         if repeated:
             raise ValueError(f"lookup code {repeated['municipio_cod']} occurs more than once")
     if not guard_passes(facts, cfg):
-        return RunResult(facts_landed, lookup_landed, WriteResult(SKIPPED_GUARD, 0), None)
-
+        return WriteResult(SKIPPED_GUARD, 0), None
     silver = build_silver(facts, lookup, cfg.columns, cfg.codes, cfg.active)
     month = rename_positional(silver, cfg.names).withColumn("ref_month", F.lit(cfg.ref_month))
     written = overwrite_partitions(month, cfg.silver, ["ref_month"], sort_by=["municipio_cod"])
-    gold = build_gold(spark, cfg, schema) if written.rows else None
-    return RunResult(facts_landed, lookup_landed, written, gold)
+    return written, build_gold(spark, cfg, schema) if written.rows else None
 
 
-def build_gold(spark: SparkSession, cfg: RunConfig, schema: T.StructType) -> DataFrame:
-    """Labelled counts of the month's silver, stored by month if the run has a gold path."""
-    stored = read_silver(spark, cfg, schema, cfg.ref_month)
-    kind = cfg.names.get(cfg.columns.kind, cfg.columns.kind)
-    gold = with_labels(by_kind(stored, kind), cfg.kind_labels)
-    if cfg.gold is None:
-        return gold
-    overwrite_partitions(
-        gold.withColumn("ref_month", F.lit(cfg.ref_month)), cfg.gold, ["ref_month"]
-    )
-    return spark.read.schema(gold.schema).parquet(f"{cfg.gold}/ref_month={cfg.ref_month}")
+def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
+    """Archives of one month to bronze, silver and gold."""
+    schema = fact_schema(spark, cfg)
+    facts = land_dataset(spark, cfg, FACTS_DATASET, schema)
+    lookup = land_dataset(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
+    silver, gold = refine(spark, cfg, schema)
+    return RunResult(facts, lookup, silver, gold)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from registra.config import ARCHIVE_SUFFIX
+from registra.functions.paths import file_name
 from registra.sinks.bronze import land_archives
 
 LISTING_SCHEMA = T.StructType(
@@ -23,9 +25,11 @@ FILES_PER_BATCH = 1000
 
 
 def arriving_archives(
-    spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, folder: str, contains: str = "", files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream of `path, length`; contents are not read and unfinished files do not match.
+    """Stream of `path, length` of one dataset's archives, chosen by a word in their names.
+
+    Contents are not read and unfinished files do not match.
 
     Files are remembered for good: a maximum age would let an archive that keeps its old
     time stamp, but arrives late, pass unseen.
@@ -39,6 +43,7 @@ def arriving_archives(
         .option("maxFileAge", "36500d")
         .load(folder)
         .select("path", "length")
+        .filter(file_name(F.col("path")).contains(contains))
     )
 
 
@@ -48,6 +53,7 @@ def ingest_archives(
     bronze: str,
     checkpoint: str,
     schema: T.StructType,
+    contains: str = "",
     files_per_batch: int = FILES_PER_BATCH,
     storage: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
@@ -60,7 +66,7 @@ def ingest_archives(
         land_archives(batch, bronze, schema, storage=storage)
 
     query = (
-        arriving_archives(spark, folder, files_per_batch)
+        arriving_archives(spark, folder, contains, files_per_batch)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

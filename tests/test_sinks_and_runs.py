@@ -211,14 +211,28 @@ def test_job_arguments(spark, cfg, tmp_path, capsys):
     }
     job.main(["run", *paths, "--silver", cfg.silver, "--month", "2025-12", "--all-cities"], spark)
     assert json.loads(capsys.readouterr().out)["silver"] == len(SILVER) + 1
-    inbox = f"{cfg.archives}/{MONTH}"
+
+
+def test_ingest_then_refine(spark, cfg, tmp_path, capsys):
+    """Both datasets landed by their own stream, then the month refined from bronze."""
+    paths = ["--archives", cfg.archives, "--bronze", cfg.bronze, "--checkpoint"]
     for _ in range(2):
-        job.main(
-            ["ingest", "--archives", inbox, "--bronze", str(tmp_path / "b2"),
-             "--checkpoint", str(tmp_path / "progress"), "--width", "21"], spark,
-        )
-    rows = read_bronze(spark, str(tmp_path / "b2"), text_schema(21), "estabelecimentos", "2025-12")
-    assert rows.count() == 11
+        facts = ["--contains", "E", "--width", "21"]
+        job.main(["ingest", *paths, str(tmp_path / "facts"), *facts], spark)
+        job.main(["ingest", *paths, str(tmp_path / "m"), "--contains", "M", "--lookup"], spark)
+        landed = spark.read.schema("dataset string, ref_month string").parquet(cfg.bronze)
+        assert sorted(map(tuple, landed.groupBy("dataset", "ref_month").count().collect())) == [
+            ("estabelecimentos", "2025-11", 1),
+            ("estabelecimentos", "2025-12", 11),
+            ("municipios", "2025-12", 3),
+        ]
+    month = ["--bronze", cfg.bronze, "--silver", cfg.silver, "--month", "2025-12", "--width", "21"]
+    job.main(["refine", *month], spark)
+    assert json.loads(capsys.readouterr().out) == {
+        "status": WRITTEN, "silver": len(SILVER), "gold": {"matriz": 3, "filial": 2, "unknown": 1}
+    }
+    with pytest.raises(SystemExit):
+        job.main(["refine", *month, "--city", "7107", "--all-cities"], spark)
 
 
 def test_run_with_business_names(spark, cfg):
