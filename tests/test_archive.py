@@ -1,6 +1,7 @@
 import io
 import json
 import os
+import random
 import subprocess
 import sys
 import zipfile
@@ -108,6 +109,19 @@ def test_line_ends_and_blank_lines_as_in_a_file_scan(spark, tmp_path):
     assert got.count() == 5
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_random_text_reads_as_from_a_file(spark, tmp_path, seed):
+    pick = random.Random(seed)
+    body = "".join(pick.choices('12ab;;""\\ é\x85\t\r\n\n', k=20_000)) + "\n"
+    folder = write_text(tmp_path / "plain", "f", body)
+    write_zip(tmp_path / "z" / "f.zip", {"f": body})
+    plain = read_facts(spark, folder, 4)
+    lines = A.read_archives(spark, str(tmp_path / "z"), sliceBytes="1500", partitionBytes="0")
+    got = parse_lines(lines.select("line"), text_schema(4))
+    assert got.count() == plain.count() > 1000
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
 def test_hidden_members_and_folders_are_passed_over(spark, tmp_path):
     write_zip(
         tmp_path / "a.zip",

@@ -46,6 +46,11 @@ def test_edges(spark):
     assert cleaned(spark, [None]) == [None]
 
 
+def test_whole_long_texts(spark):
+    texts = ["a" * 200_000 + "7", "0" * 200_000 + "7", "1 " * 100_000, "x0" * 100_000, "é\n" * 100_000]
+    assert cleaned(spark, texts) == [7, 7, None, 0, None]
+
+
 def test_edges_without_ansi(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
