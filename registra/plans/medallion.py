@@ -23,8 +23,13 @@ from registra.operators.lookup import clean_lookup, keep_codes, repeated_codes
 from registra.operators.search import holds_value
 from registra.operators.silver import build_silver
 from registra.sinks.bronze import land_month, read_bronze
-from registra.sinks.parquet import SKIPPED_GUARD, WriteResult, overwrite_partitions
-from registra.sources.archive import first_line, read_archives
+from registra.sinks.parquet import (
+    SKIPPED_EMPTY,
+    SKIPPED_GUARD,
+    WriteResult,
+    overwrite_partitions,
+)
+from registra.sources.archive import first_line, has_archives, read_archives
 from registra.sources.delimited import parse_lines, width_of
 
 SILVER_KEYS = T.StructType(
@@ -53,7 +58,7 @@ def fact_schema(spark: SparkSession, cfg: RunConfig) -> T.StructType:
     if cfg.width is not None:
         return text_schema(cfg.width)
     folder = f"{cfg.archives}/{FACTS_DATASET}_{cfg.ref_month}"
-    line = first_line(folder, storage=cfg.storage_options)
+    line = first_line(spark, folder, storage=cfg.storage_options)
     if line is None:
         raise FileNotFoundError(f"PATH_NOT_FOUND: no line under {folder} to take a width from")
     return text_schema(width_of(spark, line))
@@ -62,13 +67,15 @@ def fact_schema(spark: SparkSession, cfg: RunConfig) -> T.StructType:
 def land_dataset(
     spark: SparkSession, cfg: RunConfig, dataset: str, schema: T.StructType
 ) -> WriteResult:
-    """Unpack one dataset's month into bronze, as columns, so that later scans read few of them."""
+    """Unpack one dataset's month into bronze, as columns, so that later scans read few of them.
+
+    Where missing input counts as empty, a month without archives is left as it was landed.
+    """
+    folder = f"{cfg.archives}/{dataset}_{cfg.ref_month}"
+    if cfg.on_missing == "empty" and not has_archives(spark, folder, cfg.storage_options):
+        return WriteResult(SKIPPED_EMPTY, 0)
     lines = read_archives(
-        spark,
-        f"{cfg.archives}/{dataset}_{cfg.ref_month}",
-        memberConflict=cfg.member_conflict,
-        onMissing=cfg.on_missing,
-        **cfg.storage_options,
+        spark, folder, memberConflict=cfg.member_conflict, **cfg.storage_options
     )
     rows = parse_lines(lines.withColumn("archive", file_name(F.col("archive"))), schema)
     return land_month(rows, cfg.bronze, dataset, cfg.ref_month)
@@ -140,5 +147,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     schema = fact_schema(spark, cfg)
     facts = land_dataset(spark, cfg, FACTS_DATASET, schema)
     lookup = land_dataset(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
+    if SKIPPED_EMPTY in (facts.status, lookup.status):
+        return RunResult(facts, lookup, WriteResult(SKIPPED_EMPTY, 0), None)
     silver, gold = refine(spark, cfg, schema)
     return RunResult(facts, lookup, silver, gold)

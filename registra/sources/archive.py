@@ -358,14 +358,20 @@ def expand_archives(
     return slices.repartition(tasks).mapInArrow(read, lines_schema)
 
 
+def has_archives(
+    spark: SparkSession, path: str, storage: Mapping[str, str] | None = None
+) -> bool:
+    return bool(list_files(qualify(spark, path), ARCHIVE_SUFFIX, storage))
+
+
 def first_line(
-    path: str | list[str],
+    spark: SparkSession,
+    path: str,
     encoding: str = ENCODING,
     storage: Mapping[str, str] | None = None,
 ) -> str | None:
     """First non-blank line of the largest member: what decides the width of a scan."""
-    roots = [path] if isinstance(path, str) else path
-    archives = [a for r in roots for a in list_files(r, ARCHIVE_SUFFIX, storage)]
+    archives = list_files(qualify(spark, path), ARCHIVE_SUFFIX, storage)
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
         found = pool.map(lambda a: members_of(a, storage), archives)
         largest = max((m for ms in found for m in ms), key=lambda m: m.size, default=None)

@@ -178,7 +178,7 @@ def test_format_options(spark, tmp_path):
 def test_width_comes_from_the_largest_member(spark, tmp_path):
     write_zip(tmp_path / "a.zip", {"narrow": "1;2\n"})
     write_zip(tmp_path / "b.zip", {"wide": "\n" + '"1";"2;x";3\n' * 100})
-    line = A.first_line(str(tmp_path))
+    line = A.first_line(spark, str(tmp_path))
     assert width_of(spark, line) == 3
     assert width_of(spark, FACTS[0].strip()) == 21
 

@@ -269,6 +269,18 @@ def test_run_forgets_archives_that_are_gone(spark, cfg, tmp_path):
     assert result.facts.rows == 6 and result.silver.rows == 4
 
 
+def test_missing_archives_leave_what_was_landed(spark, cfg, tmp_path):
+    run(spark, cfg)
+    gone = dataclasses.replace(
+        cfg, archives=str(tmp_path / "elsewhere"), width=21, on_missing="empty"
+    )
+    result = run(spark, gone)
+    assert result.facts.rows == 0 and result.silver.status == SKIPPED_EMPTY
+    landed = read_bronze(spark, cfg.bronze, text_schema(21), "estabelecimentos", "2025-12")
+    assert landed.count() == 11
+    assert read_silver(spark, cfg, text_schema(21)).count() == len(SILVER)
+
+
 def test_run_without_input(spark, cfg):
     absent = dataclasses.replace(cfg, ref_month="2024-01", width=21)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
