@@ -21,7 +21,7 @@ from registra.catalogue.tables import (
 from registra.functions import paths as P
 from registra.operators import gold
 from registra.operators.columns import add_clean_keys
-from registra.operators.lookup import clean_lookup, join_lookup, repeated_codes, size_checked
+from registra.operators.lookup import clean_lookup, join_lookup, repeated_codes
 from registra.operators.metrics import run_metrics
 from registra.operators.pending import first_pending, pending_files
 from registra.operators.silver import build_silver, guarded
@@ -38,7 +38,7 @@ SILVER_LIST = ", ".join(SILVER_COLUMNS)
         join ({LOOKUP_SQL}) m on {digits_sql("f.mun_raw")} = m.municipio_cod""",
 )
 def join_all(spark, sf):
-    cities = size_checked(clean_lookup(lookup(spark, sf)))
+    cities = clean_lookup(lookup(spark, sf))
     joined = join_lookup(add_clean_keys(facts(spark, sf), COLUMNS), cities)
     return joined.select(*KEYS, "municipio_cod", "municipio_nome")
 

@@ -37,23 +37,34 @@ def repeated_codes(lookup: DataFrame) -> DataFrame:
     )
 
 
-def size_checked(lookup: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Mark a lookup for broadcast only when its measured size allows that.
+def fits_broadcast(lookup: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether a (filtered) lookup is small enough to send to every executor.
 
-    One distributed aggregate over the (filtered, two-column) lookup gives its exact bytes.
-    A larger lookup, or a session with broadcast switched off, is returned unmarked: the join
-    is then a shuffle join, where adaptive execution splits the partitions of hot cities.
+    One distributed aggregate over it gives its exact bytes. A session with broadcast
+    switched off gets none.
     """
     if lookup.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
-        return lookup
+        return False
     row = F.lit(16)
     for f in lookup.schema.fields:
         text = isinstance(f.dataType, T.StringType)
         row = row + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if text else F.lit(8))
     measured = lookup.agg(F.sum(row.cast("long")).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(lookup) if measured <= limit else lookup
+    return measured <= limit
+
 
+def join_lookup(
+    facts: DataFrame, lookup: DataFrame, key: str = "mun_clean", limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """Inner join on the cleaned code. Both keys stay; repeated lookup codes repeat facts.
 
-def join_lookup(facts: DataFrame, lookup: DataFrame, key: str = "mun_clean") -> DataFrame:
-    """Inner join on the cleaned code. Both keys stay; repeated lookup codes repeat facts."""
-    return facts.join(lookup, facts[key] == lookup["municipio_cod"], "inner")
+    A lookup over the limit is joined by a shuffle, where facts without a code or of other
+    cities are dropped first and adaptive execution splits the partitions of hot cities.
+    Below the limit it is broadcast. The key then stands in for NULL with a code that
+    cleaning never gives: a key that may be NULL would be tested below the join, which
+    cleans every code twice.
+    """
+    code = lookup["municipio_cod"]
+    if fits_broadcast(lookup, limit):
+        return facts.join(F.broadcast(lookup), F.coalesce(facts[key], F.lit(-1)) == code)
+    return facts.join(lookup, facts[key] == code)

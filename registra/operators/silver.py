@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registra.config import ACTIVE, SAO_PAULO, ColumnMap
 from registra.operators.columns import add_clean_keys
-from registra.operators.lookup import clean_lookup, join_lookup, keep_codes, size_checked
+from registra.operators.lookup import clean_lookup, join_lookup, keep_codes
 from registra.operators.search import any_column_equals
 
 
@@ -22,10 +22,9 @@ def build_silver(
 ) -> DataFrame:
     """All raw columns, both cleaned keys and the lookup columns, in one pass over the facts.
 
-    Status is tested before the join; the city filter on the lookup reaches the facts
-    through the join key.
+    Status is tested before the join, so only active facts are matched with a city.
     """
-    cities = size_checked(keep_codes(clean_lookup(lookup), codes))
+    cities = keep_codes(clean_lookup(lookup), codes)
     alive = add_clean_keys(facts, columns).filter(F.col("sit_clean") == active)
     return join_lookup(alive, cities)
 

@@ -6,10 +6,10 @@ from registra.config import KIND_LABELS, ColumnMap
 from registra.operators import gold
 from registra.operators.lookup import (
     clean_lookup,
+    fits_broadcast,
     join_lookup,
     keep_codes,
     repeated_codes,
-    size_checked,
 )
 from registra.operators.metrics import run_metrics
 from registra.operators.pending import first_pending, pending_files
@@ -147,7 +147,8 @@ def test_silver_plan(spark, lookup, tmp_path, facts):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
     assert "ReadSchema: struct<_c0:string,_c5:string,_c20:string>" in text
     below = text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
-    assert "= 2)" in below and "= 7107)" in below
+    assert "= 2)" in below and "isnotnull" not in below
+    assert "= 7107)" in text.split("BroadcastExchange")[1]
     assert "Python" not in text and "ArrowEval" not in text
 
 
@@ -188,9 +189,9 @@ def test_large_lookup_is_not_broadcast_and_a_hot_city_is_split(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        assert "broadcast" in size_checked(lookup)._jdf.queryExecution().logical().toString()
-        large = size_checked(lookup, limit=1000)
-        joined = join_lookup(facts, large)
+        assert fits_broadcast(lookup) and not fits_broadcast(lookup, limit=1000)
+        assert "BroadcastHashJoin" in plan(join_lookup(facts, lookup))
+        joined = join_lookup(facts, lookup, limit=1000)
         out = joined.select("mun_clean", "payload", "municipio_nome")
         rows = out.toArrow().num_rows
         text = plan(out)
@@ -202,9 +203,23 @@ def test_large_lookup_is_not_broadcast_and_a_hot_city_is_split(spark):
     assert "BroadcastHashJoin" not in text
 
 
+def test_both_joins_match_alike(spark):
+    codes = [7, 7, 1, None, None, 0]
+    facts = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, mun_clean int")
+    lookup = spark.createDataFrame(
+        [(7, "A"), (7, "B"), (None, "N"), (0, "Z"), (5, "E")],
+        "municipio_cod int, municipio_nome string",
+    )
+    expected = [(0, 7, 7, "A"), (0, 7, 7, "B"), (1, 7, 7, "A"), (1, 7, 7, "B"), (5, 0, 0, "Z")]
+    for limit in (0, 10**6):
+        assert sorted(map(tuple, join_lookup(facts, lookup, limit=limit).collect())) == expected
+
+
 def test_broadcast_switched_off_is_respected(spark, lookup):
+    facts = spark.range(9).select(F.col("id").cast("int").alias("mun_clean"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert size_checked(lookup) is lookup
+        assert not fits_broadcast(lookup)
+        assert "SortMergeJoin" in plan(join_lookup(facts, clean_lookup(lookup)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
