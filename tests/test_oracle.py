@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from registra.catalogue.registry import QUERIES
 
 SF = os.environ.get("REGISTRA_TEST_SF", "/root/testdata/sf0.01")
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings
@@ -31,7 +32,7 @@ def kinds(arrow_schema) -> dict[str, str]:
     return {f.name: str(f.type).replace("large_", "") for f in arrow_schema}
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     got = driver.queries()[name](spark, SF).toArrow()
     expected = duck.sql(driver.oracle_sql()[name]).to_arrow_table()
@@ -51,7 +52,7 @@ def test_flagship(spark):
 PYTHON_ON_EXECUTORS = {"scan_archive", "scan_archive_listed", "scan_archive_by_month"}
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - PYTHON_ON_EXECUTORS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON_ON_EXECUTORS))
 def test_no_python_and_no_cross_join_in_the_plan(spark, name):
     if name in ("stream_files_once", "medallion_end_to_end", "list_files_manifest"):
         pytest.skip("covered by the plans of its parts")
