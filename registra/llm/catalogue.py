@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,11 @@ from registra.catalogue.registry import Run
 from registra.llm.common import joined_digest
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
+from registra.llm.passage_dedup import drop_passages
+from registra.llm.pii import pii_report
+from registra.llm.secrets import secret_report
 from registra.llm.simhash import simhash_components
+from registra.llm.token_records import read_token_records, write_token_records
 
 QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +106,33 @@ def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         joined_digest(F.col("items")).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
+
+
+@query("op9_token_records")
+def token_records(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = write_token_records(
+        table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return read_token_records(spark, manifest).withColumnRenamed("id", "doc_id")
+
+
+@query("op2_secrets")
+def secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_report(table(spark, sf, "documents"))
+
+
+@query("op5_pii")
+def pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_report(table(spark, sf, "documents"))
+
+
+@query("op10_passages")
+def repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    found = drop_passages(table(spark, sf, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return found.select(
+        "doc_id",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed"),
+        "text",
+    )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+from types import ModuleType
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,3 +45,49 @@ def shuffle_tasks(spark: SparkSession, total_bytes: int = 0, bytes_per_task: int
 def joined_digest(items: Column) -> Column:
     """SHA-256, in hex, of an array of strings joined by commas."""
     return F.sha2(F.array_join(items, ","), 256)
+
+
+def worker_state() -> dict:
+    """What a Python worker keeps between tasks. Task functions travel by value, so their own
+    module's variables would start empty in each task."""
+    return vars(sys.modules.setdefault("registra_worker", ModuleType("registra_worker")))
+
+
+def running_sum(values: Column, block: int = 256) -> Column:
+    """Sums before each element of an array of numbers, in blocks: a fold copies what it has so
+    far at each step, so one fold over a long array would take quadratic time."""
+
+    def sums(array: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            array,
+            state,
+            lambda s, x: F.struct(
+                (s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")
+            ),
+            lambda s: s["out"],
+        )
+
+    def total(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(block))
+    blocks = F.transform(starts, lambda i: F.slice(values, i, F.lit(block)))
+    zero = F.lit(0).cast("bigint")
+    before = sums(F.transform(blocks, total), zero)
+    return F.flatten(F.zip_with(blocks, before, sums))
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Matches of a pattern that never matches an empty string, leftmost and not overlapping."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def match_starts(text: Column, pattern: str, found: Column) -> Column:
+    """Where the matches start, in code points: gaps and matches alternate, so their lengths
+    add up."""
+    gaps = F.split(text, pattern, -1)
+    lengths = F.zip_with(
+        gaps, found, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint")
+    )
+    return F.zip_with(running_sum(lengths), gaps, lambda at, g: at + F.length(g))
