@@ -10,6 +10,7 @@ from registra.catalogue.registry import Run
 from registra.llm.common import joined_digest
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
+from registra.llm.language_id import identify_pages
 from registra.llm.passage_dedup import drop_passages
 from registra.llm.pii import pii_report
 from registra.llm.secrets import secret_report
@@ -136,3 +137,8 @@ def repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(spans, ",").alias("removed"),
         "text",
     )
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify_pages(table(spark, sf, "pages"), table(spark, sf, "documents"))
