@@ -11,6 +11,7 @@ from registra.llm.common import joined_digest
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
 from registra.llm.language_id import identify_pages
+from registra.llm.lm_score import score_documents
 from registra.llm.passage_dedup import drop_passages
 from registra.llm.pii import pii_report
 from registra.llm.secrets import secret_report
@@ -142,3 +143,8 @@ def repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_language_id")
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify_pages(table(spark, sf, "pages"), table(spark, sf, "documents"))
+
+
+@query("op7_lm_score")
+def lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"))
