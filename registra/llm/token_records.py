@@ -18,7 +18,7 @@ import io
 import random
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -34,8 +34,10 @@ from registra.sources.filesystem import READ_BUFFER, resolve
 
 MAGIC = b"RGTOKENS"
 HEADER, LENGTH, CHECK, KEY, ENTRY = "<8sB", "<Q", "<I", "<Bq", "<QQ"
-CACHED_UNITS = 1 << 20  # per Python worker
-SHARD_ROWS = 4096
+CACHED = 500_000  # words per Python worker, after a space or not
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+JOINED = 2000  # new words that the library gets at once
+SHARD_ROWS = 256
 
 
 def masked(data: bytes) -> int:
@@ -47,9 +49,10 @@ class Encoder:
     """Ids of whole texts, from the library, with what it has said about words remembered.
 
     A byte-level tokenizer that splits words before a single space never makes a piece across
-    such a space or a single line end, so a text whose white space is of that kind is the
-    sequence of its units, and the library is asked once per unit. Any other text (other or
-    repeated white space, special tokens written out) goes to the library as a whole.
+    such a space or a single line end, nor between a letter or digit and the signs after it. So a
+    text whose white space is of that kind is a sequence of words and trailing signs, and the
+    library is asked once for each. Any other text (other or repeated white space, special tokens
+    written out) goes to the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -61,7 +64,12 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.first: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
         self.line_end = self._encode(["\n"])[0]
+        self.starts = {mark: np.zeros(size, bool) for mark in " \n"}
+        for piece, number in self.tokenizer.get_vocab().items():
+            self.starts[" "][number] = piece.startswith("Ġ")  # how vocabularies write a space
+            self.starts["\n"][number] = piece == "Ċ"  # and a line end
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -75,47 +83,82 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, kind).tobytes() for x in found]
 
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> dict[str, bytes]:
+        """Ids of new words: remembered while there is room, and given back."""
+        new = [w for w in words if w not in known and w.split() == [w]]
+        said: dict[str, bytes] = {}
+        for at in range(0, len(new), JOINED):
+            said.update(self._joined(new[at : at + JOINED], lead))
+        if len(known) + len(said) <= CACHED:
+            known.update(said)
+        return said
+
+    def _joined(self, words: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
+        """Words and their ids, encoded as one text with a space or a line end before each."""
+        mark = lead or "\n"
+        ids = self.tokenizer.encode_batch_fast(
+            [mark + mark.join(words)], add_special_tokens=False
+        )[0].ids
+        found = np.array(ids, f"<u{self.width}")
+        cuts = np.flatnonzero(self.starts[mark][found])
+        if len(cuts) != len(words):  # a word has a line end or special token in it
+            return zip(words, self._encode([lead + w for w in words]), strict=True)
+        data = found.tobytes()
+        ends = [*(cuts[1:] * self.width).tolist(), len(data)]
+        starts = ((cuts + (not lead)) * self.width).tolist()
+        return zip(words, (data[a:b] for a, b in zip(starts, ends, strict=True)), strict=True)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        plain = []
+        out: list[bytes | None] = [b"" if not t else None for t in texts]
+        # Per text: ids, or a word, its signs and whether a space is before, if not known yet.
+        drafts: dict[int, list[bytes | tuple[str, str, bool]]] = {}
+        new_first, new_after, new_signs = set(), set(), set()
+        first, after, signs = self.first.get, self.after_space.get, self.signs.get
         for at, text in enumerate(texts):
-            if not text:
-                out[at] = b""
-            elif not any(s in text for s in self.special):
-                plain.append(at)
-        lines = {at: [line.split(" ") for line in texts[at].split("\n")] for at in plain}
-        heads, rests = set(), set()
-        for parts in lines.values():
-            for line in parts:
-                heads.add(line[0])
-                rests.update(line[1:])
-        first = self._fresh(self.first, heads, "")
-        after = self._fresh(self.after_space, rests, " ")
-        for at, parts in lines.items():
-            got: list[bytes | None] = []
-            for line in parts:
-                got.append(self.line_end)
-                got.append(first(line[0]))
-                got += map(after, line[1:])
-            if None not in got:
-                out[at] = b"".join(got[1:])
+            if not text or any(s in text for s in self.special):
+                continue
+            draft = []
+            for line in text.split("\n"):
+                parts = line.split(" ")
+                found = list(map(after, parts))
+                found[0] = first(parts[0])
+                if None in found:
+                    for i, ids in enumerate(found):
+                        if ids is None:
+                            chunk = parts[i]
+                            word = chunk.rstrip(SIGNS) or chunk
+                            tail = chunk[len(word) :]
+                            head = after(word) if i else first(word)
+                            end = signs(tail)
+                            if head is not None and end is not None:
+                                found[i] = ids = head + end
+                                if i and len(self.after_space) < CACHED:
+                                    self.after_space[chunk] = ids
+                            else:
+                                found[i] = word, tail, i > 0
+                                (new_after if i else new_first).add(word)
+                                new_signs.add(tail)
+                draft.append(self.line_end)
+                draft += found
+            drafts[at] = draft
+        heads = self._learn(self.first, new_first, "")
+        spaced = self._learn(self.after_space, new_after, " ")
+        ends = self._learn(self.signs, new_signs, "") | self.signs
+
+        def known(word: str, tail: str, after_space: bool) -> bytes:
+            new, old = (spaced, self.after_space) if after_space else (heads, self.first)
+            return (new.get(word) or old[word]) + ends[tail]
+
+        for at, draft in drafts.items():
+            try:
+                out[at] = b"".join([x if type(x) is bytes else known(*x) for x in draft[1:]])
+            except KeyError:  # white space that the library must see in its text
+                pass
         whole = [at for at, ids in enumerate(out) if ids is None]
         for at, ids in zip(whole, self._encode([texts[at] for at in whole]), strict=True):
             out[at] = ids
         return out
 
-    def _fresh(
-        self, known: dict[str, bytes], seen: set[str], lead: str
-    ) -> Callable[[str], bytes | None]:
-        """Look-up for all units of a batch; None for one that the library must see in its text."""
-        unseen = seen.difference(known)
-        good = [u for u in unseen if u and not any(map(str.isspace, u))]
-        said = dict(zip(good, self._encode([lead + u for u in good]), strict=True))
-        if len(known) + len(said) <= CACHED_UNITS:
-            known.update(said)
-            return known.get
-        return lambda u: known.get(u) or said.get(u)
-
 
 def record(doc_id: int | None, ids: bytes) -> bytes:
     body = struct.pack(KEY, doc_id is not None, doc_id or 0) + ids
