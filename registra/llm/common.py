@@ -91,3 +91,18 @@ def match_starts(text: Column, pattern: str, found: Column) -> Column:
         gaps, found, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("bigint")
     )
     return F.zip_with(running_sum(lengths), gaps, lambda at, g: at + F.length(g))
+
+
+def most_frequent(counts: DataFrame, count_col: str, limit: int) -> DataFrame:
+    """Rows whose count is above a threshold that at most `limit` rows reach.
+
+    The threshold comes from a histogram of the counts' logarithms, a few hundred rows at most.
+    """
+    mark = F.floor(F.log2(F.col(count_col).cast("double")) * 8)
+    histogram = dict(counts.groupBy(mark.alias("mark")).count().collect())
+    taken, least = 0, None
+    for value in sorted(histogram, reverse=True):
+        if taken + histogram[value] > limit:
+            break
+        taken, least = taken + histogram[value], value
+    return counts.filter(mark >= least if least is not None else F.lit(False))

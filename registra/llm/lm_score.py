@@ -29,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled, shuffle_tasks
+from registra.llm.common import most_frequent, settled, shuffle_tasks
 
-DICTIONARY = 1 << 19
+DICTIONARY = 1 << 18
 LONGEST = 64  # bytes of a token in the dictionary
 CLASSES = 1 << 16
 SHARED = 1 << 12
@@ -41,6 +41,7 @@ PROBES = 4
 FILTER_BYTES = 256 << 20
 EVENTS_PER_SLICE = 3_000_000
 CHUNK = 4_000_000  # events that are sorted at once in a task
+GROUP_CHARS = 1_000_000  # characters of texts that are scored at once
 KEPT_TOKENS = 1_000_000  # distinct tokens that a task counts before it passes them on
 HELD_OUT = 2  # remainder of the documents that are not learnt from
 FOLDS = 7
@@ -121,21 +122,8 @@ class Vocabulary:
 
 
 def frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
-    """All tokens whose count is above a threshold that at most `limit` tokens reach.
-
-    The threshold comes from a histogram of the counts' logarithms, which has a few hundred rows.
-    """
-    short = counts.filter(F.octet_length("token") <= LONGEST)
-    mark = F.floor(F.log2(F.col("c").cast("double")) * 8)
-    histogram = dict(short.groupBy(mark.alias("mark")).count().collect())
-    taken, least = 0, None
-    for mark_value in sorted(histogram, reverse=True):
-        if taken + histogram[mark_value] > limit:
-            break
-        taken, least = taken + histogram[mark_value], mark_value
-    if least is None:
-        return []
-    found = short.filter(mark >= least).toArrow()
+    """The most frequent tokens, `limit` at most."""
+    found = most_frequent(counts.filter(F.octet_length("token") <= LONGEST), "c", limit).toArrow()
     return list(
         zip(found.column("token").to_pylist(), found.column("c").to_pylist(), strict=True)
     )
@@ -227,10 +215,41 @@ def pair(before: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return before.astype(np.uint64) << np.uint64(31) | classes.astype(np.uint64)
 
 
-def sequence(vocabulary: Vocabulary, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the dictionary of the tokens, and classes of tokens and end."""
-    at, classes = vocabulary.look_up(found)
-    return at, np.append(classes, 0)
+class Texts:
+    """Several texts as one sequence of tokens, each text closed by an end (class 0), so the class
+    before a text's first token is an end too."""
+
+    def __init__(self, vocabulary: Vocabulary, texts: list[str | None]):
+        self.found = [tokens(t) for t in texts]
+        sizes = np.fromiter(map(len, self.found), np.int64, len(texts))
+        self.ends = np.cumsum(sizes + 1) - 1
+        self.starts = self.ends - sizes
+        length = int(self.ends[-1]) + 1
+        inner = np.ones(length, bool)
+        inner[self.ends] = False
+        self.at = np.full(length, -1, np.int64)
+        self.classes = np.zeros(length, np.int64)
+        self.at[inner], self.classes[inner] = vocabulary.look_up(
+            [t for found in self.found for t in found]
+        )
+        self.before = np.concatenate([[0], self.classes[:-1]])
+
+    def sums(self, values: np.ndarray) -> list:
+        return np.add.reduceat(values, self.starts).tolist()
+
+
+def groups(column: pa.Array, chars: int = GROUP_CHARS) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts of a column a few at a time, with the place of the first."""
+    start, size, texts = 0, 0, []
+    for i, value in enumerate(column):
+        text = value.as_py()
+        texts.append(text)
+        size += len(text or "")
+        if size > chars:
+            yield start, texts
+            start, size, texts = i + 1, 0, []
+    if texts:
+        yield start, texts
 
 
 def _events(shared, slices: int):
@@ -252,11 +271,10 @@ def _events(shared, slices: int):
             return pa.RecordBatch.from_pylist(rows, schema=_EVENTS)
 
         for batch in batches:
-            for value in batch.column(0):
-                _, classes = sequence(shared.value, tokens(value.as_py()))
-                before = np.concatenate([[0], classes[:-1]])
-                waiting += [single(classes), pair(before, classes)]
-                size += 2 * len(classes)
+            for _, some in groups(batch.column(0)):
+                texts = Texts(shared.value, some)
+                waiting += [single(texts.classes), pair(texts.before, texts.classes)]
+                size += 2 * len(texts.classes)
                 if size > CHUNK:
                     yield flush()
                     waiting.clear()
@@ -360,51 +378,48 @@ _SCORED = (
 )
 
 
-def _look_up(shard: Shard, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    used, at = np.unique(classes, return_inverse=True)
-    own = shard.levels(single(used))[at]
-    before = np.concatenate([[0], classes[:-1]])
-    keys, at = np.unique(pair(before, classes), return_inverse=True)
-    return own, shard.levels(keys)[at]
-
-
-def _scored(text: str | None, levels, vocabulary: Vocabulary, totals: Totals) -> tuple:
-    """Number of tokens, known ones, base and model score, and tokens outside the dictionary.
-    Levels are a shard to probe, or bytes of earlier probes."""
-    found = tokens(text)
-    at, classes = sequence(vocabulary, found)
-    if isinstance(levels, bytes):
-        own, both = np.frombuffer(levels, np.uint8).reshape(2, -1)
-    else:
-        own, both = _look_up(levels, classes)
-    inside = at[at >= 0]
-    base = float(np.log10(vocabulary.counts[inside] + 1.0).sum())
-    rare = Counter([found[i] for i in np.flatnonzero(at < 0).tolist()])
-    score = float(log_probability(classes, own, both, totals).sum())
-    return len(found) + 1, len(inside), base, score, [
-        {"token": t, "n": n} for t, n in rare.items()
-    ]
+def _look_up(shard: Shard, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of the classes and of the pairs; equal ones are probed once."""
+    used, at = np.unique(single(texts.classes), return_inverse=True)
+    own = shard.levels(used)[at]
+    used, at = np.unique(pair(texts.before, texts.classes), return_inverse=True)
+    return own, shard.levels(used)[at]
 
 
 def _scorer(shared, shard, totals: Totals, carried: bool):
+    """Scores, from a shard to probe or from levels noted before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.append(np.log10(shared.value.counts + 1.0), 0.0)
         for batch in batches:
-            rows = []
-            for i, value in enumerate(batch.column(3)):
-                levels = batch.column(4)[i].as_py() if carried else shard.value
-                rows.append(_scored(value.as_py(), levels, shared.value, totals))
-            n, known, base, score, tail = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:3],
-                    pa.array(n, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()),
-                    pa.array(tail, _TAIL),
-                ],
-                names=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"],
-            )
+            for start, some in groups(batch.column(3)):
+                texts = Texts(shared.value, some)
+                if carried:
+                    noted = batch.column(4).slice(start, len(some)).to_pylist()
+                    pairs = [np.frombuffer(x, np.uint8).reshape(2, -1) for x in noted]
+                    own, both = np.concatenate(pairs, axis=1)
+                else:
+                    own, both = _look_up(shard.value, texts)
+                rare: list[list[dict]] = []
+                outside = np.flatnonzero(texts.at < 0)
+                cuts = np.searchsorted(outside, texts.starts).tolist()
+                for i, found in enumerate(texts.found):
+                    until = np.searchsorted(outside, texts.ends[i])
+                    places = (outside[cuts[i] : until] - texts.starts[i]).tolist()
+                    tail = Counter([found[k] for k in places])
+                    rare.append([{"token": t, "n": n} for t, n in tail.items()])
+                score = log_probability(texts.classes, own, both, totals)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(c.slice(start, len(some)) for c in batch.columns[:3]),
+                        pa.array(texts.ends - texts.starts + 1, pa.int64()),
+                        pa.array(texts.sums((texts.at >= 0).astype(np.int64)), pa.int64()),
+                        pa.array(texts.sums(counts[texts.at]), pa.float64()),
+                        pa.array(texts.sums(score), pa.float64()),
+                        pa.array(rare, _TAIL),
+                    ],
+                    names=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "tail"],
+                )
 
     return run
 
@@ -414,17 +429,23 @@ def _noting(shared, shard):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for value, before in zip(batch.column(3), batch.column(4), strict=True):
-                _, classes = sequence(shared.value, tokens(value.as_py()))
-                levels = np.concatenate(_look_up(shard.value, classes))
-                if (old := before.as_py()) is not None:
-                    levels = np.maximum(levels, np.frombuffer(old, np.uint8))
-                out.append(levels.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(out, pa.binary())],
-                names=["row", "id", "held_out", "text", "levels"],
-            )
+            for start, some in groups(batch.column(3)):
+                texts = Texts(shared.value, some)
+                levels = np.stack(_look_up(shard.value, texts))
+                out = []
+                old = batch.column(4).slice(start, len(some)).to_pylist()
+                for a, b, noted in zip(texts.starts, texts.ends + 1, old, strict=True):
+                    now = levels[:, a:b]
+                    if noted is not None:
+                        now = np.maximum(now, np.frombuffer(noted, np.uint8).reshape(2, -1))
+                    out.append(now.tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(c.slice(start, len(some)) for c in batch.columns[:4]),
+                        pa.array(out, pa.binary()),
+                    ],
+                    names=["row", "id", "held_out", "text", "levels"],
+                )
 
     return run
 
