@@ -15,6 +15,7 @@ from registra.llm.lm_score import score_documents
 from registra.llm.passage_dedup import drop_passages
 from registra.llm.pii import pii_report
 from registra.llm.secrets import secret_report
+from registra.llm.sentencepiece_codec import codec_report
 from registra.llm.simhash import simhash_components
 from registra.llm.token_records import read_token_records, write_token_records
 
@@ -148,3 +149,9 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_lm_score")
 def lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return score_documents(table(spark, sf, "documents"))
+
+
+@query("op1_sentencepiece")
+def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return codec_report(table(spark, sf, "documents"), model)
