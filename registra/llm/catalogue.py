@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from registra.catalogue.registry import Run
 from registra.llm.common import joined_digest
 from registra.llm.decontaminate import contaminated, find_contamination
@@ -155,3 +156,6 @@ def lm_score(spark: SparkSession, sf: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return codec_report(table(spark, sf, "documents"), model)
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
