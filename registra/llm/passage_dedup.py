@@ -150,10 +150,11 @@ def repeated_units(docs: DataFrame, id_col: str, text_col: str, unit_words: int)
         found.groupBy("d1", "d2")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter("first != last")
+        .select("d1", "d2", "first")
     )
-    # The join is left to adaptive execution, which splits the partition of a very common passage.
+    # With both sides plain shuffles, adaptive execution can split a very common passage.
     return (
-        found.join(first.select("d1", "d2", "first"), ["d1", "d2"])
+        found.join(settled(first, "first_units"), ["d1", "d2"])
         .filter(F.struct("id", "start") != F.col("first"))
         .select("id", "start", "end")
     )
@@ -174,9 +175,7 @@ def drop_passages(
     null. A text of fewer words than a unit has none. Other columns are not read.
     """
     gone = repeated_units(docs, id_col, text_col, unit_words)
-    gone = gone.groupBy("id").agg(
-        F.array_distinct(F.collect_list(F.struct("start", "end"))).alias("found")
-    )
+    gone = gone.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     gone = settled(gone.withColumnRenamed("id", "gone"), "repeated")
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     joined = rows.join(gone, rows["id"] == gone["gone"], "left").select("id", "text", "found")
