@@ -37,6 +37,7 @@ _TOKEN = r"[A-Za-z0-9+/_=-]{%d,}"
 START = "^"
 MIN_TOKEN = 20
 MIN_RATIO = 12.0
+SMOOTHING = 20.0  # pairs' worth of a character's own share
 TRAIN_TOKENS = 20_000  # labelled tokens of each kind that the models are fitted on
 TRAIN_DOCS = 2_000  # documents that the ordinary ones are taken from
 
@@ -117,9 +118,10 @@ def fit(
     only = rf"[^{ALPHABET}]"  # the hyphen is last, so it stands for itself
     value = F.regexp_extract(F.col("s.token"), ASSIGN, 2)
     random = (
-        found.select(F.explode("base").alias("s"))
-        .select(F.when(F.col("s.rank") == 0, value).otherwise(F.col("s.token")).alias("token"))
-        .select(F.regexp_replace("token", only, "").alias("token"))
+        found.select("id", F.explode("base").alias("s"))
+        .select("id", F.when(F.col("s.rank") == 0, value).otherwise(F.col("s.token")).alias("token"))
+        .select("id", F.lit(0).alias("pos"), F.regexp_replace("token", only, "").alias("token"))
+        .distinct()
     )
     quiet = (
         found.filter((F.size("base") == 0) & F.col("id").isNotNull())
@@ -131,11 +133,13 @@ def fit(
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(
         F.broadcast(quiet), "id", "left_semi"  # `train_docs` ids at most
     )
-    ordinary = texts.select(F.explode(matches(F.col("text"), _TOKEN % MIN_ASSIGN)).alias("token"))
+    # All occurrences, so that a secret the base rules have missed weighs no more than it should.
+    words = matches(F.col("text"), _TOKEN % MIN_ASSIGN)
+    ordinary = texts.select("id", F.posexplode(words).alias("pos", "token"))
 
     def sample(tokens: DataFrame, label: str) -> DataFrame:
-        few = tokens.filter("length(token) > 0").distinct()
-        few = few.orderBy(F.xxhash64("token"), "token").limit(train_tokens)
+        few = tokens.filter("length(token) > 0")
+        few = few.orderBy(F.xxhash64("id", "pos", "token"), "token").limit(train_tokens)
         return few.select(F.lit(label).alias("label"), "token")
 
     pairs = _pairs(sample(random, "random").unionAll(sample(ordinary, "ordinary")))
@@ -145,12 +149,22 @@ def fit(
         counts[label][pair] = n
     if len(counts) < 2:
         return None
-    size = len(ALPHABET)
+    # A pair's share is drawn towards its second character's own share, so a model does not
+    # take what follows a character that it has never met for equally likely.
     table = {}
+    own = {}
+    for label, found_pairs in counts.items():
+        total = sum(found_pairs.values()) + len(ALPHABET)
+        own[label] = {
+            b: (sum(found_pairs.get(a + b, 0) for a in START + ALPHABET) + 1) / total
+            for b in ALPHABET
+        }
     for a in START + ALPHABET:
-        after = {k: sum(n for p, n in c.items() if p[0] == a) + size for k, c in counts.items()}
+        after = {k: sum(c.get(a + b, 0) for b in ALPHABET) + SMOOTHING for k, c in counts.items()}
         for b in ALPHABET:
-            p = {k: (counts[k].get(a + b, 0) + 1) / after[k] for k in counts}
+            p = {
+                k: (c.get(a + b, 0) + SMOOTHING * own[k][b]) / after[k] for k, c in counts.items()
+            }
             table[a + b] = math.log(p["random"] / p["ordinary"])
     return table
 
