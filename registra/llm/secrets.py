@@ -110,6 +110,7 @@ def fit(
     docs: DataFrame,
     id_col: str,
     text_col: str,
+    min_token: int = MIN_TOKEN,
     train_tokens: int = TRAIN_TOKENS,
     train_docs: int = TRAIN_DOCS,
 ) -> dict[str, float] | None:
@@ -133,9 +134,10 @@ def fit(
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(
         F.broadcast(quiet), "id", "left_semi"  # `train_docs` ids at most
     )
-    # All occurrences, so that a secret the base rules have missed weighs no more than it should.
-    words = matches(F.col("text"), _TOKEN % MIN_ASSIGN)
-    ordinary = texts.select("id", F.posexplode(words).alias("pos", "token"))
+    # Tokens too short to be judged, so none is its own evidence; all occurrences, as they are.
+    inside = "[A-Za-z0-9+/_=-]"
+    short = rf"(?<!{inside}){inside}{{{MIN_ASSIGN},{min_token - 1}}}(?!{inside})"
+    ordinary = texts.select("id", F.posexplode(matches(F.col("text"), short)).alias("pos", "token"))
 
     def sample(tokens: DataFrame, label: str) -> DataFrame:
         few = tokens.filter("length(token) > 0")
@@ -205,7 +207,7 @@ def scan_secrets(
     go in; without samples of both labels there are base spans only. Other columns are not read.
     """
     found = settled(scanned(docs, id_col, text_col, min_token), "secrets")
-    table = fit(found, docs, id_col, text_col, train_tokens, train_docs)
+    table = fit(found, docs, id_col, text_col, min_token, train_tokens, train_docs)
     spans = F.col("base")
     if table is not None:
         likely = F.filter("long", lambda t: log_ratio(t["token"], table) >= min_ratio)

@@ -1,0 +1,60 @@
+import hashlib
+
+import pytest
+
+from registra.llm.exact_dedup import drop_exact_copies, exact_dedup
+from tests.llm.cases import ROWS, edge_docs
+
+
+def normal(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.mark.parametrize("keep,runs,fan_in", [("largest", 64, 4), ("smallest", 5, 2), ("smallest", 1, 2)])
+def test_against_brute_force(spark, keep, runs, fan_in):
+    got = exact_dedup(edge_docs(spark), keep=keep, runs=runs, fan_in=fan_in).collect()
+    groups = {}
+    for doc_id, text, _ in ROWS:
+        groups.setdefault(normal(text), []).append(doc_id)
+    expected = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        stays = (max if keep == "largest" else min)(known) if known else None
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        expected += [(str(i), str(stays), len(ids), digest) for i in ids]
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in got) == sorted(expected)
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len(groups) and all(r.doc_id == r.keep_id for r in kept)
+
+
+def test_filter_keeps_all_columns_and_one_of_repeated_rows(spark):
+    docs = edge_docs(spark)
+    out = drop_exact_copies(docs, keep="largest")
+    assert out.schema == docs.schema
+    rows = out.collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["2", "4", "5", "6", "7", "8", "9"]
+
+
+def test_an_id_with_two_texts_is_judged_by_text(spark):
+    docs = edge_docs(spark, [(1, "a", "en"), (1, "b", "en"), (2, "B", "en"), (3, "c", "en")])
+    rows = drop_exact_copies(docs, keep="largest").collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_empty_table(spark):
+    assert exact_dedup(edge_docs(spark, [])).collect() == []
+    assert drop_exact_copies(edge_docs(spark, [])).collect() == []
+
+
+def test_main_path_is_native_and_a_hot_text_is_spread(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', cast(id as string)) as text")
+    got = exact_dedup(docs, keep="largest")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
+    hot = got.filter("group_size > 1").collect()
+    assert len(hot) == 1000 and {r.keep_id for r in hot} == {2997}
+
+
+def test_rules(spark):
+    with pytest.raises(ValueError):
+        exact_dedup(edge_docs(spark), keep="any")
