@@ -27,6 +27,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +45,10 @@ from registra.sources.filesystem import resolve
 SPACE = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 PENALTY = 10.0  # of a character without a piece, below the worst score
-DICTIONARY = 1 << 19
+DICTIONARY = 1 << 17
 LONGEST = 64  # bytes of a unit in the dictionary
-KEPT_UNITS = 500_000  # distinct units that a task counts before it passes them on
-KEPT_WORDS = 300_000  # words whose ids a task remembers
+KEPT_WORDS = 400_000  # distinct words that a task counts before it passes their units on
+KNOWN_WORDS = 150_000  # words whose ids a task remembers
 UNITS_PER_TASK = 20_000
 BLOCK = 256
 
@@ -76,6 +78,8 @@ class Model:
                 self.bytes[int(piece[1:-1], 16)] = i
         if min(self.bytes) < 0:
             self.bytes = []
+        normal = [s for s, k in zip(self.scores, self.kinds, strict=True) if k == NORMAL]
+        self.best, self.worst = max(normal), min(normal) - PENALTY
         used = [p for p, k in zip(self.pieces, self.kinds, strict=True) if k in (NORMAL, USER)]
         self.longest = max(map(len, used))
         self.joined = {a + b for p in used for a, b in zip(p, p[1:])}
@@ -85,10 +89,8 @@ class Model:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """Pieces that a text can have: piece, id, score."""
-        normal = [s for s, k in zip(self.scores, self.kinds, strict=True) if k == NORMAL]
-        top = max(normal)
         rows = [
-            (p, i, len(p.encode()) * top - 0.1 if k == USER else float(s))
+            (p, i, len(p.encode()) * self.best - 0.1 if k == USER else float(s))
             for i, (p, s, k) in enumerate(
                 zip(self.pieces, self.scores, self.kinds, strict=True)
             )
@@ -100,10 +102,6 @@ class Model:
             pa.Table.from_arrays(columns, names=["piece", "id", "score"])
         )
 
-    @property
-    def worst(self) -> float:
-        return min(s for s, k in zip(self.scores, self.kinds, strict=True) if k == NORMAL) - PENALTY
-
 
 class Cutter:
     """Words of a text, and units of a word."""
@@ -123,7 +121,7 @@ class Cutter:
                 out.append("\n")
             first = self.prefix and not i
             parts = line.split(" ")
-            if self.by_space and SPACE not in line and "" not in parts[1:] and (parts[0] or first):
+            if self.plain(line, parts):
                 out.append(SPACE + parts[0] if first else parts[0])
                 out += [SPACE + p for p in parts[1:]]
                 continue
@@ -131,14 +129,16 @@ class Cutter:
             out += self.spaced.findall(whole) if self.by_space else [whole]
         return [w for w in out if w]
 
+    def plain(self, line: str, parts: list[str]) -> bool:
+        """Whether the line's parts between spaces are its words."""
+        return self.by_space and SPACE not in line and ("" not in parts or len(parts) == 1)
+
     def units(self, word: str) -> list[str]:
-        joined, out, start = self.joined, [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in joined:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
+        held = list(map(self.joined.__contains__, map(add, word, word[1:])))
+        if all(held):
+            return [word]
+        cuts = [0, *(i for i, h in enumerate(held, 1) if not h), len(word)]
+        return [word[a:b] for a, b in pairwise(cuts)]
 
 
 # --- the lattice --------------------------------------------------------------------------------
@@ -147,25 +147,37 @@ class Cutter:
 def _unit_counts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = shared.value
+        words: Counter[str] = Counter()
+        spaced: Counter[str] = Counter()  # without the space before them
 
-        def flush(words: Counter[str]) -> pa.RecordBatch:
+        def flush() -> pa.RecordBatch:
             counts: Counter[str] = Counter()
-            for word, n in words.items():
-                for unit in cutter.units(word):
-                    counts[unit] += n
+            for lead, found in (("", words), (SPACE, spaced)):
+                for word, n in found.items():
+                    for unit in cutter.units(lead + word):
+                        counts[unit] += n
+                found.clear()
             return pa.record_batch(
                 [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
                 names=["unit", "n"],
             )
 
-        words: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0):
-                words.update(cutter.words(value.as_py() or ""))
-                if len(words) > KEPT_UNITS:
-                    yield flush(words)
-                    words = Counter()
-        yield flush(words)
+                text = value.as_py() or ""
+                head, *lines = text.split("\n") if cutter.by_line else [text]
+                words.update(cutter.words(head) or cutter.words(text[:1]))
+                for line in lines:
+                    parts = line.split(" ")
+                    if cutter.plain(line, parts):
+                        words[parts[0]] += 1
+                        spaced.update(parts[1:])
+                    else:
+                        words.update(cutter.words("\n" + line)[1:])
+                words["\n"] += len(lines)
+                if len(words) + len(spaced) > KEPT_WORDS:
+                    yield flush()
+        yield flush()
 
     return run
 
@@ -197,114 +209,149 @@ def edges(units: DataFrame, model: Model) -> DataFrame:
         F.struct(
             (F.col("start") + F.col("length")).alias("end"),
             "start",
-            F.coalesce("id", F.lit(-1)).alias("id"),
+            edge_code(F.col("start"), F.coalesce("id", F.lit(-1))).alias("code"),
             F.coalesce("score", F.lit(model.worst)).alias("score"),
         ).alias("edge"),
     )
 
 
-_LAST = "struct<start:int,id:int>"
-
-
 def _blocks(array: Column) -> Column:
     starts = F.sequence(F.lit(1), F.greatest(F.size(array), F.lit(1)), F.lit(BLOCK))
     return F.transform(starts, lambda i: F.slice(array, i, F.lit(BLOCK)))
 
 
-def _in_blocks(array: Column, state: Column, kind: str, step, finish) -> Column:
-    """Fold over a long array: `step` gives the next state and appends to a list that starts anew
-    in each block, since appending copies; finish gets the last state and the whole list."""
-    none, no_blocks = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+def _in_blocks(blocks: Column, state: Column, step) -> Column:
+    """Fold over an array in blocks, for the list that its steps append to: as appending copies,
+    the list starts anew in each block. Gives the last state and the whole list."""
+    none, no_blocks = F.array().cast("array<bigint>"), F.array().cast("array<array<bigint>>")
 
     def block(outer: Column, items: Column) -> Column:
-        inner = F.aggregate(
-            items, F.struct(outer["state"].alias("state"), none.alias("list")), step
-        )
-        # The fold's state goes into a one-element array, so that it is worked out once.
-        return F.get(
-            F.transform(
-                F.array(inner),
-                lambda r: F.struct(
-                    r["state"].alias("state"),
-                    F.concat(outer["blocks"], F.array(r["list"])).alias("blocks"),
-                ),
+        start = F.struct(outer["state"].alias("state"), none.alias("list"))
+        # The inner fold goes into a one-element array, so that it is worked out once.
+        inner = F.transform(
+            F.array(F.aggregate(items, start, step)),
+            lambda r: F.struct(
+                r["state"].alias("state"),
+                F.concat(outer["blocks"], F.array(r["list"])).alias("blocks"),
             ),
-            F.lit(0),
         )
+        return F.get(inner, F.lit(0))
 
+    start = F.struct(state.alias("state"), no_blocks.alias("blocks"))
     return F.aggregate(
-        _blocks(array),
-        F.struct(state.alias("state"), no_blocks.alias("blocks")),
-        block,
-        lambda outer: finish(outer["state"], F.flatten(outer["blocks"])),
+        blocks, start, block,
+        lambda o: F.struct(o["state"].alias("state"), F.flatten(o["blocks"]).alias("list")),
     )
 
 
-def viterbi(sorted_edges: Column, longest: int) -> Column:
-    """Best path through edges sorted by end and start: its edges, the last one first.
+def viterbi(found: Column) -> Column:
+    """Best last edge of each place from 1 on, from edges sorted by end and start.
 
-    Of equal scores the edge that starts first wins.
+    An edge is its start and its id in one number (see `edge_code`). Of equal scores the edge that
+    starts first wins. The state is the best score of each place so far and the best last edges.
     """
+
+    def step(acc: Column, edge: Column) -> Column:
+        score = F.get(acc["best"], edge["start"]) + edge["score"]
+        further = F.struct(
+            F.concat(acc["best"], F.array(score)).alias("best"),
+            F.concat(acc["last"], F.array(edge["code"])).alias("last"),
+        )
+        better = F.struct(
+            F.concat(F.slice(acc["best"], F.lit(1), edge["end"]), F.array(score)).alias("best"),
+            F.concat(
+                F.slice(acc["last"], F.lit(1), edge["end"] - 1), F.array(edge["code"])
+            ).alias("last"),
+        )
+        return (
+            F.when(edge["end"] >= F.size(acc["best"]), further)
+            .when(score > F.element_at(acc["best"], -1), better)
+            .otherwise(acc)
+        )
+
     start = F.struct(
-        F.lit(0).alias("at"),
-        F.array(F.lit(0.0)).alias("best"),
-        F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("id")).cast(_LAST).alias("last"),
+        F.array(F.lit(0.0)).alias("best"), F.array().cast("array<bigint>").alias("last")
     )
+    return F.aggregate(found, start, step, lambda s: s["last"])
+
+
+def viterbi_of_long(found: Column, longest: int) -> Column:
+    """The same for a unit of any length: only the scores that an edge can reach are kept, and the
+    last edges of places that are done lie in blocks."""
 
     def step(acc: Column, edge: Column) -> Column:
         s = acc["state"]
         seen = F.size(s["best"])
         score = F.get(s["best"], seen - 1 - (s["at"] - edge["start"])) + edge["score"]
-        this = F.struct(edge["start"].alias("start"), edge["id"].alias("id")).cast(_LAST)
+
+        def state(at: Column, kept: Column) -> Column:
+            return F.struct(
+                at.alias("at"),
+                F.concat(kept, F.array(score)).alias("best"),
+                edge["code"].alias("last"),
+            ).alias("state")
+
+        window = F.slice(s["best"], F.greatest(seen - longest + 1, F.lit(1)), F.lit(longest))
         further = F.struct(
-            F.struct(
-                edge["end"].alias("at"),
-                F.concat(
-                    F.slice(s["best"], F.greatest(seen - longest + 1, F.lit(1)), F.lit(longest)),
-                    F.array(score),
-                ).alias("best"),
-                this.alias("last"),
-            ).alias("state"),
-            F.concat(acc["list"], F.array(s["last"])).alias("list"),
-        )
-        better = F.struct(
-            F.struct(
-                s["at"].alias("at"),
-                F.concat(F.slice(s["best"], F.lit(1), seen - 1), F.array(score)).alias("best"),
-                this.alias("last"),
-            ).alias("state"),
-            acc["list"].alias("list"),
+            state(edge["end"], window), F.concat(acc["list"], F.array(s["last"])).alias("list")
         )
+        same = F.slice(s["best"], F.lit(1), seen - 1)
+        better = F.struct(state(s["at"], same), acc["list"].alias("list"))
         return (
             F.when(edge["end"] > s["at"], further)
             .when(score > F.element_at(s["best"], -1), better)
             .otherwise(acc)
         )
 
-    # The list has the best last edge of the places 0 to n - 1, the state that of place n.
-    return _in_blocks(
-        sorted_edges,
-        start,
-        _LAST,
-        step,
-        lambda state, found: F.concat(found, F.array(state["last"])),
+    start = F.struct(
+        F.lit(0).alias("at"),
+        F.array(F.lit(0.0)).alias("best"),
+        F.lit(-1).cast("bigint").alias("last"),
+    )
+    # The list begins with the place before the unit, and the last place is still in the state.
+    folded = F.transform(
+        F.array(_in_blocks(_blocks(found), start, step)),
+        lambda r: F.concat(F.slice(r["list"], F.lit(2), F.size(r["list"])), F.array(r["state"]["last"])),
     )
+    return F.get(folded, F.lit(0))
 
 
-def walk_back(last_edges: Column) -> Column:
-    """Edges of the best path from the end to the start, from the best last edge of each place."""
-    n = F.size(last_edges) - 1
+def edge_code(start: Column, number: Column) -> Column:
+    return F.shiftleft(start.cast("bigint"), 32) + number + 1
 
-    def step(acc: Column, at: Column) -> Column:
-        edge = F.get(last_edges, at)
+
+def code_start(code: Column) -> Column:
+    return F.shiftright(code, 32).cast("int")
+
+
+def code_id(code: Column) -> Column:
+    """The piece's id, -1 for a character without one."""
+    return code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - 1
+
+
+def walk_back(last: Column) -> Column:
+    """Edges of the best path, the last one first, from the best last edge of each place."""
+
+    def step(acc: Column, edge: Column) -> Column:
         hit = F.struct(
-            edge["start"].alias("state"), F.concat(acc["list"], F.array(edge)).alias("list")
+            code_start(edge["code"]).alias("state"),
+            F.concat(acc["list"], F.array(edge["code"])).alias("list"),
         )
-        return F.when(acc["state"] == at, hit).otherwise(acc)
+        return F.when(acc["state"] == edge["at"], hit).otherwise(acc)
 
-    return _in_blocks(
-        F.sequence(n, F.lit(1), F.lit(-1)), n, _LAST, step, lambda state, found: found
+    places = F.reverse(
+        F.transform(last, lambda c, i: F.struct((i + 1).alias("at"), c.alias("code")))
+    )
+    end = F.size(last)
+    none = F.array().cast("array<bigint>")
+    short = F.aggregate(
+        places,
+        F.struct(end.alias("state"), none.alias("list")),
+        step,
+        lambda s: s["list"],
     )
+    long = _in_blocks(_blocks(places), end, step)["list"]
+    return F.when(end <= BLOCK, short).otherwise(long)
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
@@ -312,31 +359,40 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     spark = units.sparkSession
     tasks = max(shuffle_tasks(spark), math.ceil(units.count() / UNITS_PER_TASK))
     dealt = units.repartition(tasks, "unit")
+    found = F.col("edges")
+    best = F.when(F.size(found) <= BLOCK, viterbi(found)).otherwise(
+        viterbi_of_long(found, model.longest)
+    )
     paths = (
         edges(dealt, model)
         .groupBy("unit", "n")
         .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-        .select("unit", "n", viterbi(F.col("edges"), model.longest).alias("last"))
+        .select("unit", "n", best.alias("last"))
         .select("unit", "n", F.reverse(walk_back(F.col("last"))).alias("path"))
     )
     if model.bytes:
         table = F.split(F.lit(",".join(map(str, model.bytes))), ",").cast("array<int>")
     unit = F.col("unit")
 
-    def ids(e: Column) -> Column:
+    def in_pieces(edge: Column) -> Column:
+        number = code_id(edge)
         if not model.bytes:
-            return F.array(F.when(e["id"] < 0, F.lit(model.unknown)).otherwise(e["id"]))
-        code = F.hex(F.encode(F.substring(unit, e["start"] + 1, F.lit(1)), "utf-8"))
+            return F.array(F.when(number < 0, F.lit(model.unknown)).otherwise(number))
+        code = F.hex(F.encode(F.substring(unit, code_start(edge) + 1, F.lit(1)), "utf-8"))
         in_bytes = F.transform(
             F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")),
             lambda i: F.get(
                 table, F.conv(F.substring(code, i.cast("int") * 2 + 1, F.lit(2)), 16, 10).cast("int")
             ),
         )
-        return F.when(e["id"] < 0, in_bytes).otherwise(F.array(e["id"]))
+        return F.when(number < 0, in_bytes).otherwise(F.array(number))
 
-    found = paths.select("unit", "n", F.flatten(F.transform("path", ids)).alias("ids"))
-    return settled(found, "encoded_units")
+    # Most units have a piece for each character, and need no look at their bytes.
+    plain = ~F.exists("path", lambda e: code_id(e) < 0)
+    ids = F.when(plain, F.transform("path", code_id)).otherwise(
+        F.flatten(F.transform("path", in_pieces))
+    )
+    return settled(paths.select("unit", "n", ids.alias("ids")), "encoded_units")
 
 
 # --- texts --------------------------------------------------------------------------------------
@@ -378,7 +434,7 @@ class Dictionary:
                     each = list(map(units.get, parts))
                     if None not in each:
                         out[i] = ids = b"".join(each)
-                        if len(known) < KEPT_WORDS:
+                        if len(known) < KNOWN_WORDS:
                             known[found[i]] = ids
                     else:
                         out[i] = b"".join(
