@@ -14,10 +14,11 @@ before spaces and around signs. Every distinct unit of the corpus is encoded onc
   of the last few places and the best last edge of each place, in blocks, so that a fold
   over a very long unit stays linear; a second fold walks back from the end.
 
-Texts. The units that occur most, a bounded number, go to the workers as a dictionary; a text is
-written as their ids with marked gaps for the others. Gaps are filled from files of (unit,
-ids), one per part of the corpus, that the task of that part reads from the shared folder, so
-texts are never shuffled.
+Texts. A task numbers the words of its texts and writes, per chunk of its documents, the texts as
+numbers of words, the chunk's words as numbers of units, and the chunk's units. Only
+those units, once per chunk, are joined with the encoded ones; the answers are written by chunk,
+and the task that reads a chunk's texts reads its answers from the shared folder. So texts are never
+shuffled, and a chunk has a bounded number of words.
 """
 
 from __future__ import annotations
@@ -25,32 +26,31 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
 from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm.common import most_frequent, settled, shuffle_tasks
+from registra.llm.common import settled, shuffle_tasks
 from registra.session import work_folder
 from registra.sources.filesystem import resolve
 
 SPACE = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 PENALTY = 10.0  # of a character without a piece, below the worst score
-DICTIONARY = 1 << 17
-LONGEST = 64  # bytes of a unit in the dictionary
-KEPT_WORDS = 400_000  # distinct words that a task counts before it passes their units on
-KNOWN_WORDS = 150_000  # words whose ids a task remembers
+CHUNK_WORDS = 400_000  # distinct words of a chunk
 UNITS_PER_TASK = 20_000
 BLOCK = 256
+ROWS = 512  # texts that are passed on at once
 
 
 class Model:
@@ -113,21 +113,24 @@ class Cutter:
 
     def words(self, text: str) -> list[str]:
         """Pieces never cross from one word to the next."""
-        if not text:
-            return []
         out: list[str] = []
-        for i, line in enumerate(text.split("\n") if self.by_line else [text]):
-            if i:
-                out.append("\n")
-            first = self.prefix and not i
-            parts = line.split(" ")
-            if self.plain(line, parts):
-                out.append(SPACE + parts[0] if first else parts[0])
-                out += [SPACE + p for p in parts[1:]]
-                continue
-            whole = (SPACE if first else "") + line.replace(" ", SPACE)
-            out += self.spaced.findall(whole) if self.by_space else [whole]
-        return [w for w in out if w]
+        for i, line in enumerate(self.lines(text)):
+            out += ["\n"] * (i > 0)
+            out += self.of_line(line, i == 0)
+        return out
+
+    def lines(self, text: str) -> list[str]:
+        return (text.split("\n") if self.by_line else [text]) if text else []
+
+    def of_line(self, line: str, first: bool) -> list[str]:
+        """Words of one line; before the first of a text the model may put a space."""
+        lead = SPACE if first and self.prefix else ""
+        parts = line.split(" ")
+        if self.plain(line, parts):
+            out = [lead + parts[0], *(SPACE + p for p in parts[1:])]
+            return out if out[0] else out[1:]
+        whole = lead + line.replace(" ", SPACE)
+        return self.spaced.findall(whole) if self.by_space else [whole]
 
     def plain(self, line: str, parts: list[str]) -> bool:
         """Whether the line's parts between spaces are its words."""
@@ -144,57 +147,12 @@ class Cutter:
 # --- the lattice --------------------------------------------------------------------------------
 
 
-def _unit_counts(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = shared.value
-        words: Counter[str] = Counter()
-        spaced: Counter[str] = Counter()  # without the space before them
-
-        def flush() -> pa.RecordBatch:
-            counts: Counter[str] = Counter()
-            for lead, found in (("", words), (SPACE, spaced)):
-                for word, n in found.items():
-                    for unit in cutter.units(lead + word):
-                        counts[unit] += n
-                found.clear()
-            return pa.record_batch(
-                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                names=["unit", "n"],
-            )
-
-        for batch in batches:
-            for value in batch.column(0):
-                text = value.as_py() or ""
-                head, *lines = text.split("\n") if cutter.by_line else [text]
-                words.update(cutter.words(head) or cutter.words(text[:1]))
-                for line in lines:
-                    parts = line.split(" ")
-                    if cutter.plain(line, parts):
-                        words[parts[0]] += 1
-                        spaced.update(parts[1:])
-                    else:
-                        words.update(cutter.words("\n" + line)[1:])
-                words["\n"] += len(lines)
-                if len(words) + len(spaced) > KEPT_WORDS:
-                    yield flush()
-        yield flush()
-
-    return run
-
-
-def count_units(texts: DataFrame, cutter) -> DataFrame:
-    """(unit, n) of one column of texts."""
-    found = texts.mapInArrow(_unit_counts(cutter), "unit string, n long")
-    return settled(found.groupBy("unit").agg(F.sum("n").alias("n")), "units")
-
-
 def edges(units: DataFrame, model: Model) -> DataFrame:
     """Substrings of each unit that are pieces, and single characters that are none (null id)."""
     size = F.length("unit")
-    starts = units.select("unit", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    starts = units.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     substrings = starts.select(
         "unit",
-        "n",
         "start",
         F.explode(
             F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("start")))
@@ -205,7 +163,6 @@ def edges(units: DataFrame, model: Model) -> DataFrame:
         F.col("id").isNotNull() | (F.col("length") == 1)
     ).select(
         "unit",
-        "n",
         F.struct(
             (F.col("start") + F.col("length")).alias("end"),
             "start",
@@ -354,9 +311,10 @@ def walk_back(last: Column) -> Column:
     return F.when(end <= BLOCK, short).otherwise(long)
 
 
-def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, n, ids) of all distinct units, ids in the order of the text."""
-    spark = units.sparkSession
+def encode_units(distinct: DataFrame, model: Model) -> DataFrame:
+    """(unit, ids) of distinct units, ids in the order of the text."""
+    spark = distinct.sparkSession
+    units = settled(distinct, "units")
     tasks = max(shuffle_tasks(spark), math.ceil(units.count() / UNITS_PER_TASK))
     dealt = units.repartition(tasks, "unit")
     found = F.col("edges")
@@ -365,10 +323,10 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     )
     paths = (
         edges(dealt, model)
-        .groupBy("unit", "n")
+        .groupBy("unit")
         .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-        .select("unit", "n", best.alias("last"))
-        .select("unit", "n", F.reverse(walk_back(F.col("last"))).alias("path"))
+        .select("unit", best.alias("last"))
+        .select("unit", F.reverse(walk_back(F.col("last"))).alias("path"))
     )
     if model.bytes:
         table = F.split(F.lit(",".join(map(str, model.bytes))), ",").cast("array<int>")
@@ -392,95 +350,137 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
     ids = F.when(plain, F.transform("path", code_id)).otherwise(
         F.flatten(F.transform("path", in_pieces))
     )
-    return settled(paths.select("unit", "n", ids.alias("ids")), "encoded_units")
+    return settled(paths.select("unit", ids.alias("ids")), "encoded_units")
 
 
 # --- texts --------------------------------------------------------------------------------------
 
 
-class Dictionary:
-    """Ids, as bytes, of the units that occur most; ids take `width` bytes."""
+class Chunk:
+    """Texts of one task as numbers of words, and words as numbers of units."""
 
-    def __init__(self, cutter: Cutter, found: list[tuple[str, list[int]]], vocabulary: int):
+    def __init__(self, cutter: Cutter):
         self.cutter = cutter
-        self.width = 2 if vocabulary < 0xFFFF else 4
-        kind = self.kind
-        self.units = {unit: np.array(ids, kind).tobytes() for unit, ids in found}
-        self.words: dict[str, bytes] = {}
-
-    @property
-    def kind(self) -> str:
-        return f"<u{self.width}"
-
-    @property
-    def mark(self) -> int:
-        """What stands before the number of a unit that is not in the dictionary."""
-        return (1 << 8 * self.width) - 1
-
-    def gap(self, number: int) -> bytes:
-        parts = [self.mark, number & 0xFFFF, number >> 16]
-        return np.array(parts, self.kind).tobytes()
-
-    def draft(self, text: str) -> tuple[bytes, list[str]]:
-        """Ids of a text with gaps, and the units that the gaps' numbers mean."""
-        known, units = self.words, self.units
-        missing: dict[str, int] = {}
-        found = self.cutter.words(text)
-        out = list(map(known.get, found))
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    parts = self.cutter.units(found[i])
-                    each = list(map(units.get, parts))
-                    if None not in each:
-                        out[i] = ids = b"".join(each)
-                        if len(known) < KNOWN_WORDS:
-                            known[found[i]] = ids
-                    else:
-                        out[i] = b"".join(
-                            [e if e is not None else self.gap(missing.setdefault(u, len(missing)))
-                             for u, e in zip(parts, each, strict=True)]
-                        )
-        return b"".join(out), list(missing)
-
-
-def fill(draft: bytes, kind: str, mark: int, ids: list[np.ndarray]) -> np.ndarray:
-    """A draft with its gaps filled."""
-    found = np.frombuffer(draft, kind)
-    if not ids:
-        return found.astype("i4")
-    # A mark cannot be part of a gap's number: those are below it by their place, not their value.
-    out, at = [], 0
-    gaps = np.flatnonzero(found == mark).tolist()
-    for gap in gaps:
-        if gap < at:
-            continue
-        out += found[at:gap], ids[int(found[gap + 1]) | int(found[gap + 2]) << 16]
-        at = gap + 3
-    return np.concatenate([*out, found[at:]]).astype("i4")
+        self.after_space: dict[str, int] = {}  # words, without the space before them
+        self.bare: dict[str, int] = {}
+        self.size = 0
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The words of a text as numbers."""
+        cutter, spaced, out = self.cutter, self.after_space, []
+        for i, line in enumerate(cutter.lines(text)):
+            parts = line.split(" ")
+            if i == 0 or not cutter.plain(line, parts):
+                self._bare(["\n"] * (i > 0) + cutter.of_line(line, i == 0), out)
+                continue
+            self._bare(["\n", parts[0]] if parts[0] else ["\n"], out)
+            rest = parts[1:]
+            found = list(map(spaced.get, rest))
+            if None in found:
+                for k, number in enumerate(found):
+                    if number is None:
+                        found[k] = spaced.setdefault(rest[k], self.size)
+                        self.size = max(self.size, found[k] + 1)
+            out += found
+        return np.array(out, "<u4")
+
+    def _bare(self, words: list[str], out: list[int]) -> None:
+        for word in words:
+            number = self.bare.setdefault(word, self.size)
+            self.size = max(self.size, number + 1)
+            out.append(number)
+
+    def composition(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The chunk's units, the units of all words one after the other, and where each ends."""
+        words = [""] * self.size
+        for word, number in self.bare.items():
+            words[number] = word
+        for word, number in self.after_space.items():
+            words[number] = SPACE + word
+        units: dict[str, int] = {}
+        flat: list[int] = []
+        ends = []
+        for word in words:
+            flat += [units.setdefault(u, len(units)) for u in self.cutter.units(word)]
+            ends.append(len(flat))
+        return list(units), np.array(flat, "<u4"), np.array(ends, "<u4")
+
+
+def gather(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists with some numbers, one after the other, and where each ends; all lists lie one
+    after the other in `flat`."""
+    ends = ends.astype(np.int64)
+    sizes = np.diff(ends, prepend=0)
+    wanted = sizes[numbers]
+    out_ends = np.cumsum(wanted)
+    if not len(numbers) or not out_ends[-1]:
+        return flat[:0], out_ends
+    # Each place of the result: the start of its list, and how far into the list it is.
+    first = np.repeat((ends - sizes)[numbers] - (out_ends - wanted), wanted)
+    return flat[first + np.arange(out_ends[-1])], out_ends
+
+
+_DRAFTS = pa.schema(
+    [
+        ("draft", pa.binary()),
+        ("source", pa.int64()),
+        ("units", pa.list_(pa.string())),
+        ("flat", pa.binary()),
+        ("ends", pa.binary()),
+    ]
+)
 
 
 def _drafts(shared):
+    """A row per text, and after the texts of a chunk one row with the chunk's words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            drafts, missing, checks = [], [], []
-            for value in batch.column(2):
-                text = value.as_py() or ""
-                ids, units = shared.value.draft(text)
-                drafts.append(packer.compress(ids))
-                missing.append(units)
-                checks.append(check(text))
-            yield pa.RecordBatch.from_arrays(
+        packer = zstandard.ZstdCompressor(level=3)
+        chunk, number, task = Chunk(shared.value), 0, TaskContext.get().partitionId()
+
+        def name() -> int:
+            return task << 32 | number
+
+        def closing(kind: pa.DataType) -> pa.RecordBatch:
+            units, flat, ends = chunk.composition()
+            packed = (packer.compress(flat.tobytes()), packer.compress(ends.tobytes()))
+            row = [None, None, units, *packed]
+            return pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:2],
-                    pa.array(drafts, pa.binary()),
-                    pa.array(missing, pa.list_(pa.string())),
-                    pa.array(checks, pa.int64()),
+                    pa.array([name()], pa.int64()),
+                    pa.nulls(1, kind),
+                    *(pa.array([v], f.type) for v, f in zip(row, _DRAFTS, strict=True)),
                 ],
-                names=["part", "id", "draft", "missing", "source"],
+                names=["chunk", "id", *_DRAFTS.names],
             )
 
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            for start in range(0, len(batch), ROWS):
+                some = batch.slice(start, ROWS)
+                drafts, checks = [], []
+                for value in some.column(1):
+                    text = value.as_py() or ""
+                    drafts.append(packer.compress(chunk.numbers(text).tobytes()))
+                    checks.append(check(text))
+                n = len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name()] * n, pa.int64()),
+                        some.column(0),
+                        pa.array(drafts, pa.binary()),
+                        pa.array(checks, pa.int64()),
+                        *(pa.nulls(n, f.type) for f in list(_DRAFTS)[2:]),
+                    ],
+                    names=["chunk", "id", *_DRAFTS.names],
+                )
+                if chunk.size > CHUNK_WORDS:
+                    yield closing(kind)
+                    chunk, number = Chunk(shared.value), number + 1
+        if kind is not None:
+            yield closing(kind)
+
     return run
 
 
@@ -489,44 +489,60 @@ def check(text: str) -> int:
     return zlib.crc32(text.replace(SPACE, " ").encode("utf-8", "surrogatepass"))
 
 
-def _read_part(folder: str, part: int) -> dict[str, list[int]]:
-    store, path, _ = resolve(f"{folder}/part={part}")
-    files = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
-    out: dict[str, list[int]] = {}
-    for file in files:
+def _read_table(folder: str, columns: list[str]) -> list[pa.Table]:
+    store, path, _ = resolve(folder)
+    tables = []
+    for file in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
         if file.path.endswith(".parquet"):
             with store.open_input_file(file.path) as stream:
-                table = pq.read_table(stream, columns=["unit", "ids"])
-            out.update(
-                zip(table.column("unit").to_pylist(), table.column("ids").to_numpy(), strict=True)
-            )
-    return out
-
-
-def _filled(folder: str, kind: str, mark: int):
+                tables.append(pq.read_table(stream, columns=columns))
+    return tables
+
+
+class Answers:
+    """Ids of all words of one chunk, read from its folder."""
+
+    def __init__(self, folder: str, chunk: int):
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.flat, self.ends = np.zeros(0, "i4"), np.zeros(0, np.int64)
+        words = _read_table(f"{folder}/words/chunk={chunk}", ["flat", "ends"])
+        found = _read_table(f"{folder}/ids/chunk={chunk}", ["pos", "ids"])
+        if not words or not found:
+            return
+        units = pa.concat_tables(found).combine_chunks()
+        order = np.argsort(units.column("pos").to_numpy())
+        lists = units.column("ids").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        lists = lists.take(pa.array(order))
+        flat = lists.flatten().to_numpy().astype("i4")
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        row = pa.concat_tables(words).to_pylist()[0]
+        parts = np.frombuffer(unpack(row["flat"]), "<u4")
+        word_ends = np.frombuffer(unpack(row["ends"]), "<u4").astype(np.int64)
+        self.flat, part_ends = gather(flat, ends, parts)
+        self.ends = np.concatenate([[0], part_ends])[word_ends]
+
+
+def _filled(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
-        part, units = None, {}
+        unpack = zstandard.ZstdDecompressor().decompress
+        now, answers = None, None
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                some = batch.slice(at, 512)
+            for start in range(0, len(batch), ROWS):
+                some = batch.slice(start, ROWS)
                 found = []
-                for number, draft, missing in zip(
-                    some.column(0).to_pylist(), some.column(2), some.column(3).to_pylist(),
-                    strict=True,
-                ):
-                    if missing and number != part:
-                        part, units = number, _read_part(folder, number)
-                    found.append(
-                        fill(unpacker.decompress(draft.as_py()), kind, mark, [units[u] for u in missing])
-                    )
+                for chunk, draft in zip(some.column(0).to_pylist(), some.column(2), strict=True):
+                    if chunk != now:
+                        now, answers = chunk, Answers(folder, chunk)
+                    numbers = np.frombuffer(unpack(draft.as_py()), "<u4")
+                    found.append(gather(answers.flat, answers.ends, numbers)[0])
                 offsets = np.cumsum([0, *map(len, found)])
                 flat = np.concatenate(found) if found else np.zeros(0, "i4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(1),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                        some.column(4),
+                        some.column(3),
                     ],
                     names=["id", "ids", "source"],
                 )
@@ -535,11 +551,7 @@ def _filled(folder: str, kind: str, mark: int):
 
 
 def encode_documents(
-    docs: DataFrame,
-    path: str,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    dictionary: int = DICTIONARY,
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row of `docs`: id, ids (array of ints), source (checksum of the text).
 
@@ -547,37 +559,32 @@ def encode_documents(
     An empty table gives none. Other columns are not read.
     """
     spark = docs.sparkSession
-    context = spark.sparkContext
     model = Model(path)
-    cutter = Cutter(model)
-    texts = docs.select(text_col)
-    encoded = encode_units(count_units(texts, context.broadcast(cutter)), model)
-    short = encoded.filter(F.octet_length("unit") <= LONGEST)
-    top = most_frequent(short, "n", dictionary).select("unit", "ids").toArrow()
-    known = Dictionary(
-        cutter,
-        zip(top.column("unit").to_pylist(), top.column("ids").to_pylist(), strict=True),
-        len(model.pieces),
-    )
+    shared = spark.sparkContext.broadcast(Cutter(model))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
-        F.spark_partition_id().alias("part"), F.col(id_col).alias("id"), F.col(text_col)
-    )
-    drafts = settled(
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    written = settled(
         rows.mapInArrow(
-            _drafts(context.broadcast(known)),
-            f"part int, id {kind}, draft binary, missing array<string>, source long",
+            _drafts(shared),
+            f"chunk long, id {kind}, draft binary, source long, units array<string>, "
+            "flat binary, ends binary",
         ),
         "drafts",
     )
-    folder = work_folder(spark, "rare_units")
-    rare = drafts.select("part", F.explode("missing").alias("unit")).distinct()
-    rare.join(encoded.select("unit", "ids"), "unit").repartition("part").sortWithinPartitions(
-        "part"
-    ).write.partitionBy("part").parquet(folder)
-    return drafts.mapInArrow(
-        _filled(folder, known.kind, known.mark), f"id {kind}, ids array<int>, source long"
-    ).withColumnRenamed("id", id_col)
+    folder = work_folder(spark, "chunks")
+    chunks = written.filter("units is not null")
+    chunks.select("chunk", "flat", "ends").write.partitionBy("chunk").parquet(f"{folder}/words")
+    listed = chunks.select("chunk", F.posexplode("units").alias("pos", "unit"))
+    encoded = encode_units(listed.select("unit").distinct(), model)
+    listed.join(encoded, "unit").select("chunk", "pos", "ids").repartition(
+        "chunk"
+    ).sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(f"{folder}/ids")
+    return (
+        written.filter("draft is not null")
+        .select("chunk", "id", "draft", "source")
+        .mapInArrow(_filled(folder), f"id {kind}, ids array<int>, source long")
+        .withColumnRenamed("id", id_col)
+    )
 
 
 class Decoder:
