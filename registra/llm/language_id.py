@@ -134,22 +134,63 @@ def fit_text_model(labelled: DataFrame, text_col: str = "text", label_col: str =
     return TextModel(languages, counts)
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    shares = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(shares, lambda x: x / total)
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    shares = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return shares / shares.sum(axis=1, keepdims=True)
 
 
-def _sums(size: int) -> Column:
-    return F.array(*(F.sum(F.get("p", F.lit(i))) for i in range(size)))
+def _matrix(column: pa.ListArray, size: int) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, size)
 
 
-def _smoothed(counts: Column, own: Column, above: Column) -> Column:
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(matrix) + 1, dtype="i4") * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel(), pa.float64()))
+
+
+def _sums(size: int, of: str = "p") -> Column:
+    return F.array(*(F.sum(F.get(of, F.lit(i))) for i in range(size)))
+
+
+def _smoothed(counts: np.ndarray, own: np.ndarray, above: np.ndarray) -> np.ndarray:
     """Shares at one level without the page itself, drawn towards the level above."""
-    rest = F.zip_with(counts, own, lambda n, p: F.greatest(n - p, F.lit(0.0)))
-    total = F.aggregate(rest, F.lit(KAPPA), lambda a, x: a + x)
-    return F.zip_with(rest, above, lambda n, q: (n + KAPPA * q) / total)
+    rest = np.maximum(counts - own, 0.0)
+    return (rest + KAPPA * above) / (rest.sum(axis=1, keepdims=True) + KAPPA)
+
+
+def _fuser(languages: list[str], prior: np.ndarray, said: dict[str, np.ndarray], kept: int):
+    """Posterior of each page from its text, its host's levels and its declaration."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(languages)
+        labels = np.array(languages, object)
+        for batch in batches:
+            column = dict(zip(batch.schema.names, batch.columns, strict=True))
+            logs, p, *levels = (
+                _matrix(column[c], size)
+                for c in ("logs", "p", "in_suffix", "in_domain", "in_host")
+            )
+            share = prior
+            for counts in levels:
+                share = _smoothed(counts, p, share)
+            declared = np.array([said[t] for t in column["declared"].to_pylist()])
+            posterior = _softmax(logs + np.log(share) + declared.reshape(-1, size))
+            with_text = column["n"].to_numpy() > 0
+            lang = np.where(with_text, labels[posterior.argmax(axis=1)], UNKNOWN)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:kept],
+                    pa.array(lang, pa.string()),
+                    pa.array(np.where(with_text, posterior.max(axis=1), 0.0)),
+                    pa.array(lang != UNKNOWN, pa.bool_()),
+                    pa.array(np.where(with_text, labels[p.argmax(axis=1)], UNKNOWN), pa.string()),
+                    *(column[c] for c in ("declared", "host", "suffix")),
+                ],
+                names=[*batch.schema.names[:kept], "lang", "confidence", "accepted", "text_lang",
+                       "declared", "host", "suffix"],
+            )
+
+    return run
 
 
 def identify(
@@ -187,21 +228,27 @@ def identify(
             for value in batch.column(batch.num_columns - 1):
                 body = value.as_py()
                 log, n = shared.value.score(visible_text(body) if markup else body)
-                logs.append(log.tolist())
+                logs.append(log)
                 ns.append(n)
+            found = np.array(logs).reshape(-1, size)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(logs, pa.list_(pa.float64())), pa.array(ns, pa.int64())],
-                names=[*batch.schema.names[:-1], "logs", "n"],
+                [
+                    *batch.columns[:-1],
+                    _lists(found),
+                    _lists(_softmax(found) if ns else found),
+                    pa.array(ns, pa.int64()),
+                ],
+                names=[*batch.schema.names[:-1], "logs", "p", "n"],
             )
 
     kept = "".join(f"{i} {kinds[c]}, " for c, i in zip(keep, inner, strict=True))
     scored = given.mapInArrow(
-        score, f"{kept}declared string, host string, logs array<double>, n long"
+        score,
+        f"{kept}declared string, host string, logs array<double>, p array<double>, n long",
     )
     scored = settled(
         scored.select(
             "*",
-            _softmax(F.col("logs")).alias("p"),
             F.regexp_extract("host", r"([^.]+)$", 1).alias("suffix"),
             F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("domain"),
         ),
@@ -217,52 +264,25 @@ def identify(
     for t in names:
         n = np.array(tags.get(t, np.zeros(size)))
         share = (n.sum() + 1) / (pages + len(names))
-        log_said[t] = np.log((n + KAPPA * share) / (total + KAPPA)).tolist()
-    evidence = F.array()
-    for t in names:
-        said = F.array(*map(F.lit, log_said[t]))
-        evidence = F.when(F.col("declared") == t, said) if t == names[0] else evidence.when(
-            F.col("declared") == t, said
-        )
+        log_said[t] = np.log((n + KAPPA * share) / (total + KAPPA))
 
-    # Levels of the hierarchy are aggregated from the level below, so pages are read once.
+    # Levels of the hierarchy are aggregated from the level below. The table of hosts is written,
+    # so that the join has two plain sides and a very common host can be split or broadcast.
     hosts = scored.groupBy("suffix", "domain", "host").agg(_sums(size).alias("in_host"))
-
-    def above(table: DataFrame, keys: list[str], of: str, name: str) -> DataFrame:
-        sums = F.array(*(F.sum(F.get(of, F.lit(i))) for i in range(size)))
-        return table.groupBy(*keys).agg(sums.alias(name))
-
-    domains = above(hosts, ["suffix", "domain"], "in_host", "in_domain")
-    suffixes = above(domains, ["suffix"], "in_domain", "in_suffix")
+    domains = hosts.groupBy("suffix", "domain").agg(_sums(size, "in_host").alias("in_domain"))
+    suffixes = domains.groupBy("suffix").agg(_sums(size, "in_domain").alias("in_suffix"))
     levels = (
         hosts.join(domains, ["suffix", "domain"]).join(suffixes, "suffix").drop("suffix", "domain")
     )
-    joined = scored.join(levels, "host")
-    everywhere = F.array(*(F.lit(float(x)) for x in prior))
-    in_suffix = _smoothed(F.col("in_suffix"), F.col("p"), everywhere)
-    in_domain = _smoothed(F.col("in_domain"), F.col("p"), in_suffix)
-    in_host = _smoothed(F.col("in_host"), F.col("p"), in_domain)
-    logs = F.zip_with(
-        F.zip_with("logs", in_host, lambda a, b: a + F.log(b)), evidence, lambda a, b: a + b
+    joined = scored.join(settled(levels, "hosts"), "host").select(
+        *inner, "declared", "host", "suffix", "logs", "p", "n", "in_suffix", "in_domain", "in_host"
     )
-    labels = F.array(*map(F.lit, model.languages))
-
-    def best(shares: Column) -> Column:
-        return F.get(labels, (F.array_position(shares, F.array_max(shares)) - 1).cast("int"))
-
-    with_text = F.col("n") > 0
-    fused = joined.withColumn("posterior", _softmax(logs))
-    lang = F.when(with_text, best(F.col("posterior"))).otherwise(UNKNOWN)
-    return fused.select(
-        *(F.col(i).alias(c) for c, i in zip(keep, inner, strict=True)),
-        lang.alias("lang"),
-        F.when(with_text, F.array_max("posterior")).otherwise(0.0).alias("confidence"),
-        (lang != UNKNOWN).alias("accepted"),
-        F.when(with_text, best(F.col("p"))).otherwise(UNKNOWN).alias("text_lang"),
-        "declared",
-        "host",
-        "suffix",
+    fused = joined.mapInArrow(
+        _fuser(model.languages, prior, log_said, len(inner)),
+        f"{kept}lang string, confidence double, accepted boolean, text_lang string, "
+        "declared string, host string, suffix string",
     )
+    return fused.toDF(*keep, *fused.columns[len(keep) :])
 
 
 def identify_pages(

@@ -286,28 +286,25 @@ def code_id(code: Column) -> Column:
     return code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - 1
 
 
-def walk_back(last: Column) -> Column:
-    """Edges of the best path, the last one first, from the best last edge of each place."""
+def places(last: Column) -> Column:
+    """The places of a unit from the last to the first, with their best last edges."""
+    return F.reverse(F.transform(last, lambda c, i: F.struct((i + 1).alias("at"), c.alias("code"))))
 
-    def step(acc: Column, edge: Column) -> Column:
+
+def walk_back(found: Column) -> Column:
+    """Edges of the best path, the last one first, from the places of a unit."""
+
+    def step(acc: Column, place: Column) -> Column:
         hit = F.struct(
-            code_start(edge["code"]).alias("state"),
-            F.concat(acc["list"], F.array(edge["code"])).alias("list"),
+            code_start(place["code"]).alias("state"),
+            F.concat(acc["list"], F.array(place["code"])).alias("list"),
         )
-        return F.when(acc["state"] == edge["at"], hit).otherwise(acc)
+        return F.when(acc["state"] == place["at"], hit).otherwise(acc)
 
-    places = F.reverse(
-        F.transform(last, lambda c, i: F.struct((i + 1).alias("at"), c.alias("code")))
-    )
-    end = F.size(last)
-    none = F.array().cast("array<bigint>")
-    short = F.aggregate(
-        places,
-        F.struct(end.alias("state"), none.alias("list")),
-        step,
-        lambda s: s["list"],
-    )
-    long = _in_blocks(_blocks(places), end, step)["list"]
+    end = F.size(found)
+    start = F.struct(end.alias("state"), F.array().cast("array<bigint>").alias("list"))
+    short = F.aggregate(found, start, step, lambda s: s["list"])
+    long = _in_blocks(_blocks(found), end, step)["list"]
     return F.when(end <= BLOCK, short).otherwise(long)
 
 
@@ -326,7 +323,8 @@ def encode_units(distinct: DataFrame, model: Model) -> DataFrame:
         .groupBy("unit")
         .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
         .select("unit", best.alias("last"))
-        .select("unit", F.reverse(walk_back(F.col("last"))).alias("path"))
+        .select("unit", places(F.col("last")).alias("places"))
+        .select("unit", F.reverse(walk_back(F.col("places"))).alias("path"))
     )
     if model.bytes:
         table = F.split(F.lit(",".join(map(str, model.bytes))), ",").cast("array<int>")
