@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from registra.llm.common import settled
+from registra.llm.common import settled, small_batches
 from registra.llm.decontaminate import drop_contaminated
 from registra.llm.exact_dedup import drop_exact_copies
 from registra.llm.language_id import drop_unidentified
@@ -19,6 +19,7 @@ MODEL = "piece_bpe_32k.model"
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows."""
+    small_batches(spark)
     return drop_unidentified(docs)
 
 
@@ -29,16 +30,19 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id."""
+    small_batches(spark)
     return drop_near_copies(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    small_batches(spark)
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, the text that they decode to, and whether it is the text of the document."""
+    small_batches(spark)
     path = public_tokenizers.path(MODEL)
     return decode_documents(encode_documents(docs, path), path)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from registra.catalogue.registry import Run
-from registra.llm.common import joined_digest
+from registra.llm.common import joined_digest, small_batches
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
 from registra.llm.language_id import identify_pages
@@ -35,6 +35,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -19,6 +19,16 @@ cloudpickle.register_pickle_by_value(registra)
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let tasks hand texts to Python in batches of fewer rows, as texts may be long."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > rows:
+        spark.conf.set(setting, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. `lower` does just that for pure ASCII, and is faster."""
     pure = F.length(text) == F.octet_length(text)
