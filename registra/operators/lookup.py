@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame
@@ -37,13 +38,20 @@ def repeated_codes(lookup: DataFrame) -> DataFrame:
     )
 
 
+def in_bytes(size: str) -> int:
+    """Bytes of a Spark size setting, such as `10485760b`, `256k` or `-1`."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)b?\s*", size.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def fits_broadcast(lookup: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether a (filtered) lookup is small enough to send to every executor.
 
-    One distributed aggregate over it gives its exact bytes. A session with broadcast
-    switched off gets none.
+    One distributed aggregate over it gives its exact bytes, so this runs a job. The session's
+    own broadcast limit counts where it is smaller, and one of -1 allows none.
     """
-    if lookup.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+    limit = min(limit, in_bytes(lookup.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")))
+    if limit < 0:
         return False
     row = F.lit(16)
     for f in lookup.schema.fields:
@@ -58,13 +66,13 @@ def join_lookup(
 ) -> DataFrame:
     """Inner join on the cleaned code. Both keys stay; repeated lookup codes repeat facts.
 
-    A lookup over the limit is joined by a shuffle, where facts without a code or of other
-    cities are dropped first and adaptive execution splits the partitions of hot cities.
-    Below the limit it is broadcast. The key then stands in for NULL with a code that
-    cleaning never gives: a key that may be NULL would be tested below the join, which
+    NULL matches nothing, on either side. A lookup over the limit is joined by a shuffle, where
+    facts without a code or of other cities are dropped first and adaptive execution splits
+    the partitions of hot cities. Below the limit it is broadcast, without its NULL codes and
+    with a comparison that is safe for NULL: a plain one would test the key below the join, which
     cleans every code twice.
     """
-    code = lookup["municipio_cod"]
     if fits_broadcast(lookup, limit):
-        return facts.join(F.broadcast(lookup), F.coalesce(facts[key], F.lit(-1)) == code)
-    return facts.join(lookup, facts[key] == code)
+        known = lookup.filter(lookup["municipio_cod"].isNotNull())
+        return facts.join(F.broadcast(known), facts[key].eqNullSafe(known["municipio_cod"]))
+    return facts.join(lookup, facts[key] == lookup["municipio_cod"])

@@ -7,6 +7,7 @@ from registra.operators import gold
 from registra.operators.lookup import (
     clean_lookup,
     fits_broadcast,
+    in_bytes,
     join_lookup,
     keep_codes,
     repeated_codes,
@@ -178,6 +179,8 @@ def test_large_lookup_is_not_broadcast_and_a_hot_city_is_split(spark):
         F.col("id").cast("int").alias("municipio_cod"),
         F.sha2(F.col("id").cast("string"), 512).alias("municipio_nome"),
     )
+    assert fits_broadcast(lookup) and not fits_broadcast(lookup, limit=1000)
+    assert "BroadcastHashJoin" in plan(join_lookup(facts, lookup))
     settings = {
         "spark.sql.shuffle.partitions": "64",
         "spark.sql.autoBroadcastJoinThreshold": "1",
@@ -189,8 +192,7 @@ def test_large_lookup_is_not_broadcast_and_a_hot_city_is_split(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        assert fits_broadcast(lookup) and not fits_broadcast(lookup, limit=1000)
-        assert "BroadcastHashJoin" in plan(join_lookup(facts, lookup))
+        assert not fits_broadcast(lookup)
         joined = join_lookup(facts, lookup, limit=1000)
         out = joined.select("mun_clean", "payload", "municipio_nome")
         rows = out.toArrow().num_rows
@@ -207,7 +209,7 @@ def test_both_joins_match_alike(spark):
     codes = [7, 7, 1, None, None, 0]
     facts = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, mun_clean int")
     lookup = spark.createDataFrame(
-        [(7, "A"), (7, "B"), (None, "N"), (0, "Z"), (5, "E")],
+        [(7, "A"), (7, "B"), (None, "N"), (0, "Z"), (5, "E"), (-1, "M")],
         "municipio_cod int, municipio_nome string",
     )
     expected = [(0, 7, 7, "A"), (0, 7, 7, "B"), (1, 7, 7, "A"), (1, 7, 7, "B"), (5, 0, 0, "Z")]
@@ -215,6 +217,13 @@ def test_both_joins_match_alike(spark):
         assert sorted(map(tuple, join_lookup(facts, lookup, limit=limit).collect())) == expected
 
 
+@pytest.mark.parametrize(
+    "size,expected", [("10485760b", 10 << 20), ("256k", 256 << 10), ("1MB", 1 << 20), ("-1", -1), ("7", 7)]
+)
+def test_size_settings(size, expected):
+    assert in_bytes(size) == expected
+
+
 def test_broadcast_switched_off_is_respected(spark, lookup):
     facts = spark.range(9).select(F.col("id").cast("int").alias("mun_clean"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
