@@ -53,12 +53,17 @@ class RunResult:
     gold: DataFrame | None
 
 
-def fact_schema(spark: SparkSession, cfg: RunConfig) -> T.StructType:
-    """The configured width, or the width of the first line of the largest member."""
+def fact_schema(spark: SparkSession, cfg: RunConfig) -> T.StructType | None:
+    """The configured width, or the width of the first line of the largest member.
+
+    None if there is no line to take it from and missing input counts as empty.
+    """
     if cfg.width is not None:
         return text_schema(cfg.width)
     folder = f"{cfg.archives}/{FACTS_DATASET}_{cfg.ref_month}"
     line = first_line(spark, folder, storage=cfg.storage_options)
+    if line is None and cfg.on_missing == "empty":
+        return None
     if line is None:
         raise FileNotFoundError(f"PATH_NOT_FOUND: no line under {folder} to take a width from")
     return text_schema(width_of(spark, line))
@@ -78,7 +83,7 @@ def land_dataset(
         spark, folder, memberConflict=cfg.member_conflict, **cfg.storage_options
     )
     rows = parse_lines(lines.withColumn("archive", file_name(F.col("archive"))), schema)
-    return land_month(rows, cfg.bronze, dataset, cfg.ref_month)
+    return land_month(rows, cfg.bronze, dataset, cfg.ref_month, cfg.storage_options)
 
 
 def month_of_bronze(
@@ -138,14 +143,17 @@ def refine(
         return WriteResult(SKIPPED_GUARD, 0), None
     silver = build_silver(facts, lookup, cfg.columns, cfg.codes, cfg.active)
     month = rename_positional(silver, cfg.names).withColumn("ref_month", F.lit(cfg.ref_month))
-    written = overwrite_partitions(month, cfg.silver, ["ref_month"], sort_by=["municipio_cod"])
+    written = overwrite_partitions(
+        month, cfg.silver, ["ref_month"], sort_by=["municipio_cod"], one_partition=True
+    )
     return written, build_gold(spark, cfg, schema) if written.rows else None
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     """Archives of one month to bronze, silver and gold."""
     schema = fact_schema(spark, cfg)
-    facts = land_dataset(spark, cfg, FACTS_DATASET, schema)
+    nothing = WriteResult(SKIPPED_EMPTY, 0)
+    facts = land_dataset(spark, cfg, FACTS_DATASET, schema) if schema else nothing
     lookup = land_dataset(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
     if SKIPPED_EMPTY in (facts.status, lookup.status):
         return RunResult(facts, lookup, WriteResult(SKIPPED_EMPTY, 0), None)

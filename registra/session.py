@@ -17,8 +17,9 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Give a path without a scheme the cluster's default file system."""
     if "://" in path or path.startswith("file:"):
         return path
-    default = spark.conf.get("spark.hadoop.fs.defaultFS", None)
-    return default.rstrip("/") + path if default else path
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", None) or hadoop.get("fs.defaultFS")
+    return path if not default or default.startswith("file:") else default.rstrip("/") + path
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -28,7 +29,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="registra-")
     return f"{qualify(spark, shared).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registra.functions import paths as P
+from registra.session import qualify
 from registra.sinks.parquet import (
     WriteResult,
     concurrent_writers,
-    overwrite_folder,
     overwrite_partitions,
+    overwrite_seen,
+    partition_folder,
 )
 from registra.sources.archive import expand_archives
 from registra.sources.delimited import parse_lines
+from registra.sources.filesystem import drop_folder, subfolders
 
 BRONZE_KEYS = ["dataset", "ref_month", "archive"]
 
@@ -72,18 +75,42 @@ def land_archives(
     tasks: int | None = None,
     storage: Mapping[str, str] | None = None,
 ) -> WriteResult:
-    """Land every archive of a listing, as columns."""
-    return land_bronze(parse_lines(keyed_lines(listing, tasks, storage), schema), bronze)
+    """Land every archive of a listing, as columns; one without rows replaces by nothing.
 
+    New rows are committed before an emptied archive's old ones go, so a failure never leaves
+    less than there was. The listing's keys are collected: it is one batch of an ingest.
+    """
+    spark = listing.sparkSession
+    rows = parse_lines(keyed_lines(listing, tasks, storage), schema)
+    with concurrent_writers(spark):
+        written, seen = overwrite_seen(rows, bronze, BRONZE_KEYS)
+    for keys in listing.select(*bronze_keys(F.col("path"))).distinct().collect():
+        if tuple(keys) not in seen:
+            folder = f"{bronze}/{partition_folder(BRONZE_KEYS, keys)}"
+            drop_folder(qualify(spark, folder), storage)
+    return written
+
+
+def land_month(
+    rows: DataFrame,
+    bronze: str,
+    dataset: str,
+    ref_month: str,
+    storage: Mapping[str, str] | None = None,
+) -> WriteResult:
+    """Land one dataset's whole month, keyed by archive, in place of what it held before.
 
-def land_month(rows: DataFrame, bronze: str, dataset: str, ref_month: str) -> WriteResult:
-    """Land one dataset's whole month, keyed by archive, in place of what it held before."""
+    Archives that have rows are replaced first, then those that have none any more go.
+    """
+    month = f"{bronze}/{partition_folder(BRONZE_KEYS[:2], (dataset, ref_month))}"
     with concurrent_writers(rows.sparkSession):
-        return overwrite_folder(
-            rows.drop("dataset", "ref_month"),
-            f"{bronze}/dataset={dataset}/ref_month={ref_month}",
-            ["archive"],
-        )
+        written, seen = overwrite_seen(rows.drop("dataset", "ref_month"), month, ["archive"])
+    kept = {partition_folder(["archive"], name) for name in seen}
+    root = qualify(rows.sparkSession, month)
+    for name in subfolders(root, storage):
+        if name.startswith("archive=") and name not in kept:
+            drop_folder(f"{root}/{name}", storage)
+    return written
 
 
 def read_bronze(

@@ -56,16 +56,19 @@ def overwrite_partitions(
     partition_by: Sequence[str],
     rebalance: bool = False,
     sort_by: Sequence[str] = (),
+    one_partition: bool = False,
 ) -> WriteResult:
     """Replace only the partitions that `df` has rows for, and count the rows on the way.
 
     An empty result therefore leaves the earlier data in place, with no count of its own
     beforehand: the facts are read once. `rebalance` evens out file sizes when many tasks
     hold rows of many partitions; adaptive execution splits a partition that holds most.
+    `one_partition` does so for rows of a single one, which would give a file per task.
     `sort_by` orders the rows inside each file, without a shuffle, so that readers who
     filter on those columns skip row groups.
     """
     df = df.hint("rebalance", *partition_by) if rebalance else df
+    df = df.hint("rebalance") if one_partition else df
     df = df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
     counted, seen = _counted(df)
     (
@@ -77,9 +80,30 @@ def overwrite_partitions(
     return _result(seen)
 
 
-def overwrite_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> WriteResult:
-    """Replace a folder as a whole, also by nothing, and count the rows on the way."""
-    counted, seen = _counted(df)
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return _result(seen)
+def overwrite_seen(df: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[WriteResult, set]:
+    """As :func:`overwrite_partitions`, and tell which partitions had rows.
+
+    The partitions of one write are collected, so there must be a bounded number of them.
+    """
+    seen = Observation()
+    found = F.collect_set(F.struct(*partition_by)).alias("partitions")
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), found)
+    (
+        counted.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    return _result(seen), {tuple(p) for p in seen.get.get("partitions") or ()}
+
+
+# Characters that Spark writes as %XX in the name of a partition's folder.
+_ESCAPED = {chr(c) for c in [*range(1, 32), 127]} | set("\"#%'*/:=?\\{[]^")
+
+
+def partition_folder(keys: Sequence[str], values: Sequence[str]) -> str:
+    """The folder of one partition below its table."""
+    def name(value: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+    return "/".join(f"{k}={name(v)}" for k, v in zip(keys, values, strict=True))

@@ -55,3 +55,17 @@ def list_files(uri: str, suffix: str, options: Mapping[str, str] | None = None)
     return sorted(
         prefix + f.path for f in found if f.type == fs.FileType.File and f.path.endswith(suffix)
     )
+
+
+def subfolders(uri: str, options: Mapping[str, str] | None = None) -> list[str]:
+    """Names of the folders right below one; none if it is not there."""
+    store, path, _ = resolve(uri, options)
+    found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(f.base_name for f in found if f.type == fs.FileType.Directory)
+
+
+def drop_folder(uri: str, options: Mapping[str, str] | None = None) -> None:
+    """Delete a folder, if it is there."""
+    store, path, _ = resolve(uri, options)
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)

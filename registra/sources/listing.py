@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registra.config import ARCHIVE_SUFFIX
 from registra.functions import paths as P
+from registra.session import qualify
+from registra.sources.archive import ship_package
+from registra.sources.filesystem import resolve
 
 
 def list_objects(spark: SparkSession, root: str, suffix: str = ARCHIVE_SUFFIX) -> DataFrame:
@@ -19,6 +27,60 @@ def list_objects(spark: SparkSession, root: str, suffix: str = ARCHIVE_SUFFIX) -
     return reader.load(root).select("path", "length", "modificationTime")
 
 
+_FOUND = pa.schema(
+    [
+        ("path", pa.string()),
+        ("length", pa.int64()),
+        ("modificationTime", pa.timestamp("us", "UTC")),
+        ("folder", pa.bool_()),
+    ]
+)
+
+
+def list_archives(
+    spark: SparkSession,
+    root: str,
+    suffix: str = ARCHIVE_SUFFIX,
+    storage: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The same columns for every archive below a folder, whatever its name.
+
+    Spark's own listing passes over names that begin with `_` or `.`, which the archive reader
+    takes. Tasks do the listing, one for each folder right below the root, so no path reaches the
+    driver. A folder that is not there holds nothing.
+    """
+    ship_package()
+    top, options = qualify(spark, root), dict(storage or {})
+
+    def found(uri: str, recursive: bool) -> pa.RecordBatch:
+        store, path, prefix = resolve(uri, options)
+        chosen = fs.FileSelector(path, recursive=recursive, allow_not_found=True)
+        rows = [
+            {"path": prefix + f.path, "length": f.size or 0, "modificationTime": f.mtime,
+             "folder": f.type == fs.FileType.Directory}
+            for f in store.get_file_info(chosen)
+            if f.path.endswith(suffix) or not recursive
+        ]
+        return pa.RecordBatch.from_pylist(rows, schema=_FOUND)
+
+    def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield found(top, recursive=False)
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files = batch.filter(pc.invert(batch.column(3)))
+            yield files
+            for row in batch.filter(batch.column(3)).to_pylist():
+                yield found(row["path"], recursive=True)
+
+    kind = "path string, length long, modificationTime timestamp, folder boolean"
+    first = spark.range(1).mapInArrow(children, kind)
+    listed = first.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(below, kind)
+    return listed.filter(~F.col("folder") & F.col("path").endswith(suffix)).drop("folder")
+
+
 def routed(listing: DataFrame) -> DataFrame:
     """Add `dataset`, `ref_month` and `name`, read off the path."""
     path = F.col("path")

@@ -1,17 +1,20 @@
-"""Incremental ingest: every archive that appears under a folder is landed once."""
+"""Incremental ingest: every archive under a folder is landed once, and again when replaced."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from registra.config import ARCHIVE_SUFFIX
 from registra.functions.paths import file_name
+from registra.session import qualify
 from registra.sinks.bronze import land_archives
+from registra.sources.filesystem import subfolders
+from registra.sources.listing import list_archives
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -21,6 +24,14 @@ LISTING_SCHEMA = T.StructType(
         T.StructField("content", T.BinaryType()),
     ]
 )
+LANDED_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("run", T.LongType()),
+    ]
+)
 FILES_PER_BATCH = 1000
 
 
@@ -47,6 +58,39 @@ def arriving_archives(
     )
 
 
+@dataclass(frozen=True)
+class IngestResult:
+    archives: int
+    rows: int
+
+
+def landed_archives(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What was landed last under each path: `path, length, modificationTime`."""
+    folder = f"{checkpoint}/landed"
+    if not subfolders(qualify(spark, folder)):
+        return spark.createDataFrame([], LANDED_SCHEMA).drop("run")
+    records = spark.read.schema(LANDED_SCHEMA).parquet(folder)
+    newest = F.max_by(F.struct("length", "modificationTime"), "run").alias("last")
+    return records.groupBy("path").agg(newest).select(
+        "path", "last.length", "last.modificationTime"
+    )
+
+
+def pending_archives(
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    contains: str = "",
+    storage: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Archives that are new, or of another length or time than when they were landed."""
+    listed = list_archives(spark, folder, storage=storage)
+    wanted = listed.filter(file_name(F.col("path")).contains(contains))
+    return wanted.join(
+        landed_archives(spark, checkpoint), ["path", "length", "modificationTime"], "left_anti"
+    )
+
+
 def ingest_archives(
     spark: SparkSession,
     folder: str,
@@ -56,21 +100,26 @@ def ingest_archives(
     contains: str = "",
     files_per_batch: int = FILES_PER_BATCH,
     storage: Mapping[str, str] | None = None,
-) -> StreamingQuery:
-    """Land all archives that are new since the last run, then stop.
+) -> IngestResult:
+    """Land all archives that are new or replaced since the last run.
 
-    The checkpoint remembers what was landed, also across restarts. A batch that is
-    repeated after a failure replaces its own archives, so nothing is landed twice.
+    A table under the checkpoint records path, length and time of what was landed, after the rows
+    are committed; the listing is compared with it, so an archive that is put again is landed
+    again, in place of its old rows and also by nothing. A run that fails lands its unrecorded
+    batches again, onto the same partitions.
     """
-    def land(batch: DataFrame, _: int) -> None:
-        land_archives(batch, bronze, schema, storage=storage)
-
-    query = (
-        arriving_archives(spark, folder, contains, files_per_batch)
-        .writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    run = len(subfolders(qualify(spark, f"{checkpoint}/landed")))
+    todo = f"{checkpoint}/pending"
+    found = pending_archives(spark, folder, checkpoint, contains, storage)
+    found.write.mode("overwrite").parquet(todo)
+    pending = spark.read.schema(found.schema).parquet(todo)
+    count = pending.count()
+    batches = -(-count // files_per_batch)
+    rows = 0
+    for number in range(batches):
+        chosen = F.pmod(F.xxhash64("path"), F.lit(batches)) == number
+        batch = pending.filter(chosen)
+        rows += land_archives(batch, bronze, schema, storage=storage).rows
+        record = batch.withColumn("run", F.lit(run + number).cast("long"))
+        record.write.mode("overwrite").parquet(f"{checkpoint}/landed/part={run + number}")
+    return IngestResult(count, rows)

@@ -17,10 +17,23 @@ from registra.session import (
     work_folder,
 )
 from registra.sinks.bronze import keyed_lines, land_archives, read_bronze
-from registra.sinks.parquet import SKIPPED_EMPTY, SKIPPED_GUARD, WRITTEN, overwrite_partitions
+from registra.sinks.parquet import (
+    SKIPPED_EMPTY,
+    SKIPPED_GUARD,
+    WRITTEN,
+    overwrite_partitions,
+    partition_folder,
+)
+from registra.sources.archive import read_archives
 from registra.sources.delimited import parse_lines
 from registra.sources.filesystem import list_files, resolve
-from registra.sources.listing import complete_files, list_objects, manifest, routed
+from registra.sources.listing import (
+    complete_files,
+    list_archives,
+    list_objects,
+    manifest,
+    routed,
+)
 from registra.streaming.ingest import arriving_archives, ingest_archives
 
 MONTH = "estabelecimentos_2025-12"
@@ -287,10 +300,67 @@ def test_run_without_input(spark, cfg):
         run(spark, absent)
     result = run(spark, dataclasses.replace(absent, on_missing="empty"))
     assert result.facts.rows == result.lookup.rows == result.silver.rows == 0
+    unsized = run(spark, dataclasses.replace(absent, width=None, on_missing="empty"))
+    assert unsized.facts.rows == unsized.silver.rows == 0
     with pytest.raises(FileNotFoundError):
         run(spark, dataclasses.replace(absent, width=None))
 
 
+def test_replaced_and_emptied_archives_are_landed_again(spark, tmp_path):
+    inbox, bronze = tmp_path / "in", str(tmp_path / "bronze")
+    root = write_month(inbox)
+    args = (spark, f"{root}/{MONTH}", bronze, str(tmp_path / "progress"), text_schema(21))
+
+    def landed():
+        rows = read_bronze(spark, bronze, text_schema(21), "estabelecimentos", "2025-12")
+        return {r["archive"]: r["count"] for r in rows.groupBy("archive").count().collect()}
+
+    assert ingest_archives(*args).archives > 0
+    before = landed()
+    write_zip(inbox / MONTH / "E1.zip", {"part1": "".join(FACTS[:1])})
+    assert ingest_archives(*args).archives == 1
+    assert landed() == before | {"E1.zip": 1}
+    write_zip(inbox / MONTH / "E1.zip", {"part1": ""})
+    assert ingest_archives(*args).archives == 1
+    assert landed() == {k: v for k, v in before.items() if k != "E1.zip"}
+    assert ingest_archives(*args).archives == 0
+
+
+def test_both_routes_take_archives_of_any_name(spark, tmp_path):
+    for name in ("_E.zip", "F.zip", ".G.zip", "_sub/H.zip"):
+        write_zip(tmp_path / "in" / MONTH / name, {"m": "".join(FACTS[:2])})
+    folder = f"{tmp_path}/in/{MONTH}"
+    names = {r["path"].rpartition("/")[2] for r in list_archives(spark, folder).collect()}
+    assert names == {"_E.zip", "F.zip", ".G.zip", "H.zip"}
+    assert read_archives(spark, folder).count() == 8
+
+
+def test_silver_is_one_file_for_few_rows(spark, cfg, tmp_path):
+    for i in range(30):
+        write_zip(tmp_path / "archives" / MONTH / f"X{i}.zip", {"m": "".join(FACTS)})
+    assert run(spark, cfg).silver.rows > len(SILVER)
+    assert len(list((tmp_path / "silver").rglob("*.parquet"))) <= 2
+
+
+def test_partition_folder_is_escaped_as_spark_does(spark, tmp_path):
+    odd = "a:b%c=[1]'x\"y z.zip"
+    spark.range(1).select("id", F.lit(odd).alias("archive")).write.partitionBy("archive").parquet(
+        f"{tmp_path}/t"
+    )
+    assert (tmp_path / "t" / partition_folder(["archive"], [odd])).is_dir()
+
+
+def test_default_file_system_is_asked_of_hadoop(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    hadoop.set("fs.defaultFS", "hdfs://nn:8020")
+    try:
+        assert qualify(spark, "/data/x") == "hdfs://nn:8020/data/x"
+    finally:
+        hadoop.set("fs.defaultFS", before)
+    assert qualify(spark, "/data/x") == "/data/x"
+
+
 def test_run_can_refuse_repeated_codes(spark, cfg, tmp_path):
     strict = dataclasses.replace(cfg, unique_lookup=True)
     assert run(spark, strict).silver.rows == len(SILVER)
