@@ -19,6 +19,7 @@ from registra.sources.filesystem import resolve
 def csv_line(*columns: Column) -> Column:
     """One quoted line of `;` text; NULL becomes an empty field."""
     options = {"sep": FIELD_SEPARATOR, "quoteAll": "true", "nullValue": "", "emptyValue": ""}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     return F.to_csv(F.struct(*columns), options)
 
 
@@ -47,7 +48,8 @@ def write_archives(lines: DataFrame, root: str, stem: str, rebalance: bool = Fal
                     draft = f"{base}/{name}/{stem}{task.partitionId()}.{task.taskAttemptId()}.tmp"
                     out = store.open_output_stream(draft)
                     archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
-                    member = archive.open(f"{stem}{task.partitionId()}.csv", "w")
+                    # Members whose names are hidden are not read; archives are.
+                    member = archive.open(f"{stem.lstrip('._')}{task.partitionId()}.csv", "w")
                     sinks[name] = (draft, out, archive, member)
                 sinks[name][3].write("".join(f"{t}\n" for t in texts).encode(ENCODING))
         for name, (draft, out, archive, member) in sinks.items():

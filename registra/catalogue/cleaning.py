@@ -58,7 +58,8 @@ def digits_in_place(spark, sf):
             when 6 then null
             else ' -' || cast(l_partkey as varchar) || ' ' end as raw
         from lineitem)
-    select l_orderkey, l_linenumber, raw, coalesce({digits_sql("raw")}, -1) as n from noisy""",
+    select l_orderkey, l_linenumber, raw, coalesce({digits_sql("raw")}, -1) as n,
+           {digits_sql("raw")} is null as no_number from noisy""",
 )
 def lenient_cast_edges(spark, sf):
     part, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
@@ -73,8 +74,10 @@ def lenient_cast_edges(spark, sf):
         .otherwise(F.concat(F.lit(" -"), part, F.lit(" ")))
     )
     noisy = table(spark, sf, "lineitem").select(*KEYS, raw.alias("raw"))
-    # Digits are never negative, so -1 can stand for NULL.
-    return noisy.withColumn("n", F.coalesce(digits_to_int(F.col("raw")), F.lit(-1)))
+    number = digits_to_int(F.col("raw"))
+    return noisy.withColumns(
+        {"n": F.coalesce(number, F.lit(-1)), "no_number": number.isNull()}
+    )
 
 
 @query(

@@ -21,7 +21,7 @@ from registra.catalogue.tables import (
 from registra.functions import paths as P
 from registra.operators import gold
 from registra.operators.columns import add_clean_keys
-from registra.operators.lookup import clean_lookup, join_lookup, repeated_codes
+from registra.operators.lookup import clean_lookup, join_lookup, keep_codes, repeated_codes
 from registra.operators.metrics import run_metrics
 from registra.operators.pending import first_pending, pending_files
 from registra.operators.silver import build_silver, guarded
@@ -64,10 +64,25 @@ def join_duplicates(spark, sf):
     )
 
 
+@query(
+    "join_repeated_codes",
+    f"""select l_orderkey, l_linenumber, municipio_cod, municipio_nome
+        from ({FACTS_SQL}) f
+        join (({LOOKUP_SQL}) union all ({LOOKUP_SQL})) m
+          on {digits_sql("f.mun_raw")} = m.municipio_cod
+        where municipio_cod <= 20""",
+)
+def join_repeated(spark, sf):
+    once = keep_codes(clean_lookup(lookup(spark, sf)), range(21))
+    joined = join_lookup(add_clean_keys(facts(spark, sf), COLUMNS), once.unionAll(once))
+    return joined.select(*KEYS, "municipio_cod", "municipio_nome")
+
+
 @query(
     "repeated_lookup_codes",
     f"""select municipio_cod, count(*) as copies
-        from (({LOOKUP_SQL}) union all ({LOOKUP_SQL} where s_nationkey < 10))
+        from (({LOOKUP_SQL}) union all
+              (select {digits_sql("s_name")}, s_name from supplier where s_nationkey < 10))
         where municipio_cod is not null group by 1 having count(*) > 1""",
 )
 def repeated(spark, sf):

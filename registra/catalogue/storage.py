@@ -36,7 +36,7 @@ from registra.sinks.bronze import BRONZE_KEYS, keyed_lines, land_bronze, read_br
 from registra.sinks.parquet import overwrite_partitions
 from registra.sources.archive import expand_archives, read_archives
 from registra.sources.delimited import parse_lines, read_facts, read_lookup
-from registra.sources.listing import complete_files, list_objects, routed
+from registra.sources.listing import complete_files, list_archives, list_objects, routed
 from registra.streaming.ingest import ingest_archives
 
 MONTH = "2025-12"
@@ -118,7 +118,7 @@ def _fact_archives(spark, sf, folder=None):
 
 FACT_TEXT_SQL = f"""
     select cast(l_orderkey as varchar) as _c0, cast(l_linenumber as varchar) as _c1,
-           cast(l_partkey as varchar) as _c2, mun_raw as _c3 from ({FACTS_SQL})"""
+           cast(l_partkey as varchar) as _c2, nullif(mun_raw, '') as _c3 from ({FACTS_SQL})"""
 
 
 @query("scan_archive", FACT_TEXT_SQL)
@@ -230,6 +230,71 @@ def stream_files_once(spark, sf):
     return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+INGEST_MONTH_SQL = """
+    select 'Lines' || (l_linenumber % 3) as archive, count(*) as n from lineitem"""
+
+
+def _ingested(spark, sf, again):
+    """Three archives of line items landed, then one of them put again with other lines."""
+    rows = table(spark, sf, "lineitem").select(
+        F.lit(f"{FACTS_DATASET}_{MONTH}").alias("folder"),
+        (F.col("l_linenumber") % 3).alias("part"),
+        F.col("l_quantity"),
+        csv_line(F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
+            "line"
+        ),
+    )
+    inbox, bronze = work_folder(spark, "inbox"), work_folder(spark, "bronze")
+    checkpoint = work_folder(spark, "progress")
+    schema = text_schema(["l_orderkey", "l_linenumber"])
+    for part in range(3):
+        write_archives(rows.filter(F.col("part") == part).coalesce(1), inbox, f"Lines{part}-")
+    ingest_archives(spark, inbox, bronze, checkpoint, schema)
+    write_archives(again(rows.filter("part = 1")).coalesce(1), inbox, "Lines1-")
+    ingest_archives(spark, inbox, bronze, checkpoint, schema)
+    ingest_archives(spark, inbox, bronze, checkpoint, schema)
+    stored = read_bronze(spark, bronze, schema, FACTS_DATASET, MONTH)
+    name = F.regexp_extract("archive", "^([^-]+)", 1).alias("archive")
+    return stored.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "ingest_replaced_archive",
+    f"{INGEST_MONTH_SQL} where l_linenumber % 3 <> 1 or l_quantity < 25 group by 1",
+)
+def ingest_replaced_archive(spark, sf):
+    return _ingested(spark, sf, lambda rows: rows.filter("l_quantity < 25"))
+
+
+@query(
+    "ingest_emptied_archive",
+    f"{INGEST_MONTH_SQL} where l_linenumber % 3 <> 1 group by 1",
+)
+def ingest_emptied_archive(spark, sf):
+    return _ingested(spark, sf, lambda rows: rows.withColumn("line", F.lit("")))
+
+
+@query(
+    "scan_archive_all_names",
+    "select case when l_linenumber < 3 then '_hidden' when l_linenumber < 5 then '.dotted' "
+    "else 'plain' end as name, count(*) as n from lineitem group by 1",
+)
+def scan_archive_all_names(spark, sf):
+    line = F.col("l_linenumber")
+    rows = table(spark, sf, "lineitem").select(
+        F.lit(f"{FACTS_DATASET}_{MONTH}").alias("folder"),
+        F.when(line < 3, "_hidden").when(line < 5, ".dotted").otherwise("plain").alias("name"),
+        csv_line(F.col("l_orderkey").cast("string")).alias("line"),
+    )
+    root = work_folder(spark, "archives")
+    for name in ("_hidden", ".dotted", "plain"):
+        write_archives(rows.filter(F.col("name") == name), root, f"{name}-")
+    listing = list_archives(spark, root)
+    lines = expand_archives(listing.select("path"), spark.sparkContext.defaultParallelism)
+    name = F.regexp_extract("archive", "([^/]+)-[^/]*$", 1).alias("name")
+    return lines.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _registry_lines(spark, sf):
     """Line items as 21 raw columns: kind at 3, status at 5, municipality code at 20."""
     placed = {
