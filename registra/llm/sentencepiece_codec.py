@@ -50,6 +50,7 @@ PENALTY = 10.0  # of a character without a piece, below the worst score
 CHUNK_WORDS = 400_000  # distinct words of a chunk
 UNITS_PER_TASK = 20_000
 BLOCK = 256
+CODES = 1 << 21  # above all code points, so that they fit below zero
 ROWS = 512  # texts that are passed on at once
 
 
@@ -148,25 +149,43 @@ class Cutter:
 
 
 def edges(units: DataFrame, model: Model) -> DataFrame:
-    """Substrings of each unit that are pieces, and single characters that are none (null id)."""
-    size = F.length("unit")
-    starts = units.select("unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    """Substrings of each unit (uid, unit) that are pieces, and single characters that are none.
+
+    A long unit is cut into blocks, each with the characters that a piece from its last place may
+    need, so a row's size is bounded; the unit itself rides on its very first substring only.
+    """
+    step, reach = F.lit(BLOCK), F.lit(BLOCK + model.longest)
+    blocks = units.select(
+        "uid", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1, step)).alias("from")
+    ).select(
+        "uid",
+        "from",
+        F.substring("unit", F.col("from") + 1, reach).alias("block"),
+        F.when(F.col("from") == 0, F.col("unit")).alias("unit"),
+    )
+    starts = blocks.select(
+        "*", F.explode(F.sequence(F.lit(0), F.least(step, F.length("block")) - 1)).alias("at")
+    ).withColumn("unit", F.when(F.col("at") == 0, F.col("unit")))
+    left = F.length("block") - F.col("at")
     substrings = starts.select(
-        "unit",
-        "start",
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.lit(model.longest), size - F.col("start")))
-        ).alias("length"),
-    ).withColumn("piece", F.substring("unit", F.col("start") + 1, F.col("length")))
+        "*", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), left))).alias("length")
+    ).select(
+        "uid",
+        F.when(F.col("length") == 1, F.col("unit")).alias("unit"),
+        (F.col("from") + F.col("at")).alias("start"),
+        "length",
+        F.substring("block", F.col("at") + 1, F.col("length")).alias("piece"),
+    )
     pieces = F.broadcast(model.table(units.sparkSession))  # the vocabulary, of a fixed size
     return substrings.join(pieces, "piece", "left").filter(
         F.col("id").isNotNull() | (F.col("length") == 1)
     ).select(
+        "uid",
         "unit",
         F.struct(
             (F.col("start") + F.col("length")).alias("end"),
             "start",
-            edge_code(F.col("start"), F.coalesce("id", F.lit(-1))).alias("code"),
+            edge_code(F.col("start"), F.coalesce("id", -1 - F.ascii("piece"))).alias("code"),
             F.coalesce("score", F.lit(model.worst)).alias("score"),
         ).alias("edge"),
     )
@@ -274,7 +293,9 @@ def viterbi_of_long(found: Column, longest: int) -> Column:
 
 
 def edge_code(start: Column, number: Column) -> Column:
-    return F.shiftleft(start.cast("bigint"), 32) + number + 1
+    """An edge's start and its piece's id in one number; a character without a piece has -1 less
+    its code point for an id."""
+    return F.shiftleft(start.cast("bigint"), 32) + number + CODES
 
 
 def code_start(code: Column) -> Column:
@@ -282,8 +303,21 @@ def code_start(code: Column) -> Column:
 
 
 def code_id(code: Column) -> Column:
-    """The piece's id, -1 for a character without one."""
-    return code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - 1
+    return code.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int") - CODES
+
+
+def utf8(point: Column) -> Column:
+    """Bytes of one code point."""
+
+    def tail(shift: int) -> Column:
+        return F.shiftright(point, shift).bitwiseAND(F.lit(0x3F)) + 0x80
+
+    return (
+        F.when(point < 0x80, F.array(point))
+        .when(point < 0x800, F.array(F.shiftright(point, 6) + 0xC0, tail(0)))
+        .when(point < 0x10000, F.array(F.shiftright(point, 12) + 0xE0, tail(6), tail(0)))
+        .otherwise(F.array(F.shiftright(point, 18) + 0xF0, tail(12), tail(6), tail(0)))
+    )
 
 
 def places(last: Column) -> Column:
@@ -311,39 +345,31 @@ def walk_back(found: Column) -> Column:
 def encode_units(distinct: DataFrame, model: Model) -> DataFrame:
     """(unit, ids) of distinct units, ids in the order of the text."""
     spark = distinct.sparkSession
-    units = settled(distinct, "units")
+    units = settled(distinct.withColumn("uid", F.monotonically_increasing_id()), "units")
     tasks = max(shuffle_tasks(spark), math.ceil(units.count() / UNITS_PER_TASK))
-    dealt = units.repartition(tasks, "unit")
     found = F.col("edges")
     best = F.when(F.size(found) <= BLOCK, viterbi(found)).otherwise(
         viterbi_of_long(found, model.longest)
     )
     paths = (
-        edges(dealt, model)
-        .groupBy("unit")
-        .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+        edges(units.repartition(tasks, "uid"), model)
+        .groupBy("uid")
+        .agg(F.max("unit").alias("unit"), F.sort_array(F.collect_list("edge")).alias("edges"))
         .select("unit", best.alias("last"))
         .select("unit", places(F.col("last")).alias("places"))
         .select("unit", F.reverse(walk_back(F.col("places"))).alias("path"))
     )
     if model.bytes:
         table = F.split(F.lit(",".join(map(str, model.bytes))), ",").cast("array<int>")
-    unit = F.col("unit")
 
     def in_pieces(edge: Column) -> Column:
         number = code_id(edge)
         if not model.bytes:
             return F.array(F.when(number < 0, F.lit(model.unknown)).otherwise(number))
-        code = F.hex(F.encode(F.substring(unit, code_start(edge) + 1, F.lit(1)), "utf-8"))
-        in_bytes = F.transform(
-            F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")),
-            lambda i: F.get(
-                table, F.conv(F.substring(code, i.cast("int") * 2 + 1, F.lit(2)), 16, 10).cast("int")
-            ),
-        )
+        in_bytes = F.transform(utf8(-1 - number), lambda b: F.get(table, b))
         return F.when(number < 0, in_bytes).otherwise(F.array(number))
 
-    # Most units have a piece for each character, and need no look at their bytes.
+    # Most units have a piece for each character.
     plain = ~F.exists("path", lambda e: code_id(e) < 0)
     ids = F.when(plain, F.transform("path", code_id)).otherwise(
         F.flatten(F.transform("path", in_pieces))
