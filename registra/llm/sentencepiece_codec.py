@@ -15,10 +15,11 @@ before spaces and around signs. Every distinct unit of the corpus is encoded onc
   over a very long unit stays linear; a second fold walks back from the end.
 
 Texts. A task numbers the words of its texts and writes, per chunk of its documents, the texts as
-numbers of words, the chunk's words as numbers of units, and the chunk's units. Only
-those units, once per chunk, are joined with the encoded ones; the answers are written by chunk,
-and the task that reads a chunk's texts reads its answers from the shared folder. So texts are never
-shuffled, and a chunk has a bounded number of words.
+numbers of words and, in a file beside them, the chunk's words as numbers of units. The task
+that fills a chunk's ids in reads that file, so texts are never shuffled, and a chunk has a bounded
+number of words. Ids of units reach the tasks as a sorted table of hashes if its measured size is
+within `TABLE_BYTES` and no two hashes are equal; beyond that the chunks' units are joined with the
+encoded ones, and the answers are written by chunk.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
+import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -41,13 +43,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registra.llm.common import settled, shuffle_tasks
-from registra.session import work_folder
+from registra.session import qualify, work_folder
 from registra.sources.filesystem import resolve
 
 SPACE = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 PENALTY = 10.0  # of a character without a piece, below the worst score
-CHUNK_WORDS = 400_000  # distinct words of a chunk
+CHUNK_WORDS = 500_000  # distinct words of a chunk
+TABLE_BYTES = 128 << 20  # of the units' ids that are broadcast
 UNITS_PER_TASK = 20_000
 BLOCK = 256
 CODES = 1 << 21  # above all code points, so that they fit below zero
@@ -415,7 +418,7 @@ class Chunk:
             out.append(number)
 
     def composition(self) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The chunk's units, the units of all words one after the other, and where each ends."""
+        """The chunk's units, the units of all words one after the other, and how many each has."""
         words = [""] * self.size
         for word, number in self.bare.items():
             words[number] = word
@@ -423,87 +426,94 @@ class Chunk:
             words[number] = SPACE + word
         units: dict[str, int] = {}
         flat: list[int] = []
-        ends = []
+        sizes = []
         for word in words:
-            flat += [units.setdefault(u, len(units)) for u in self.cutter.units(word)]
-            ends.append(len(flat))
-        return list(units), np.array(flat, "<u4"), np.array(ends, "<u4")
-
-
-def gather(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists with some numbers, one after the other, and where each ends; all lists lie one
-    after the other in `flat`."""
-    ends = ends.astype(np.int64)
-    sizes = np.diff(ends, prepend=0)
-    wanted = sizes[numbers]
-    out_ends = np.cumsum(wanted)
-    if not len(numbers) or not out_ends[-1]:
-        return flat[:0], out_ends
-    # Each place of the result: the start of its list, and how far into the list it is.
-    first = np.repeat((ends - sizes)[numbers] - (out_ends - wanted), wanted)
-    return flat[first + np.arange(out_ends[-1])], out_ends
-
-
-_DRAFTS = pa.schema(
-    [
-        ("draft", pa.binary()),
-        ("source", pa.int64()),
-        ("units", pa.list_(pa.string())),
-        ("flat", pa.binary()),
-        ("ends", pa.binary()),
-    ]
-)
-
-
-def _drafts(shared):
-    """A row per text, and after the texts of a chunk one row with the chunk's words."""
+            own = self.cutter.units(word)
+            flat += [units.setdefault(u, len(units)) for u in own]
+            sizes.append(len(own))
+        return list(units), np.array(flat, "<u4"), np.array(sizes, "<u4")
+
+
+class Lists:
+    """Lists of numbers, one after the other."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes.astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists with some numbers one after the other, and the size of each."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        # Each place of the result: the start of its list, and how far into the list it is.
+        first = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.flat[first + np.arange(total)], sizes
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, which packs better."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _whole(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _write_words(folder: str, chunk: int, units: list[str], flat: np.ndarray, sizes: np.ndarray):
+    """A chunk's file: written under a name of its own, and renamed when whole."""
+    store, base, _ = resolve(folder)
+    store.create_dir(base, recursive=True)
+    own = f"{base}/.{chunk}.{TaskContext.get().taskAttemptId()}"
+    columns = {
+        "units": pa.array([units], pa.list_(pa.string())),
+        "flat": pa.array([_planes(flat)], pa.binary()),
+        "sizes": pa.array([_planes(sizes)], pa.binary()),
+    }
+    with store.open_output_stream(own) as stream:
+        pq.write_table(pa.table(columns), stream, compression="zstd", use_dictionary=False)
+    store.move(own, f"{base}/{chunk}")
+
+
+def read_words(folder: str, chunk: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    store, base, _ = resolve(folder)
+    with store.open_input_file(f"{base}/{chunk}") as stream:
+        row = pq.read_table(stream).to_pylist()[0]
+    return row["units"], _whole(row["flat"]), _whole(row["sizes"])
+
+
+def _drafts(shared, folder: str):
+    """A row per text; the words of a chunk of texts go to a file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         chunk, number, task = Chunk(shared.value), 0, TaskContext.get().partitionId()
 
-        def name() -> int:
-            return task << 32 | number
-
-        def closing(kind: pa.DataType) -> pa.RecordBatch:
-            units, flat, ends = chunk.composition()
-            packed = (packer.compress(flat.tobytes()), packer.compress(ends.tobytes()))
-            row = [None, None, units, *packed]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name()], pa.int64()),
-                    pa.nulls(1, kind),
-                    *(pa.array([v], f.type) for v, f in zip(row, _DRAFTS, strict=True)),
-                ],
-                names=["chunk", "id", *_DRAFTS.names],
-            )
+        def close() -> None:
+            _write_words(folder, task << 32 | number, *chunk.composition())
 
-        kind = None
+        used = False
         for batch in batches:
-            kind = batch.column(0).type
             for start in range(0, len(batch), ROWS):
                 some = batch.slice(start, ROWS)
-                drafts, checks = [], []
-                for value in some.column(1):
-                    text = value.as_py() or ""
-                    drafts.append(packer.compress(chunk.numbers(text).tobytes()))
-                    checks.append(check(text))
-                n = len(some)
+                texts = [x.as_py() or "" for x in some.column(1)]
+                drafts = [chunk.numbers(t) for t in texts]
+                used = True
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name()] * n, pa.int64()),
-                        some.column(0),
-                        pa.array(drafts, pa.binary()),
-                        pa.array(checks, pa.int64()),
-                        *(pa.nulls(n, f.type) for f in list(_DRAFTS)[2:]),
+                        pa.array([task << 32 | number], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some.column(0)),
+                        pa.array([list(map(check, texts))], pa.list_(pa.int64())),
+                        pa.array([list(map(len, drafts))], pa.list_(pa.int32())),
+                        pa.array([packer.compress(_planes(np.concatenate(drafts)))], pa.binary()),
                     ],
-                    names=["chunk", "id", *_DRAFTS.names],
+                    names=["chunk", "ids", "sources", "sizes", "draft"],
                 )
                 if chunk.size > CHUNK_WORDS:
-                    yield closing(kind)
-                    chunk, number = Chunk(shared.value), number + 1
-        if kind is not None:
-            yield closing(kind)
+                    close()
+                    chunk, number, used = Chunk(shared.value), number + 1, False
+        if used:
+            close()
 
     return run
 
@@ -513,60 +523,82 @@ def check(text: str) -> int:
     return zlib.crc32(text.replace(SPACE, " ").encode("utf-8", "surrogatepass"))
 
 
-def _read_table(folder: str, columns: list[str]) -> list[pa.Table]:
-    store, path, _ = resolve(folder)
-    tables = []
-    for file in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
-        if file.path.endswith(".parquet"):
-            with store.open_input_file(file.path) as stream:
-                tables.append(pq.read_table(stream, columns=columns))
-    return tables
+def _chunk_units(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in batch.column(0).to_pylist():
+                units, _, _ = read_words(folder, chunk)
+                yield pa.record_batch(
+                    [
+                        pa.array([chunk] * len(units), pa.int64()),
+                        pa.array(np.arange(len(units), dtype="i4")),
+                        pa.array(units, pa.string()),
+                    ],
+                    names=["chunk", "pos", "unit"],
+                )
+
+    return run
 
 
-class Answers:
-    """Ids of all words of one chunk, read from its folder."""
+class Table:
+    """Ids of units by the hash of the unit."""
 
-    def __init__(self, folder: str, chunk: int):
-        unpack = zstandard.ZstdDecompressor().decompress
-        self.flat, self.ends = np.zeros(0, "i4"), np.zeros(0, np.int64)
-        words = _read_table(f"{folder}/words/chunk={chunk}", ["flat", "ends"])
-        found = _read_table(f"{folder}/ids/chunk={chunk}", ["pos", "ids"])
-        if not words or not found:
-            return
-        units = pa.concat_tables(found).combine_chunks()
-        order = np.argsort(units.column("pos").to_numpy())
-        lists = units.column("ids").combine_chunks()
+    def __init__(self, found: pa.Table):
+        hashes = found.column("hash").to_numpy()
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        lists = found.column("ids").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         lists = lists.take(pa.array(order))
-        flat = lists.flatten().to_numpy().astype("i4")
-        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-        row = pa.concat_tables(words).to_pylist()[0]
-        parts = np.frombuffer(unpack(row["flat"]), "<u4")
-        word_ends = np.frombuffer(unpack(row["ends"]), "<u4").astype(np.int64)
-        self.flat, part_ends = gather(flat, ends, parts)
-        self.ends = np.concatenate([[0], part_ends])[word_ends]
+        self.sizes = pc.list_value_length(lists).to_numpy().astype("i4")
+        self.flat = lists.flatten().to_numpy().astype("i4")
+
+    def of(self, units: list[str]) -> Lists:
+        seeded = [xxhash.xxh64_intdigest(u.encode(), 42) for u in units]
+        wanted = np.array(seeded, np.uint64).view(np.int64)
+        return Lists(*Lists(self.flat, self.sizes).gather(np.searchsorted(self.hashes, wanted)))
+
+
+def _joined_ids(folder: str, chunk: int) -> Lists:
+    """Ids of a chunk's units, from the files that the join has written."""
+    store, path, _ = resolve(f"{folder}/chunk={chunk}")
+    rows: list[tuple[int, list[int]]] = []
+    for file in store.get_file_info(fs.FileSelector(path)):
+        if file.path.endswith(".parquet"):
+            with store.open_input_file(file.path) as stream:
+                found = pq.read_table(stream, columns=["pos", "ids"])
+            rows += zip(found.column("pos").to_pylist(), found.column("ids").to_pylist(), strict=True)
+    lists = [ids for _, ids in sorted(rows)]
+    return Lists(
+        np.array([i for ids in lists for i in ids], "i4"), np.array(list(map(len, lists)), np.int64)
+    )
 
 
-def _filled(folder: str):
+def _filled(words: str, table, answers: str | None):
+    """Ids of all texts, from the broadcast table or else from the folder of answers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        now, answers = None, None
+        now, known = None, None
         for batch in batches:
-            for start in range(0, len(batch), ROWS):
-                some = batch.slice(start, ROWS)
-                found = []
-                for chunk, draft in zip(some.column(0).to_pylist(), some.column(2), strict=True):
-                    if chunk != now:
-                        now, answers = chunk, Answers(folder, chunk)
-                    numbers = np.frombuffer(unpack(draft.as_py()), "<u4")
-                    found.append(gather(answers.flat, answers.ends, numbers)[0])
-                offsets = np.cumsum([0, *map(len, found)])
-                flat = np.concatenate(found) if found else np.zeros(0, "i4")
+            for i, chunk in enumerate(batch.column(0).to_pylist()):
+                if chunk != now:
+                    units, flat, sizes = read_words(words, chunk)
+                    found = table.value.of(units) if answers is None else _joined_ids(answers, chunk)
+                    ids, lengths = found.gather(flat)
+                    ends = np.concatenate([[0], np.cumsum(lengths)])
+                    last = np.cumsum(sizes.astype(np.int64))
+                    known = Lists(ids, np.diff(ends[last], prepend=0))
+                    now = chunk
+                drafts = _whole(unpack(batch.column(4)[i].as_py()))
+                cuts = np.cumsum([0, *batch.column(3)[i].as_py()])
+                ids, lengths = known.gather(drafts)
+                offsets = np.concatenate([[0], np.cumsum(lengths)])[cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column(1),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                        some.column(3),
+                        batch.column(1)[i].values,
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)),
+                        batch.column(2)[i].values,
                     ],
                     names=["id", "ids", "source"],
                 )
@@ -575,7 +607,11 @@ def _filled(folder: str):
 
 
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
     """Per row of `docs`: id, ids (array of ints), source (checksum of the text).
 
@@ -587,28 +623,35 @@ def encode_documents(
     shared = spark.sparkContext.broadcast(Cutter(model))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    words = qualify(spark, work_folder(spark, "words"))
     written = settled(
         rows.mapInArrow(
-            _drafts(shared),
-            f"chunk long, id {kind}, draft binary, source long, units array<string>, "
-            "flat binary, ends binary",
+            _drafts(shared, words),
+            f"chunk long, ids array<{kind}>, sources array<long>, sizes array<int>, draft binary",
         ),
         "drafts",
     )
-    folder = work_folder(spark, "chunks")
-    chunks = written.filter("units is not null")
-    chunks.select("chunk", "flat", "ends").write.partitionBy("chunk").parquet(f"{folder}/words")
-    listed = chunks.select("chunk", F.posexplode("units").alias("pos", "unit"))
-    encoded = encode_units(listed.select("unit").distinct(), model)
-    listed.join(encoded, "unit").select("chunk", "pos", "ids").repartition(
-        "chunk"
-    ).sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(f"{folder}/ids")
-    return (
-        written.filter("draft is not null")
-        .select("chunk", "id", "draft", "source")
-        .mapInArrow(_filled(folder), f"id {kind}, ids array<int>, source long")
-        .withColumnRenamed("id", id_col)
+    chunks = written.select("chunk").distinct()
+    listed = chunks.repartition(shuffle_tasks(spark), "chunk").mapInArrow(
+        _chunk_units(words), "chunk long, pos int, unit string"
     )
+    encoded = encode_units(listed.select("unit").distinct(), model)
+    hashed = encoded.select(F.xxhash64("unit").alias("hash"), "ids")
+    n, different, ids = hashed.agg(
+        F.count("*"), F.countDistinct("hash"), F.coalesce(F.sum(F.size("ids")), F.lit(0))
+    ).first()
+    table = answers = None
+    if n == different and 12 * n + 4 * ids <= table_bytes:
+        table = spark.sparkContext.broadcast(Table(hashed.toArrow()))  # `table_bytes` at most
+    else:
+        answers = work_folder(spark, "answers")
+        listed.join(encoded, "unit").select("chunk", "pos", "ids").repartition(
+            "chunk"
+        ).sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(answers)
+        answers = qualify(spark, answers)
+    return written.mapInArrow(
+        _filled(words, table, answers), f"id {kind}, ids array<int>, source long"
+    ).withColumnRenamed("id", id_col)
 
 
 class Decoder:
