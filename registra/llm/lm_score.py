@@ -40,7 +40,7 @@ BITS_PER_ENTRY = 8
 PROBES = 4
 FILTER_BYTES = 256 << 20
 EVENTS_PER_SLICE = 3_000_000
-CHUNK = 4_000_000  # events that are sorted at once in a task
+CHUNK = 2_000_000  # events that are sorted at once in a task
 GROUP_CHARS = 1_000_000  # characters of texts that are scored at once
 KEPT_TOKENS = 1_000_000  # distinct tokens that a task counts before it passes them on
 HELD_OUT = 2  # remainder of the documents that are not learnt from

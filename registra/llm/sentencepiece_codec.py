@@ -24,7 +24,6 @@ encoded ones, and the answers are written by chunk.
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -49,9 +48,9 @@ from registra.sources.filesystem import resolve
 SPACE = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 PENALTY = 10.0  # of a character without a piece, below the worst score
-CHUNK_WORDS = 500_000  # distinct words of a chunk
+CHUNK_WORDS = 400_000  # distinct words of a chunk
 TABLE_BYTES = 128 << 20  # of the units' ids that are broadcast
-UNITS_PER_TASK = 20_000
+TASKS_PER_CHUNK = 2
 BLOCK = 256
 CODES = 1 << 21  # above all code points, so that they fit below zero
 ROWS = 512  # texts that are passed on at once
@@ -152,16 +151,17 @@ class Cutter:
 
 
 def edges(units: DataFrame, model: Model) -> DataFrame:
-    """Substrings of each unit (uid, unit) that are pieces, and single characters that are none.
+    """Substrings of each unit (h1, h2, unit) that are pieces, and single characters that are none.
 
     A long unit is cut into blocks, each with the characters that a piece from its last place may
     need, so a row's size is bounded; the unit itself rides on its very first substring only.
     """
     step, reach = F.lit(BLOCK), F.lit(BLOCK + model.longest)
     blocks = units.select(
-        "uid", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1, step)).alias("from")
+        "h1", "h2", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1, step)).alias("from")
     ).select(
-        "uid",
+        "h1",
+        "h2",
         "from",
         F.substring("unit", F.col("from") + 1, reach).alias("block"),
         F.when(F.col("from") == 0, F.col("unit")).alias("unit"),
@@ -173,7 +173,8 @@ def edges(units: DataFrame, model: Model) -> DataFrame:
     substrings = starts.select(
         "*", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), left))).alias("length")
     ).select(
-        "uid",
+        "h1",
+        "h2",
         F.when(F.col("length") == 1, F.col("unit")).alias("unit"),
         (F.col("from") + F.col("at")).alias("start"),
         "length",
@@ -183,7 +184,8 @@ def edges(units: DataFrame, model: Model) -> DataFrame:
     return substrings.join(pieces, "piece", "left").filter(
         F.col("id").isNotNull() | (F.col("length") == 1)
     ).select(
-        "uid",
+        "h1",
+        "h2",
         "unit",
         F.struct(
             (F.col("start") + F.col("length")).alias("end"),
@@ -345,19 +347,26 @@ def walk_back(found: Column) -> Column:
     return F.when(end <= BLOCK, short).otherwise(long)
 
 
-def encode_units(distinct: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of distinct units, ids in the order of the text."""
-    spark = distinct.sparkSession
-    units = settled(distinct.withColumn("uid", F.monotonically_increasing_id()), "units")
-    tasks = max(shuffle_tasks(spark), math.ceil(units.count() / UNITS_PER_TASK))
+def encode_units(units: DataFrame, model: Model, tasks: int = 0) -> DataFrame:
+    """(unit, ids) of the distinct units, ids in the order of the text.
+
+    Units are dealt by a hash once, and everything up to their ids stays with them. Edges are
+    grouped by 96 bits of hash; should two units ever share them, the job fails.
+    """
+    tasks = max(tasks, shuffle_tasks(units.sparkSession))
+    hashes = F.xxhash64("unit").alias("h1"), F.hash("unit").alias("h2")
+    distinct = units.select(*hashes, "unit").repartition(tasks, "h1").distinct()
+    one = F.when(F.min("unit") == F.max("unit"), F.max("unit")).otherwise(
+        F.raise_error(F.lit("two units have the same hashes")).cast("string")
+    )
     found = F.col("edges")
     best = F.when(F.size(found) <= BLOCK, viterbi(found)).otherwise(
         viterbi_of_long(found, model.longest)
     )
     paths = (
-        edges(units.repartition(tasks, "uid"), model)
-        .groupBy("uid")
-        .agg(F.max("unit").alias("unit"), F.sort_array(F.collect_list("edge")).alias("edges"))
+        edges(distinct, model)
+        .groupBy("h1", "h2")
+        .agg(one.alias("unit"), F.sort_array(F.collect_list("edge")).alias("edges"))
         .select("unit", best.alias("last"))
         .select("unit", places(F.col("last")).alias("places"))
         .select("unit", F.reverse(walk_back(F.col("places"))).alias("path"))
@@ -489,8 +498,14 @@ def _drafts(shared, folder: str):
         packer = zstandard.ZstdCompressor(level=3)
         chunk, number, task = Chunk(shared.value), 0, TaskContext.get().partitionId()
 
-        def close() -> None:
+        def close(kind: pa.DataType) -> pa.RecordBatch:
+            """A row without texts, which says that the chunk's file is there."""
             _write_words(folder, task << 32 | number, *chunk.composition())
+            kinds = pa.list_(kind), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([task << 32 | number], pa.int64()), *(pa.nulls(1, k) for k in kinds)],
+                names=["chunk", "ids", "sources", "sizes", "draft"],
+            )
 
         used = False
         for batch in batches:
@@ -510,10 +525,10 @@ def _drafts(shared, folder: str):
                     names=["chunk", "ids", "sources", "sizes", "draft"],
                 )
                 if chunk.size > CHUNK_WORDS:
-                    close()
+                    yield close(some.column(0).type)
                     chunk, number, used = Chunk(shared.value), number + 1, False
         if used:
-            close()
+            yield close(some.column(0).type)
 
     return run
 
@@ -553,6 +568,9 @@ class Table:
         self.sizes = pc.list_value_length(lists).to_numpy().astype("i4")
         self.flat = lists.flatten().to_numpy().astype("i4")
 
+    def exact(self) -> bool:
+        return bool((self.hashes[1:] != self.hashes[:-1]).all())
+
     def of(self, units: list[str]) -> Lists:
         seeded = [xxhash.xxh64_intdigest(u.encode(), 42) for u in units]
         wanted = np.array(seeded, np.uint64).view(np.int64)
@@ -631,25 +649,22 @@ def encode_documents(
         ),
         "drafts",
     )
-    chunks = written.select("chunk").distinct()
-    listed = chunks.repartition(shuffle_tasks(spark), "chunk").mapInArrow(
-        _chunk_units(words), "chunk long, pos int, unit string"
-    )
-    encoded = encode_units(listed.select("unit").distinct(), model)
-    hashed = encoded.select(F.xxhash64("unit").alias("hash"), "ids")
-    n, different, ids = hashed.agg(
-        F.count("*"), F.countDistinct("hash"), F.coalesce(F.sum(F.size("ids")), F.lit(0))
-    ).first()
+    closed = written.filter("draft is null").select("chunk")
+    listed = closed.mapInArrow(_chunk_units(words), "chunk long, pos int, unit string")
+    encoded = encode_units(listed.select("unit"), model, TASKS_PER_CHUNK * closed.count())
+    n, ids = encoded.agg(F.count("*"), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
     table = answers = None
-    if n == different and 12 * n + 4 * ids <= table_bytes:
-        table = spark.sparkContext.broadcast(Table(hashed.toArrow()))  # `table_bytes` at most
-    else:
+    if 12 * n + 4 * ids <= table_bytes:  # so the table and what is collected are bounded
+        found = Table(encoded.select(F.xxhash64("unit").alias("hash"), "ids").toArrow())
+        if found.exact():
+            table = spark.sparkContext.broadcast(found)
+    if table is None:
         answers = work_folder(spark, "answers")
         listed.join(encoded, "unit").select("chunk", "pos", "ids").repartition(
             "chunk"
         ).sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(answers)
         answers = qualify(spark, answers)
-    return written.mapInArrow(
+    return written.filter("draft is not null").mapInArrow(
         _filled(words, table, answers), f"id {kind}, ids array<int>, source long"
     ).withColumnRenamed("id", id_col)
 
