@@ -76,7 +76,7 @@ def test_a_passage_repeated_inside_one_text_goes(spark):
 
 def test_segments_and_units():
     text = "One two. Three four\nfive Six SEVEN"
-    assert [text[s:e] for s, e, _, _ in segments(text)] == ["One two.", "Three four", "five", "Six SEVEN"]
+    assert [text[s:e] for s, e, _, _ in segments(text)] == ["One two.", "Three four", "five", "Six", "SEVEN"]
     assert [(text[s:e], n) for _, _, s, e, n in units(text, 3)] == [
         ("One two. Three four", 4), ("Three four\nfive", 3), ("five Six SEVEN", 3)
     ]
