@@ -9,7 +9,7 @@ from registra.llm.common import settled, small_batches
 from registra.llm.decontaminate import drop_contaminated
 from registra.llm.exact_dedup import drop_exact_copies
 from registra.llm.language_id import drop_unidentified
-from registra.llm.sentencepiece_codec import decode_documents, encode_documents
+from registra.llm.sentencepiece_codec import encode_and_decode
 from registra.llm.simhash import drop_near_copies
 
 SHINGLE = 3
@@ -43,8 +43,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, the text that they decode to, and whether it is the text of the document."""
     small_batches(spark)
-    path = public_tokenizers.path(MODEL)
-    return decode_documents(encode_documents(docs, path), path)
+    return encode_and_decode(docs, public_tokenizers.path(MODEL))
 
 
 STAGES = [

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 from operator import add
 
@@ -48,7 +48,7 @@ from registra.sources.filesystem import resolve
 SPACE = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 PENALTY = 10.0  # of a character without a piece, below the worst score
-CHUNK_WORDS = 400_000  # distinct words of a chunk
+CHUNK_WORDS = 300_000  # distinct words of a chunk
 TABLE_BYTES = 128 << 20  # of the units' ids that are broadcast
 TASKS_PER_CHUNK = 2
 BLOCK = 256
@@ -630,11 +630,14 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     table_bytes: int = TABLE_BYTES,
+    then: Callable | None = None,
+    columns: str = "ids array<int>, source long",
 ) -> DataFrame:
     """Per row of `docs`: id, ids (array of ints), source (checksum of the text).
 
     Null texts are empty and have no ids. Rows that repeat an id are encoded each, in no order.
-    An empty table gives none. Other columns are not read.
+    An empty table gives none. Other columns are not read. `then` is a function of batches that
+    takes the result further in the same worker, to id and the named columns.
     """
     spark = docs.sparkSession
     model = Model(path)
@@ -664,9 +667,13 @@ def encode_documents(
             "chunk"
         ).sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(answers)
         answers = qualify(spark, answers)
-    return written.filter("draft is not null").mapInArrow(
-        _filled(words, table, answers), f"id {kind}, ids array<int>, source long"
-    ).withColumnRenamed("id", id_col)
+    fill = _filled(words, table, answers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(fill(batches)) if then else fill(batches)
+
+    drafts = written.filter("draft is not null")
+    return drafts.mapInArrow(run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
 
 
 class Decoder:
@@ -689,10 +696,10 @@ class Decoder:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """Per row: id, ids, text, and round_trip: whether the text is the one that was encoded."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
+_DECODED = "ids array<int>, text string, round_trip boolean"
+
 
+def _decoding(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [shared.value.decode(x.as_py()) for x in batch.column(1)]
@@ -704,15 +711,28 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
                 names=["id", "ids", "text", "round_trip"],
             )
 
+    return run
+
+
+def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
+    """Per row: id, ids, text, and round_trip: whether the text is the one that was encoded."""
+    shared = encoded.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "ids", "source").mapInArrow(
-        run, f"id {kind}, ids array<int>, text string, round_trip boolean"
+        _decoding(shared), f"id {kind}, {_DECODED}"
     ).withColumnRenamed("id", id_col)
 
 
+def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> DataFrame:
+    """Both, in one worker: id, ids, text as decoded, and round_trip."""
+    shared = docs.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
+    return encode_documents(
+        docs, path, id_col, then=_decoding(shared), columns=_DECODED, **options
+    )
+
+
 def codec_report(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> DataFrame:
     """Encode and decode: id, n_pieces, ids_crc32 (ids as 32 bits each), round_trip."""
-    encoded = encode_documents(docs, path, id_col, **options)
     shared = docs.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -733,7 +753,5 @@ def codec_report(docs: DataFrame, path: str, id_col: str = "doc_id", **options)
                 names=["id", "n_pieces", "ids_crc32", "round_trip"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return encoded.mapInArrow(
-        run, f"id {kind}, n_pieces long, ids_crc32 long, round_trip boolean"
-    ).withColumnRenamed("id", id_col)
+    columns = "n_pieces long, ids_crc32 long, round_trip boolean"
+    return encode_documents(docs, path, id_col, then=run, columns=columns, **options)
