@@ -13,7 +13,7 @@ from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
 from registra.llm.language_id import identify_pages
 from registra.llm.lm_score import score_documents
-from registra.llm.passage_dedup import drop_passages
+from registra.llm.passage_dedup import drop_repeats
 from registra.llm.pii import pii_report
 from registra.llm.secrets import secret_report
 from registra.llm.sentencepiece_codec import codec_report
@@ -133,7 +133,7 @@ def pii(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op10_passages")
 def repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
-    found = drop_passages(table(spark, sf, "documents"))
+    found = drop_repeats(table(spark, sf, "documents"))
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"]))
     return found.select(
         "doc_id",

@@ -10,11 +10,18 @@ text. So a unit is never a short phrase that texts share by chance.
 Digests (128 bits of the lower-cased words) are grouped globally; of equal units the one with the
 smallest id, then place, stays. Units that do not stay, joined where they touch, are a passage, and
 passages of `passage_words` words or more are removed. Offsets are those of the source.
+
+That is `drop_passages`. `drop_repeats` does not depend on where a passage is cut. Beside the units it
+takes anchors: of each `ANCHOR_REACH` neighbouring runs of `ANCHOR_WORDS` words the one with the
+smallest hash, so equal runs of 30 words share one wherever they stand. Every unit or anchor
+that stands earlier goes, without a second floor, and is extended word by word by what surrounds
+its earliest occurrence. Characters of scripts without spaces are words of their own there.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +34,9 @@ from registra.llm.common import settled
 
 UNIT_WORDS = 12
 PASSAGE_WORDS = 30
+ANCHOR_WORDS, ANCHOR_REACH = 12, 19
+# The same where characters are words: an equal run of 50 shares an anchor.
+DENSE_WORDS, DENSE_REACH = 24, 27
 
 # A line end, a space after a sentence, a space between a small letter or comma and a capital.
 _CUT = re.compile(
@@ -184,3 +194,219 @@ def drop_passages(
         _cutter(passage_words),
         f"id {kind}, text string, removed array<struct<start:long,end:long>>",
     ).toDF(id_col, "text", "removed")
+
+
+# Thai to Tibetan, Myanmar, Khmer, kana to ideographs, and the wide forms.
+_DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u312f\u31a0-\u9fff\uf900-\ufaff\uff01-\uffef\U00020000-\U0003ffff"
+_HAS_DENSE = re.compile(f"[{_DENSE}]")
+_TOKEN = re.compile(rf"[{_DENSE}]|[^\s{_DENSE}]+")
+_WORD = re.compile(r"\S+")
+_BASE = 0x9E3779B97F4A7C15
+_MASK = (1 << 64) - 1
+
+
+class Words:
+    """The words of a text: where they start and end, and their hashes."""
+
+    def __init__(self, text: str):
+        self.dense = _HAS_DENSE.search(text) is not None
+        spans = [m.span() for m in (_TOKEN if self.dense else _WORD).finditer(text)]
+        self.starts, self.ends = map(list, zip(*spans)) if spans else ([], [])
+        found = [] if self.dense else text.lower().split()
+        if len(found) != len(spans):
+            found = [text[s:e].lower() for s, e in spans]
+        self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in found], np.uint64)
+        self.around = (DENSE_REACH if self.dense else ANCHOR_REACH) - 1
+
+    def runs(self, size: int) -> np.ndarray:
+        """A hash of each run of `size` words."""
+        n = len(self.hashes)
+        powers = np.cumprod(np.full(n, _BASE, np.uint64))
+        back = np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * powers)])
+        x = (sums[size:] - sums[:-size]) * back[: n - size + 1]
+        x = (x ^ x >> np.uint64(32)) * np.uint64(_BASE)
+        return x ^ x >> np.uint64(29)
+
+    def anchors(self, size: int, reach: int) -> list[tuple[int, int]]:
+        """(start, end) of the runs that are the smallest of `reach` neighbours."""
+        if len(self.hashes) < size:
+            return []
+        x = self.runs(size)
+        reach = min(reach, len(x))
+        least = np.pad(_sliding(np.minimum, x, reach), reach - 1)
+        places = np.flatnonzero(x == _sliding(np.maximum, least, reach)).tolist()
+        return [(self.starts[i], self.ends[i + size - 1]) for i in places]
+
+    def sides(self, start: int, end: int) -> tuple[int, int]:
+        """First word of a span, and the one after its last."""
+        return bisect_left(self.starts, start), bisect_left(self.starts, end)
+
+    def context(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words before a span, the nearest first, and of those after it."""
+        i, j = self.sides(start, end)
+        before = self.hashes[max(0, i - self.around) : i][::-1]
+        return before.astype("<u4"), self.hashes[j : j + self.around].astype("<u4")
+
+    def extended(self, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
+        """The span and the words beside it that equal those of another context."""
+        i, j = self.sides(start, end)
+        left, right = (
+            _equal(a, np.frombuffer(b, "<u4"))
+            for a, b in zip(self.context(start, end), (before, after), strict=True)
+        )
+        return (self.starts[i - left] if left else start), (self.ends[j + right - 1] if right else end)
+
+
+def _sliding(best: np.ufunc, x: np.ndarray, size: int) -> np.ndarray:
+    """The best of each `size` neighbours, by doubling."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        x = best(x[:-step], x[step:])
+        done += step
+    return x
+
+
+def _equal(a: np.ndarray, b: np.ndarray) -> int:
+    """How many first elements are equal."""
+    n = min(len(a), len(b))
+    odd = np.flatnonzero(a[:n] != b[:n])
+    return int(odd[0]) if len(odd) else n
+
+
+def digest(text: str, start: int, end: int) -> tuple[int, int]:
+    """Two signed halves of the digest of a span's words, the same as a unit's."""
+    words = " ".join(text[start:end].lower().split())
+    d = xxhash.xxh3_128_digest(words.encode("utf-8", "surrogatepass"))
+    return int.from_bytes(d[:8], signed=True), int.from_bytes(d[8:], signed=True)
+
+
+def marks(text: str | None, unit_words: int) -> list[tuple[int, int, int]]:
+    """(digest's first half, start, end) of units and anchors."""
+    text = text or ""
+    spans = {(s, e): d for d, _, s, e, _ in units(text, unit_words)}
+    found = {k: d - (d >> 63 << 64) for k, d in spans.items()}
+    words = Words(text)
+    own = words.anchors(ANCHOR_WORDS, ANCHOR_REACH)
+    if words.dense:
+        own = [a for a in own if not _HAS_DENSE.search(text, *a)]
+        own += words.anchors(DENSE_WORDS, DENSE_REACH)
+    for s, e in own:
+        if (s, e) not in found:
+            found[s, e] = digest(text, s, e)[0]
+    return [(d, s, e) for (s, e), d in found.items()]
+
+
+def _marks(unit_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ds, owners, places = [], [], []
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for d, s, e in marks(value.as_py(), unit_words):
+                    ds.append(d)
+                    owners.append(doc_id)
+                    places.append(s << 32 | e)
+            yield pa.record_batch(
+                [pa.array(x, pa.int64()) for x in (ds, owners, places)], names=["d", "id", "at"]
+            )
+
+    return run
+
+
+_LOW = (1 << 32) - 1
+_CONTEXTS = pa.schema(
+    [("d", pa.int64()), ("first_id", pa.int64()), ("first_at", pa.int64()), ("check", pa.int64()),
+     ("before", pa.binary()), ("after", pa.binary())]
+)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What surrounds the earliest occurrences in a text."""
+    for batch in batches:
+        for doc_id, value, found in zip(*batch.columns, strict=True):
+            text = value.as_py() or ""
+            words, rows = Words(text), []
+            for d, at in ((m["d"], m["at"]) for m in found.as_py()):
+                start, end = at >> 32, at & _LOW
+                own, check = digest(text, start, end)
+                if own == d:  # rows that repeat an id may have other texts
+                    before, after = words.context(start, end)
+                    rows.append((d, doc_id.as_py(), at, check, before.tobytes(), after.tobytes()))
+            columns = zip(*rows, strict=True) if rows else [()] * len(_CONTEXTS)
+            yield pa.record_batch(
+                [pa.array(c, f.type) for c, f in zip(columns, _CONTEXTS, strict=True)],
+                schema=_CONTEXTS,
+            )
+
+
+def _dropper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans, texts = [], []
+        for value, found in zip(batch.column(1), batch.column(2), strict=True):
+            text, found = value.as_py(), found.as_py()
+            gone = []
+            if found and text:
+                words = Words(text)
+                for m in found:
+                    start, end = m["at"] >> 32, m["at"] & _LOW
+                    if digest(text, start, end) == (m["d"], m["check"]):
+                        gone.append(words.extended(start, end, m["before"], m["after"]))
+                gone = passages(text, gone, 0)
+            kept, at = [], 0
+            for s, e in gone:
+                kept.append(text[at:s])
+                at = e
+            texts.append("".join([*kept, text[at:]]) if gone else text)
+            spans.append([{"start": s, "end": e} for s, e in gone])
+        yield pa.record_batch(
+            [batch.column(0), pa.array(texts, pa.string()), pa.array(spans, _SPANS)],
+            names=["id", "text", "removed"],
+        )
+
+
+def drop_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_words: int = UNIT_WORDS
+) -> DataFrame:
+    """Per row of `docs` what `drop_passages` gives, for passages at any word.
+
+    Every equal run of 30 words (50 characters in scripts without spaces) is found wherever it
+    stands, and shorter ones if they are whole units or hold an anchor. Its later occurrences go from
+    their first word to their last, as far as the earliest occurrence of an anchor there goes on.
+    Ids, null texts and other columns are as for `drop_passages`.
+    """
+    rows = docs.filter(docs[id_col].isNotNull()).select(
+        docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")
+    )
+    found = settled(rows.mapInArrow(_marks(unit_words), "d long, id long, at long"), "marks")
+    # Only digests and counts are dealt for all marks; what follows has the repeated ones alone.
+    # With both sides plain shuffles, adaptive execution can split a very common passage.
+    several = found.groupBy("d").count().filter("count > 1").select("d")
+    common = settled(found.join(settled(several, "several"), "d"), "common")
+    first = (
+        common.groupBy("d")
+        .agg(F.min(F.struct("id", "at")).alias("first"))
+        .select("d", "first.id", "first.at")
+        .groupBy(F.col("id").alias("first_id"))
+        .agg(F.collect_list(F.struct("d", "at")).alias("marks"))
+    )
+    kind = "d long, first_id long, first_at long, check long, before binary, after binary"
+    around = (
+        rows.join(first, rows["id"] == first["first_id"])
+        .select("id", "text", "marks")
+        .mapInArrow(_contexts, kind)
+        .dropDuplicates(["d"])
+    )
+    later = common.join(settled(around, "contexts"), "d").filter(
+        (F.col("id") != F.col("first_id")) | (F.col("at") != F.col("first_at"))
+    )
+    gone = later.groupBy(F.col("id").alias("gone")).agg(
+        F.collect_set(F.struct("d", "at", "check", "before", "after")).alias("found")
+    )
+    gone = settled(gone, "repeated")
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    joined = rows.join(gone, rows["id"] == gone["gone"], "left").select("id", "text", "found")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return joined.mapInArrow(
+        _dropper, f"id {kind}, text string, removed array<struct<start:long,end:long>>"
+    ).toDF(id_col, "text", "removed")
