@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled
+from registra.llm.common import settled, worker_state
 
 UNIT_WORDS = 12
 PASSAGE_WORDS = 30
@@ -197,12 +197,20 @@ def drop_passages(
 
 
 # Thai to Tibetan, Myanmar, Khmer, kana to ideographs, and the wide forms.
-_DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3001-\u312f\u31a0-\u9fff\uf900-\ufaff\uff01-\uffef\U00020000-\U0003ffff"
-_HAS_DENSE = re.compile(f"[{_DENSE}]")
-_TOKEN = re.compile(rf"[{_DENSE}]|[^\s{_DENSE}]+")
-_WORD = re.compile(r"\S+")
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+_DENSE = [
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x312F), (0x31A0, 0x9FFF),
+    (0xF900, 0xFAFF), (0xFF01, 0xFFEF), (0x20000, 0x3FFFF),
+]
+_HAS_DENSE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _DENSE) + "]")
+_BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+
+
+def _spaces() -> np.ndarray:
+    """Of each code point below 65536, whether it is white space; no other one is."""
+    kept = worker_state()
+    if "spaces" not in kept:
+        kept["spaces"] = np.array([chr(c).isspace() for c in range(1 << 16)])
+    return kept["spaces"]
 
 
 class Words:
@@ -210,37 +218,55 @@ class Words:
 
     def __init__(self, text: str):
         self.dense = _HAS_DENSE.search(text) is not None
-        spans = [m.span() for m in (_TOKEN if self.dense else _WORD).finditer(text)]
-        self.starts, self.ends = map(list, zip(*spans)) if spans else ([], [])
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = ~_spaces()[np.minimum(codes, 0xFFFF)]
+        single = np.zeros(len(codes), bool)
+        for a, b in _DENSE if self.dense else ():
+            single |= (codes >= a) & (codes <= b)
+        single &= inside
+        before = np.concatenate([[False], (inside & ~single)[:-1]])
+        after = np.concatenate([(inside & ~single)[1:], [False]])
+        self.starts = np.flatnonzero(inside & (single | ~before))
+        self.ends = np.flatnonzero(inside & (single | ~after)) + 1
         found = [] if self.dense else text.lower().split()
-        if len(found) != len(spans):
-            found = [text[s:e].lower() for s, e in spans]
+        if len(found) != len(self.starts):
+            found = [text[s:e].lower() for s, e in zip(self.starts.tolist(), self.ends.tolist())]
         self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in found], np.uint64)
         self.around = (DENSE_REACH if self.dense else ANCHOR_REACH) - 1
 
-    def runs(self, size: int) -> np.ndarray:
+    def runs(self, size: int, base: int) -> np.ndarray:
         """A hash of each run of `size` words."""
         n = len(self.hashes)
-        powers = np.cumprod(np.full(n, _BASE, np.uint64))
-        back = np.cumprod(np.full(n, pow(_BASE, -1, 1 << 64), np.uint64))
+        powers = np.cumprod(np.full(n, base, np.uint64))
+        back = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.hashes * powers)])
         x = (sums[size:] - sums[:-size]) * back[: n - size + 1]
-        x = (x ^ x >> np.uint64(32)) * np.uint64(_BASE)
+        x = (x ^ x >> np.uint64(32)) * np.uint64(_BASES[0])
         return x ^ x >> np.uint64(29)
 
-    def anchors(self, size: int, reach: int) -> list[tuple[int, int]]:
-        """(start, end) of the runs that are the smallest of `reach` neighbours."""
+    def anchors(self, size: int, reach: int) -> list[tuple[int, int, int]]:
+        """(digest, start, end) of the runs that are the smallest of `reach` neighbours."""
         if len(self.hashes) < size:
             return []
-        x = self.runs(size)
+        x = self.runs(size, _BASES[0])
         reach = min(reach, len(x))
         least = np.pad(_sliding(np.minimum, x, reach), reach - 1)
-        places = np.flatnonzero(x == _sliding(np.maximum, least, reach)).tolist()
-        return [(self.starts[i], self.ends[i + size - 1]) for i in places]
+        places = np.flatnonzero(x == _sliding(np.maximum, least, reach))
+        d = self.runs(size, _BASES[1])[places].view(np.int64)
+        ends = self.ends[places + size - 1]
+        return list(zip(d.tolist(), self.starts[places].tolist(), ends.tolist(), strict=True))
 
     def sides(self, start: int, end: int) -> tuple[int, int]:
         """First word of a span, and the one after its last."""
-        return bisect_left(self.starts, start), bisect_left(self.starts, end)
+        i, j = np.searchsorted(self.starts, [start, end]).tolist()
+        return i, j
+
+    def digests(self, start: int, end: int) -> list[int]:
+        """Digest of a span as an anchor."""
+        i, j = self.sides(start, end)
+        part = Words.__new__(Words)
+        part.hashes = self.hashes[i:j]
+        return part.runs(j - i, _BASES[1]).view(np.int64).tolist() if j > i else []
 
     def context(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the words before a span, the nearest first, and of those after it."""
@@ -255,7 +281,8 @@ class Words:
             _equal(a, np.frombuffer(b, "<u4"))
             for a, b in zip(self.context(start, end), (before, after), strict=True)
         )
-        return (self.starts[i - left] if left else start), (self.ends[j + right - 1] if right else end)
+        start = int(self.starts[i - left]) if left else start
+        return start, int(self.ends[j + right - 1]) if right else end
 
 
 def _sliding(best: np.ufunc, x: np.ndarray, size: int) -> np.ndarray:
@@ -275,27 +302,23 @@ def _equal(a: np.ndarray, b: np.ndarray) -> int:
     return int(odd[0]) if len(odd) else n
 
 
-def digest(text: str, start: int, end: int) -> tuple[int, int]:
-    """Two signed halves of the digest of a span's words, the same as a unit's."""
+def digest(text: str, start: int, end: int) -> tuple[int, bytes]:
+    """Digest of a span as a unit: its first half, signed, and the whole."""
     words = " ".join(text[start:end].lower().split())
     d = xxhash.xxh3_128_digest(words.encode("utf-8", "surrogatepass"))
-    return int.from_bytes(d[:8], signed=True), int.from_bytes(d[8:], signed=True)
+    return int.from_bytes(d[:8], signed=True), d
 
 
 def marks(text: str | None, unit_words: int) -> list[tuple[int, int, int]]:
-    """(digest's first half, start, end) of units and anchors."""
+    """(digest, start, end) of units and anchors."""
     text = text or ""
-    spans = {(s, e): d for d, _, s, e, _ in units(text, unit_words)}
-    found = {k: d - (d >> 63 << 64) for k, d in spans.items()}
     words = Words(text)
+    found = [(d - (d >> 63 << 64), s, e) for d, _, s, e, _ in units(text, unit_words)]
     own = words.anchors(ANCHOR_WORDS, ANCHOR_REACH)
     if words.dense:
-        own = [a for a in own if not _HAS_DENSE.search(text, *a)]
+        own = [a for a in own if not _HAS_DENSE.search(text, a[1], a[2])]
         own += words.anchors(DENSE_WORDS, DENSE_REACH)
-    for s, e in own:
-        if (s, e) not in found:
-            found[s, e] = digest(text, s, e)[0]
-    return [(d, s, e) for (s, e), d in found.items()]
+    return found + own
 
 
 def _marks(unit_words: int):
@@ -315,42 +338,66 @@ def _marks(unit_words: int):
 
 
 _LOW = (1 << 32) - 1
+_EDGES = pa.schema([("d", pa.int64()), ("id", pa.int64()), ("at", pa.int64())])
 _CONTEXTS = pa.schema(
-    [("d", pa.int64()), ("first_id", pa.int64()), ("first_at", pa.int64()), ("check", pa.int64()),
-     ("before", pa.binary()), ("after", pa.binary())]
+    [("d", pa.int64()), ("check", pa.binary()), ("before", pa.binary()), ("after", pa.binary())]
 )
 
 
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.record_batch(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+    )
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First and last marks of each stretch of marks that overlap."""
+    for batch in batches:
+        rows = []
+        for doc_id, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            items = found.values
+            at, d = items.field("at").to_numpy(), items.field("d").to_numpy()
+            order = np.argsort(at, kind="stable")
+            at, d = at[order], d[order]
+            reach = np.maximum.accumulate(at & _LOW)
+            cuts = np.flatnonzero((at >> 32)[1:] > reach[:-1]) + 1
+            chosen = set()
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+                chosen |= {a, a + int((at[a:b] & _LOW).argmax())}
+            rows += [(int(d[i]), doc_id, int(at[i])) for i in sorted(chosen)]
+        yield _rows(rows, _EDGES)
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What surrounds the earliest occurrences in a text."""
     for batch in batches:
-        for doc_id, value, found in zip(*batch.columns, strict=True):
+        rows = []
+        for value, found in zip(batch.column(0), batch.column(1), strict=True):
             text = value.as_py() or ""
-            words, rows = Words(text), []
+            words = Words(text)
             for d, at in ((m["d"], m["at"]) for m in found.as_py()):
                 start, end = at >> 32, at & _LOW
                 own, check = digest(text, start, end)
-                if own == d:  # rows that repeat an id may have other texts
+                if d == own or d in words.digests(start, end):  # an id's rows may differ in text
                     before, after = words.context(start, end)
-                    rows.append((d, doc_id.as_py(), at, check, before.tobytes(), after.tobytes()))
-            columns = zip(*rows, strict=True) if rows else [()] * len(_CONTEXTS)
-            yield pa.record_batch(
-                [pa.array(c, f.type) for c, f in zip(columns, _CONTEXTS, strict=True)],
-                schema=_CONTEXTS,
-            )
+                    rows.append((d, check, before.tobytes(), after.tobytes()))
+        yield _rows(rows, _CONTEXTS)
 
 
 def _dropper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans, texts = [], []
-        for value, found in zip(batch.column(1), batch.column(2), strict=True):
-            text, found = value.as_py(), found.as_py()
-            gone = []
+        for value, found, edges in zip(*batch.columns[1:], strict=True):
+            text, found, gone = value.as_py(), found.as_py(), []
             if found and text:
-                words = Words(text)
-                for m in found:
-                    start, end = m["at"] >> 32, m["at"] & _LOW
-                    if digest(text, start, end) == (m["d"], m["check"]):
+                words, beside = Words(text), {(m["at"], m["d"]): m for m in edges.as_py() or ()}
+                for at, d in ((m["at"], m["d"]) for m in found):
+                    start, end = at >> 32, at & _LOW
+                    m = beside.get((at, d))
+                    if m is None:
+                        gone.append((start, end))
+                    elif digest(text, start, end)[1] == m["check"]:
                         gone.append(words.extended(start, end, m["before"], m["after"]))
                 gone = passages(text, gone, 0)
             kept, at = [], 0
@@ -383,29 +430,37 @@ def drop_repeats(
     # With both sides plain shuffles, adaptive execution can split a very common passage.
     several = found.groupBy("d").count().filter("count > 1").select("d")
     common = settled(found.join(settled(several, "several"), "d"), "common")
-    first = (
-        common.groupBy("d")
-        .agg(F.min(F.struct("id", "at")).alias("first"))
-        .select("d", "first.id", "first.at")
-        .groupBy(F.col("id").alias("first_id"))
+    first = common.groupBy("d").agg(F.min(F.struct("id", "at")).alias("first"))
+    first = settled(first.select("d", "first.id", "first.at"), "first")
+    later = (
+        common.join(first.toDF("d", "first_id", "first_at"), "d")
+        .filter((F.col("id") != F.col("first_id")) | (F.col("at") != F.col("first_at")))
+        .groupBy("id")
+        .agg(F.collect_set(F.struct("at", "d")).alias("found"))
+    )
+    later = settled(later, "later")
+    # Words beside the marks at the ends of each stretch, as at their earliest occurrence.
+    edges = settled(later.mapInArrow(_edges, "d long, id long, at long"), "edges")
+    asked = (
+        first.join(edges.select("d").distinct(), "d")
+        .groupBy(F.col("id").alias("asked"))
         .agg(F.collect_list(F.struct("d", "at")).alias("marks"))
     )
-    kind = "d long, first_id long, first_at long, check long, before binary, after binary"
     around = (
-        rows.join(first, rows["id"] == first["first_id"])
-        .select("id", "text", "marks")
-        .mapInArrow(_contexts, kind)
+        rows.join(asked, rows["id"] == asked["asked"])
+        .select("text", "marks")
+        .mapInArrow(_contexts, "d long, check binary, before binary, after binary")
         .dropDuplicates(["d"])
     )
-    later = common.join(settled(around, "contexts"), "d").filter(
-        (F.col("id") != F.col("first_id")) | (F.col("at") != F.col("first_at"))
+    beside = (
+        edges.join(settled(around, "contexts"), "d")
+        .groupBy("id")
+        .agg(F.collect_list(F.struct("at", "d", "check", "before", "after")).alias("edges"))
     )
-    gone = later.groupBy(F.col("id").alias("gone")).agg(
-        F.collect_set(F.struct("d", "at", "check", "before", "after")).alias("found")
-    )
-    gone = settled(gone, "repeated")
+    gone = later.join(beside, "id", "left").withColumnRenamed("id", "gone")
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    joined = rows.join(gone, rows["id"] == gone["gone"], "left").select("id", "text", "found")
+    joined = rows.join(settled(gone, "repeated"), F.col("id") == F.col("gone"), "left")
+    joined = joined.select("id", "text", "found", "edges")
     kind = docs.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(
         _dropper, f"id {kind}, text string, removed array<struct<start:long,end:long>>"
