@@ -4,15 +4,15 @@ Counting. Tokens of the training texts are counted exactly, by partial counts pe
 grouped aggregation. The most frequent `DICTIONARY` tokens, a bounded number, are broadcast; rarer
 tokens of each document meet their count in a join, so the base score is exact for all.
 
-Model. The `CLASSES` most frequent tokens are classes of their own; all other tokens share
-`SHARED` classes by hash, so every token of the corpus is in some count. Events are classes
-and pairs of neighbouring classes. A count c is stored as level 1 + floor(log2 c): the event is
+Model. Events are tokens and pairs of neighbouring tokens, each by a 64-bit hash of its own, so every
+distinct one of the training texts has its own count however rare it is. The dictionary only
+saves hashing. A count c is stored as level 1 + floor(log2 c): the event is
 put into the filter once for each level up to its own, and a lookup probes level after
 level until one is missing. The filter is made of slices by hash, sized by what they hold, and each
 slice is built by the task that its events are shuffled to.
 
-Scoring. p(word | before) = (c(before, word) + MU p(word)) / (c(before) + MU), with p(word) from
-the class's level, shared evenly among the tokens of a shared class. A filter larger
+Scoring. p(word | before) = (c(before, word) + MU p(word)) / (c(before) + MU), with p(word) =
+(c(word) + 1) / (tokens + distinct tokens + 1), all counts from their levels. A filter larger
 than `filter_bytes` is broadcast in several shards, one after the other; each pass notes the levels
 of the events in its shard, and the scores are worked out from the levels at the end.
 """
@@ -33,8 +33,6 @@ from registra.llm.common import most_frequent, settled, shuffle_tasks
 
 DICTIONARY = 1 << 18
 LONGEST = 64  # bytes of a token in the dictionary
-CLASSES = 1 << 16
-SHARED = 1 << 12
 MU = 200.0
 BITS_PER_ENTRY = 8
 PROBES = 4
@@ -49,6 +47,7 @@ FOLDS = 7
 _MIX_A = 0xBF58476D1CE4E5B9
 _MIX_B = 0x94D049BB133111EB
 _STEP = 0x9E3779B97F4A7C15
+_END = 0xD6E8FEB86659FD93  # in place of a hash, the end of a text
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -89,36 +88,22 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The most frequent tokens with their counts, and the class of any token.
+    """The most frequent tokens with their counts and hashes, and the hash of any token."""
 
-    Class 0 is the end of a text; tokens in order of their counts come next.
-    """
-
-    def __init__(self, found: list[tuple[bytes, int]], classes: int, shared: int):
+    def __init__(self, found: list[tuple[bytes, int]]):
         found = sorted(found, key=lambda x: (-x[1], x[0]))
         self.index = {t: i for i, (t, _) in enumerate(found)}
         self.counts = np.array([c for _, c in found], np.int64)
-        self.own = min(classes, len(found))
-        self.shared = shared
-        self.size = 1 + self.own + shared
-        rare = [self._shared(t) for t, _ in found[self.own :]]
-        self.classes = np.concatenate(
-            [np.arange(1, self.own + 1), np.array(rare, np.int64)]
-        ).astype(np.int64)
-
-    def _shared(self, token: bytes) -> int:
-        return 1 + self.own + xxhash.xxh32_intdigest(token) % self.shared
+        self.hashes = np.array([xxhash.xxh3_64_intdigest(t) for t, _ in found], np.uint64)
 
     def look_up(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the dictionary (-1: not there), and classes."""
+        """Places in the dictionary (-1: not there), and hashes."""
         get = self.index.get
         at = np.array([get(t, -1) for t in found], np.int64)
-        if not len(self.classes):
-            return at, np.array([self._shared(t) for t in found], np.int64)
-        classes = self.classes[at]
-        for i in np.flatnonzero(at < 0).tolist():
-            classes[i] = self._shared(found[i])
-        return at, classes
+        hashes = self.hashes[at] if len(self.hashes) else np.zeros(len(at), np.uint64)
+        outside = np.flatnonzero(at < 0)
+        hashes[outside] = [xxhash.xxh3_64_intdigest(found[i]) for i in outside.tolist()]
+        return at, hashes
 
 
 def frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
@@ -207,16 +192,16 @@ class Shard:
         return out
 
 
-def single(classes: np.ndarray) -> np.ndarray:
-    return classes.astype(np.uint64) | np.uint64(1 << 62)
+def single(hashes: np.ndarray) -> np.ndarray:
+    return mix(hashes)
 
 
-def pair(before: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return before.astype(np.uint64) << np.uint64(31) | classes.astype(np.uint64)
+def pair(before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return mix(mix(before ^ np.uint64(_STEP)) + hashes)
 
 
 class Texts:
-    """Several texts as one sequence of tokens, each text closed by an end (class 0), so the class
+    """Several texts as one sequence of tokens, each text closed by an end, so what stands
     before a text's first token is an end too."""
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str | None]):
@@ -228,11 +213,11 @@ class Texts:
         inner = np.ones(length, bool)
         inner[self.ends] = False
         self.at = np.full(length, -1, np.int64)
-        self.classes = np.zeros(length, np.int64)
-        self.at[inner], self.classes[inner] = vocabulary.look_up(
+        self.hashes = np.full(length, _END, np.uint64)
+        self.at[inner], self.hashes[inner] = vocabulary.look_up(
             [t for found in self.found for t in found]
         )
-        self.before = np.concatenate([[0], self.classes[:-1]])
+        self.before = np.concatenate([self.hashes[-1:], self.hashes[:-1]])
 
     def sums(self, values: np.ndarray) -> list:
         return np.add.reduceat(values, self.starts).tolist()
@@ -273,8 +258,8 @@ def _events(shared, slices: int):
         for batch in batches:
             for _, some in groups(batch.column(0)):
                 texts = Texts(shared.value, some)
-                waiting += [single(texts.classes), pair(texts.before, texts.classes)]
-                size += 2 * len(texts.classes)
+                waiting += [single(texts.hashes), pair(texts.before, texts.hashes)]
+                size += 2 * len(texts.hashes)
                 if size > CHUNK:
                     yield flush()
                     waiting.clear()
@@ -351,24 +336,13 @@ def shards(table: DataFrame, slices: int, limit: int) -> Iterator[Shard]:
 # --- scoring ------------------------------------------------------------------------------------
 
 
-class Totals:
-    """What the formulas need besides counts."""
-
-    def __init__(self, n: int, v: int, vocabulary: Vocabulary):
-        self.n, self.v = n, v
-        rare = max(1, v - 1 - vocabulary.own)
-        self.classes = vocabulary.size
-        self.split = math.log10(max(1.0, rare / vocabulary.shared))
-        self.first_shared = 1 + vocabulary.own
-
-
-def log_probability(classes: np.ndarray, own: np.ndarray, both: np.ndarray, totals: Totals):
-    """Of each token, from the levels of its class and of the pair with the class before it."""
-    alone = (typical(own) + 1) / (totals.n + totals.classes)
+def log_probability(own: np.ndarray, both: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Of each token, from its level and that of the pair with the token before it; `n` tokens were
+    learnt from, `v` of them distinct."""
+    alone = (typical(own) + 1) / (n + v + 1)
     pairs = typical(both)
     before = np.concatenate([[typical(own[-1:])[0]], typical(own[:-1])])
-    p = (pairs + MU * alone) / (np.maximum(before, pairs) + MU)
-    return np.log10(p) - np.where(classes >= totals.first_shared, totals.split, 0.0)
+    return np.log10((pairs + MU * alone) / (np.maximum(before, pairs) + MU))
 
 
 _TAIL = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
@@ -379,14 +353,14 @@ _SCORED = (
 
 
 def _look_up(shard: Shard, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Levels of the classes and of the pairs; equal ones are probed once."""
-    used, at = np.unique(single(texts.classes), return_inverse=True)
+    """Levels of the tokens and of the pairs; equal ones are probed once."""
+    used, at = np.unique(single(texts.hashes), return_inverse=True)
     own = shard.levels(used)[at]
-    used, at = np.unique(pair(texts.before, texts.classes), return_inverse=True)
+    used, at = np.unique(pair(texts.before, texts.hashes), return_inverse=True)
     return own, shard.levels(used)[at]
 
 
-def _scorer(shared, shard, totals: Totals, carried: bool):
+def _scorer(shared, shard, n: int, v: int, carried: bool):
     """Scores, from a shard to probe or from levels noted before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,8 +381,8 @@ def _scorer(shared, shard, totals: Totals, carried: bool):
                     until = np.searchsorted(outside, texts.ends[i])
                     places = (outside[cuts[i] : until] - texts.starts[i]).tolist()
                     tail = Counter([found[k] for k in places])
-                    rare.append([{"token": t, "n": n} for t, n in tail.items()])
-                score = log_probability(texts.classes, own, both, totals)
+                    rare.append([{"token": t, "n": k} for t, k in tail.items()])
+                score = log_probability(own, both, n, v)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c.slice(start, len(some)) for c in batch.columns[:3]),
@@ -425,7 +399,7 @@ def _scorer(shared, shard, totals: Totals, carried: bool):
 
 
 def _noting(shared, shard):
-    """One pass of several: the highest levels so far, as bytes (classes, then pairs)."""
+    """One pass of several: the highest levels so far, as bytes (tokens, then pairs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -455,8 +429,6 @@ def score_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     dictionary: int = DICTIONARY,
-    classes: int = CLASSES,
-    shared_classes: int = SHARED,
     filter_bytes: int = FILTER_BYTES,
     per_slice: int = EVENTS_PER_SLICE,
 ) -> DataFrame:
@@ -465,7 +437,7 @@ def score_documents(
     Tokens are words without ASCII white space, A-Z lower-cased, and one end per text; a null
     text has the end alone. base_score is the add-one log10 probability from exact counts, score
     that of the model. Rows that repeat an id are scored each. With nothing to learn from, every
-    token is unknown and shares the probability that is left. Other columns are not read.
+    token is unknown. Other columns are not read.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -482,15 +454,13 @@ def score_documents(
     ends = train.count()
     n, v = total + ends, distinct + (ends > 0)
 
-    vocabulary = Vocabulary(frequent(counts, dictionary), classes, shared_classes)
-    totals = Totals(n, v, vocabulary)
-    shared = context.broadcast(vocabulary)
+    shared = context.broadcast(Vocabulary(frequent(counts, dictionary)))
     table, slices = build_filter(train, shared, 2 * n, per_slice)
     parts = shards(table, slices, filter_bytes)
     first, second = next(parts), next(parts, None)
     names = f"row long, id {kind}, held_out boolean"
     if second is None:
-        scorer = _scorer(shared, context.broadcast(first), totals, False)
+        scorer = _scorer(shared, context.broadcast(first), n, v, False)
         scored = rows.mapInArrow(scorer, f"{names}, {_SCORED}")
     else:
         noted = rows.withColumn("levels", F.lit(None).cast("binary"))
@@ -501,7 +471,7 @@ def score_documents(
                 ),
                 "levels",
             )
-        scored = noted.mapInArrow(_scorer(shared, None, totals, True), f"{names}, {_SCORED}")
+        scored = noted.mapInArrow(_scorer(shared, None, n, v, True), f"{names}, {_SCORED}")
     scored = settled(scored, "lm_scores")
 
     # Tokens outside the dictionary: one row per document and token, joined with their counts.
