@@ -50,8 +50,9 @@ class Encoder:
 
     A byte-level tokenizer that splits words before a single space never makes a piece across
     such a space or a single line end, nor between a letter or digit and the signs after it. So a
-    text whose white space is of that kind is a sequence of words and trailing signs, and the
-    library is asked once for each. Any other text (other or repeated white space, special tokens
+    text whose white space is of that kind is a sequence of words and the signs that trail a letter or
+    digit, and the library is asked once for each. After any other character signs stay
+    with their word. Any other text (other or repeated white space, special tokens
     written out) goes to the library as a whole.
     """
 
@@ -126,7 +127,9 @@ class Encoder:
                     for i, ids in enumerate(found):
                         if ids is None:
                             chunk = parts[i]
-                            word = chunk.rstrip(SIGNS) or chunk
+                            word = chunk.rstrip(SIGNS)
+                            if not word[-1:].isalnum():  # other signs go on over these
+                                word = chunk
                             tail = chunk[len(word) :]
                             head = after(word) if i else first(word)
                             end = signs(tail)
