@@ -187,7 +187,7 @@ def rewritten(text: str) -> Tape | None:
     if not text.isascii():
         table, odd = _lookalikes()
         alike = odd.search(text) is not None
-    if not (alike or _SIGNS.search(text) or _NUMBER.search(text)):
+    if not (alike or any(sign.search(text) for sign in (_SIGNS, _NUMBER, _PLUS, _POINT))):
         return None
     tape = Tape(text)
     if alike:
