@@ -78,6 +78,23 @@ def join_repeated(spark, sf):
     return joined.select(*KEYS, "municipio_cod", "municipio_nome")
 
 
+@query(
+    "join_all_repeated_codes",
+    f"""select municipio_cod, municipio_nome, count(*) as n,
+               sum(l_orderkey)::bigint as orderkeys
+        from ({FACTS_SQL}) f
+        join (({LOOKUP_SQL}) union all ({LOOKUP_SQL})) m
+          on {digits_sql("f.mun_raw")} = m.municipio_cod
+        group by municipio_cod, municipio_nome""",
+)
+def join_all_repeated(spark, sf):
+    once = clean_lookup(lookup(spark, sf))
+    joined = join_lookup(add_clean_keys(facts(spark, sf), COLUMNS), once.unionAll(once))
+    return joined.groupBy("municipio_cod", "municipio_nome").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orderkeys")
+    )
+
+
 @query(
     "repeated_lookup_codes",
     f"""select municipio_cod, count(*) as copies
