@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -118,8 +119,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _lookalikes() -> tuple[dict[int, str], re.Pattern]:
-    """All characters that step 1 rewrites; from Unicode's own tables but for the fixed list."""
+def _lookalikes() -> tuple[dict[int, str], re.Pattern, frozenset[str]]:
+    """All characters that step 1 rewrites, as a table, a pattern and a set; from Unicode's own
+    tables but for the fixed list."""
     kept = worker_state()
     if "lookalikes" not in kept:
         table = dict.fromkeys(map(ord, INVISIBLE), "") | {ord(k): v for k, v in LOOKALIKES.items()}
@@ -129,7 +131,8 @@ def _lookalikes() -> tuple[dict[int, str], re.Pattern]:
             plain = str(digit) if digit is not None else unicodedata.normalize("NFKC", c)
             if len(plain) == 1 and "!" <= plain <= "~":
                 table.setdefault(code, plain)
-        kept["lookalikes"] = table, re.compile("[" + "".join(map(chr, sorted(table))) + "]")
+        odd = frozenset(map(chr, table))
+        kept["lookalikes"] = table, re.compile("[" + "".join(sorted(odd)) + "]"), odd
     return kept["lookalikes"]
 
 
@@ -138,15 +141,14 @@ class Tape:
 
     def __init__(self, text: str):
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
+        self.starts = array("q", range(len(text)))
+        self.ends = array("q", range(1, len(text) + 1))
         self.fresh = bytearray(len(text))
 
     def rewrite(self, pieces: Iterator[tuple[int, int, str]]) -> None:
         """Replace ranges, given in order, by strings."""
         texts: list[str] = []
-        starts: list[int] = []
-        ends: list[int] = []
+        starts, ends = array("q"), array("q")
         fresh = bytearray()
         done = 0
         for s, e, new in pieces:
@@ -154,8 +156,8 @@ class Tape:
             starts += self.starts[done:s]
             ends += self.ends[done:s]
             fresh += self.fresh[done:s]
-            starts += [self.starts[s]] * len(new)
-            ends += [self.ends[e - 1]] * len(new)
+            starts += array("q", [self.starts[s]]) * len(new)
+            ends += array("q", [self.ends[e - 1]]) * len(new)
             fresh += b"\x01" * len(new)
             if fresh and not new:
                 fresh[-1] = 1  # what went is part of the character before
@@ -177,17 +179,35 @@ def _spoken(text: str) -> Iterator[tuple[int, int, str]]:
 def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
     for m in _NUMBER.finditer(text):
         for part in _NUMBER_PART.finditer(text, m.start(), m.end()):
-            new = "." if part[1] else SPELLED[part[2].lower()] if part[2] else ""
+            new = "." if part[1] else SPELLED[_folded(part[2])] if part[2] else ""
             yield part.start(), part.end(), new
 
 
+def _folded(text: str) -> str:
+    """Small letters; patterns that ignore case take U+0130 for an "i"."""
+    return text.replace("\u0130", "i").lower()
+
+
+def _disguised(text: str) -> bool:
+    """Whether a text without look-alikes has a sign of any other step. Plain search for the words
+    of a sign comes first, as a pattern costs far more."""
+    plain = _folded(text)
+    if " dot " in plain or _SIGNS.search(text):
+        return True
+    if "plus " in plain and _PLUS.search(text):
+        return True
+    if " point " in plain and _POINT.search(text):
+        return True
+    return any(word in plain for word in SPELLED) and _NUMBER.search(text) is not None
+
+
 def rewritten(text: str) -> Tape | None:
     """The text after all steps, or None if it shows no sign of a disguise."""
     alike = False
     if not text.isascii():
-        table, odd = _lookalikes()
-        alike = odd.search(text) is not None
-    if not (alike or any(sign.search(text) for sign in (_SIGNS, _NUMBER, _PLUS, _POINT))):
+        table, odd, chars = _lookalikes()
+        alike = not chars.isdisjoint(text)
+    if not (alike or _disguised(text)):
         return None
     tape = Tape(text)
     if alike:

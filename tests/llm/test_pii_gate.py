@@ -1,6 +1,18 @@
+import random
+
 import pytest
 
-from registra.llm.pii import KINDS, base_spans, hidden_spans
+from registra.llm.pii import (
+    _NUMBER,
+    _PLUS,
+    _POINT,
+    _SIGNS,
+    KINDS,
+    _lookalikes,
+    base_spans,
+    hidden_spans,
+    rewritten,
+)
 
 ALONE = [
     ("plus 44 2079 460958", "phone", "plus 44 2079 460958"),
@@ -20,3 +32,20 @@ def test_plus_and_point_need_no_other_disguise(text, kind, span):
 @pytest.mark.parametrize("text", ["a plus 3 points", "2 plus 2", "3 point 14", "surplus 44 2079 460958"])
 def test_ordinary_plus_and_point_gain_nothing(text):
     assert hidden_spans(text, base_spans(text)) == []
+
+
+def test_gate_opens_for_every_pattern_and_lookalike():
+    table, odd, chars = _lookalikes()
+    assert chars == {chr(code) for code in table}
+    assert all(rewritten(f"a{c}b") is not None for c in chars)
+    parts = ["plus ", " point ", " dot ", "PLUS ", " DOT ", " poİnt ", " Poınt ", "pluſ ", "(at)", "[ . ]",
+             "4", "one", " two", "-three ", "nİne", "five", "x", " ", "İ", "é", "K", "[dot", "@"]
+    rng = random.Random(7)
+    opened = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 7)))
+        signs = any(sign.search(text) for sign in (_SIGNS, _NUMBER, _PLUS, _POINT))
+        expected = signs or odd.search(text) is not None
+        assert (rewritten(text) is not None) == expected, text
+        opened += expected
+    assert 2000 < opened < 19_000
