@@ -15,6 +15,7 @@ from registra.llm.language_id import identify_pages
 from registra.llm.lm_score import score_documents
 from registra.llm.passage_dedup import drop_repeats
 from registra.llm.pii import pii_report
+from registra.llm.quality import quality_report
 from registra.llm.secrets import secret_report
 from registra.llm.sentencepiece_codec import codec_report
 from registra.llm.simhash import simhash_components
@@ -159,4 +160,9 @@ def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return codec_report(table(spark, sf, "documents"), model)
 
 
+@query("op11_quality")
+def quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
