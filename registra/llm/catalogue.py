@@ -11,6 +11,7 @@ from registra.catalogue.registry import Run
 from registra.llm.common import joined_digest, small_batches
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
+from registra.llm.hard_negatives import hard_negatives
 from registra.llm.language_id import identify_pages
 from registra.llm.lm_score import score_documents
 from registra.llm.passage_dedup import drop_repeats
@@ -165,4 +166,36 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+HARD_NEGATIVES_SQL = """
+    with vectors as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+        select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+            list_inner_product(a.v, r.v)::bigint as score
+        from vectors a, vectors r where a.vec_id % 50 = 0 and a.vec_id <> r.vec_id
+    ), positives as (
+        select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    )
+    select anchor_id, positive_id,
+        (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int
+            as rank,
+        vec_id as negative_id, positive_score, score as negative_score
+    from positives join scored using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+    qualify rank <= 3
+"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def mined_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
