@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from registra.catalogue.registry import Run
+from registra.llm.collocations import collocations
 from registra.llm.common import joined_digest, small_batches
 from registra.llm.decontaminate import contaminated, find_contamination
 from registra.llm.exact_dedup import exact_dedup
@@ -198,4 +199,52 @@ def mined_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+COLLOCATIONS_SQL = r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), worded as (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+    ), totals as (
+        select lang, sum(len(w))::bigint as n from worded group by lang
+    ), grams as (
+        select lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) as phrase
+        from worded, range(1, 5) as t(k) where len(w) >= k
+    ), f as (
+        select lang, k, phrase, count(*) as a from grams group by all having count(*) >= 30
+    ), candidates as (
+        select *, string_split(phrase, ' ') as w from f where k > 1
+    ), cuts as (
+        select lang, phrase, a, i, array_to_string(list_slice(w, 1, i), ' ') as left_part,
+            array_to_string(list_slice(w, i + 1, k), ' ') as right_part
+        from candidates, range(1, 4) as t(i) where i < k
+    ), scored as (
+        select c.lang, c.phrase, c.a, x.a as l, y.a as r,
+            (2000000::hugeint * c.a // (x.a + y.a))::bigint as score
+        from cuts c join f x on x.lang = c.lang and x.phrase = left_part
+            join f y on y.lang = c.lang and y.phrase = right_part
+        qualify row_number() over (partition by c.lang, c.phrase order by score, i) = 1
+    ), inner_phrases as (
+        select lang, a as longer, array_to_string(list_slice(w, s, s + m - 1), ' ') as phrase
+        from candidates, range(2, 4) as t(m), range(1, 4) as u(s) where m < k and s + m - 1 <= k
+    ), holders as (
+        select lang, phrase, max(longer) as longer from inner_phrases group by all
+    )
+    select s.lang, row_number() over (partition by s.lang
+            order by s.score desc, s.a desc, s.phrase)::bigint as rank,
+        s.phrase, s.a, s.l, s.r, n, s.score
+    from scored s join totals using (lang) left join holders h
+        on h.lang = s.lang and h.phrase = s.phrase
+    where h.longer is null or 100 * h.longer < 80 * s.a
+    qualify rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
