@@ -7,15 +7,16 @@ is the difference of two prefixes, divided by the power of the base at its start
 chunk are taken at once in numpy, modulo 2^64. A second polynomial of 32 bits goes with each
 fingerprint to tell collisions apart.
 
-Every task adds up equal fingerprints of its chunks, with two of the places where they
-occur, before they are shuffled, so a phrase costs one entry a task however common it is. Entries
-travel packed, by slices of the fingerprint. Frequent fingerprints only are then looked up
+A first pass finds which words and pairs may be frequent: tasks add up the leading bits of their
+fingerprints, and what is shuffled are the differences between neighbours in sorted order, some two
+bytes each. The result is a bit map of fixed size that can let through too much, never too little.
+The second pass takes the words and pairs that the map lets through, and the phrases of three
+and four words all of whose pairs it lets through. Every task adds up equal fingerprints of its
+chunks, with two of the places where they occur, before they are shuffled, so a phrase costs
+one entry a task however common it is. Entries travel packed, by slices of the fingerprint. Frequent fingerprints only are then looked up
 at both places; where the texts differ, the fingerprint is shared, and its occurrences are counted
 anew by their text. What stays unseen is two texts of one language and size that agree in all 96 bits
 and do not stand at different ends: for 10^13 phrases a chance of less than one in a thousand.
-
-Words and pairs are counted first. Phrases of three and four words are counted only where all their
-pairs may be frequent, by a bit map of fixed size: it can let through too much, never too little.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ from pyspark.sql import functions as F
 
 from registra.llm.common import settled, shuffle_tasks, worker_state
 
-CHUNK_BYTES = 1 << 20
-# Occurrences that a task holds before it adds equal ones up.
-HELD = 1 << 20
-# Bits of the map of frequent pairs: 16 for each, as long as these are enough.
+CHUNK_BYTES = 1 << 19
+# Entries, or fingerprints alone, that a task holds before it adds equal ones up.
+HELD = 1 << 19
+KEYS_HELD = 1 << 22
+# Bits of the map of words and pairs: 16 for each, as long as these are enough.
 MOST_BITS = 1 << 27
 
 # What ends a piece and what is between words.
@@ -94,7 +96,7 @@ def _parts(text: bytes, size: int, longest: int) -> Iterator[tuple[bytes, int]]:
 def chunked(
     docs: DataFrame, text_col: str, group_col: str, none: str, longest: int, size: int = CHUNK_BYTES
 ) -> DataFrame:
-    """chunk, lang, body, words, tail: the normalised texts, in chunks of about one MiB. The last
+    """chunk, lang, body, words, tail: the normalised texts, in chunks of about half a MiB. The last
     `tail` words of a chunk are those of the next one, and are not counted in `words`."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,6 +217,23 @@ class Ranges:
         first = self.firsts(words)
         return first[: np.searchsorted(first, self.own)]
 
+    def keys(self, first: np.ndarray, words: int, lead: int) -> np.ndarray:
+        """The first `lead` bits of the fingerprints."""
+        return self.fingerprints(first, words) >> np.uint64(64 - lead)
+
+    def chosen(self, may: np.ndarray, longest: int, lead: int) -> Iterator[np.ndarray]:
+        """For each number of words the phrases that are to be counted."""
+        first = self.counted(1)
+        yield first[has_bit(may, self.keys(first, 1, lead))]
+        first = self.firsts(2)
+        pair = np.zeros(len(self.starts) + 1, bool)
+        pair[first] = has_bit(may, self.keys(first, 2, lead))
+        for words in range(2, longest + 1):
+            first = self.counted(words)
+            for k in range(words - 1):
+                first = first[pair[first + k]]
+            yield first
+
     def fingerprints(self, first: np.ndarray, words: int, kind: int = 0) -> np.ndarray:
         sums, inverse = self.prefixes[kind]
         start, end = self.starts[first], self.ends[first + words - 1]
@@ -222,13 +241,25 @@ class Ranges:
         return (mixed(found) if kind == 0 else found) & self.masks[kind]
 
     def entries(self, chunk: int, first: np.ndarray, words: int) -> np.ndarray:
-        out = np.empty(len(first), _ENTRY)
-        out["fp"] = self.fingerprints(first, words)
-        out["check"] = self.fingerprints(first, words, kind=1)
-        out["count"] = 1
+        """Entries of the phrases that begin with `first`, equal ones that stand next to each other
+        in order of fingerprint as one."""
+        fp = self.fingerprints(first, words)
+        order = np.argsort(fp, kind="stable")
+        first, fp = first[order], fp[order]
+        check = self.fingerprints(first, words, kind=1)
+        start = self.starts[first]
+        size = self.ends[first + words - 1] - start
+        new = np.ones(len(first), bool)
+        new[1:] = False
+        for column in (fp, check, size):
+            new[1:] |= column[1:] != column[:-1]
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(first)) - 1 if len(heads) else heads
+        out = np.empty(len(heads), _ENTRY)
+        out["fp"], out["check"], out["size"] = fp[heads], check[heads], size[heads]
+        out["count"] = tails - heads + 1
         out["first"] = out["last"] = chunk
-        out["first_at"] = out["last_at"] = self.starts[first]
-        out["size"] = self.ends[first + words - 1] - self.starts[first]
+        out["first_at"], out["last_at"] = start[heads], start[tails]
         out["words"] = words
         return out
 
@@ -305,11 +336,113 @@ class Adder:
         return out
 
 
-def counted(chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, tasks: int, pairs=None):
-    """Entries of phrases of `sizes` words whose count is `least` or more.
+class KeyAdder:
+    """Adds up counts of keys, in the manner of :class:`Adder`."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held, self.limit = 0, KEYS_HELD
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> bool:
+        self.keys.append(keys)
+        self.counts.append(np.ones(len(keys), np.uint32) if counts is None else counts)
+        self.held += len(keys)
+        return self.held >= self.limit
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([*self.keys, np.empty(0, np.uint64)])
+        counts = np.concatenate([*self.counts, np.empty(0, np.uint32)])
+        self.keys, self.counts = [], []
+        if (counts == 1).all():
+            keys = np.sort(keys)
+        else:
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys.astype(int)
+        # What is beyond 32 bits is frequent by any measure.
+        sums = np.add.reduceat(counts, heads, dtype=np.uint64) if len(keys) else counts
+        keys, counts = keys[heads], np.minimum(sums, 0xFFFFFFFF).astype(np.uint32)
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+        self.limit = max(KEYS_HELD, 2 * len(keys))
+        return keys, counts
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, as those of small numbers are mostly zero."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+_KEYS = pa.schema([("slice", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _key_slices(keys: np.ndarray, counts: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
+    """Sorted keys, as differences, by their leading bits."""
+    if not len(keys):
+        return
+    part = (keys >> np.uint64(shift)).astype(np.int64)
+    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+    for number, k, c in zip(part[np.append(0, cuts)], np.split(keys, cuts), np.split(counts, cuts)):
+        steps = np.diff(k, prepend=np.uint64(int(number) << shift))
+        columns = zip([int(number), _planes(steps), _planes(c)], _KEYS.types)
+        yield pa.record_batch([pa.array([x], t) for x, t in columns], schema=_KEYS)
+
+
+def leading_bits(words: int) -> int:
+    """Bits of a fingerprint that tell most of the phrases of so many words and their pairs apart."""
+    return min(60, max(16, (2 * words).bit_length() + 4))
+
 
-    `pairs` is a broadcast bit map of the pairs that may be frequent; phrases with another are left
-    out. One entry for a fingerprint, its check and its size in bytes.
+def maybe_frequent(
+    chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, lead: int, tasks: int
+) -> DataFrame:
+    """key: the first `lead` bits of the fingerprints that `least` phrases or more of `sizes` words
+    have in common, be they equal or not."""
+    shift = lead - min(lead, (4 * tasks - 1).bit_length())
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adder = KeyAdder()
+        for batch in batches:
+            for lang, body, tail in zip(*batch.columns):
+                ranges = Ranges(body.as_py(), lang.as_py(), tail.as_py(), bits)
+                for words in sizes:
+                    keys = ranges.keys(ranges.counted(words), words, lead)
+                    if adder.add(keys):
+                        summed = adder.total()
+                        if len(summed[0]) > KEYS_HELD // 2:
+                            yield from _key_slices(*summed, shift)
+                            adder = KeyAdder()
+        yield from _key_slices(*adder.total(), shift)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        adder = KeyAdder()
+        for batch in batches:
+            for number, keys, counts in zip(*batch.columns):
+                steps = _from_planes(keys.as_py(), np.uint64)
+                keys = np.cumsum(steps, dtype=np.uint64) + np.uint64(number.as_py() << shift)
+                if adder.add(keys, _from_planes(counts.as_py(), np.uint32)):
+                    adder.total()
+        keys, counts = adder.total()
+        yield pa.record_batch([pa.array(keys[counts >= least].view(np.int64))], names=["key"])
+
+    sliced = chunks.select("lang", "body", "tail").mapInArrow(
+        scan, "slice int, keys binary, counts binary"
+    )
+    return sliced.repartition(tasks, "slice").mapInArrow(merge, "key long")
+
+
+def counted(
+    chunks: DataFrame, longest: int, least: int, bits: int, lead: int, tasks: int, may
+) -> DataFrame:
+    """Entries of phrases of up to `longest` words whose fingerprint occurs `least` times or more.
+
+    `may` is a broadcast bit map of the words and pairs that may be frequent. One entry for a
+    fingerprint, its check and its size in bytes.
     """
     slices = 4 * tasks  # several to a task, so that tasks have about the same
 
@@ -317,19 +450,10 @@ def counted(chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, ta
         adder = Adder()
         for batch in batches:
             for chunk, lang, body, tail in zip(*batch.columns):
-                chunk = chunk.as_py()
                 ranges = Ranges(body.as_py(), lang.as_py(), tail.as_py(), bits)
-                may = None
-                if pairs is not None:
-                    first = ranges.firsts(2)
-                    may = np.zeros(len(ranges.starts) + 1, bool)
-                    may[first] = has_bit(pairs.value, ranges.fingerprints(first, 2))
-                for words in sizes:
-                    first = ranges.counted(words)
-                    if may is not None:
-                        for k in range(words - 1):
-                            first = first[may[first + k]]
-                    if adder.add(ranges.entries(chunk, first, words)):
+                chosen = ranges.chosen(may.value, longest, lead)
+                for words, first in enumerate(chosen, 1):
+                    if adder.add(ranges.entries(chunk.as_py(), first, words)):
                         summed = adder.total()
                         if len(summed) > HELD // 2:
                             yield from _packed(summed, slices)
@@ -361,27 +485,27 @@ def counted(chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, ta
     return packed.repartition(tasks, "slice").mapInArrow(merge, columns)
 
 
-def has_bit(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    at = mixed(fp) % np.uint64(len(bits) * 64)
+def has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = mixed(keys) % np.uint64(len(bits) * 64)
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def bit_map(fingerprints: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
-    """A map with the bit of each fingerprint set, `most_bits` long at most. Tasks set the bits of
+def bit_map(keys: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
+    """A map with the bit of each key set, `most_bits` long at most. Tasks set the bits of
     their own rows; words of the map that several set are joined before they come here, so what comes
     is bounded by the map."""
-    count = fingerprints.count()
+    count = keys.count()
     size = min(most_bits, max(1 << 10, 1 << (16 * count).bit_length()))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            at = mixed(fp) % np.uint64(size)
+            own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            at = mixed(own) % np.uint64(size)
             bits = np.uint64(1) << (at & np.uint64(63))
             columns = [(at >> np.uint64(6)).astype(np.int64), bits.view(np.int64)]
             yield pa.record_batch([pa.array(c) for c in columns], names=["at", "bits"])
 
-    placed = fingerprints.select("fp").mapInArrow(place, "at long, bits long")
+    placed = keys.select("key").mapInArrow(place, "at long, bits long")
     table = placed.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(size // 64, np.uint64)
     out[table["at"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
@@ -456,7 +580,9 @@ def texts_at(entries: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def recounted(chunks: DataFrame, shared: DataFrame, sizes, bits: int, block: int = 1 << 20):
+def recounted(
+    chunks: DataFrame, shared: DataFrame, longest: int, bits: int, block: int = 1 << 20
+) -> DataFrame:
     """Counts by text of all phrases whose fingerprint several texts share.
 
     Their fingerprints are handed out in blocks of a bounded number, one pass over the chunks each.
@@ -476,7 +602,7 @@ def recounted(chunks: DataFrame, shared: DataFrame, sizes, bits: int, block: int
                 for lang, body, tail in ((x.as_py() for x in row) for row in zip(*batch.columns)):
                     ranges = Ranges(body, lang, tail, bits)
                     found: dict[tuple[int, str], int] = {}
-                    for words in sizes:
+                    for words in range(1, longest + 1):
                         first = ranges.counted(words)
                         fp = ranges.fingerprints(first, words)
                         at = np.searchsorted(wanted, fp)
@@ -504,24 +630,20 @@ def frequent_phrases(
 ) -> DataFrame:
     """lang, phrase, words, count of all phrases of up to `longest` words that occur `least` times."""
     spark = chunks.sparkSession
-    if tasks is None:
-        total = chunks.agg(F.sum(F.length("body"))).first()[0] or 0
-        tasks = shuffle_tasks(spark, total, 16 << 20)
+    size = chunks.agg(F.sum(F.length("body")), F.sum("words")).first()
+    tasks = tasks or shuffle_tasks(spark, size[0] or 0, 16 << 20)
+    lead = leading_bits(size[1] or 0)
     short = tuple(range(1, min(longest, 2) + 1))
-    entries = settled(counted(chunks, short, least, bits, tasks), "short-phrases")
-    sizes = short
-    if longest > 2:
-        pairs = spark.sparkContext.broadcast(bit_map(entries.filter("words = 2")))
-        long = tuple(range(3, longest + 1))
-        more = settled(counted(chunks, long, least, bits, tasks, pairs), "long-phrases")
-        entries, sizes = entries.unionByName(more), short + long
+    keys = settled(maybe_frequent(chunks, short, least, bits, lead, tasks), "maybe-frequent")
+    may = spark.sparkContext.broadcast(bit_map(keys))
+    entries = settled(counted(chunks, longest, least, bits, lead, tasks, may), "entries")
     read = settled(texts_at(entries, chunks), "phrases")
     alone = read.filter("same")
     wrong = read.filter("not same").select("fp").distinct()
     names = ["lang", "phrase", "words", "count"]
     if not wrong.isEmpty():
         alone = alone.join(wrong, "fp", "left_anti")
-        again = recounted(chunks, wrong, sizes, bits)
+        again = recounted(chunks, wrong, longest, bits)
         return alone.select(names).unionByName(again.select(names)).filter(F.col("count") >= least)
     return alone.select(names).filter(F.col("count") >= least)
 

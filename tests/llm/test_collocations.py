@@ -8,7 +8,10 @@ import pytest
 
 from registra.llm import collocations as module
 from registra.llm.collocations import (
+    KeyAdder,
     Ranges,
+    _from_planes,
+    _key_slices,
     _packed,
     _parts,
     _unpacked,
@@ -157,9 +160,25 @@ def test_fingerprints_do_not_depend_on_the_place_and_survive_packing():
     assert np.array_equal(np.sort(back, order="fp"), np.sort(entries, order="fp"))
 
 
+def test_keys_survive_their_slices():
+    rng = np.random.default_rng(5)
+    drawn = rng.integers(0, 1 << 20, 50_000).astype(np.uint64)
+    adder = KeyAdder()
+    for part in np.array_split(drawn, 7):
+        adder.add(part)
+    keys, counts = adder.total()
+    again = KeyAdder()
+    for batch in _key_slices(keys, counts, 17):
+        number, steps, own = (c[0].as_py() for c in batch.columns)
+        first = np.cumsum(_from_planes(steps, np.uint64), dtype=np.uint64) + np.uint64(number << 17)
+        assert (first >> np.uint64(17) == number).all()
+        again.add(first, _from_planes(own, np.uint32))
+    assert dict(zip(*map(np.ndarray.tolist, again.total()))) == Counter(drawn.tolist())
+
+
 def test_bit_map_lets_every_fingerprint_through(spark):
-    fps = spark.range(5000).selectExpr("xxhash64(id) as fp")
-    bits = bit_map(fps)
-    own = fps.toArrow()["fp"].to_numpy().view(np.uint64)
+    keys = spark.range(5000).selectExpr("xxhash64(id) as key")
+    bits = bit_map(keys)
+    own = keys.toArrow()["key"].to_numpy().view(np.uint64)
     assert has_bit(bits, own).all()
     assert has_bit(bits, own + np.uint64(1)).mean() < 0.15
