@@ -29,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled, shuffle_tasks, worker_state
+from registra.llm.common import batch_rows, settled, shuffle_tasks, worker_state
 
-CHUNK_BYTES = 1 << 19
+# Small enough that neither Python nor the JVM has to hold large arrays for one.
+CHUNK_BYTES = 1 << 17
+# Chunks that a task is handed at once.
+CHUNK_ROWS = 64
 # Entries, or fingerprints alone, that a task holds before it adds equal ones up.
 HELD = 1 << 19
-KEYS_HELD = 1 << 22
+KEYS_HELD = 1 << 21
 # Bits of the map of words and pairs: 16 for each, as long as these are enough.
 MOST_BITS = 1 << 27
 
@@ -96,7 +99,7 @@ def _parts(text: bytes, size: int, longest: int) -> Iterator[tuple[bytes, int]]:
 def chunked(
     docs: DataFrame, text_col: str, group_col: str, none: str, longest: int, size: int = CHUNK_BYTES
 ) -> DataFrame:
-    """chunk, lang, body, words, tail: the normalised texts, in chunks of about half a MiB. The last
+    """chunk, lang, body, words, tail: the normalised texts, in chunks of about 128 KiB. The last
     `tail` words of a chunk are those of the next one, and are not counted in `words`."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,12 +290,21 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, as those of small numbers are mostly zero."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 _PACKED = "slice int, entries binary"
 
 
 def _packed(entries: np.ndarray, slices: int) -> Iterator[pa.RecordBatch]:
-    """Entries, which are in order of fingerprint, by slices of it: columns one after another, as
-    they then compress."""
+    """Entries, which are in order of fingerprint, by slices of it, a column after another."""
     if not len(entries):
         return
     # The fingerprint may have fewer bits in tests, so its slice comes from a second mixing.
@@ -301,7 +313,7 @@ def _packed(entries: np.ndarray, slices: int) -> Iterator[pa.RecordBatch]:
     entries, part = entries[order], part[order]
     cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
     for own, number in zip(np.split(entries, cuts), part[np.append(0, cuts)]):
-        blob = b"".join(own[name].tobytes() for name, _ in _ENTRY)
+        blob = b"".join(_planes(np.ascontiguousarray(own[name])) for name, _ in _ENTRY)
         yield pa.record_batch(
             [pa.array([int(number)], pa.int32()), pa.array([blob])], names=["slice", "entries"]
         )
@@ -312,7 +324,7 @@ def _unpacked(blob: bytes) -> np.ndarray:
     out, at = np.empty(count, _ENTRY), 0
     for name, kind in _ENTRY:
         size = np.dtype(kind).itemsize * count
-        out[name] = np.frombuffer(blob[at : at + size], kind)
+        out[name] = _from_planes(blob[at : at + size], kind)
         at += size
     return out
 
@@ -368,16 +380,6 @@ class KeyAdder:
         return keys, counts
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side, as those of small numbers are mostly zero."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
-
-
-def _from_planes(blob: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 _KEYS = pa.schema([("slice", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -671,7 +673,8 @@ def collocations(
     are read whole, also where they are counted in several chunks.
     """
     chunks = settled(chunked(docs, text_col, group_col, no_group, longest), "chunks")
-    phrases = settled(frequent_phrases(chunks, longest, least, bits), "frequent")
+    with batch_rows(docs.sparkSession, CHUNK_ROWS):
+        phrases = settled(frequent_phrases(chunks, longest, least, bits), "frequent")
     words = F.split("phrase", " ")
     candidates = phrases.filter("words > 1").withColumn("parts", words)
     cuts = candidates.select(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark import cloudpickle
@@ -29,6 +31,18 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(setting, rows)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand tasks at most so many rows at once in the jobs that run inside, and no later ones."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, min(rows, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. `lower` does just that for pure ASCII, and is faster."""
     pure = F.length(text) == F.octet_length(text)
