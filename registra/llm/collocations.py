@@ -10,8 +10,8 @@ fingerprint to tell collisions apart.
 A first pass finds which words and pairs may be frequent: tasks add up the leading bits of their
 fingerprints, and what is shuffled are the differences between neighbours in sorted order, some two
 bytes each. The result is a bit map of fixed size that can let through too much, never too little.
-The second pass takes the words and pairs that the map lets through, and the phrases of three
-and four words all of whose pairs it lets through. Every task adds up equal fingerprints of its
+A second pass does the same for the longer phrases all of whose pairs the map lets through. The third
+counts what is left by whole fingerprints. Every task adds up equal ones of its
 chunks, with two of the places where they occur, before they are shuffled, so a phrase costs
 one entry a task however common it is. Entries travel packed, by slices of the fingerprint. Frequent fingerprints only are then looked up
 at both places; where the texts differ, the fingerprint is shared, and its occurrences are counted
@@ -38,8 +38,8 @@ CHUNK_ROWS = 64
 # Entries, or fingerprints alone, that a task holds before it adds equal ones up.
 HELD = 1 << 19
 KEYS_HELD = 1 << 21
-# Bits of the map of words and pairs: 16 for each, as long as these are enough.
-MOST_BITS = 1 << 27
+# Bits of the map of phrases that may be frequent: 16 for each, as long as these are enough.
+MOST_BITS = 1 << 28
 
 # What ends a piece and what is between words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -224,18 +224,23 @@ class Ranges:
         """The first `lead` bits of the fingerprints."""
         return self.fingerprints(first, words) >> np.uint64(64 - lead)
 
-    def chosen(self, may: np.ndarray, longest: int, lead: int) -> Iterator[np.ndarray]:
-        """For each number of words the phrases that are to be counted."""
-        first = self.counted(1)
-        yield first[has_bit(may, self.keys(first, 1, lead))]
-        first = self.firsts(2)
-        pair = np.zeros(len(self.starts) + 1, bool)
-        pair[first] = has_bit(may, self.keys(first, 2, lead))
-        for words in range(2, longest + 1):
+    def chosen(
+        self, sizes: tuple[int, ...], lead: int, pairs: np.ndarray | None, may: np.ndarray | None
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """For each number of words the phrases whose pairs and whose own key the maps let through."""
+        through = None
+        if pairs is not None and max(sizes) > 2:
+            first = self.firsts(2)
+            through = np.zeros(len(self.starts) + 1, bool)
+            through[first] = has_bit(pairs, self.keys(first, 2, lead))
+        for words in sizes:
             first = self.counted(words)
-            for k in range(words - 1):
-                first = first[pair[first + k]]
-            yield first
+            if through is not None and words > 2:
+                for k in range(words - 1):
+                    first = first[through[first + k]]
+            if may is not None:
+                first = first[has_bit(may, self.keys(first, words, lead))]
+            yield words, first
 
     def fingerprints(self, first: np.ndarray, words: int, kind: int = 0) -> np.ndarray:
         sums, inverse = self.prefixes[kind]
@@ -401,10 +406,13 @@ def leading_bits(words: int) -> int:
 
 
 def maybe_frequent(
-    chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, lead: int, tasks: int
+    chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, lead: int, tasks: int, pairs=None
 ) -> DataFrame:
     """key: the first `lead` bits of the fingerprints that `least` phrases or more of `sizes` words
-    have in common, be they equal or not."""
+    have in common, be they equal or not.
+
+    `pairs` is a broadcast bit map; phrases with a pair that it does not let through are left out.
+    """
     shift = lead - min(lead, (4 * tasks - 1).bit_length())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,9 +420,8 @@ def maybe_frequent(
         for batch in batches:
             for lang, body, tail in zip(*batch.columns):
                 ranges = Ranges(body.as_py(), lang.as_py(), tail.as_py(), bits)
-                for words in sizes:
-                    keys = ranges.keys(ranges.counted(words), words, lead)
-                    if adder.add(keys):
+                for words, first in ranges.chosen(sizes, lead, pairs and pairs.value, None):
+                    if adder.add(ranges.keys(first, words, lead)):
                         summed = adder.total()
                         if len(summed[0]) > KEYS_HELD // 2:
                             yield from _key_slices(*summed, shift)
@@ -443,8 +450,8 @@ def counted(
 ) -> DataFrame:
     """Entries of phrases of up to `longest` words whose fingerprint occurs `least` times or more.
 
-    `may` is a broadcast bit map of the words and pairs that may be frequent. One entry for a
-    fingerprint, its check and its size in bytes.
+    `may` is a broadcast bit map of the phrases that may be frequent. One entry for a fingerprint, its
+    check and its size in bytes.
     """
     slices = 4 * tasks  # several to a task, so that tasks have about the same
 
@@ -453,8 +460,8 @@ def counted(
         for batch in batches:
             for chunk, lang, body, tail in zip(*batch.columns):
                 ranges = Ranges(body.as_py(), lang.as_py(), tail.as_py(), bits)
-                chosen = ranges.chosen(may.value, longest, lead)
-                for words, first in enumerate(chosen, 1):
+                sizes = tuple(range(1, longest + 1))
+                for words, first in ranges.chosen(sizes, lead, may.value, may.value):
                     if adder.add(ranges.entries(chunk.as_py(), first, words)):
                         summed = adder.total()
                         if len(summed) > HELD // 2:
@@ -635,9 +642,14 @@ def frequent_phrases(
     size = chunks.agg(F.sum(F.length("body")), F.sum("words")).first()
     tasks = tasks or shuffle_tasks(spark, size[0] or 0, 16 << 20)
     lead = leading_bits(size[1] or 0)
-    short = tuple(range(1, min(longest, 2) + 1))
-    keys = settled(maybe_frequent(chunks, short, least, bits, lead, tasks), "maybe-frequent")
-    may = spark.sparkContext.broadcast(bit_map(keys))
+    keys, may = None, None
+    for sizes in ((1, 2), tuple(range(3, longest + 1))):
+        sizes = tuple(n for n in sizes if n <= longest)
+        if sizes:
+            own = maybe_frequent(chunks, sizes, least, bits, lead, tasks, may)
+            own = settled(own, "maybe-frequent")
+            keys = own if keys is None else keys.unionByName(own)
+            may = spark.sparkContext.broadcast(bit_map(keys))
     entries = settled(counted(chunks, longest, least, bits, lead, tasks, may), "entries")
     read = settled(texts_at(entries, chunks), "phrases")
     alone = read.filter("same")
