@@ -35,9 +35,12 @@ from registra.llm.common import batch_rows, settled, shuffle_tasks, worker_state
 CHUNK_BYTES = 1 << 17
 # Chunks that a task is handed at once.
 CHUNK_ROWS = 64
-# Entries, or fingerprints alone, that a task holds before it adds equal ones up.
-HELD = 1 << 19
-KEYS_HELD = 1 << 21
+# Different entries, or keys alone, that a task holds before it hands them on.
+HELD = 3 << 18
+KEYS_HELD = 1 << 20
+# How many more of them it takes before it adds equal ones up.
+MORE = 1 << 18
+KEYS_MORE = 1 << 20
 # Bits of the map of phrases that may be frequent: 16 for each, as long as these are enough.
 MOST_BITS = 1 << 28
 
@@ -278,19 +281,21 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
     entries = np.concatenate(parts)
     if not len(entries):
         return entries
-    # Any two places will do, so the fingerprint alone is sorted, unless texts share one.
-    entries = entries[np.argsort(entries["fp"], kind="stable")]
 
     def changes(column: str) -> np.ndarray:
-        return entries[column][1:] != entries[column][:-1]
-
-    if (~changes("fp") & (changes("check") | changes("size"))).any():
-        entries = entries[np.lexsort((entries["size"], entries["check"], entries["fp"]))]
-    new = changes("fp") | changes("check") | changes("size")
-    heads = np.append(0, np.flatnonzero(new) + 1)
-    out = entries[heads]
-    out["count"] = np.add.reduceat(entries["count"], heads)
-    tails = np.append(heads[1:], len(entries)) - 1
+        own = entries[column][order]
+        return own[1:] != own[:-1]
+
+    # Any two places will do, so the fingerprint alone is sorted, unless texts share one.
+    order = np.argsort(entries["fp"], kind="stable")
+    new, other = changes("fp"), changes("check") | changes("size")
+    if (other & ~new).any():
+        order = np.lexsort((entries["size"], entries["check"], entries["fp"]))
+        new, other = changes("fp"), changes("check") | changes("size")
+    heads = np.append(0, np.flatnonzero(new | other) + 1)
+    tails = order[np.append(heads[1:], len(entries)) - 1]
+    out = entries[order[heads]]
+    out["count"] = np.add.reduceat(entries["count"][order], heads)
     out["last"], out["last_at"] = entries["last"][tails], entries["last_at"][tails]
     return out
 
@@ -308,17 +313,19 @@ def _from_planes(blob: bytes, kind) -> np.ndarray:
 _PACKED = "slice int, entries binary"
 
 
-def _packed(entries: np.ndarray, slices: int) -> Iterator[pa.RecordBatch]:
-    """Entries, which are in order of fingerprint, by slices of it, a column after another."""
+def _packed(entries: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
+    """Entries, in order of fingerprint, by its leading bits: a column after another, fingerprints
+    as differences and last places by how they differ from the first."""
     if not len(entries):
         return
-    # The fingerprint may have fewer bits in tests, so its slice comes from a second mixing.
-    part = (mixed(entries["fp"]) >> np.uint64(40)) % np.uint64(slices)
-    order = np.argsort(part, kind="stable")
-    entries, part = entries[order], part[order]
+    part = (entries["fp"] >> np.uint64(shift)).astype(np.int64)
     cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
     for own, number in zip(np.split(entries, cuts), part[np.append(0, cuts)]):
-        blob = b"".join(_planes(np.ascontiguousarray(own[name])) for name, _ in _ENTRY)
+        columns = {name: own[name].copy() for name, _ in _ENTRY}
+        columns["fp"] = np.diff(columns["fp"], prepend=np.uint64(0))
+        columns["last"] ^= columns["first"]
+        columns["last_at"] ^= columns["first_at"]
+        blob = b"".join(map(_planes, columns.values()))
         yield pa.record_batch(
             [pa.array([int(number)], pa.int32()), pa.array([blob])], names=["slice", "entries"]
         )
@@ -331,15 +338,18 @@ def _unpacked(blob: bytes) -> np.ndarray:
         size = np.dtype(kind).itemsize * count
         out[name] = _from_planes(blob[at : at + size], kind)
         at += size
+    out["fp"] = np.cumsum(out["fp"], dtype=np.uint64)
+    out["last"] ^= out["first"]
+    out["last_at"] ^= out["first_at"]
     return out
 
 
 class Adder:
-    """Adds entries up whenever there are twice as many as were left the last time."""
+    """Adds entries up whenever there are some more than were left the last time."""
 
     def __init__(self) -> None:
         self.parts: list[np.ndarray] = []
-        self.held, self.limit = 0, HELD
+        self.held, self.limit = 0, MORE
 
     def add(self, entries: np.ndarray) -> bool:
         self.parts.append(entries)
@@ -349,7 +359,7 @@ class Adder:
     def total(self) -> np.ndarray:
         out = added_up(self.parts or [np.empty(0, _ENTRY)])
         self.parts, self.held = [out], len(out)
-        self.limit = max(HELD, 2 * len(out))
+        self.limit = len(out) + max(MORE, len(out) // 4)
         return out
 
 
@@ -359,7 +369,7 @@ class KeyAdder:
     def __init__(self) -> None:
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.held, self.limit = 0, KEYS_HELD
+        self.held, self.limit = 0, KEYS_MORE
 
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> bool:
         self.keys.append(keys)
@@ -381,7 +391,7 @@ class KeyAdder:
         sums = np.add.reduceat(counts, heads, dtype=np.uint64) if len(keys) else counts
         keys, counts = keys[heads], np.minimum(sums, 0xFFFFFFFF).astype(np.uint32)
         self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        self.limit = max(KEYS_HELD, 2 * len(keys))
+        self.limit = len(keys) + max(KEYS_MORE, len(keys) // 4)
         return keys, counts
 
 
@@ -405,6 +415,11 @@ def leading_bits(words: int) -> int:
     return min(60, max(16, (2 * words).bit_length() + 4))
 
 
+def leading_slices(tasks: int) -> int:
+    """Leading bits that make several slices for a task, so that tasks have about the same."""
+    return (4 * tasks - 1).bit_length()
+
+
 def maybe_frequent(
     chunks: DataFrame, sizes: tuple[int, ...], least: int, bits: int, lead: int, tasks: int, pairs=None
 ) -> DataFrame:
@@ -413,7 +428,7 @@ def maybe_frequent(
 
     `pairs` is a broadcast bit map; phrases with a pair that it does not let through are left out.
     """
-    shift = lead - min(lead, (4 * tasks - 1).bit_length())
+    shift = lead - min(lead, leading_slices(tasks))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         adder = KeyAdder()
@@ -423,7 +438,7 @@ def maybe_frequent(
                 for words, first in ranges.chosen(sizes, lead, pairs and pairs.value, None):
                     if adder.add(ranges.keys(first, words, lead)):
                         summed = adder.total()
-                        if len(summed[0]) > KEYS_HELD // 2:
+                        if len(summed[0]) > KEYS_HELD:
                             yield from _key_slices(*summed, shift)
                             adder = KeyAdder()
         yield from _key_slices(*adder.total(), shift)
@@ -453,7 +468,7 @@ def counted(
     `may` is a broadcast bit map of the phrases that may be frequent. One entry for a fingerprint, its
     check and its size in bytes.
     """
-    slices = 4 * tasks  # several to a task, so that tasks have about the same
+    shift = 64 - leading_slices(tasks)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         adder = Adder()
@@ -464,10 +479,10 @@ def counted(
                 for words, first in ranges.chosen(sizes, lead, may.value, may.value):
                     if adder.add(ranges.entries(chunk.as_py(), first, words)):
                         summed = adder.total()
-                        if len(summed) > HELD // 2:
-                            yield from _packed(summed, slices)
+                        if len(summed) > HELD:
+                            yield from _packed(summed, shift)
                             adder = Adder()
-        yield from _packed(adder.total(), slices)
+        yield from _packed(adder.total(), shift)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         adder = Adder()

@@ -156,7 +156,7 @@ def test_fingerprints_do_not_depend_on_the_place_and_survive_packing():
     assert one != other
     entries = added_up([ranges.entries(7, ranges.firsts(2), 2)])
     assert sorted(entries["count"]) == [1, 1, 2, 3]
-    back = np.concatenate([_unpacked(b["entries"][0].as_py()) for b in _packed(entries, 3)])
+    back = np.concatenate([_unpacked(b["entries"][0].as_py()) for b in _packed(entries, 62)])
     assert np.array_equal(np.sort(back, order="fp"), np.sort(entries, order="fp"))
 
 
