@@ -134,6 +134,31 @@ def scan_archive_listed(spark, sf):
     return parse_lines(lines.select("line"), text_schema(len(FACT_COLUMNS)))
 
 
+@query(
+    "scan_archive_last_member",
+    """select l_linenumber, count(*) as n, sum(l_orderkey)::bigint as keys from lineitem
+       where l_linenumber % 2 = 1 or l_linenumber > 4 group by 1""",
+)
+def scan_archive_last_member(spark, sf):
+    """Members of one name in two archives, and of a name of its own in a third: that of the first
+    archive goes, with the even line numbers up to 4."""
+    line = F.col("l_linenumber")
+    rows = table(spark, sf, "lineitem").select(
+        F.lit(f"{FACTS_DATASET}_{MONTH}").alias("folder"),
+        F.when(line > 4, "own").when(line % 2 == 0, "a").otherwise("b").alias("archive"),
+        csv_line(F.col("l_orderkey").cast("string"), line.cast("string")).alias("line"),
+    )
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism, F.xxhash64("line"))
+    root = work_folder(spark, "archives")
+    for name, member in (("a", "same"), ("b", "same"), ("own", "own")):
+        write_archives(dealt.filter(F.col("archive") == name), f"{root}/{name}", member)
+    lines = keyed_lines(list_archives(spark, root), member_conflict="last")
+    parsed = parse_lines(lines, text_schema(["key", "number"]))
+    return parsed.groupBy(F.col("number").cast("int").alias("l_linenumber")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("key").cast("long")).alias("keys")
+    )
+
+
 @query(
     "scan_archive_by_month",
     f"""select '{FACTS_DATASET}' as dataset, strftime(l_shipdate, '%Y-%m') as ref_month,
@@ -235,11 +260,12 @@ INGEST_MONTH_SQL = """
 
 
 def _ingested(spark, sf, again):
-    """Three archives of line items landed, then one of them put again with other lines."""
+    """Three sets of archives of line items landed, then one of them put again with other lines."""
     rows = table(spark, sf, "lineitem").select(
         F.lit(f"{FACTS_DATASET}_{MONTH}").alias("folder"),
         (F.col("l_linenumber") % 3).alias("part"),
         F.col("l_quantity"),
+        F.col("l_orderkey"),
         csv_line(F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
             "line"
         ),
@@ -247,10 +273,12 @@ def _ingested(spark, sf, again):
     inbox, bronze = work_folder(spark, "inbox"), work_folder(spark, "bronze")
     checkpoint = work_folder(spark, "progress")
     schema = text_schema(["l_orderkey", "l_linenumber"])
+    # By a key, so that the same rows come to the same archive both times.
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
     for part in range(3):
-        write_archives(rows.filter(F.col("part") == part).coalesce(1), inbox, f"Lines{part}-")
+        write_archives(dealt.filter(F.col("part") == part), inbox, f"Lines{part}-")
     ingest_archives(spark, inbox, bronze, checkpoint, schema)
-    write_archives(again(rows.filter("part = 1")).coalesce(1), inbox, "Lines1-")
+    write_archives(again(dealt.filter("part = 1")), inbox, "Lines1-")
     ingest_archives(spark, inbox, bronze, checkpoint, schema)
     ingest_archives(spark, inbox, bronze, checkpoint, schema)
     stored = read_bronze(spark, bronze, schema, FACTS_DATASET, MONTH)
@@ -263,7 +291,9 @@ def _ingested(spark, sf, again):
     f"{INGEST_MONTH_SQL} where l_linenumber % 3 <> 1 or l_quantity < 25 group by 1",
 )
 def ingest_replaced_archive(spark, sf):
-    return _ingested(spark, sf, lambda rows: rows.filter("l_quantity < 25"))
+    # Blank lines are no rows, so every archive of the set is put again.
+    kept = F.when(F.col("l_quantity") < 25, F.col("line")).otherwise("")
+    return _ingested(spark, sf, lambda rows: rows.withColumn("line", kept))
 
 
 @query(
@@ -274,6 +304,33 @@ def ingest_emptied_archive(spark, sf):
     return _ingested(spark, sf, lambda rows: rows.withColumn("line", F.lit("")))
 
 
+@query(
+    "ingest_same_names",
+    """select runs, lot, count(*) as n from (select 'lot' || (l_linenumber % 2) as lot from lineitem),
+       (values (1), (2)) as t(runs) group by all""",
+)
+def ingest_same_names(spark, sf):
+    """Archives of equal names in two folders, landed in one run and in one run each."""
+    lot = F.concat(F.lit("lot"), F.col("l_linenumber") % 2)
+    rows = table(spark, sf, "lineitem").select(
+        F.concat_ws("/", lot, F.lit(f"{FACTS_DATASET}_{MONTH}")).alias("folder"),
+        lot.alias("lot"),
+        csv_line(F.col("l_orderkey").cast("string"), lot).alias("line"),
+    )
+    schema = text_schema(["l_orderkey", "lot"])
+    counts = []
+    for runs, lots in ((1, [["lot0", "lot1"]]), (2, [["lot0"], ["lot1"]])):
+        inbox, bronze = work_folder(spark, "inbox"), work_folder(spark, "bronze")
+        checkpoint = work_folder(spark, "progress")
+        for some in lots:
+            write_archives(rows.filter(F.col("lot").isin(some)), inbox, "Lines")
+            ingest_archives(spark, inbox, bronze, checkpoint, schema)
+        stored = read_bronze(spark, bronze, schema, FACTS_DATASET, MONTH)
+        found = stored.groupBy("lot").agg(F.count(F.lit(1)).alias("n"))
+        counts.append(found.select(F.lit(runs).alias("runs"), "lot", "n"))
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "scan_archive_all_names",
     "select case when l_linenumber < 3 then '_hidden' when l_linenumber < 5 then '.dotted' "

@@ -33,6 +33,11 @@ def ref_month(path: Column) -> Column:
     return _route(path, 2)
 
 
+def apart_from_month(below: Column) -> Column:
+    """A path below a root without its last folder, `<dataset>_<yyyy-mm>`: `E1.zip`, `lote2/E1.zip`."""
+    return F.regexp_replace(below, r"[^/]+/([^/]+)$", "$1")
+
+
 def whole_mib(length: Column) -> Column:
     return F.shiftright(length, 20)
 

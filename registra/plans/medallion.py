@@ -29,8 +29,9 @@ from registra.sinks.parquet import (
     WriteResult,
     overwrite_partitions,
 )
-from registra.sources.archive import first_line, has_archives, read_archives
+from registra.sources.archive import expand_archives, first_line, has_archives
 from registra.sources.delimited import parse_lines, width_of
+from registra.sources.listing import list_archives
 
 SILVER_KEYS = T.StructType(
     [
@@ -77,10 +78,14 @@ def land_dataset(
     Where missing input counts as empty, a month without archives is left as it was landed.
     """
     folder = f"{cfg.archives}/{dataset}_{cfg.ref_month}"
-    if cfg.on_missing == "empty" and not has_archives(spark, folder, cfg.storage_options):
-        return WriteResult(SKIPPED_EMPTY, 0)
-    lines = read_archives(
-        spark, folder, memberConflict=cfg.member_conflict, **cfg.storage_options
+    if not has_archives(spark, folder, cfg.storage_options):
+        if cfg.on_missing == "empty":
+            return WriteResult(SKIPPED_EMPTY, 0)
+        raise FileNotFoundError(f"PATH_NOT_FOUND: no archive under {folder}")
+    lines = expand_archives(
+        list_archives(spark, folder, storage=cfg.storage_options).select("path"),
+        storage=cfg.storage_options,
+        member_conflict=cfg.member_conflict,
     )
     rows = parse_lines(lines.withColumn("archive", file_name(F.col("archive"))), schema)
     return land_month(rows, cfg.bronze, dataset, cfg.ref_month, cfg.storage_options)

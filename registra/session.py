@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # The connector that belongs to the Hadoop version Spark 4.1 is built with.
@@ -22,6 +23,13 @@ def qualify(spark: SparkSession, path: str) -> str:
     return path if not default or default.startswith("file:") else default.rstrip("/") + path
 
 
+def ship_package() -> None:
+    """Send this package's code with each job, so that executors need no installation."""
+    import registra
+
+    cloudpickle.register_pickle_by_value(registra)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared folder, `spark.checkpoint.dir`.
 

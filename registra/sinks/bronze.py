@@ -24,39 +24,58 @@ from registra.sources.filesystem import drop_folder, subfolders
 BRONZE_KEYS = ["dataset", "ref_month", "archive"]
 
 
-def bronze_keys(path: Column) -> list[Column]:
-    """`dataset, ref_month, archive` of an archive's path.
+def bronze_keys(listing: DataFrame) -> list[Column]:
+    """`dataset, ref_month, archive` of a listing's archives.
 
     A path that does not say dataset and month fails the job: landed without a month, its
-    rows could not be found again.
+    rows could not be found again. The archive's key is its name, after the folders above that of
+    dataset and month if the listing has paths `below` its root, so that equal names in two
+    folders stay apart.
     """
+    path = F.col("path")
     misplaced = F.raise_error(F.concat(F.lit("no <dataset>_<yyyy-mm> folder in "), path))
     return [
         F.coalesce(P.dataset(path), misplaced.cast("string")).alias("dataset"),
         F.coalesce(P.ref_month(path), misplaced.cast("string")).alias("ref_month"),
-        P.file_name(path).alias("archive"),
+        (P.apart_from_month(F.col("below")) if "below" in listing.columns else P.file_name(path)).alias(
+            "archive"
+        ),
     ]
 
 
 def keyed_lines(
-    listing: DataFrame, tasks: int | None = None, storage: Mapping[str, str] | None = None
+    listing: DataFrame,
+    tasks: int | None = None,
+    storage: Mapping[str, str] | None = None,
+    member_conflict: str = "all",
 ) -> DataFrame:
     """Lines of listed archives with their keys: `dataset, ref_month, archive, member, line`.
 
     The keys are worked out once per archive and repeated on its lines; taking them off the
-    path of every line would cost as much as parsing it.
+    path of every line would cost as much as parsing it. `member_conflict="last"` keeps of
+    members with one name in a dataset and month those of the last archive.
     """
-    path = F.col("path")
-    dataset, ref_month, archive = bronze_keys(path)
-    named = listing.select(path, dataset, ref_month, archive.alias("file"))
-    lines = expand_archives(named, tasks or task_count(listing.sparkSession), storage=storage)
+    dataset, ref_month, archive = bronze_keys(listing)
+    named = listing.select("path", dataset, ref_month, archive.alias("file"))
+    lines = expand_archives(
+        named,
+        tasks or task_count(listing),
+        storage=storage,
+        member_conflict=member_conflict,
+        within=["dataset", "ref_month"],
+    )
     return lines.select("dataset", "ref_month", F.col("file").alias("archive"), "member", "line")
 
 
-def task_count(spark: SparkSession) -> int:
-    """Tasks to deal archive slices to: enough to even out their sizes over all cores."""
+def task_count(listing: DataFrame, packed_bytes: int = 32 << 20) -> int:
+    """Tasks to deal archive slices to: enough to even out their sizes over all cores, and for the
+    bytes of the archives, if the listing has them."""
+    spark = listing.sparkSession
+    total = 0
+    if "length" in listing.columns:
+        total = listing.agg(F.sum("length")).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * spark.sparkContext.defaultParallelism, shuffles)
+    return max(2 * spark.sparkContext.defaultParallelism, shuffles, -(-total // packed_bytes))
 
 
 def land_bronze(rows: DataFrame, bronze: str) -> WriteResult:
@@ -84,7 +103,7 @@ def land_archives(
     rows = parse_lines(keyed_lines(listing, tasks, storage), schema)
     with concurrent_writers(spark):
         written, seen = overwrite_seen(rows, bronze, BRONZE_KEYS)
-    for keys in listing.select(*bronze_keys(F.col("path"))).distinct().collect():
+    for keys in listing.select(*bronze_keys(listing)).distinct().collect():
         if tuple(keys) not in seen:
             folder = f"{bronze}/{partition_folder(BRONZE_KEYS, keys)}"
             drop_folder(qualify(spark, folder), storage)

@@ -10,20 +10,20 @@ from __future__ import annotations
 
 import json
 import zipfile
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from registra.config import ARCHIVE_SUFFIX, ENCODING
-from registra.session import qualify
+from registra.session import qualify, ship_package
 from registra.sources.filesystem import list_files, open_seekable
+from registra.sources.listing import list_archives
 
 FORMAT = "ziplines"
 LINES_SCHEMA = T.StructType(
@@ -40,11 +40,12 @@ ARROW_SCHEMA = pa.schema(
         pa.field("line", pa.string(), False),
     ]
 )
-SLICE_COLUMNS = {
+MEMBER_COLUMNS = {
     "archive": (T.StringType(), pa.string()),
     "member": (T.StringType(), pa.string()),
-    "start": (T.LongType(), pa.int64()),
-    "end": (T.LongType(), pa.int64()),
+    "size": (T.LongType(), pa.int64()),
+    "stored": (T.BooleanType(), pa.bool_()),
+    "position": (T.LongType(), pa.int64()),
 }
 BLOCK = 4 << 20
 SLICE_BYTES = 512 << 20
@@ -290,13 +291,6 @@ class ZipLinesReader(DataSourceReader):
             yield from read_slice(piece, self.encoding, self.storage)
 
 
-def ship_package() -> None:
-    """Send this package's code with each job, so that executors need no installation."""
-    import registra
-
-    cloudpickle.register_pickle_by_value(registra)
-
-
 def read_archives(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """`archive, member, line` of every archive under one or more folders."""
     ship_package()
@@ -307,39 +301,76 @@ def read_archives(spark: SparkSession, path: str | list[str], **options: str) ->
     return reader.option("paths", json.dumps([qualify(spark, r) for r in roots])).load()
 
 
+def list_members(listing: DataFrame, storage: Mapping[str, str] | None = None) -> DataFrame:
+    """`archive, member, size, stored, position` of a DataFrame of archive paths, after the other
+    columns of the listing. Tasks read the central directories; no path reaches the driver."""
+    ship_package()
+    storage = dict(storage or {})
+    carried = [f for f in listing.schema.fields if f.name != "path"]
+    names = [f.name for f in carried]
+    columns = [T.StructField(name, spark) for name, (spark, _) in MEMBER_COLUMNS.items()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [batch.schema.field(n) for n in names]
+            added = [pa.field(name, arrow) for name, (_, arrow) in MEMBER_COLUMNS.items()]
+            for row in batch.to_pylist():
+                rows = [
+                    {**row, "archive": m.archive, "member": m.name, "size": m.size,
+                     "stored": m.stored, "position": position}
+                    for position, m in enumerate(members_of(row["path"], storage))
+                ]
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*kept, *added]))
+
+    return listing.mapInArrow(read, T.StructType([*carried, *columns]))
+
+
+def last_members(members: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Of members of one name those of the last archive, in the order of their paths.
+
+    Names meet inside groups of equal `within`, such as dataset and month. The maximum is taken
+    before the shuffle as well, so a name that all archives share is one row a task.
+    """
+    keys = [*within, "member"]
+    others = ["archive", *(c for c in members.columns if c not in ("archive", *keys))]
+    last = members.groupBy(*keys).agg(F.max(F.struct(*others)).alias("last"))
+    return last.select(*keys, "last.*").select(*members.columns)
+
+
 def expand_archives(
     listing: DataFrame,
-    tasks: int,
+    tasks: int | None = None,
     encoding: str = ENCODING,
     slice_bytes: int = PARTITION_BYTES,
     inflate_slices: int = INFLATE_SLICES,
     storage: Mapping[str, str] | None = None,
+    member_conflict: str = "all",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """The same rows for a DataFrame of archive paths, such as one streaming batch.
+    """`archive, member, line` for a DataFrame of archive paths, such as one streaming batch.
 
     Paths stay on the executors: tasks read the central directories, the slices are dealt
     out evenly, and tasks read the slices. Other columns of the listing are repeated on
     every line, so that what depends on the path alone is worked out once per archive.
+    Without a number of `tasks`, the sizes of all members are added up first, for enough tasks, and
+    for smaller slices where cores would be idle. `member_conflict="last"` keeps of members with
+    one name, `within` equal values of these columns, those of the last archive.
     """
-    ship_package()
+    if member_conflict not in ("all", "last"):
+        raise ValueError(f"member_conflict must be all or last, not {member_conflict}")
+    spark = listing.sparkSession
     storage = dict(storage or {})
     carried = [f for f in listing.schema.fields if f.name != "path"]
-    columns = [T.StructField(name, spark) for name, (spark, _) in SLICE_COLUMNS.items()]
-    slices_schema = T.StructType([*carried, *columns])
     lines_schema = T.StructType([*carried, *LINES_SCHEMA.fields])
     names = [f.name for f in carried]
-
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [batch.schema.field(n) for n in names]
-            added = [pa.field(name, arrow) for name, (_, arrow) in SLICE_COLUMNS.items()]
-            for row in batch.to_pylist():
-                pieces = [
-                    {**row, **vars(piece)}
-                    for member in members_of(row["path"], storage)
-                    for piece in slices_of(member, slice_bytes, inflate_slices)
-                ]
-                yield pa.RecordBatch.from_pylist(pieces, schema=pa.schema([*kept, *added]))
+    members = list_members(listing, storage)
+    if member_conflict == "last":
+        members = last_members(members, within)
+    if tasks is None:
+        cores = spark.sparkContext.defaultParallelism
+        total = members.agg(F.sum("size")).first()[0] or 0
+        slice_bytes = min(slice_bytes, max(total // cores, LEAST_SLICE_BYTES))
+        tasks = max(2 * cores, -(-total // slice_bytes))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,14 +385,24 @@ def expand_archives(
                         [*constants, *lines.columns], names=[*names, *lines.schema.names]
                     )
 
-    slices = listing.mapInArrow(plan, slices_schema)
+    # The cuts of `slices_of`, as columns.
+    size = F.col("size")
+    wanted = F.greatest(F.ceil(size / slice_bytes), F.lit(1))
+    parts = F.when(F.col("stored"), wanted).otherwise(F.least(wanted, F.lit(inflate_slices)))
+    step = F.greatest(F.ceil(size / parts), F.lit(1))
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(size - 1, F.lit(0)), step)
+    slices = members.select(
+        *names, "archive", "member", size, step.alias("step"), F.explode(starts).alias("start")
+    ).select(
+        *names, "archive", "member", "start", F.least(F.col("start") + F.col("step"), size).alias("end")
+    )
     return slices.repartition(tasks).mapInArrow(read, lines_schema)
 
 
 def has_archives(
     spark: SparkSession, path: str, storage: Mapping[str, str] | None = None
 ) -> bool:
-    return bool(list_files(qualify(spark, path), ARCHIVE_SUFFIX, storage))
+    return not list_archives(spark, path, storage=storage).isEmpty()
 
 
 def first_line(
@@ -370,13 +411,14 @@ def first_line(
     encoding: str = ENCODING,
     storage: Mapping[str, str] | None = None,
 ) -> str | None:
-    """First non-blank line of the largest member: what decides the width of a scan."""
-    archives = list_files(qualify(spark, path), ARCHIVE_SUFFIX, storage)
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        found = pool.map(lambda a: members_of(a, storage), archives)
-        largest = max((m for ms in found for m in ms), key=lambda m: m.size, default=None)
+    """First non-blank line of the largest member: what decides the width of a scan.
+
+    Tasks compare the members; the driver opens the one that was found.
+    """
+    members = list_members(list_archives(spark, path, storage=storage).select("path"), storage)
+    largest = members.orderBy(F.col("size").desc(), "archive", "position").first()
     if largest is None:
         return None
-    whole = Slice(largest.archive, largest.name, 0, largest.size)
+    whole = Slice(largest["archive"], largest["member"], 0, largest["size"])
     lines = (ln for b in read_slice(whole, encoding, storage) for ln in b.column(2).to_pylist())
     return next((ln for ln in lines if ln.strip()), None)

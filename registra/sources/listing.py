@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from registra.config import ARCHIVE_SUFFIX
 from registra.functions import paths as P
-from registra.session import qualify
-from registra.sources.archive import ship_package
+from registra.session import qualify, ship_package
 from registra.sources.filesystem import resolve
 
 
@@ -30,8 +29,10 @@ def list_objects(spark: SparkSession, root: str, suffix: str = ARCHIVE_SUFFIX) -
 _FOUND = pa.schema(
     [
         ("path", pa.string()),
+        ("below", pa.string()),
         ("length", pa.int64()),
-        ("modificationTime", pa.timestamp("us", "UTC")),
+        # A timestamp would have to carry the time zone of the session.
+        ("modified", pa.int64()),
         ("folder", pa.bool_()),
     ]
 )
@@ -43,7 +44,8 @@ def list_archives(
     suffix: str = ARCHIVE_SUFFIX,
     storage: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The same columns for every archive below a folder, whatever its name.
+    """The same columns for every archive below a folder, whatever its name, and `below`, its path
+    below that folder.
 
     Spark's own listing passes over names that begin with `_` or `.`, which the archive reader
     takes. Tasks do the listing, one for each folder right below the root, so no path reaches the
@@ -53,10 +55,12 @@ def list_archives(
     top, options = qualify(spark, root), dict(storage or {})
 
     def found(uri: str, recursive: bool) -> pa.RecordBatch:
+        _, base, _ = resolve(top, options)
         store, path, prefix = resolve(uri, options)
         chosen = fs.FileSelector(path, recursive=recursive, allow_not_found=True)
         rows = [
-            {"path": prefix + f.path, "length": f.size or 0, "modificationTime": f.mtime,
+            {"path": prefix + f.path, "below": f.path[len(base.rstrip("/")) :].lstrip("/"),
+             "length": f.size or 0, "modified": (f.mtime_ns or 0) // 1000,
              "folder": f.type == fs.FileType.Directory}
             for f in store.get_file_info(chosen)
             if f.path.endswith(suffix) or not recursive
@@ -70,15 +74,17 @@ def list_archives(
 
     def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            files = batch.filter(pc.invert(batch.column(3)))
-            yield files
-            for row in batch.filter(batch.column(3)).to_pylist():
+            folder = batch.column("folder")
+            yield batch.filter(pc.invert(folder))
+            for row in batch.filter(folder).to_pylist():
                 yield found(row["path"], recursive=True)
 
-    kind = "path string, length long, modificationTime timestamp, folder boolean"
+    kind = "path string, below string, length long, modified long, folder boolean"
     first = spark.range(1).mapInArrow(children, kind)
     listed = first.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(below, kind)
-    return listed.filter(~F.col("folder") & F.col("path").endswith(suffix)).drop("folder")
+    return listed.filter(~F.col("folder") & F.col("path").endswith(suffix)).select(
+        "path", "below", "length", F.timestamp_micros("modified").alias("modificationTime")
+    )
 
 
 def routed(listing: DataFrame) -> DataFrame:
