@@ -45,7 +45,10 @@ def active_by_city(
         .groupBy("mun_clean", F.col(columns.kind).alias("kind"))
         .agg(F.count(F.lit(1)).alias("facts"))
     )
-    return counted.join(copies, counted.mun_clean == copies.municipio_cod).select(
+    # A plain comparison would test the cleaned codes for NULL below both aggregates, and so clean
+    # them twice.
+    known = copies.filter(copies.municipio_cod.isNotNull())
+    return counted.join(known, counted.mun_clean.eqNullSafe(known.municipio_cod)).select(
         *CITY, "kind", (F.col("facts") * F.col("copies")).alias("n")
     )
 
