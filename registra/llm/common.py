@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from types import ModuleType
@@ -77,6 +78,35 @@ def worker_state() -> dict:
     return vars(sys.modules.setdefault("registra_worker", ModuleType("registra_worker")))
 
 
+class Shared:
+    """A value that every task reads, from the driver.
+
+    Spark unpickles what it broadcasts by the names of its classes, which an executor without this
+    package does not have. So the value travels as bytes that bring their classes, and is unpacked once
+    by a worker, which holds the last few. For values of some megabytes; arrays and bytes that
+    are larger are broadcast as they are.
+    """
+
+    HELD = 3
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.key = uuid.uuid4().hex
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        held = worker_state().setdefault("shared", {})
+        if self.key not in held:
+            while len(held) >= self.HELD:
+                held.pop(next(iter(held)))
+            held[self.key] = cloudpickle.loads(self.packed.value)
+        return held[self.key]
+
+    def release(self) -> None:
+        """Free what executors hold of it. Jobs that read it must be over."""
+        self.packed.unpersist()
+
+
 def running_sum(values: Column, block: int = 256) -> Column:
     """Sums before each element of an array of numbers, in blocks: a fold copies what it has so
     far at each step, so one fold over a long array would take quadratic time."""

@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled
+from registra.llm.common import Shared, settled
 
 WINDOW = 13
 BLOCK_WORDS = 500_000
@@ -97,21 +98,21 @@ class Items:
         return ranges, hit
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[list]:
-    """The benchmark in blocks of at most `limit` words (an item is never cut), fetched one
-    partition at a time."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> Iterator[list]:
+    """The benchmark in blocks of at most `limit` words (an item is never cut), at least one. Items
+    are fetched one partition at a time, and no block is held once the next is asked for."""
     rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).filter(
         F.col(text_col).isNotNull()
     )
-    out, size = [[]], 0
+    out, size = [], 0
     for item, text in rows.toLocalIterator():
         n = len(words(text))
         if size and size + n > limit:
-            out.append([])
-            size = 0
-        out[-1].append((item, text))
+            yield out
+            out, size = [], 0
+        out.append((item, text))
         size += n
-    return out
+    yield out
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -177,16 +178,19 @@ def find_contamination(
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     found = blocks(benchmark, item_col, item_text_col, block_words)
+    first, second = next(found), next(found, None)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if len(found) == 1:
-        shared = spark.sparkContext.broadcast(Items(found[0], window))
+    if second is None:
+        shared = Shared(spark, Items(first, window))
         return texts.mapInArrow(_single(shared), f"id {kind}, {_REPORT}").withColumnRenamed(
             "id", id_col
         )
+    found = chain(iter([first]), iter([second]), found)
+    del first, second
     return _by_blocks(texts, found, window, kind).withColumnRenamed("id", id_col)
 
 
-def _by_blocks(texts: DataFrame, found: list[list], window: int, kind: str) -> DataFrame:
+def _by_blocks(texts: DataFrame, found: Iterator[list], window: int, kind: str) -> DataFrame:
     """The same with several blocks: what a block finds rides along as a column, and the pass is
     written before the next one starts, so that a worker holds one automaton at a time."""
     spark = texts.sparkSession
@@ -195,13 +199,14 @@ def _by_blocks(texts: DataFrame, found: list[list], window: int, kind: str) -> D
         "id", "text", F.array().cast(ranges).alias("words"), F.array().cast("array<string>").alias("items")
     )
     for block in found:
-        shared = spark.sparkContext.broadcast(Items(block, window))
+        shared = Shared(spark, Items(block, window))
         carried = settled(
             carried.mapInArrow(
                 _pass(shared), f"id {kind}, text string, words {ranges}, items array<string>"
             ),
             "hits",
         )
+        shared.release()
     return carried.mapInArrow(_closing, f"id {kind}, {_REPORT}")
 
 

@@ -17,6 +17,7 @@ broadcast; tables per host grow with the data and are joined.
 from __future__ import annotations
 
 import html
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled
+from registra.llm.common import Shared, settled
 
 BUCKETS = 1 << 15
 TEMPER = 150
@@ -49,13 +50,23 @@ def trigrams(text: str | None) -> np.ndarray:
     return code * np.uint32(2654435761) >> np.uint32(17)
 
 
+# What begins markup: a name, an end, a comment or declaration, an instruction.
+_MARKUP = re.compile("<[A-Za-z/!?]")
+
+
 def visible_text(page: str | None) -> str:
-    """Text of a page without tags, comments, scripts and styles. One pass, however broken."""
+    """Text of a page without tags, comments, scripts and styles. One pass, however broken. A "<"
+    that begins none of these only parts what is before it from what is after it."""
     page = page or ""
     low, out, at = page.lower(), [], 0
     if len(low) != len(page):  # a few characters grow when lower-cased
         low = page
     while (lt := page.find("<", at)) >= 0:
+        if not _MARKUP.match(page, lt):
+            if lt > at:
+                out.append(page[at:lt])
+            at = lt + 1
+            continue
         out.append(page[at:lt])
         if page.startswith("<!--", lt):
             end, skip = page.find("-->", lt + 4), 3
@@ -66,7 +77,8 @@ def visible_text(page: str | None) -> str:
         if end < 0:
             return html.unescape(" ".join(out))
         at = end + skip
-    out.append(page[at:])
+    if at < len(page):
+        out.append(page[at:])
     return html.unescape(" ".join(out))
 
 
@@ -209,7 +221,7 @@ def identify(
     Repeated rows come out as often as they go in. With no labelled texts all is "und".
     """
     size = len(model.languages)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(rows.sparkSession, model)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     tag = primary_tag(declared)
     known = [*model.languages[:-1]]
@@ -293,7 +305,7 @@ def identify_pages(
     html_col: str = "html",
 ) -> DataFrame:
     """Language of each page, with the texts of `labelled` (text, lang) as training data."""
-    declared = F.regexp_extract(pages[html_col], r"""(?i)<html[^>]{0,500}\slang\s*=\s*["']?([A-Za-z_-]+)""", 1)
+    declared = F.regexp_extract(pages[html_col], r"""(?i)<html[^>]*\slang\s*=\s*["']?([A-Za-z_-]+)""", 1)
     host = F.regexp_extract(
         pages[url_col], r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1
     )

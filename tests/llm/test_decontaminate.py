@@ -4,7 +4,7 @@ import re
 import pyarrow as pa
 import pytest
 
-from registra.llm.decontaminate import contaminated, drop_contaminated, find_contamination
+from registra.llm.decontaminate import blocks, contaminated, drop_contaminated, find_contamination
 from tests.llm.cases import by_id, edge_docs, texts
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -71,3 +71,13 @@ def test_edges(spark):
     fox = bench(spark, [(1, "fox jumps")])
     rows = find_contamination(edge_docs(spark), fox).collect()
     assert sum(r.n_hit == 2 for r in rows) == 4
+
+
+def test_blocks_come_one_at_a_time(spark):
+    rows = [(i, f"w{i} " * 30) for i in range(9)]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    found = blocks(benchmark, "item_id", "text", 100)
+    assert iter(found) is found  # nothing is listed before it is asked for
+    sizes = [len(block) for block in found]
+    assert sizes == [3, 3, 3]
+    assert list(blocks(benchmark.limit(0), "item_id", "text", 100)) == [[]]

@@ -99,3 +99,13 @@ def test_edges(spark):
     nothing = edge_docs(spark, [])
     rows = identify_pages(pages(spark, [(1, None, None), (1, "http://a.b/", page("en", "x y"))]), nothing)
     assert [r.lang for r in rows.collect()] == ["und", "und"]
+
+
+def test_long_tags_and_bare_signs(spark):
+    attributes = " ".join(f'data-a{i}="x"' for i in range(400))
+    html = f'<html {attributes} lang="de"><body>5 < 6 and a<b>c</b> if x <y or <3'
+    assert visible_text("5 < 6 <b>x</b> <3 and more").split() == ["5", "6", "x", "3", "and", "more"]
+    pages = spark.createDataFrame([(1, "http://a.de/", html)], "page_id long, url string, html string")
+    docs = spark.createDataFrame([("der und das ist " * 9, "de"), ("the of and is " * 9, "en")], "text string, lang string")
+    found = identify_pages(pages, docs).first()
+    assert len(html) > 2000 and found["declared"] == "de"
