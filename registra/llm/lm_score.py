@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registra.llm.common import most_frequent, settled, shuffle_tasks
+from registra.llm.common import Shared, most_frequent, settled, shuffle_tasks
+from registra.session import work_folder
+from registra.sources.filesystem import drop_folder
 
 DICTIONARY = 1 << 18
 LONGEST = 64  # bytes of a token in the dictionary
@@ -37,10 +40,10 @@ MU = 200.0
 BITS_PER_ENTRY = 8
 PROBES = 4
 FILTER_BYTES = 256 << 20
-EVENTS_PER_SLICE = 3_000_000
-CHUNK = 2_000_000  # events that are sorted at once in a task
+EVENTS_PER_SLICE = 1_000_000
+CHUNK = 1_000_000  # events that are sorted at once in a task
 GROUP_CHARS = 1_000_000  # characters of texts that are scored at once
-KEPT_TOKENS = 1_000_000  # distinct tokens that a task counts before it passes them on
+KEPT_TOKENS = 250_000  # distinct tokens that a task counts before it passes them on
 HELD_OUT = 2  # remainder of the documents that are not learnt from
 FOLDS = 7
 
@@ -163,30 +166,40 @@ class Shard:
     """Some slices of the filter, side by side."""
 
     def __init__(self, slices: int, parts: dict[int, bytes]):
-        self.slices = slices
+        self.arrays = self.of(slices, parts)
+
+    @classmethod
+    def made(cls, arrays: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Shard:
+        shard = cls.__new__(cls)
+        shard.arrays = arrays
+        return shard
+
+    @staticmethod
+    def of(slices: int, parts: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes and starts of the slices in bits, and all bits: arrays that travel as they are."""
         sizes = np.zeros(slices, np.int64)
         starts = np.zeros(slices, np.int64)
         at = 0
         for number, data in sorted(parts.items()):
             sizes[number], starts[number] = len(data) * 8, at * 8
             at += len(data)
-        self.sizes, self.starts = sizes, starts
-        self.bits = np.frombuffer(b"".join(d for _, d in sorted(parts.items())), np.uint8)
+        return sizes, starts, np.frombuffer(b"".join(d for _, d in sorted(parts.items())), np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each event in this shard; 0 for events that are not in it."""
+        all_sizes, all_starts, packed = self.arrays
         out = np.zeros(len(keys), np.uint8)
-        number = slice_of(keys, self.slices)
-        alive = np.flatnonzero(self.sizes[number] > 0)
+        number = slice_of(keys, len(all_sizes))
+        alive = np.flatnonzero(all_sizes[number] > 0)
         level = 0
         while len(alive) and level < 64:
             level += 1
-            sizes = self.sizes[number[alive]].astype(np.uint64)
-            starts = self.starts[number[alive]]
+            sizes = all_sizes[number[alive]].astype(np.uint64)
+            starts = all_starts[number[alive]]
             hit = np.ones(len(alive), bool)
             for at in places(keys[alive], level, sizes):
                 bit = starts + at.astype(np.int64)
-                hit &= (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+                hit &= (packed[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
             alive = alive[hit]
             out[alive] = level
         return out
@@ -280,22 +293,26 @@ def _building(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def built() -> pa.RecordBatch:
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in parts])
         counts = np.concatenate([np.frombuffer(c, "<u4") for _, c in parts])
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order].astype(np.int64)
+        parts.clear()
+        order = np.argsort(keys)
+        keys = keys[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        bits = build_slice(keys[first], np.add.reduceat(counts, first))
+        counts = np.add.reduceat(counts[order], first, dtype=np.int64)
+        del order
+        keys = keys[first]
+        del first
+        bits = build_slice(keys, counts)
         return pa.record_batch(
             [pa.array([now], pa.int32()), pa.array([bits.tobytes()], pa.binary())],
             names=["slice", "bits"],
         )
 
     for batch in batches:
-        for number, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if now is not None and number != now:
+        for number, keys, counts in zip(*batch.columns, strict=True):
+            if now is not None and number.as_py() != now:
                 yield built()
-                parts = []
-            now = number
-            parts.append((keys, counts))
+            now = number.as_py()
+            parts.append((keys.as_py(), counts.as_py()))
     if parts:
         yield built()
 
@@ -315,7 +332,7 @@ def build_filter(
     return settled(found, "filter"), slices
 
 
-def shards(table: DataFrame, slices: int, limit: int) -> Iterator[Shard]:
+def shards(table: DataFrame, slices: int, limit: int) -> Iterator[tuple]:
     """The filter in shards of at most `limit` bytes (a slice is never cut), fetched one by one."""
     sizes = table.select("slice", F.length("bits").alias("n")).orderBy("slice").collect()
     group: list[int] = []
@@ -329,8 +346,8 @@ def shards(table: DataFrame, slices: int, limit: int) -> Iterator[Shard]:
         total += n
     for group in groups:
         low, high = (group[0], group[-1]) if group else (0, -1)
-        rows = table.filter(F.col("slice").between(low, high)).collect()
-        yield Shard(slices, {r["slice"]: bytes(r["bits"]) for r in rows})
+        rows = table.filter(F.col("slice").between(low, high)).toArrow().to_batches()
+        yield Shard.of(slices, {n.as_py(): b.as_py() for r in rows for n, b in zip(*r.columns)})
 
 
 # --- scoring ------------------------------------------------------------------------------------
@@ -373,7 +390,7 @@ def _scorer(shared, shard, n: int, v: int, carried: bool):
                     pairs = [np.frombuffer(x, np.uint8).reshape(2, -1) for x in noted]
                     own, both = np.concatenate(pairs, axis=1)
                 else:
-                    own, both = _look_up(shard.value, texts)
+                    own, both = _look_up(Shard.made(shard.value), texts)
                 rare: list[list[dict]] = []
                 outside = np.flatnonzero(texts.at < 0)
                 cuts = np.searchsorted(outside, texts.starts).tolist()
@@ -405,7 +422,7 @@ def _noting(shared, shard):
         for batch in batches:
             for start, some in groups(batch.column(3)):
                 texts = Texts(shared.value, some)
-                levels = np.stack(_look_up(shard.value, texts))
+                levels = np.stack(_look_up(Shard.made(shard.value), texts))
                 out = []
                 old = batch.column(4).slice(start, len(some)).to_pylist()
                 for a, b, noted in zip(texts.starts, texts.ends + 1, old, strict=True):
@@ -454,7 +471,7 @@ def score_documents(
     ends = train.count()
     n, v = total + ends, distinct + (ends > 0)
 
-    shared = context.broadcast(Vocabulary(frequent(counts, dictionary)))
+    shared = Shared(spark, Vocabulary(frequent(counts, dictionary)))
     table, slices = build_filter(train, shared, 2 * n, per_slice)
     parts = shards(table, slices, filter_bytes)
     first, second = next(parts), next(parts, None)
@@ -464,13 +481,18 @@ def score_documents(
         scored = rows.mapInArrow(scorer, f"{names}, {_SCORED}")
     else:
         noted = rows.withColumn("levels", F.lit(None).cast("binary"))
-        for part in (first, second, *parts):
-            noted = settled(
-                noted.mapInArrow(
-                    _noting(shared, context.broadcast(part)), f"{names}, text string, levels binary"
-                ),
-                "levels",
-            )
+        before = None
+        for part in chain((first, second), parts):
+            probed = context.broadcast(part)
+            passed = noted.mapInArrow(_noting(shared, probed), f"{names}, text string, levels binary")
+            folder = work_folder(spark, "levels")
+            passed.write.parquet(folder)
+            noted = spark.read.schema(passed.schema).parquet(folder)
+            # One pass lies on disk at a time, and one shard in the executors.
+            probed.unpersist()
+            if before:
+                drop_folder(before)
+            before = folder
         scored = noted.mapInArrow(_scorer(shared, None, n, v, True), f"{names}, {_SCORED}")
     scored = settled(scored, "lm_scores")
 

@@ -1,13 +1,14 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 from registra.llm.lm_score import Shard, build_slice, levels_of, score_documents, slice_of, typical
-from tests.llm.cases import by_id, edge_docs
+from tests.llm.cases import by_id, edge_docs, texts
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,3 +80,25 @@ def test_edges(spark):
     only = score_documents(edge_docs(spark, [(held, "a b", "en")])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in only] == [(3, 0, 0)]
     assert only[0].base_score == 0.0
+
+
+def test_many_shards_leave_one_pass_on_disk(spark):
+    docs = texts(spark, {i: " ".join(f"w{(i * 7 + k * k) % 900}" for k in range(200)) for i in range(150)})
+
+    def size(**options):
+        before = folder_bytes(spark)
+        got = {r["doc_id"]: round(r["score"], 9) for r in score_documents(docs, **options).collect()}
+        return got, folder_bytes(spark) - before
+
+    one, alone = size(per_slice=2000)
+    many, parts = size(per_slice=2000, filter_bytes=2000)
+    assert many == one
+    levels = 2 * sum(len(r["text"].split()) + 1 for r in docs.collect()) + sum(
+        len(r["text"]) for r in docs.collect()
+    )
+    assert parts - alone <= 2 * max(alone, levels)
+
+
+def folder_bytes(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
