@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.llm.common import settled, shuffle_tasks
+from registra.llm.common import Shared, settled, shuffle_tasks
 from registra.session import qualify, work_folder
 from registra.sources.filesystem import resolve
 
@@ -354,8 +354,8 @@ def encode_units(units: DataFrame, model: Model, tasks: int = 0) -> DataFrame:
     grouped by 96 bits of hash; should two units ever share them, the job fails.
     """
     tasks = max(tasks, shuffle_tasks(units.sparkSession))
-    hashes = F.xxhash64("unit").alias("h1"), F.hash("unit").alias("h2")
-    distinct = units.select(*hashes, "unit").repartition(tasks, "h1").distinct()
+    dealt = units.select(F.xxhash64("unit").alias("h1"), "unit").repartition(tasks, "h1").distinct()
+    distinct = dealt.select("h1", F.hash("unit").alias("h2"), "unit")
     one = F.when(F.min("unit") == F.max("unit"), F.max("unit")).otherwise(
         F.raise_error(F.lit("two units have the same hashes")).cast("string")
     )
@@ -538,11 +538,16 @@ def check(text: str) -> int:
     return zlib.crc32(text.replace(SPACE, " ").encode("utf-8", "surrogatepass"))
 
 
-def _chunk_units(folder: str):
+def _chunk_units(folder: str, told=None, told_by: int | None = None):
+    """The units of chunks; only the chunk `told_by` lists those that it has told all tasks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set(told.value) if told else set()
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
                 units, _, _ = read_words(folder, chunk)
+                if known and chunk != told_by:
+                    units = [u for u in units if u not in known]
                 yield pa.record_batch(
                     [
                         pa.array([chunk] * len(units), pa.int64()),
@@ -558,15 +563,18 @@ def _chunk_units(folder: str):
 class Table:
     """Ids of units by the hash of the unit."""
 
-    def __init__(self, found: pa.Table):
+    def __init__(self, hashes: np.ndarray, sizes: np.ndarray, flat: np.ndarray):
+        self.hashes, self.sizes, self.flat = hashes, sizes, flat
+
+    @classmethod
+    def sorted(cls, found: pa.Table) -> Table:
         hashes = found.column("hash").to_numpy()
         order = np.argsort(hashes)
-        self.hashes = hashes[order]
         lists = found.column("ids").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         lists = lists.take(pa.array(order))
-        self.sizes = pc.list_value_length(lists).to_numpy().astype("i4")
-        self.flat = lists.flatten().to_numpy().astype("i4")
+        sizes = pc.list_value_length(lists).to_numpy().astype("i4")
+        return cls(hashes[order], sizes, lists.flatten().to_numpy().astype("i4"))
 
     def exact(self) -> bool:
         return bool((self.hashes[1:] != self.hashes[:-1]).all())
@@ -602,7 +610,7 @@ def _filled(words: str, table, answers: str | None):
             for i, chunk in enumerate(batch.column(0).to_pylist()):
                 if chunk != now:
                     units, flat, sizes = read_words(words, chunk)
-                    found = table.value.of(units) if answers is None else _joined_ids(answers, chunk)
+                    found = Table(*table.value).of(units) if answers is None else _joined_ids(answers, chunk)
                     ids, lengths = found.gather(flat)
                     ends = np.concatenate([[0], np.cumsum(lengths)])
                     last = np.cumsum(sizes.astype(np.int64))
@@ -641,7 +649,7 @@ def encode_documents(
     """
     spark = docs.sparkSession
     model = Model(path)
-    shared = spark.sparkContext.broadcast(Cutter(model))
+    shared = Shared(spark, Cutter(model))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     words = qualify(spark, work_folder(spark, "words"))
@@ -653,14 +661,22 @@ def encode_documents(
         "drafts",
     )
     closed = written.filter("draft is null").select("chunk")
-    listed = closed.mapInArrow(_chunk_units(words), "chunk long, pos int, unit string")
-    encoded = encode_units(listed.select("unit"), model, TASKS_PER_CHUNK * closed.count())
+    columns_listed = "chunk long, pos int, unit string"
+    listed = closed.mapInArrow(_chunk_units(words), columns_listed)
+    # Most units of a chunk are in most chunks. Those of one chunk, of which there is a bounded number,
+    # are told to all tasks, so that the others pass on only what they have beside them.
+    count, one = closed.agg(F.count("*"), F.min("chunk")).first()
+    fresh = listed
+    if count > 1:
+        told = spark.sparkContext.broadcast(read_words(words, one)[0])
+        fresh = closed.mapInArrow(_chunk_units(words, told, one), columns_listed)
+    encoded = encode_units(fresh.select("unit"), model, TASKS_PER_CHUNK * count)
     n, ids = encoded.agg(F.count("*"), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
     table = answers = None
     if 12 * n + 4 * ids <= table_bytes:  # so the table and what is collected are bounded
-        found = Table(encoded.select(F.xxhash64("unit").alias("hash"), "ids").toArrow())
+        found = Table.sorted(encoded.select(F.xxhash64("unit").alias("hash"), "ids").toArrow())
         if found.exact():
-            table = spark.sparkContext.broadcast(found)
+            table = spark.sparkContext.broadcast((found.hashes, found.sizes, found.flat))
     if table is None:
         answers = work_folder(spark, "answers")
         listed.join(encoded, "unit").select("chunk", "pos", "ids").repartition(
@@ -716,7 +732,7 @@ def _decoding(shared):
 
 def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """Per row: id, ids, text, and round_trip: whether the text is the one that was encoded."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
+    shared = Shared(encoded.sparkSession, Decoder(Model(path)))
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "ids", "source").mapInArrow(
         _decoding(shared), f"id {kind}, {_DECODED}"
@@ -725,7 +741,7 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
 
 def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> DataFrame:
     """Both, in one worker: id, ids, text as decoded, and round_trip."""
-    shared = docs.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
+    shared = Shared(docs.sparkSession, Decoder(Model(path)))
     return encode_documents(
         docs, path, id_col, then=_decoding(shared), columns=_DECODED, **options
     )
@@ -733,7 +749,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", **opti
 
 def codec_report(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> DataFrame:
     """Encode and decode: id, n_pieces, ids_crc32 (ids as 32 bits each), round_trip."""
-    shared = docs.sparkSession.sparkContext.broadcast(Decoder(Model(path)))
+    shared = Shared(docs.sparkSession, Decoder(Model(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
