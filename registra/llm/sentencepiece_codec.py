@@ -54,6 +54,9 @@ TASKS_PER_CHUNK = 2
 BLOCK = 256
 CODES = 1 << 21  # above all code points, so that they fit below zero
 ROWS = 512  # texts that are passed on at once
+MOST_CHARS = 6000  # of pieces, for a table of their pairs
+WORDS_AT_ONCE = 50_000  # words that are looked at as arrays
+TOLD_CHUNKS = 2  # chunks whose units all tasks are told
 
 
 class Model:
@@ -113,6 +116,16 @@ class Cutter:
         self.joined, self.prefix = model.joined, model.prefix
         self.by_space, self.by_line = model.by_space, model.by_line
         self.spaced = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # Characters that pieces join, as numbers, and which pairs of numbers are joined.
+        chars = sorted({c for pair in self.joined for c in pair})
+        self.pairs = None
+        if len(chars) <= MOST_CHARS:
+            places = {c: i for i, c in enumerate(chars, 1)}
+            self.number = np.zeros(max(map(ord, chars), default=0) + 2, np.uint16)
+            self.number[list(map(ord, chars))] = np.arange(1, len(chars) + 1)
+            self.pairs = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+            for first, second in self.joined:
+                self.pairs[places[first], places[second]] = True
 
     def words(self, text: str) -> list[str]:
         """Pieces never cross from one word to the next."""
@@ -147,6 +160,23 @@ class Cutter:
         return [word[a:b] for a, b in pairwise(cuts)]
 
 
+    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """Units of all words one after the other, and how many each word has."""
+        if self.pairs is None:
+            parts = [self.units(w) for w in words]
+            return [u for own in parts for u in own], np.fromiter(map(len, parts), "<u4", len(parts))
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        known = self.number[np.minimum(codes, len(self.number) - 1)]
+        last = np.zeros(len(codes) + 1, bool)  # whether a unit ends before a character
+        last[1:-1] = ~self.pairs[known[:-1], known[1:]]
+        last[ends] = True
+        cuts = np.flatnonzero(last[1:]) + 1
+        units = [text[a:b] for a, b in pairwise([0, *cuts.tolist()])]
+        return units, np.diff(np.searchsorted(cuts, ends, "right"), prepend=0).astype("<u4")
+
+
 # --- the lattice --------------------------------------------------------------------------------
 
 
@@ -415,8 +445,12 @@ class Chunk:
             if None in found:
                 for k, number in enumerate(found):
                     if number is None:
-                        found[k] = spaced.setdefault(rest[k], self.size)
-                        self.size = max(self.size, found[k] + 1)
+                        word = rest[k]
+                        number = spaced.get(word)  # again, if it is in this line twice
+                        if number is None:
+                            spaced[word] = number = self.size
+                            self.size += 1
+                        found[k] = number
             out += found
         return np.array(out, "<u4")
 
@@ -435,12 +469,12 @@ class Chunk:
             words[number] = SPACE + word
         units: dict[str, int] = {}
         flat: list[int] = []
-        sizes = []
-        for word in words:
-            own = self.cutter.units(word)
+        sizes = [np.zeros(0, "<u4")]
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            own, counts = self.cutter.cut(words[start : start + WORDS_AT_ONCE])
             flat += [units.setdefault(u, len(units)) for u in own]
-            sizes.append(len(own))
-        return list(units), np.array(flat, "<u4"), np.array(sizes, "<u4")
+            sizes.append(counts)
+        return list(units), np.array(flat, "<u4"), np.concatenate(sizes)
 
 
 class Lists:
@@ -538,15 +572,20 @@ def check(text: str) -> int:
     return zlib.crc32(text.replace(SPACE, " ").encode("utf-8", "surrogatepass"))
 
 
-def _chunk_units(folder: str, told=None, told_by: int | None = None):
-    """The units of chunks; only the chunk `told_by` lists those that it has told all tasks."""
+def _chunk_units(folder: str, told=None, told_by: list[int] | None = None):
+    """The units of chunks. Those of the chunks `told_by` are told all tasks, one list for each, and
+    a chunk leaves out what a list before it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set(told.value) if told else set()
+        lists = told.value if told else []
+        known = set().union(*lists)
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
                 units, _, _ = read_words(folder, chunk)
-                if known and chunk != told_by:
+                if told and chunk in told_by:
+                    before = set().union(*lists[: told_by.index(chunk)])
+                    units = [u for u in units if u not in before]
+                elif known:
                     units = [u for u in units if u not in known]
                 yield pa.record_batch(
                     [
@@ -663,13 +702,14 @@ def encode_documents(
     closed = written.filter("draft is null").select("chunk")
     columns_listed = "chunk long, pos int, unit string"
     listed = closed.mapInArrow(_chunk_units(words), columns_listed)
-    # Most units of a chunk are in most chunks. Those of one chunk, of which there is a bounded number,
-    # are told to all tasks, so that the others pass on only what they have beside them.
-    count, one = closed.agg(F.count("*"), F.min("chunk")).first()
+    # Most units of a chunk are in most chunks. Those of a few chunks, of which there is a bounded
+    # number, are told to all tasks, so that the others pass on only what they have beside them.
+    count = closed.count()
     fresh = listed
-    if count > 1:
-        told = spark.sparkContext.broadcast(read_words(words, one)[0])
-        fresh = closed.mapInArrow(_chunk_units(words, told, one), columns_listed)
+    if count > TOLD_CHUNKS:
+        some = [r[0] for r in closed.orderBy("chunk").limit(TOLD_CHUNKS).collect()]
+        told = spark.sparkContext.broadcast([read_words(words, c)[0] for c in some])
+        fresh = closed.mapInArrow(_chunk_units(words, told, some), columns_listed)
     encoded = encode_units(fresh.select("unit"), model, TASKS_PER_CHUNK * count)
     n, ids = encoded.agg(F.count("*"), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
     table = answers = None
@@ -692,6 +732,10 @@ def encode_documents(
     return drafts.mapInArrow(run, f"id {kind}, {columns}").withColumnRenamed("id", id_col)
 
 
+_SPACE_BYTES = SPACE.encode()
+DECODED_AT_ONCE = 64  # texts whose bytes are gathered at once
+
+
 class Decoder:
     """Texts from ids."""
 
@@ -706,10 +750,23 @@ class Decoder:
             else:
                 self.table.append(piece.encode() if kind in (NORMAL, USER) else b"")
 
+        sizes = np.fromiter(map(len, self.table), np.int64, len(self.table))
+        self.lists = Lists(np.frombuffer(b"".join(self.table), np.uint8), sizes)
+
     def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
-        text = text.replace(SPACE, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return next(self.decoded(pa.array([ids], pa.list_(pa.int32())))).decode("utf-8", "replace")
+
+    def decoded(self, lists: pa.ListArray) -> Iterator[bytes]:
+        """Texts of lists of ids, as the bytes of their pieces with spaces for the sign."""
+        for start in range(0, len(lists), DECODED_AT_ONCE):
+            some = lists.slice(start, DECODED_AT_ONCE)
+            found, sizes = self.lists.gather(some.flatten().to_numpy())
+            data = found.tobytes()
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            cuts = np.concatenate([[0], np.cumsum(some.value_lengths().fill_null(0).to_numpy())])
+            for a, b in pairwise(ends[cuts].tolist()):
+                text = data[a:b].replace(_SPACE_BYTES, b" ")
+                yield text[1:] if self.prefix and text.startswith(b" ") else text
 
 
 _DECODED = "ids array<int>, text string, round_trip boolean"
@@ -718,10 +775,11 @@ _DECODED = "ids array<int>, text string, round_trip boolean"
 def _decoding(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [shared.value.decode(x.as_py()) for x in batch.column(1)]
-            same = [
-                check(t) == s for t, s in zip(texts, batch.column(2).to_pylist(), strict=True)
-            ]
+            found = list(shared.value.decoded(batch.column(1)))
+            # Bytes that are no text cannot have the checksum of one.
+            sources = batch.column(2).to_pylist()
+            same = [zlib.crc32(t) == s for t, s in zip(found, sources, strict=True)]
+            texts = [t.decode("utf-8", "replace") for t in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(texts, pa.string()), pa.array(same, pa.bool_())],
                 names=["id", "ids", "text", "round_trip"],
@@ -754,11 +812,13 @@ def codec_report(docs: DataFrame, path: str, id_col: str = "doc_id", **options)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, checks, same = [], [], []
-            for ids, source in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            texts = shared.value.decoded(batch.column(1))
+            sources = batch.column(2).to_pylist()
+            for ids, text, source in zip(batch.column(1), texts, sources, strict=True):
                 found = ids.values.to_numpy()
                 sizes.append(len(found))
                 checks.append(zlib.crc32(found.astype("<u4").tobytes()))
-                same.append(check(shared.value.decode(found.tolist())) == source)
+                same.append(zlib.crc32(text) == source)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

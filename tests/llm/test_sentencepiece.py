@@ -130,3 +130,18 @@ def test_edges(spark, model):
     assert {tuple(r.ids) for r in rows if r.doc_id in (3, 4)} == {()}
     assert sorted(r.text for r in rows) == sorted((t or "").replace("▁", " ") for _, t, _ in ROWS)
     assert decode_documents(encode_documents(edge_docs(spark, []), PATH), PATH).collect() == []
+
+
+def test_words_cut_together_are_cut_as_alone(model):
+    cutter = Cutter(model)
+    rng = random.Random(8)
+    chars = "abcdeétsZ ▁漢字\U0001f600\n\x00.,1ßñ"
+    words = ["", "a", *("".join(rng.choice(chars) for _ in range(rng.randint(0, 6))) for _ in range(5000))]
+    words += ["the", "▁thing", "▁über", ""] * 20
+    alone = [cutter.units(w) if w else [] for w in words]
+    for pairs in (cutter.pairs, None):
+        cutter.pairs = pairs
+        for some, own in ((words, alone), (words[2:3], alone[2:3]), ([], []), ([""], [[]])):
+            units, sizes = cutter.cut(some)
+            assert units == [u for part in own for u in part]
+            assert sizes.tolist() == [len(part) for part in own]
