@@ -163,7 +163,7 @@ class Cutter:
     def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
         """Units of all words one after the other, and how many each word has."""
         if self.pairs is None:
-            parts = [self.units(w) for w in words]
+            parts = [self.units(w) if w else [] for w in words]
             return [u for own in parts for u in own], np.fromiter(map(len, parts), "<u4", len(parts))
         text = "".join(words)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -599,6 +599,11 @@ def _chunk_units(folder: str, told=None, told_by: list[int] | None = None):
     return run
 
 
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the least bytes that hold the largest, as every executor gets them."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
+
+
 class Table:
     """Ids of units by the hash of the unit."""
 
@@ -612,8 +617,8 @@ class Table:
         lists = found.column("ids").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         lists = lists.take(pa.array(order))
-        sizes = pc.list_value_length(lists).to_numpy().astype("i4")
-        return cls(hashes[order], sizes, lists.flatten().to_numpy().astype("i4"))
+        sizes = pc.list_value_length(lists).to_numpy()
+        return cls(hashes[order], _small(sizes), _small(lists.flatten().to_numpy()))
 
     def exact(self) -> bool:
         return bool((self.hashes[1:] != self.hashes[:-1]).all())
@@ -662,7 +667,9 @@ def _filled(words: str, table, answers: str | None):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1)[i].values,
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)),
+                        pa.ListArray.from_arrays(
+                            pa.array(offsets, pa.int32()), pa.array(ids.astype("i4", copy=False))
+                        ),
                         batch.column(2)[i].values,
                     ],
                     names=["id", "ids", "source"],
