@@ -439,8 +439,8 @@ class Chunk:
             if i == 0 or not cutter.plain(line, parts):
                 self._bare(["\n"] * (i > 0) + cutter.of_line(line, i == 0), out)
                 continue
-            self._bare(["\n", parts[0]] if parts[0] else ["\n"], out)
-            rest = parts[1:]
+            lead, rest = parts[0], parts[1:]
+            self._bare(("\n", lead) if lead else ("\n",), out)
             found = list(map(spaced.get, rest))
             if None in found:
                 for k, number in enumerate(found):
@@ -455,9 +455,12 @@ class Chunk:
         return np.array(out, "<u4")
 
     def _bare(self, words: list[str], out: list[int]) -> None:
+        bare = self.bare
         for word in words:
-            number = self.bare.setdefault(word, self.size)
-            self.size = max(self.size, number + 1)
+            number = bare.get(word)
+            if number is None:
+                bare[word] = number = self.size
+                self.size += 1
             out.append(number)
 
     def composition(self) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -490,8 +493,10 @@ class Lists:
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         # Each place of the result: the start of its list, and how far into the list it is.
-        first = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-        return self.flat[first + np.arange(total)], sizes
+        kind = np.int32 if max(total, len(self.flat)) < 1 << 31 else np.int64
+        at = np.repeat((self.starts[numbers] - (ends - sizes)).astype(kind), sizes)
+        at += np.arange(total, dtype=kind)
+        return self.flat[at], sizes
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -518,11 +523,12 @@ def _write_words(folder: str, chunk: int, units: list[str], flat: np.ndarray, si
     store.move(own, f"{base}/{chunk}")
 
 
-def read_words(folder: str, chunk: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+def read_words(folder: str, chunk: int) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     store, base, _ = resolve(folder)
     with store.open_input_file(f"{base}/{chunk}") as stream:
-        row = pq.read_table(stream).to_pylist()[0]
-    return row["units"], _whole(row["flat"]), _whole(row["sizes"])
+        row = pq.read_table(stream).to_batches()[0]
+    units, flat, sizes = (row.column(c)[0] for c in ("units", "flat", "sizes"))
+    return units.values, _whole(flat.as_py()), _whole(sizes.as_py())
 
 
 def _drafts(shared, folder: str):
@@ -581,7 +587,7 @@ def _chunk_units(folder: str, told=None, told_by: list[int] | None = None):
         known = set().union(*lists)
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                units, _, _ = read_words(folder, chunk)
+                units = read_words(folder, chunk)[0].to_pylist()
                 if told and chunk in told_by:
                     before = set().union(*lists[: told_by.index(chunk)])
                     units = [u for u in units if u not in before]
@@ -623,8 +629,8 @@ class Table:
     def exact(self) -> bool:
         return bool((self.hashes[1:] != self.hashes[:-1]).all())
 
-    def of(self, units: list[str]) -> Lists:
-        seeded = [xxhash.xxh64_intdigest(u.encode(), 42) for u in units]
+    def of(self, units: pa.StringArray) -> Lists:
+        seeded = [xxhash.xxh64_intdigest(u, 42) for u in units.cast(pa.binary()).to_pylist()]
         wanted = np.array(seeded, np.uint64).view(np.int64)
         return Lists(*Lists(self.flat, self.sizes).gather(np.searchsorted(self.hashes, wanted)))
 
@@ -715,7 +721,7 @@ def encode_documents(
     fresh = listed
     if count > TOLD_CHUNKS:
         some = [r[0] for r in closed.orderBy("chunk").limit(TOLD_CHUNKS).collect()]
-        told = spark.sparkContext.broadcast([read_words(words, c)[0] for c in some])
+        told = spark.sparkContext.broadcast([read_words(words, c)[0].to_pylist() for c in some])
         fresh = closed.mapInArrow(_chunk_units(words, told, some), columns_listed)
     encoded = encode_units(fresh.select("unit"), model, TASKS_PER_CHUNK * count)
     n, ids = encoded.agg(F.count("*"), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()

@@ -70,4 +70,4 @@ def test_stages_survive_odd_rows(spark):
 
 def test_names():
     names = set(catalogue.QUERIES)
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
