@@ -53,7 +53,8 @@ def test_flagship(spark):
 
 
 PYTHON_ON_EXECUTORS = {
-    "scan_archive", "scan_archive_listed", "scan_archive_by_month", "scan_archive_all_names"
+    "scan_archive", "scan_archive_listed", "scan_archive_by_month", "scan_archive_all_names",
+    "scan_archive_last_member",
 }
 
 
