@@ -279,6 +279,7 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
     """One entry for equal ones, with the sum of counts and two of the places, the ends of the
     order they came in. The words of a phrase follow from its text."""
     entries = np.concatenate(parts)
+    parts.clear()  # else all entries are held twice
     if not len(entries):
         return entries
 
@@ -293,6 +294,7 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
         order = np.lexsort((entries["size"], entries["check"], entries["fp"]))
         new, other = changes("fp"), changes("check") | changes("size")
     heads = np.append(0, np.flatnonzero(new | other) + 1)
+    del new, other
     tails = order[np.append(heads[1:], len(entries)) - 1]
     out = entries[order[heads]]
     out["count"] = np.add.reduceat(entries["count"][order], heads)
@@ -357,7 +359,8 @@ class Adder:
         return self.held >= self.limit
 
     def total(self) -> np.ndarray:
-        out = added_up(self.parts or [np.empty(0, _ENTRY)])
+        parts, self.parts = self.parts, []
+        out = added_up(parts or [np.empty(0, _ENTRY)])
         self.parts, self.held = [out], len(out)
         self.limit = len(out) + max(MORE, len(out) // 4)
         return out
