@@ -1,8 +1,10 @@
 import hashlib
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from registra.llm.exact_dedup import drop_exact_copies, exact_dedup
+from registra.llm.exact_dedup import drop_exact_copies, exact_dedup, merge_runs, sorted_runs
 from tests.llm.cases import ROWS, edge_docs
 
 
@@ -58,3 +60,31 @@ def test_main_path_is_native_and_a_hot_text_is_spread(spark):
 def test_rules(spark):
     with pytest.raises(ValueError):
         exact_dedup(edge_docs(spark), keep="any")
+
+
+def test_runs_are_exchanged_once_a_round_and_merged_in_order(spark):
+    docs = spark.range(0, 4000, 1, 100).selectExpr(
+        "id as doc_id", "if(id % 2 = 0, 'hot', cast(id % 700 as string)) as text"
+    )
+    rows = sorted_runs(docs, "doc_id", "text")
+    assert rows.select("run").distinct().count() == 100
+    # Each written run lies in order, and the hot text is in every one of them.
+    placed = rows.select("run", "digest", F.monotonically_increasing_id().alias("place"))
+    before = F.lag("digest").over(Window.partitionBy("run").orderBy("place"))
+    assert placed.select((before > F.col("digest")).alias("falls")).filter("falls").isEmpty()
+    first, last = merge_runs(rows, "largest", 100, 10, 8)
+    hot = hashlib.sha256(b"hot").digest()
+    assert first.filter(F.col("digest") == F.lit(hot)).count() == 100
+    sizes = {bytes(r.digest): (r.best.id, r.size) for r in last.collect()}
+    assert sizes[hot] == (3998, 2000) and sum(n for _, n in sizes.values()) == 4000
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    whole = plan.split("== Initial Plan ==")[-1]
+    assert whole.count("Exchange hashpartitioning(run") == 3 and whole.count("Exchange") == 3
+    assert "SortAggregate" in whole and " HashAggregate" not in whole
+
+
+def test_a_filter_looks_up_only_rows_that_go(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "cast(id % 290 as string) as text")
+    out = drop_exact_copies(docs, keep="smallest")
+    assert sorted(r.doc_id for r in out.collect()) == list(range(290))
+    assert "LeftAnti" in out._jdf.queryExecution().executedPlan().toString()
