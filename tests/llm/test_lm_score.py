@@ -7,7 +7,15 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from registra.llm.lm_score import Shard, build_slice, levels_of, score_documents, slice_of, typical
+from registra.llm.lm_score import (
+    MU,
+    Shard,
+    build_slice,
+    levels_of,
+    score_documents,
+    slice_of,
+    typical,
+)
 from tests.llm.cases import by_id, edge_docs, texts
 
 SF = "/root/testdata/sf0.001"
@@ -102,3 +110,34 @@ def test_many_shards_leave_one_pass_on_disk(spark):
 def folder_bytes(spark):
     root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
     return sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+
+
+def test_score_against_exact_counts(spark):
+    """The same smoothing over exact counts. The filter overstates less than one key in twenty (see
+    above): an unseen pair then counts as seen once, any other count at most doubles. So much a
+    token may the scores be apart, taken over all texts."""
+    rows = pq.read_table(f"{SF}/documents.parquet").to_pylist()
+    words = {r["doc_id"]: [*tokens(r["text"]), None] for r in rows}
+    got = by_id(score_documents(spark.read.parquet(f"{SF}/documents.parquet")))
+    single, double = Counter(), Counter()
+    for doc_id, own in words.items():
+        if zlib.crc32(str(doc_id).encode()) % 7 != 2:
+            single.update(own)
+            double.update(zip([None, *own], own))
+    n, v = sum(single.values()), len(single)
+
+    def known(count):
+        return float(typical(levels_of(np.array([count])))[0]) if count else 0.0
+
+    apart = allowed = 0.0
+    for doc_id, own in words.items():
+        score = 0.0
+        for before, token in zip([None, *own], own):
+            alone = MU * (known(single[token]) + 1) / (n + v + 1)
+            both = known(double[before, token])
+            score += math.log10((both + alone) / (max(known(single[before]), both) + MU))
+            unseen = 0 if both else math.log10((1 + alone) / alone)
+            allowed += 0.05 * (unseen + 3 * math.log10(2))
+        apart += abs(got[doc_id].score - score)
+    assert 0 < apart <= allowed
+    assert apart < 0.05 * sum(-r.score for r in got.values())
