@@ -56,9 +56,14 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     Later steps then see one fixed result however often they run, and a lost executor costs a
     read instead of the work before it.
     """
+    return settled_at(df, name)[0]
+
+
+def settled_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`settled`, with the folder, for tables that can go before the session ends."""
     folder = work_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
 def shuffle_tasks(spark: SparkSession, total_bytes: int = 0, bytes_per_task: int = 64 << 20) -> int:

@@ -29,7 +29,8 @@ from registra.llm.components import components
 BITS = 64
 SEED = 42
 BUCKET = 4096
-SALTS = 64
+SALTS = 64  # at least, and one more for each
+ROWS_PER_SALT = 1_000_000
 SLICE = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -187,7 +188,8 @@ def simhash_components(
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     answer = placed.join(smallest, "root").select("fp", "component_id")
     # The rows of a hot fingerprint meet its answer once per salt that they have.
-    dealt = marked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    salts = max(SALTS, -(-marked.count() // ROWS_PER_SALT))
+    dealt = marked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     salted = dealt.select("fp", "salt").distinct().join(answer, "fp")
     return (
         dealt.join(salted, ["fp", "salt"])

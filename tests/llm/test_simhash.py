@@ -1,5 +1,6 @@
 import itertools
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 import xxhash
 
 from registra.llm import simhash
-from registra.llm.components import components
+from registra.llm.components import _star, components
 from registra.llm.simhash import (
     covering_masks,
     drop_near_copies,
@@ -124,3 +125,23 @@ def test_edges(spark):
     assert simhash_components(edge_docs(spark, [])).collect() == []
     with pytest.raises(ValueError):
         simhash_components(edge_docs(spark), radius=4)
+
+
+def test_a_hub_and_a_path_leave_one_table(spark):
+    """A node with most edges, and a path of 300 nodes: one folder is left of all rounds."""
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = {*root.glob("stars-*"), *root.glob("smallest-*")}
+    edges = spark.range(20_000).selectExpr("id + 1000 as a", "500000 as b").unionAll(
+        spark.range(300).selectExpr("id as a", "id + 1 as b")
+    )
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert len(got) == 20_000 + 300 and got[500_000] == 1000 and got[300] == 0
+    assert set(got.values()) == {0, 1000}
+    assert len({*root.glob("stars-*"), *root.glob("smallest-*")} - before) == 1
+
+
+def test_a_star_is_written_with_its_smallest_neighbours(spark):
+    edges = spark.range(2000).selectExpr("id + 1 as a", "0 as b")
+    star, folders = _star(edges, large=True)
+    assert len(folders) == 2 and star.count() == 2000
+    assert {(r.a, r.b) for r in star.collect()} == {(0, i + 1) for i in range(2000)}
