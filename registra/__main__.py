@@ -13,13 +13,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registra.config import LOOKUP_SCHEMA, SAO_PAULO, RunConfig, text_schema
-from registra.plans.medallion import refine, run
+from registra.config import (
+    ACTIVE,
+    KIND_LABELS,
+    LOOKUP_SCHEMA,
+    SAO_PAULO,
+    ColumnMap,
+    RunConfig,
+    text_schema,
+)
+from registra.plans.medallion import month_metrics, refine, run
 from registra.session import object_store_builder, store_options
 from registra.sinks.parquet import WriteResult
 from registra.streaming.ingest import ingest_archives
 
 
+def label(text: str) -> tuple[str, str]:
+    flag, found, name = text.partition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text} is not flag=label")
+    return flag, name
+
+
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="registra", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -41,6 +56,14 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         cities.add_argument("--city", type=int, action="append", help="code; repeatable")
         cities.add_argument("--all-cities", action="store_true")
         job.add_argument("--guard", choices=["none", "any_column"], default="none")
+        for part, name in vars(ColumnMap()).items():
+            job.add_argument(f"--{part}-column", default=name, help=f"raw column, {name}")
+        job.add_argument("--active", type=int, default=ACTIVE, help="status that counts")
+        job.add_argument("--label", type=label, action="append", help="flag=label; repeatable")
+        job.add_argument("--unique-lookup", action="store_true", help="refuse repeated codes")
+        job.add_argument("--gold-by-city", action="store_true")
+        job.add_argument("--search", help="also count the facts that hold this value anywhere")
+    whole.add_argument("--member-conflict", choices=["all", "last"], default="all")
     whole.add_argument("--on-missing", choices=["error", "empty"], default="error")
 
     ingest.add_argument("--checkpoint", required=True)
@@ -59,17 +82,27 @@ def config(args: argparse.Namespace) -> RunConfig:
         gold=args.gold,
         ref_month=args.month,
         width=args.width,
+        columns=ColumnMap(args.municipality_column, args.status_column, args.kind_column),
         codes=None if args.all_cities else tuple(args.city or [SAO_PAULO]),
+        active=args.active,
         guard=args.guard,
         on_missing=getattr(args, "on_missing", "error"),
+        member_conflict=getattr(args, "member_conflict", "all"),
+        unique_lookup=args.unique_lookup,
+        gold_by_city=args.gold_by_city,
+        search=args.search,
+        kind_labels=dict(args.label or KIND_LABELS),
         storage_options=store_options(),
     )
 
 
-def report(silver: WriteResult, gold: DataFrame | None) -> dict[str, object]:
+def report(
+    silver: WriteResult, gold: DataFrame | None, metrics: dict[str, int] | None = None
+) -> dict[str, object]:
     """Status and counts. One row per label: its size does not depend on the flags found."""
     labels = gold.groupBy("label").agg(F.sum("n").alias("n")).collect() if gold else []
     return {
+        **(metrics or {}),
         "status": silver.status,
         "silver": silver.rows,
         "gold": {row["label"]: row["n"] for row in labels},
@@ -90,12 +123,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             storage=store_options(),
         )
     elif args.job == "refine":
-        cfg = config(args)
-        print(json.dumps(report(*refine(spark, cfg, text_schema(args.width)))))
+        cfg, schema = config(args), text_schema(args.width)
+        silver, gold = refine(spark, cfg, schema)
+        print(json.dumps(report(silver, gold, month_metrics(spark, cfg, schema))))
     else:
         result = run(spark, config(args))
         landed = {"facts": result.facts.rows, "lookup": result.lookup.rows}
-        print(json.dumps({**landed, **report(result.silver, result.gold)}))
+        print(json.dumps({**landed, **report(result.silver, result.gold, result.metrics)}))
 
 
 if __name__ == "__main__":

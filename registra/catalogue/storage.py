@@ -15,6 +15,7 @@ from registra.catalogue.tables import (
     COLUMNS,
     FACTS_SQL,
     KEYS,
+    LOOKUP_SQL,
     SILVER_SQL,
     facts,
     lookup,
@@ -381,6 +382,33 @@ def _lookup_lines(spark, sf):
         where municipio_cod = {CITY} group by 1""",
 )
 def medallion_end_to_end(spark, sf):
+    return _whole_run(spark, sf, codes=(CITY,)).gold.select("kind", "n")
+
+
+@query(
+    "medallion_by_city",
+    f"""select municipio_cod, municipio_nome, kind_raw as kind, count(*) as n
+        from ({SILVER_SQL}) group by all""",
+)
+def medallion_by_city(spark, sf):
+    found = _whole_run(spark, sf, codes=None, gold_by_city=True)
+    return found.gold.select("municipio_cod", "municipio_nome", "kind", "n")
+
+
+@query(
+    "medallion_metrics",
+    f"""select (select count(*) from ({LOOKUP_SQL}) where municipio_cod = {CITY}) as n_lookup,
+               (select count(*) from ({FACTS_SQL})
+                where list_contains([mun_raw, sit_raw, kind_raw], '07')) as n_search,
+               (select count(*) from ({SILVER_SQL}) where municipio_cod = {CITY}) as n_final""",
+)
+def medallion_metrics(spark, sf):
+    """The three counts of a run, as its report has them, searched in every column of the archives."""
+    found = _whole_run(spark, sf, codes=(CITY,), search="07").metrics
+    return spark.createDataFrame([found], "n_lookup long, n_search long, n_final long")
+
+
+def _whole_run(spark, sf, **options):
     root = work_folder(spark, "run")
     archives = f"{root}/archives"
     write_archives(_registry_lines(spark, sf), archives, "E")
@@ -391,6 +419,6 @@ def medallion_end_to_end(spark, sf):
         silver=f"{root}/silver",
         ref_month=MONTH,
         columns=ColumnMap(),
-        codes=(CITY,),
+        **options,
     )
-    return run(spark, cfg).gold.select("kind", "n")
+    return run(spark, cfg)

@@ -51,7 +51,9 @@ class RunConfig:
 
     `width` None takes the width of the facts from their first line. `codes` None keeps every
     city. `names` renames raw columns in silver; `columns` always uses the raw names.
-    Without a `gold` path the counts are returned but not stored.
+    Without a `gold` path the counts are returned but not stored. `gold_by_city` counts each city for
+    itself. With a `search` value the run also counts lookup rows, facts that hold the value in any
+    column, and final rows, which reads all columns of the facts once more.
     """
 
     archives: str
@@ -68,5 +70,7 @@ class RunConfig:
     on_missing: str = "error"
     member_conflict: str = "all"
     unique_lookup: bool = False
+    gold_by_city: bool = False
+    search: str | None = None
     kind_labels: dict[str, str] = field(default_factory=lambda: dict(KIND_LABELS))
     storage_options: dict[str, str] = field(default_factory=dict)

@@ -18,8 +18,9 @@ from registra.config import (
 )
 from registra.functions.paths import file_name
 from registra.operators.columns import rename_positional
-from registra.operators.gold import by_kind, with_labels
+from registra.operators.gold import by_city, by_kind, with_labels
 from registra.operators.lookup import clean_lookup, keep_codes, repeated_codes
+from registra.operators.metrics import run_metrics
 from registra.operators.search import holds_value
 from registra.operators.silver import build_silver
 from registra.sinks.bronze import land_month, read_bronze
@@ -46,12 +47,14 @@ SILVER_KEYS = T.StructType(
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did. `gold` counts the month's silver, or is None if nothing was written."""
+    """What a run did. `gold` counts the month's silver, or is None if nothing was written;
+    `metrics` is None if the run searched for nothing."""
 
     facts: WriteResult
     lookup: WriteResult
     silver: WriteResult
     gold: DataFrame | None
+    metrics: dict[str, int] | None = None
 
 
 def fact_schema(spark: SparkSession, cfg: RunConfig) -> T.StructType | None:
@@ -125,7 +128,8 @@ def build_gold(spark: SparkSession, cfg: RunConfig, schema: T.StructType) -> Dat
     """Labelled counts of the month's silver, stored by month if the run has a gold path."""
     stored = read_silver(spark, cfg, schema, cfg.ref_month)
     kind = cfg.names.get(cfg.columns.kind, cfg.columns.kind)
-    gold = with_labels(by_kind(stored, kind), cfg.kind_labels)
+    counts = by_city(stored, kind) if cfg.gold_by_city else by_kind(stored, kind)
+    gold = with_labels(counts, cfg.kind_labels)
     if cfg.gold is None:
         return gold
     overwrite_partitions(
@@ -154,6 +158,18 @@ def refine(
     return written, build_gold(spark, cfg, schema) if written.rows else None
 
 
+def month_metrics(
+    spark: SparkSession, cfg: RunConfig, schema: T.StructType
+) -> dict[str, int] | None:
+    """`n_lookup, n_search, n_final` of one month that lies in bronze, in one pass over its facts."""
+    if cfg.search is None:
+        return None
+    facts = month_of_bronze(spark, cfg, FACTS_DATASET, schema)
+    lookup = month_of_bronze(spark, cfg, LOOKUP_DATASET, LOOKUP_SCHEMA)
+    counts = run_metrics(facts, lookup, cfg.search, cfg.columns, cfg.codes, cfg.active)
+    return counts.first().asDict()
+
+
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     """Archives of one month to bronze, silver and gold."""
     schema = fact_schema(spark, cfg)
@@ -163,4 +179,4 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     if SKIPPED_EMPTY in (facts.status, lookup.status):
         return RunResult(facts, lookup, WriteResult(SKIPPED_EMPTY, 0), None)
     silver, gold = refine(spark, cfg, schema)
-    return RunResult(facts, lookup, silver, gold)
+    return RunResult(facts, lookup, silver, gold, month_metrics(spark, cfg, schema))

@@ -3,10 +3,10 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from samples import FACTS, LOOKUP, LOOKUP_REPEATS, SILVER, write_month, write_zip
+from samples import FACTS, HITS, LOOKUP, LOOKUP_REPEATS, SILVER, write_month, write_zip
 
 from registra import __main__ as job
-from registra.config import RunConfig, text_schema
+from registra.config import ColumnMap, RunConfig, text_schema
 from registra.plans.medallion import read_silver, run
 from registra.session import (
     S3A_PACKAGE,
@@ -226,6 +226,28 @@ def test_job_arguments(spark, cfg, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["silver"] == len(SILVER) + 1
 
 
+def test_every_option_of_a_job(spark, cfg, tmp_path, capsys):
+    paths = ["--archives", cfg.archives, "--bronze", cfg.bronze, "--silver", cfg.silver]
+    month = ["--month", "2025-12", "--gold", str(tmp_path / "gold")]
+    more = ["--search", "7107", "--gold-by-city", "--label", "1=head", "--label", "2=branch"]
+    job.main(["run", *paths, *month, *more], spark)
+    assert json.loads(capsys.readouterr().out) == {
+        "facts": 11, "lookup": 3, "silver": len(SILVER), "status": WRITTEN,
+        "gold": {"head": 3, "branch": 2, "unknown": 1},
+        "n_lookup": 1, "n_search": len(HITS), "n_final": len(SILVER),
+    }
+    stored = spark.read.parquet(str(tmp_path / "gold"))
+    assert {(r.municipio_cod, r.municipio_nome) for r in stored.collect()} == {(7107, "SÃO PAULO")}
+    args = job.arguments(["refine", "--bronze", "b", "--silver", "s", "--month", "2025-12", "--width", "3",
+                          "--municipality-column", "_c1", "--status-column", "_c2", "--kind-column", "_c0",
+                          "--active", "8", "--unique-lookup"])
+    made = job.config(args)
+    assert made.columns == ColumnMap("_c1", "_c2", "_c0") and made.active == 8 and made.unique_lookup
+    assert made.search is None and made.member_conflict == "all" and made.kind_labels["1"] == "matriz"
+    with pytest.raises(SystemExit):
+        job.main(["run", *paths, *month, "--label", "head"], spark)
+
+
 def test_ingest_then_refine(spark, cfg, tmp_path, capsys):
     """Both datasets landed by their own stream, then the month refined from bronze."""
     paths = ["--archives", cfg.archives, "--bronze", cfg.bronze, "--checkpoint"]
