@@ -21,7 +21,7 @@ from registra.operators.summaries import (
     month_change,
     subtotals,
 )
-from registra.operators.temporal import as_of_join, interval_join
+from registra.operators.temporal import as_of_join, interval_join, interval_steps
 from registra.session import work_folder
 
 # The span of the events, in seconds, over which the intervals below are dealt.
@@ -81,9 +81,10 @@ def events_in_intervals(spark, sf):
     moments = table(spark, sf, "events").select(
         "event_id", "event_type", second.alias("at"), (second + 1).alias("after")
     )
-    met = interval_join(moments, spans, ("at", "after"), ("low", "high"), width=3600)
+    steps = interval_steps(spans, ("low", "high"), width=3600, sums={"orders": "o_orderkey"})
+    met = interval_join(moments, steps, ("at", "after"), ("low", "high"), width=60)
     return met.groupBy("event_id", "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders")
+        F.sum("n").alias("n"), F.sum("orders").cast("long").alias("orders")
     )
 
 

@@ -1,8 +1,8 @@
-"""Joins in time: the last row before a moment, and intervals that overlap."""
+"""Joins in time: the last row before a moment, intervals that overlap, and what is open when."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,7 +91,8 @@ def interval_join(
     in the first of them. The work is least where `width` is about the length of an interval: a longer
     one has a copy for each `width` of its length.
 
-    Intervals that are empty or have a NULL bound, and NULL keys, share nothing.
+    Intervals that are empty or have a NULL bound, and NULL keys, share nothing. Where only counts or sums
+    over the pairs are wanted and many intervals lie above each other, join with their `interval_steps`.
     """
 
     def binned(df: DataFrame, span: tuple[str, str], first: str) -> DataFrame:
@@ -107,3 +108,56 @@ def interval_join(
     ends_after = F.col(right_span[0]) < F.col(left_span[1])
     own = F.col("_bin") == F.greatest("_left_bin", "_right_bin")
     return met.filter(starts_before & ends_after & own).drop("_bin", "_left_bin", "_right_bin")
+
+
+def interval_steps(
+    df: DataFrame,
+    span: tuple[str, str],
+    width: int,
+    sums: Mapping[str, str],
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Intervals that lie above each other as steps that do not: keys, the span's columns, `n`, and `sums`.
+
+    While a step lasts, the same `n` intervals are open, and each of `sums` (name: column of whole
+    numbers) is the exact total of its column over them, as a decimal; a NULL adds nothing. A moment
+    so meets one step of its keys instead of every interval open then.
+
+    An interval is copied into every bin of `width` that it touches, and its start and end are added up
+    by moment first, so a bin is put in order as `width` rows at most, however many intervals it
+    holds. Intervals that are empty or have a NULL bound are left out.
+    """
+    low, high = span
+    # Bins are named by their first moment.
+    first, last = (c - F.pmod(c, F.lit(width)) for c in (F.col(low), F.col(high) - 1))
+
+    def turn(at: Column, sign: int) -> Column:
+        totals = (F.col(c).cast("decimal(20,0)") * sign for c in sums.values())
+        return F.struct(
+            at.cast("long").alias("at"),
+            F.lit(sign).cast("long").alias("n"),
+            *(t.cast("decimal(20,0)").alias(name) for name, t in zip(sums, totals)),
+        )
+
+    copies = df.filter(F.col(low) < F.col(high)).withColumn(
+        "_bin", F.explode(F.sequence(first.cast("long"), last.cast("long"), F.lit(width).cast("long")))
+    )
+    turns = F.array(turn(F.greatest(low, "_bin"), 1), turn(F.col(high), -1))
+    turned = copies.select(*keys, "_bin", F.explode(turns).alias("_turn")).select(
+        *keys, "_bin", "_turn.*"
+    )
+    end = F.col("_bin") + width
+    changes = turned.filter(F.col("at") < end).groupBy(*keys, "_bin", "at").agg(
+        *(F.sum(name).alias(name) for name in ("n", *sums))
+    )
+    order = Window.partitionBy(*keys, "_bin").orderBy("at")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zero = F.lit(0).cast("decimal(38,0)")
+    steps = changes.select(
+        *keys,
+        F.col("at").alias(low),
+        F.coalesce(F.lead("at").over(order), end).alias(high),
+        F.sum("n").over(running).alias("n"),
+        *(F.coalesce(F.sum(name).over(running), zero).alias(name) for name in sums),
+    )
+    return steps.filter(F.col("n") > 0)

@@ -6,13 +6,14 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from registra.catalogue.analytics import events_in_intervals
 from registra.operators.summaries import (
     distinct_sketches,
     merged_sketches,
     month_change,
     subtotals,
 )
-from registra.operators.temporal import as_of_join, interval_join
+from registra.operators.temporal import as_of_join, interval_join, interval_steps
 
 
 def shuffled(spark, rows, schema):
@@ -84,6 +85,52 @@ def test_intervals(spark, width):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("width", [1, 4, 50])
+def test_steps_hold_what_is_open(spark, width):
+    rng = random.Random(width)
+    rows = [(None, 3, 5, 1), ("x", None, 5, 1), ("x", 4, None, 1), ("x", 70, 70, 1), ("y", 90, 95, None)]
+    for _ in range(120):
+        low = rng.randint(-20, 60)
+        rows.append((rng.choice("xxy"), low, low + rng.choice([-1, 0, 1, 5, 30]), rng.choice([-3, 2, 2**63 - 1])))
+    got = interval_steps(shuffled(spark, rows, "k string, s long, e long, v long"), ("s", "e"), width, {"v": "v"}, ["k"])
+    assert got.columns == ["k", "s", "e", "n", "v"]
+    found = defaultdict(list)
+    for r in got.collect():
+        for at in range(r["s"], r["e"]):
+            found[r["k"], at].append((r["n"], int(r["v"])))
+    expected = defaultdict(list)
+    for k, s, e, v in rows:
+        for at in range(s, e) if None not in (s, e) else ():
+            expected[k, at].append(v or 0)
+    assert found == {at: [(len(vs), sum(vs))] for at, vs in expected.items()}
+    assert found["y", 92] == [(1, 0)]
+
+
+def test_intervals_above_each_other_meet_a_moment_once(spark, tmp_path):
+    """41 rows of events at a moment of 40 open intervals make 41 pairs and not 1640."""
+    sf = str(tmp_path)
+    spark.range(40).selectExpr("id * 2592000 as o_orderkey", "id + 100 as o_custkey").write.parquet(
+        f"{sf}/orders.parquet"
+    )
+    times = spark.range(40).selectExpr(
+        "id as event_id", "'view' as event_type", "timestamp_ntz'2024-01-01 00:00:00' as ts"
+    )
+    times.unionAll(times.limit(1)).write.parquet(f"{sf}/events.parquet")
+    pairs = []
+
+    def counting(*args, **options):
+        met = interval_join(*args, **options)
+        pairs.append(met.count())
+        return met
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("registra.catalogue.analytics.interval_join", counting)
+        got = {r["event_id"]: (r["n"], r["orders"]) for r in events_in_intervals(spark, sf).collect()}
+    orders = sum(range(40)) * 2592000
+    assert sorted(got.values()) == [(40, orders)] * 39 + [(80, 2 * orders)]
+    assert pairs == [41]
+
+
 def test_subtotals_tell_null_from_all(spark):
     counts = spark.createDataFrame([("a", None, 2), ("a", "x", 3), (None, "x", 5)], "k string, f string, n long")
     got = {(r["k"], r["f"], r["level"]): r["n"] for r in subtotals(counts, ["k", "f"]).collect()}
