@@ -57,8 +57,12 @@ class Sessions(StatefulProcessor):
     """Sessions of a key: rows each no more than `gap` microseconds after the one before.
 
     Rows may come in any order while they are not late, so what is open is a list of sessions that a
-    row may begin, extend or join. A timer at the end of each closes it. As a closed session cannot be
-    met by a row that is not late, the list stays as short as the watermark's delay allows.
+    row may begin, extend or join. As a closed session cannot be met by a row that is not late, the list
+    stays as short as the watermark's delay allows.
+
+    A key has one timer, at the end of its first open session; when it fires, all that have ended by the
+    watermark are closed at once. So the calls to the state grow with the keys of a batch, not with
+    their sessions.
     """
 
     def __init__(self, key: str, gap: int):
@@ -72,11 +76,13 @@ class Sessions(StatefulProcessor):
         return -(-(last + self.gap) // 1000)
 
     def _held(self) -> list[list[int]]:
-        return [list(s) for s in self.open.get()[0]] if self.open.exists() else []
+        """The open sessions, in order."""
+        held = self.open.get()
+        return [list(s) for s in held[0]] if held else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = self._held()
-        moments = [[r["moment"], r["moment"], 1] for r in rows]
+        moments = [[m, m, 1] for m in (r["moment"] for r in rows)]
         joined: list[list[int]] = []
         for first, last, n in sorted(before + moments):
             if joined and first <= joined[-1][1] + self.gap:
@@ -84,21 +90,22 @@ class Sessions(StatefulProcessor):
                 joined[-1][2] += n
             else:
                 joined.append([first, last, n])
-        ends = {self._expiry(s[1]) for s in joined}
-        for old in {self._expiry(s[1]) for s in before} - ends:
-            self.handle.deleteTimer(old)
-        for new in ends:
+        old, new = (self._expiry(s[0][1]) if s else None for s in (before, joined))
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
             self.handle.registerTimer(new)
         self.open.update(([tuple(s) for s in joined],))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = timerValues.getCurrentWatermarkInMs()
         held = self._held()
         closed = [s for s in held if self._expiry(s[1]) <= now]
-        left = [tuple(s) for s in held if self._expiry(s[1]) > now]
+        left = [tuple(s) for s in held[len(closed) :]]
         if left:
             self.open.update((left,))
+            self.handle.registerTimer(self._expiry(left[0][1]))
         else:
             self.open.clear()
         for first, last, n in closed:

@@ -4,8 +4,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from registra.streaming.events import (
+    Sessions,
     UpdatesSink,
     closed_sessions,
     latest_updates,
@@ -74,6 +76,60 @@ def test_sessions_join_rows_out_of_order_and_close_once(spark, follow):
     assert sessions([]) == closed + [("c", 200, 200, 1)]
 
 
+class Held:
+    """State and timers of one key, as a processor sees them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.calls = value, self.calls + 1
+
+    def clear(self):
+        self.value, self.calls = None, self.calls + 1
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+        self.calls += 1
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+        self.calls += 1
+
+
+def test_a_key_has_one_timer_however_many_sessions(spark):
+    held, sessions = Held(), Sessions("k", 10 * MINUTE)
+    sessions.init(held)
+    rows = [{"moment": m * MINUTE} for m in range(0, 30000, 30)]
+    assert list(sessions.handleInputRows(("a",), iter(rows[1:]), None)) == []
+    assert held.timers == {40 * 60_000}
+    # An earlier session moves the timer, a later one does not.
+    list(sessions.handleInputRows(("a",), iter(rows[:1]), None))
+    list(sessions.handleInputRows(("a",), iter([{"moment": 40_000 * MINUTE}]), None))
+    assert held.timers == {10 * 60_000} and held.calls < 10
+
+    def fire(minute):
+        at = min(held.timers)
+        found = list(sessions.handleExpiredTimer(("a",), TimerValues(0, minute * 60_000), ExpiredTimerInfo(at)))
+        held.timers.remove(at)
+        return [(r["first"] // MINUTE, r["n"]) for r in found]
+
+    # At the watermark itself a session is closed; a moment before, it is not.
+    assert fire(70) == [(0, 1), (30, 1), (60, 1)] and held.timers == {100 * 60_000}
+    assert len(fire(29_980)) == 997 and held.timers == {40_010 * 60_000} and held.calls < 15
+    assert fire(40_010) == [(40_000, 1)]
+    assert not held.timers and held.value is None
+
+
 def test_a_batch_that_comes_again_replaces_itself(spark, tmp_path):
     sink, folder = UpdatesSink(str(tmp_path / "out")), str(tmp_path / "out")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
