@@ -348,9 +348,11 @@ def scan_archive_all_names(spark, sf):
     for name in ("_hidden", ".dotted", "plain"):
         write_archives(rows.filter(F.col("name") == name), root, f"{name}-")
     listing = list_archives(spark, root)
-    lines = expand_archives(listing.select("path"), spark.sparkContext.defaultParallelism)
+    lines = expand_archives(listing.select("path"), 4 * spark.sparkContext.defaultParallelism)
+    # The name is worked out once an archive, not once a line.
+    counted = lines.groupBy("archive").agg(F.count(F.lit(1)).alias("n"))
     name = F.regexp_extract("archive", "([^/]+)-[^/]*$", 1).alias("name")
-    return lines.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(name).agg(F.sum("n").alias("n"))
 
 
 def _registry_lines(spark, sf):

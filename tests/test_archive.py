@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from samples import FACTS, LOOKUP, write_month, write_text, write_zip
 
+from registra.catalogue.storage import scan_archive_all_names
 from registra.config import LOOKUP_SCHEMA, text_schema
 from registra.sources import archive as A
 from registra.sources.delimited import parse_lines, read_facts, width_of
@@ -206,3 +207,15 @@ def test_lookup_member(spark, tmp_path):
     lines = A.read_archives(spark, str(tmp_path)).select("line")
     rows = sorted(map(tuple, parse_lines(lines, LOOKUP_SCHEMA).collect()))
     assert rows == [("0001", "X;Y"), ("7107", "SÃO PAULO"), ("abc", "BAD")]
+
+
+def test_names_of_archives_are_not_worked_out_by_line(spark, tmp_path):
+    rows = spark.range(90).selectExpr("id as l_orderkey", "cast(id % 7 as int) as l_linenumber")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = scan_archive_all_names(spark, str(tmp_path))
+    # From the result down to the lines.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    _, counted, below = plan.rpartition("Aggregate [archive#")
+    assert counted and "regexp_extract" in plan
+    assert "regexp_extract" not in below.partition("\n")[2]
+    assert {r["name"]: r["n"] for r in found.collect()} == {"_hidden": 39, ".dotted": 26, "plain": 25}
