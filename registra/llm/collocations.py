@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from registra.llm.common import batch_rows, settled, shuffle_tasks, worker_state
+from registra.llm.common import batch_rows, read_rows, settled, shuffle_tasks, worker_state
 
 # Small enough that neither Python nor the JVM has to hold large arrays for one.
 CHUNK_BYTES = 1 << 17
-# Chunks that a task is handed at once.
-CHUNK_ROWS = 64
+# Chunks that a task is handed at once, and rows that it reads at once where there are chunks among them.
+CHUNK_ROWS = 16
+READ_ROWS = 64
 # Different entries, or keys alone, that a task holds before it hands them on.
 HELD = 3 << 18
 KEYS_HELD = 1 << 20
@@ -57,6 +58,7 @@ _ENTRY = [
     ("first_at", np.uint32), ("last", np.int64), ("last_at", np.uint32), ("size", np.uint32),
     ("words", np.uint8),
 ]
+_LAST = ("last", "last_at")
 
 
 def normalised(text: str) -> bytes:
@@ -280,8 +282,13 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
     order they came in. The words of a phrase follow from its text."""
     entries = np.concatenate(parts)
     parts.clear()  # else all entries are held twice
+    return entries[: _add_up(entries)]
+
+
+def _add_up(entries: np.ndarray) -> int:
+    """Add equal entries up in their own array, a column after another, and tell how many are left."""
     if not len(entries):
-        return entries
+        return 0
 
     def changes(column: str) -> np.ndarray:
         own = entries[column][order]
@@ -295,11 +302,15 @@ def added_up(parts: list[np.ndarray]) -> np.ndarray:
         new, other = changes("fp"), changes("check") | changes("size")
     heads = np.append(0, np.flatnonzero(new | other) + 1)
     del new, other
+    left = len(heads)
+    entries["count"][:left] = np.add.reduceat(entries["count"][order], heads)
     tails = order[np.append(heads[1:], len(entries)) - 1]
-    out = entries[order[heads]]
-    out["count"] = np.add.reduceat(entries["count"][order], heads)
-    out["last"], out["last_at"] = entries["last"][tails], entries["last_at"][tails]
-    return out
+    heads = order[heads]
+    del order
+    for column, _ in _ENTRY:
+        if column != "count":
+            entries[column][:left] = entries[column][tails if column in _LAST else heads]
+    return left
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -346,56 +357,79 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return out
 
 
+def _room(held: np.ndarray, count: int, needed: int, limit: int) -> np.ndarray:
+    """An array with the first `count` rows of another, and room for `needed` or some beyond the limit."""
+    if needed <= len(held):
+        return held
+    out = np.empty(max(needed, limit + limit // 8), held.dtype)
+    out[:count] = held[:count]
+    return out
+
+
 class Adder:
-    """Adds entries up whenever there are some more than were left the last time."""
+    """Adds entries up whenever there are some more than were left the last time. They lie in one array,
+    so that small ones of many chunks neither stay between large ones nor are held twice."""
 
     def __init__(self) -> None:
-        self.parts: list[np.ndarray] = []
-        self.held, self.limit = 0, MORE
+        self.entries = np.empty(0, _ENTRY)
+        self.clear()
 
     def add(self, entries: np.ndarray) -> bool:
-        self.parts.append(entries)
-        self.held += len(entries)
+        until = self.held + len(entries)
+        self.entries = _room(self.entries, self.held, until, self.limit)
+        self.entries[self.held : until] = entries
+        self.held = until
         return self.held >= self.limit
 
     def total(self) -> np.ndarray:
-        parts, self.parts = self.parts, []
-        out = added_up(parts or [np.empty(0, _ENTRY)])
-        self.parts, self.held = [out], len(out)
-        self.limit = len(out) + max(MORE, len(out) // 4)
-        return out
+        """What is left; it holds until more is added."""
+        self.held = _add_up(self.entries[: self.held])
+        self.limit = self.held + max(MORE, self.held // 4)
+        return self.entries[: self.held]
+
+    def clear(self) -> None:
+        self.held, self.limit = 0, MORE
 
 
 class KeyAdder:
     """Adds up counts of keys, in the manner of :class:`Adder`."""
 
-    def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.held, self.limit = 0, KEYS_MORE
+    def __init__(self, more: int | None = None) -> None:
+        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.uint32)
+        self.more = more or KEYS_MORE
+        self.clear()
 
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> bool:
-        self.keys.append(keys)
-        self.counts.append(np.ones(len(keys), np.uint32) if counts is None else counts)
-        self.held += len(keys)
+        until = self.held + len(keys)
+        self.keys = _room(self.keys, self.held, until, self.limit)
+        self.counts = _room(self.counts, self.held, until, self.limit)
+        self.keys[self.held : until] = keys
+        self.counts[self.held : until] = 1 if counts is None else counts
+        self.held = until
         return self.held >= self.limit
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([*self.keys, np.empty(0, np.uint64)])
-        counts = np.concatenate([*self.counts, np.empty(0, np.uint32)])
-        self.keys, self.counts = [], []
+        """What is left; it holds until more is added."""
+        keys, counts = self.keys[: self.held], self.counts[: self.held]
         if (counts == 1).all():
-            keys = np.sort(keys)
+            keys.sort()
         else:
             order = np.argsort(keys)
-            keys, counts = keys[order], counts[order]
+            keys[:] = keys[order]
+            counts[:] = counts[order]
+            del order
         heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys.astype(int)
         # What is beyond 32 bits is frequent by any measure.
         sums = np.add.reduceat(counts, heads, dtype=np.uint64) if len(keys) else counts
-        keys, counts = keys[heads], np.minimum(sums, 0xFFFFFFFF).astype(np.uint32)
-        self.keys, self.counts, self.held = [keys], [counts], len(keys)
-        self.limit = len(keys) + max(KEYS_MORE, len(keys) // 4)
-        return keys, counts
+        self.held = len(heads)
+        self.limit = self.held + max(self.more, self.held // 4)
+        counts[: self.held] = np.minimum(sums, 0xFFFFFFFF)
+        del sums
+        keys[: self.held] = keys[heads]
+        return keys[: self.held], counts[: self.held]
+
+    def clear(self) -> None:
+        self.held, self.limit = 0, self.more
 
 
 _KEYS = pa.schema([("slice", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -443,24 +477,28 @@ def maybe_frequent(
                         summed = adder.total()
                         if len(summed[0]) > KEYS_HELD:
                             yield from _key_slices(*summed, shift)
-                            adder = KeyAdder()
+                            adder.clear()
         yield from _key_slices(*adder.total(), shift)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        adder = KeyAdder()
+        # No two slices have a key in common, so each is sorted alone.
+        adders: dict[int, KeyAdder] = {}
         for batch in batches:
             for number, keys, counts in zip(*batch.columns):
+                number = number.as_py()
                 steps = _from_planes(keys.as_py(), np.uint64)
-                keys = np.cumsum(steps, dtype=np.uint64) + np.uint64(number.as_py() << shift)
+                keys = np.cumsum(steps, dtype=np.uint64) + np.uint64(number << shift)
+                adder = adders.get(number) or adders.setdefault(number, KeyAdder(KEYS_MORE // 8))
                 if adder.add(keys, _from_planes(counts.as_py(), np.uint32)):
                     adder.total()
-        keys, counts = adder.total()
-        yield pa.record_batch([pa.array(keys[counts >= least].view(np.int64))], names=["key"])
+        for adder in adders.values():
+            keys, counts = adder.total()
+            yield pa.record_batch([pa.array(keys[counts >= least].view(np.int64))], names=["key"])
 
     sliced = chunks.select("lang", "body", "tail").mapInArrow(
         scan, "slice int, keys binary, counts binary"
     )
-    return sliced.repartition(tasks, "slice").mapInArrow(merge, "key long")
+    return sliced.repartitionById(tasks, "slice").mapInArrow(merge, "key long")
 
 
 def counted(
@@ -484,7 +522,7 @@ def counted(
                         summed = adder.total()
                         if len(summed) > HELD:
                             yield from _packed(summed, shift)
-                            adder = Adder()
+                            adder.clear()
         yield from _packed(adder.total(), shift)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -509,7 +547,7 @@ def counted(
 
     columns = ", ".join(f"{name} long" for name, _ in _ENTRY)
     packed = chunks.select("chunk", "lang", "body", "tail").mapInArrow(scan, _PACKED)
-    return packed.repartition(tasks, "slice").mapInArrow(merge, columns)
+    return packed.repartitionById(tasks, "slice").mapInArrow(merge, columns)
 
 
 def has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -703,7 +741,8 @@ def collocations(
     are read whole, also where they are counted in several chunks.
     """
     chunks = settled(chunked(docs, text_col, group_col, no_group, longest), "chunks")
-    with batch_rows(docs.sparkSession, CHUNK_ROWS):
+    spark = docs.sparkSession
+    with batch_rows(spark, CHUNK_ROWS), read_rows(spark, READ_ROWS):
         phrases = settled(frequent_phrases(chunks, longest, least, bits), "frequent")
     words = F.split("phrase", " ")
     candidates = phrases.filter("words > 1").withColumn("parts", words)

@@ -33,9 +33,7 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Hand tasks at most so many rows at once in the jobs that run inside, and no later ones."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def _at_most(spark: SparkSession, setting: str, rows: int) -> Iterator[None]:
     before = spark.conf.get(setting)
     spark.conf.set(setting, min(rows, int(before)))
     try:
@@ -44,6 +42,17 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def batch_rows(spark: SparkSession, rows: int):
+    """Hand tasks at most so many rows at once in the jobs that run inside, and no later ones."""
+    return _at_most(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def read_rows(spark: SparkSession, rows: int):
+    """Read at most so many rows of a Parquet file at once in the jobs that run inside, as the reader
+    puts the values of all of them side by side in one array."""
+    return _at_most(spark, "spark.sql.parquet.columnarReaderBatchSize", rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. `lower` does just that for pure ASCII, and is faster."""
     pure = F.length(text) == F.octet_length(text)

@@ -1,13 +1,18 @@
 """Phrases against counting by text."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from registra.llm import collocations as module
 from registra.llm.collocations import (
+    _ENTRY,
+    MORE,
+    Adder,
     KeyAdder,
     Ranges,
     _from_planes,
@@ -21,6 +26,7 @@ from registra.llm.collocations import (
     collocations,
     frequent_phrases,
     has_bit,
+    maybe_frequent,
     normalised,
 )
 from tests.llm.cases import ROWS, edge_docs
@@ -182,3 +188,39 @@ def test_bit_map_lets_every_fingerprint_through(spark):
     own = keys.toArrow()["key"].to_numpy().view(np.uint64)
     assert has_bit(bits, own).all()
     assert has_bit(bits, own + np.uint64(1)).mean() < 0.15
+
+
+def test_entries_are_not_held_twice_while_they_are_added_up():
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, MORE // 4, MORE + 5000).astype(np.uint64)
+    held, expected = fps.nbytes // 8 * np.dtype(_ENTRY).itemsize, Counter(fps.tolist())
+    tracemalloc.start()
+    try:
+        adder, places = Adder(), 0
+        for own in np.array_split(fps, 60):
+            entries = np.zeros(len(own), _ENTRY)
+            entries["fp"], entries["count"] = own, 1
+            entries["first"] = entries["last"] = places + np.arange(len(own))
+            places += len(own)
+            adder.add(entries)
+        del entries
+        summed = adder.total()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.8 * held
+    assert dict(zip(summed["fp"].tolist(), summed["count"].tolist())) == expected
+    # Both places are ones of the fingerprint, the first and the last of them.
+    assert (fps[summed["first"]] == summed["fp"]).all() and (fps[summed["last"]] == summed["fp"]).all()
+    often = summed["count"] > 1
+    assert often.any() and (summed["first"][often] < summed["last"][often]).all()
+
+
+def test_tasks_get_like_shares_of_the_keys(spark):
+    rng = random.Random(7)
+    rows = [(" ".join(f"w{rng.randrange(3000)}" for _ in range(100)), "en") for _ in range(200)]
+    chunks = chunked(docs(spark, rows), "text", "lang", "und", 4, size=4000)
+    keys = maybe_frequent(chunks, (1, 2), 1, 64, 40, 40)
+    shares = [n for _, n in keys.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) == 40 and sum(shares) > 20_000
+    assert max(shares) < 1.4 * sum(shares) / 40
